@@ -22,7 +22,8 @@ def _letter_table() -> tuple[str, str]:
 
 def name_key(text: Column, drop_prefix: str | None = "tp") -> Column:
     """Lower-case ASCII letters and digits only, marks stripped, a leading city prefix dropped."""
-    bare = F.translate(text, *_letter_table())
+    is_ascii = F.length(text) == F.octet_length(text)
+    bare = F.when(is_ascii, text).otherwise(F.translate(text, *_letter_table()))
     key = F.lower(F.regexp_replace(bare, "[^a-zA-Z0-9]", ""))
     if drop_prefix is None:
         return key

@@ -57,6 +57,16 @@ def enforce(df: DataFrame, dataset: str, rules: list[Rule]) -> None:
         )
 
 
+def fail_on_broken(df: DataFrame, dataset: str, rules: list[Rule]) -> DataFrame:
+    """The rows unchanged; the job that reads them fails at the first one that breaks a rule."""
+    names = F.concat_ws(", ", *(F.when(rule.broken, F.lit(rule.name)) for rule in rules))
+    message = F.concat(F.lit(f"{dataset}: broken rules: "), names)
+    broken = F.lit(False)
+    for rule in rules:
+        broken = broken | rule.broken
+    return df.where(F.when(broken, F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
+
+
 def quarantine(df: DataFrame, rules: list[Rule]) -> tuple[DataFrame, DataFrame]:
     """(valid rows, broken rows with the list of broken rules)."""
     broken = F.filter(

@@ -1,8 +1,7 @@
 """Star lookups: facts joined to dimensions on natural keys, and the rows those joins lose.
 
-No side is hinted here unless its size is fixed by construction. Spark broadcasts a dimension whose
-known size is below ``spark.sql.autoBroadcastJoinThreshold``; above it the join is shuffled and
-adaptive execution splits skewed partitions. ``salted_lookup`` splits a hot key ahead of time.
+A dimension without a size bound is joined by ``sized_lookup``: it is broadcast when a count shows
+that it is small, and otherwise shuffled with each key's fact rows split over several groups.
 """
 
 from __future__ import annotations
@@ -12,12 +11,27 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 SALTS = 16
+SMALL_ROWS = 200_000
+
+
+def is_small(dim: DataFrame, rows: int = SMALL_ROWS) -> bool:
+    """Counts the dimension, but not past ``rows``."""
+    return dim.limit(rows + 1).count() <= rows
+
+
+def sized_lookup(
+    fact: DataFrame, dim: DataFrame, on: str, row_id: Column, how: str = "inner", small: bool | None = None
+) -> DataFrame:
+    """Lookup in a dimension of unknown size. ``small`` is the result of :func:`is_small` where known."""
+    if is_small(dim) if small is None else small:
+        return fact.join(F.broadcast(dim), on, how)
+    return salted_lookup(fact, dim, on, row_id, how)
 
 
 def salted_lookup(
     fact: DataFrame, dim: DataFrame, on: str, row_id: Column, how: str = "inner", salts: int = SALTS
 ) -> DataFrame:
-    """Lookup for a dimension with no size bound: each key's fact rows go to ``salts`` groups.
+    """Shuffled lookup in which each key's fact rows go to ``salts`` groups.
 
     ``row_id`` only spreads the rows; a function of the row keeps the split the same when a task
     is run again. Each dimension row is repeated once per salt.
@@ -30,7 +44,11 @@ def salted_lookup(
 
 
 def star(fact: DataFrame, *lookups: tuple[DataFrame, str]) -> DataFrame:
-    """Inner lookups in order; fact rows without a match are lost, as :func:`lookup_losses` counts."""
+    """Inner lookups in order; fact rows without a match are lost, as :func:`lookup_losses` counts.
+
+    Without a hint: Spark broadcasts a dimension whose known size is below its threshold, and
+    splits skewed partitions of a shuffled join.
+    """
     return reduce(lambda joined, step: joined.join(step[0], step[1], "inner"), lookups, fact)
 
 

@@ -8,7 +8,7 @@ from .. import constants as k
 from ..functions.ratios import total_row_guard
 from ..operators.constraints import Rule, non_negative, percentage, required
 from ..operators.keys import packed_key
-from ..operators.lookup import salted_lookup, star
+from ..operators.lookup import sized_lookup, star
 
 PROVINCIAL_MEASURES = (
     "GRDP_Billion_VND",
@@ -104,11 +104,12 @@ def hourly_fact(
     dim_station: DataFrame,
     row_id: Column | None = None,
     keep: tuple[str, ...] = ("Month", "Day"),
+    small_stations: bool | None = None,
 ) -> DataFrame:
     """Readings with their four keys. ``keep`` columns ride along for the physical partitions.
 
     Year, hour and province dimensions are small. Stations have no size bound, and one station may
-    hold much of the data: their lookup is salted. ``row_id`` gives Monitoring_ID where station and
+    hold much of the data: their lookup is sized. ``row_id`` gives Monitoring_ID where station and
     hour do not identify a reading.
     """
     rows = star(
@@ -118,7 +119,8 @@ def hourly_fact(
         (dim_province.select("Province_Key", "Province_Code"), "Province_Code"),
     )
     spread = row_id if row_id is not None else F.struct("Month", "Day", "Hour_24")
-    rows = salted_lookup(rows, dim_station.select("Station_Key", "Station_Code"), "Station_Code", spread)
+    places = dim_station.select("Station_Key", "Station_Code")
+    rows = sized_lookup(rows, places, "Station_Code", spread, small=small_stations)
     return rows.select(
         (row_id if row_id is not None else reading_key()).cast("long").alias("Monitoring_ID"),
         "Date_Key",

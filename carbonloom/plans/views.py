@@ -1,6 +1,6 @@
 """The eight report views: joins on surrogate keys and column expressions, so filters push down.
 
-Date, hour and province dimensions are small; the station lookup is salted, as stations are not.
+Date, hour and province dimensions are small; the station lookup is sized, as stations may not be.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from .. import constants as k
 from ..functions import bands, calendar as cal, labels
 from ..functions.ratios import guarded_ratio, total_row_guard
-from ..operators.lookup import salted_lookup, star
+from ..operators.lookup import sized_lookup, star
 from .facts import PROVINCIAL_MEASURES, READINGS
 
 
@@ -140,7 +140,12 @@ def vw_dim_time_of_day(hours: DataFrame) -> DataFrame:
 
 
 def vw_fact_hourly(
-    fact: DataFrame, dates: DataFrame, hours: DataFrame, provinces: DataFrame, stations: DataFrame
+    fact: DataFrame,
+    dates: DataFrame,
+    hours: DataFrame,
+    provinces: DataFrame,
+    stations: DataFrame,
+    small_stations: bool | None = None,
 ) -> DataFrame:
     """Month and day are not part of the view: its date is the year alone."""
     rows = star(
@@ -150,7 +155,7 @@ def vw_fact_hourly(
         (provinces.select("Province_Key", "Province_Code", "Province_Name", "Region"), "Province_Key"),
     )
     places = stations.select("Station_Key", "Station_Code", "Station_Name", "Station_Type", "Latitude", "Longitude")
-    return salted_lookup(rows, places, "Station_Key", F.col("Monitoring_ID")).select(
+    return sized_lookup(rows, places, "Station_Key", F.col("Monitoring_ID"), small=small_stations).select(
         "Monitoring_ID",
         "Date_Key",
         "Year",

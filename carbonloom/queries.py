@@ -19,7 +19,7 @@ from .operators.constraints import Rule, non_negative, percentage, positive, req
 from .operators.keys import dense_keys
 from .operators.ranking import share_within
 from .plans import kpis, measures, standin, variants, views
-from .plans.standin import StandIn, money
+from .plans.standin import StandIn, money, stand_in
 from .sources import csvfiles, payloads
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,7 +41,7 @@ def plain(df: DataFrame) -> DataFrame:
 
 def query(build: Callable[[StandIn], DataFrame]) -> Callable[[StandIn], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return plain(build(StandIn(spark, sf_dir)))
+        return plain(build(stand_in(spark, sf_dir)))
 
     QUERIES[build.__name__] = run
     return build

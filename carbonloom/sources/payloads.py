@@ -16,7 +16,7 @@ SECTOR_PAYLOAD = (
 
 def read_payloads(spark: SparkSession, path: str) -> DataFrame:
     """(payload, source_file), one row per JSON file."""
-    return spark.read.option("wholetext", True).text(path).select(
+    return spark.read.text(path, wholetext=True).select(
         F.col("value").alias("payload"), F.col("_metadata.file_name").alias("source_file")
     )
 

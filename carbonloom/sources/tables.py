@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators.constraints import Rule, enforce, required
+from ..operators.constraints import Rule, enforce, fail_on_broken, required
 
 
 def with_lineage(df: DataFrame, source: str) -> DataFrame:
@@ -39,20 +39,17 @@ def publish_dimension(spark: SparkSession, df: DataFrame, path: str, key: str) -
 
 
 def publish_fact(
-    spark: SparkSession, df: DataFrame, path: str, rules: list[Rule], partition_by: Sequence[str] = ("Date_Key",)
+    df: DataFrame, path: str, rules: list[Rule], partition_by: Sequence[str] = ("Date_Key",)
 ) -> None:
-    """Replaces the partitions that ``df`` has rows for; nothing is published when a rule is broken.
+    """Replaces the partitions that ``df`` has rows for, in one pass.
 
-    The rows are written aside and checked there first. A rebalance keeps files even when one
-    partition holds most rows. A run that stops halfway is repaired by running it again.
+    A broken rule fails the job before its commit, and new partitions become visible only at the
+    commit, so a failed load leaves the table as it was and can be run again. The rebalance keeps
+    file sizes even when one partition holds most rows.
     """
-    aside = f"{path}__next"
-    spread = df.hint("rebalance", *partition_by)
-    spread.write.mode("overwrite").partitionBy(*partition_by).parquet(aside)
-    ready = spark.read.schema(df.schema).parquet(aside)
-    enforce(ready, path, rules)
     (
-        ready.hint("rebalance", *partition_by)
+        fail_on_broken(df, path, rules)
+        .hint("rebalance", *partition_by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)

@@ -17,7 +17,7 @@ TOPOLOGY = (
 
 def read_topology(spark: SparkSession, path: str) -> DataFrame:
     """One row per file: (file, size_kb, topology)."""
-    return spark.read.option("wholetext", True).text(path).select(
+    return spark.read.text(path, wholetext=True).select(
         F.col("_metadata.file_name").alias("file"),
         (F.col("_metadata.file_size") / 1024.0).alias("size_kb"),
         F.from_json("value", TOPOLOGY).alias("topology"),
