@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .keys import dense_keys
+from .lookup import is_small
 
 
 def one_row_per_key(source: DataFrame, key: str) -> DataFrame:
@@ -41,33 +42,39 @@ def scd1_merge(
     fixed = [c for c in target.columns if c not in (key, surrogate, *update)]
     if check_unique:
         source = one_row_per_key(source.select(key, *update), key)
-    new = source.select(key, *(F.col(c).alias(f"_s_{c}") for c in update), F.lit(True).alias("_in_source"))
-    old = target.withColumn("_in_target", F.lit(True))
-    both = old.join(new, key, "full_outer")
-
-    inserted = F.col("_in_target").isNull()
-    matched = F.col("_in_source").isNotNull()
-    merged = []
-    for column in update:
-        value = F.col(f"_s_{column}")
-        on_match = F.coalesce(value, F.col(column)) if column in keep_if_null else value
-        on_insert = F.coalesce(value, F.lit(defaults[column])) if column in defaults else value
-        merged.append(
-            F.when(inserted, on_insert)
-            .when(matched, on_match)
-            .otherwise(F.col(column))
-            .cast(target.schema[column].dataType)
-            .alias(column)
-        )
-    columns = [key, *update, *fixed]
-    both = both.select(key, surrogate, *merged, *fixed)
-    known = both.where(F.col(surrogate).isNotNull())
-    last = target.agg(F.coalesce(F.max(surrogate), F.lit(0)).alias("m")).scalar()
-    fresh = dense_keys(both.where(F.col(surrogate).isNull()).drop(surrogate), key, surrogate, last)
-    return known.select(surrogate, *columns).unionByName(fresh.select(surrogate, *columns))
+    new = source.select(key, *(F.col(c).alias(f"_s_{c}") for c in update), F.lit(True).alias("_matched"))
+
+    def as_target(column: str, value: Column) -> Column:
+        return value.cast(target.schema[column].dataType).alias(column)
+
+    def updated(column: str) -> Column:
+        value, old = F.col(f"_s_{column}"), F.col(column)
+        return F.when(F.col("_matched"), F.coalesce(value, old) if column in keep_if_null else value).otherwise(old)
+
+    def inserted(column: str) -> Column:
+        value = F.col(column)
+        return F.coalesce(value, F.lit(defaults[column])) if column in defaults else value
+
+    known = target.join(new, key, "left").select(
+        *(as_target(c, updated(c)) if c in update else F.col(c) for c in target.columns)
+    )
+    last = target.agg(F.coalesce(F.max(surrogate), F.lit(0)).alias("last")).scalar()
+    fresh = dense_keys(source.join(target.select(key), key, "left_anti"), key, surrogate, last).select(
+        F.col(surrogate),
+        F.col(key),
+        *(as_target(c, inserted(c)) for c in update),
+        *(as_target(c, F.lit(None)) for c in fixed),
+    )
+    return known.unionByName(fresh).select(*target.columns)
 
 
 def replace_slices(existing: DataFrame, staged: DataFrame, key: str) -> DataFrame:
-    """Idempotent reload: rows of every ``key`` value present in ``staged`` are replaced by it."""
+    """Idempotent reload: rows of every ``key`` value present in ``staged`` are replaced by it.
+
+    The values are counted first: few of them (years, as a rule) are broadcast, so that the
+    existing rows need no shuffle.
+    """
     reloaded = staged.select(key).distinct()
+    if is_small(reloaded):
+        reloaded = F.broadcast(reloaded)
     return existing.join(reloaded, key, "left_anti").unionByName(staged.select(*existing.columns))

@@ -8,8 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import constants as k
-from .constraints import Rule, violations
-from .quantiles import exact_medians
+from .constraints import Rule
+from .quantiles import exact_medians, value_pairs
 
 
 def union_all(parts: Sequence[DataFrame]) -> DataFrame:
@@ -106,34 +106,60 @@ def row_count(df: DataFrame, dataset: str, expected: int) -> DataFrame:
     )
 
 
-def summary_stats(df: DataFrame, dataset: str, columns: Sequence[str]) -> DataFrame:
-    """(dataset, column, min, max, mean, median), NULLs skipped, exact."""
-    values = [F.col(c).cast("double") for c in columns]
-    stats = df.agg(
-        *(agg(v).alias(f"{name}{i}")
-          for i, v in enumerate(values)
-          for name, agg in (("min", F.min), ("max", F.max))),
-        *(F.try_divide(F.sum(c).cast("double"), F.count(c)).alias(f"mean{i}") for i, c in enumerate(columns)),
-    )
-    rows = F.array(
-        *(F.struct(F.lit(c).alias("column"), *(F.col(f"{n}{i}").alias(n) for n in ("min", "max", "mean")))
-          for i, c in enumerate(columns))
-    )
-    medians = exact_medians(df, columns)
-    return stats.select(F.inline(rows)).join(medians, "column", "left").select(
-        F.lit(dataset).alias("dataset"), "column", "min", "max", "mean", "median"
+def summary_stats(datasets: dict[str, tuple[DataFrame, Sequence[str]]]) -> DataFrame:
+    """(dataset, column, min, max, mean, median), NULLs skipped, exact; one median search for all."""
+    stats, pairs = [], []
+    for dataset, (df, columns) in datasets.items():
+        summed = df.agg(
+            *(F.min(F.col(c).cast("double")).alias(f"min{i}") for i, c in enumerate(columns)),
+            *(F.max(F.col(c).cast("double")).alias(f"max{i}") for i, c in enumerate(columns)),
+            *(F.try_divide(F.sum(c).cast("double"), F.count(c)).alias(f"mean{i}") for i, c in enumerate(columns)),
+        )
+        rows = F.array(
+            *(F.struct(F.lit(c).alias("column"), *(F.col(f"{n}{i}").alias(n) for n in ("min", "max", "mean")))
+              for i, c in enumerate(columns))
+        )
+        stats.append(summed.select(F.lit(dataset).alias("dataset"), F.inline(rows)))
+        pairs.append(value_pairs(df, columns, prefix=dataset + "."))
+    place = F.concat_ws(".", "dataset", "column")
+    medians = exact_medians(union_all(pairs)).withColumnRenamed("column", "_place")
+    return union_all(stats).join(medians, place == F.col("_place"), "left").drop("_place")
+
+
+def profile(df: DataFrame, dataset: str, columns: Sequence[str], rules: Sequence[Rule] = ()) -> DataFrame:
+    """Completeness of ``columns`` and validity of ``rules`` as gate rows, from one pass."""
+    counted = df.agg(
+        F.count(F.lit(1)).alias("_rows"),
+        *(F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(columns)),
+        *(F.count_if(rule.broken).alias(f"r{i}") for i, rule in enumerate(rules)),
     )
 
+    def row(check: str, column: str, value: Column, passed: Column) -> Column:
+        return F.struct(
+            F.lit(check).alias("check"),
+            F.lit(dataset).alias("dataset"),
+            F.lit(column).alias("column"),
+            value.cast("double").alias("value"),
+            F.coalesce(passed, F.lit(False)).alias("passed"),
+        )
+
+    found = []
+    for i, column in enumerate(columns):
+        pct = F.try_divide(F.col(f"n{i}") * F.lit(100.0), F.col("_rows"))
+        found.append(row("completeness", column, F.round(pct, 2), pct < k.MAX_NULL_PCT))
+    for i, rule in enumerate(rules):
+        found.append(row("validity", rule.name, F.col(f"r{i}"), F.col(f"r{i}") == 0))
+    return counted.select(F.inline(F.array(*found)))
+
 
 def gate_rows(
-    complete: Sequence[DataFrame] = (),
+    profiled: Sequence[DataFrame] = (),
     consistent: Sequence[DataFrame] = (),
     referential: Sequence[DataFrame] = (),
     unique: Sequence[DataFrame] = (),
-    valid: Sequence[DataFrame] = (),
     counted: Sequence[DataFrame] = (),
 ) -> DataFrame:
-    """All findings in one shape: (check, dataset, column, value, passed)."""
+    """All findings in one shape: (check, dataset, column, value, passed); ``profiled`` has it already."""
 
     def rows(check, frames, dataset, column, value):
         return [
@@ -149,11 +175,10 @@ def gate_rows(
 
     name = F.col("dataset")
     return union_all(
-        rows("completeness", complete, name, F.col("column"), F.col("null_pct"))
+        list(profiled)
         + rows("consistency", consistent, F.lit("all"), F.lit("year"), F.col("common_year_count"))
         + rows("referential", referential, F.lit("all"), F.lit("code"), F.col("orphan_codes"))
         + rows("uniqueness", unique, name, F.col("grain"), F.col("duplicates"))
-        + rows("validity", valid, name, F.col("rule"), F.col("violations"))
         + rows("row_count", counted, name, F.lit("*"), F.col("rows"))
     )
 
@@ -167,6 +192,3 @@ def gate(findings: DataFrame) -> DataFrame:
         F.bool_and("passed").alias("passed"),
     )
 
-
-def validity(df: DataFrame, dataset: str, rules: list[Rule]) -> DataFrame:
-    return violations(df, dataset, rules)

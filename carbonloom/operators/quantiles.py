@@ -9,20 +9,23 @@ from pyspark.sql import DataFrame, Window, functions as F
 BUCKETS = 4096
 
 
-def exact_medians(df: DataFrame, columns: Sequence[str], levels: int = 2) -> DataFrame:
-    """(column, median) of numeric columns, NULLs skipped, the two middle values averaged.
+def value_pairs(df: DataFrame, columns: Sequence[str], prefix: str = "") -> DataFrame:
+    """(column, value) for each numeric column, as doubles."""
+    pairs = (
+        F.struct(F.lit(prefix + c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns
+    )
+    return df.select(F.inline(F.array(*pairs)))
+
+
+def exact_medians(pairs: DataFrame, levels: int = 2) -> DataFrame:
+    """(column, median) over (column, value) rows, NULLs skipped, the two middle values averaged.
 
     Values are counted first. Then the middle ranks are narrowed down by histograms of at most
     ``BUCKETS`` buckets over the range still in question; only the values of the last bucket are
     ordered. More ``levels`` suit wider ranges; the result is exact for any number of them.
     """
-    pairs = F.array(
-        *(F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns)
-    )
     counts = (
-        df.select(F.inline(pairs)).where(F.col("value").isNotNull()).groupBy("column", "value").agg(
-            F.count(F.lit(1)).alias("n")
-        )
+        pairs.where(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
     )
     totals = counts.groupBy("column").agg(
         F.sum("n").alias("rows"), F.min("value").alias("lo"), F.max("value").alias("hi")

@@ -19,13 +19,14 @@ from ..operators.lookup import lookup_losses
 from ..operators.merge import scd1_merge
 from ..sources import csvfiles, schemas
 from ..sources.tables import exists, publish_dimension, publish_fact, stage_overwrite, truncate
-from . import facts, views
+from . import facts, measures, views
 
 STAGING = ("national", "sectors", "provincial", "provinces", "stations", "hourly")
 YEARLY_STAGING = STAGING[:4]
 PROVINCE_COLUMNS = ["Province_Name", "Province_Name_Ascii", "Region", "Economic_Zone", "Area_Km2", "Is_Industrial_Hub"]
 SECTOR_COLUMNS = ["Sector_Name_EN", "Sector_Name_VI", "Sector_Category"]
 STATION_COLUMNS = ["Station_Name", "Province_Key", "Station_Type", "Latitude", "Longitude", "Is_Active"]
+HOURLY_STAR = ["fact_hourly", "dim_date", "dim_time_of_day", "dim_province", "dim_station"]
 AUDIT = (
     "event_id string, log_id string, package string, task string, status string, rows_processed bigint, "
     "error string, at timestamp"
@@ -204,25 +205,23 @@ class Warehouse:
         self.run("facts", "national and provincial", self.load_yearly_facts, "fact_provincial")
 
     # --- views -------------------------------------------------------------------------
-    def views(self) -> dict[str, DataFrame]:
-        """Report views over whatever is loaded."""
-        found: dict[str, DataFrame] = {}
-        dates, hours = self.read("dim_date"), self.read("dim_time_of_day")
-        provinces, sectors, stations = (self.dimension(d) for d in ("dim_province", "dim_sector", "dim_station"))
-        found["vw_dim_date"] = views.vw_dim_date(dates)
-        found["vw_dim_time_of_day"] = views.vw_dim_time_of_day(hours)
-        found["vw_dim_province"] = views.vw_dim_province(provinces)
-        found["vw_dim_sector"] = views.vw_dim_sector(sectors)
-        found["vw_dim_station"] = views.vw_dim_station(stations, provinces)
-        if self.has("fact_national"):
-            found["vw_fact_national"] = views.vw_fact_national(self.read("fact_national"), dates, sectors)
-        if self.has("fact_provincial"):
-            found["vw_fact_provincial"] = views.vw_fact_provincial(self.read("fact_provincial"), dates, provinces)
-        if self.has("fact_hourly"):
-            found["vw_fact_hourly"] = views.vw_fact_hourly(
-                self.read("fact_hourly"), dates, hours, provinces, stations
-            )
-        return found
+    def view(self, name: str) -> DataFrame:
+        """One of the report views over the loaded tables."""
+        build = {
+            "vw_dim_date": (views.vw_dim_date, ["dim_date"]),
+            "vw_dim_time_of_day": (views.vw_dim_time_of_day, ["dim_time_of_day"]),
+            "vw_dim_province": (views.vw_dim_province, ["dim_province"]),
+            "vw_dim_sector": (views.vw_dim_sector, ["dim_sector"]),
+            "vw_dim_station": (views.vw_dim_station, ["dim_station", "dim_province"]),
+            "vw_fact_national": (views.vw_fact_national, ["fact_national", "dim_date", "dim_sector"]),
+            "vw_fact_provincial": (views.vw_fact_provincial, ["fact_provincial", "dim_date", "dim_province"]),
+            "vw_fact_hourly": (views.vw_fact_hourly, HOURLY_STAR),
+        }
+        function, tables = build[name]
+        return function(*(self.read(table) for table in tables))
+
+    def air_measures(self, by: list[str]) -> DataFrame:
+        return measures.air_measures(*(self.read(table) for table in HOURLY_STAR), by=by)
 
     # --- quality gate ----------------------------------------------------------------------
     def findings(self, required_years=k.REQUIRED_YEARS, provinces: int = k.PROVINCE_COUNT) -> DataFrame:
@@ -232,39 +231,40 @@ class Warehouse:
         coverage = quality.year_coverage(
             {"national": (national, year), "sectors": (sectors, year), "provincial": (economy, year)}
         )
-        columns = {
-            "national": (national, ["Year", "CO2_MtCO2e", "Total_GHG_MtCO2e", "Methane_MtCO2e"]),
-            "sectors": (sectors, ["Year", "Sector_Code", "Gas", "Emissions_MtCO2e"]),
-            "provincial": (
-                economy, ["Year", "Province_Code", "GRDP_Billion_VND", "Population", "Estimated_Carbon_Tonnes"]
-            ),
-            "provinces": (places, ["Province_Code", "Province_Name", "Region", "Economic_Zone", "Area_Km2"]),
-        }
+        positives = [positive(c, null_ok=False) for c in ("GRDP_Billion_VND", "Population", "Estimated_Carbon_Tonnes")]
         keys = {
             "national": (national, ["Year"]),
             "sectors": (sectors, ["Year", "Sector_Code", "Gas"]),
             "provincial": (economy, ["Year", "Province_Code"]),
             "provinces": (places, ["Province_Code"]),
         }
-        rules = {
-            "national": (national, [non_negative("CO2_MtCO2e"), non_negative("Total_GHG_MtCO2e")]),
-            "sectors": (sectors, [non_negative("Emissions_MtCO2e")]),
-            "provincial": (
-                economy,
-                [
-                    positive("GRDP_Billion_VND", null_ok=False),
-                    positive("Population", null_ok=False),
-                    percentage("Forest_Coverage_Pct", null_ok=False),
-                    positive("Estimated_Carbon_Tonnes", null_ok=False),
-                ],
-            ),
-        }
         return quality.gate_rows(
-            complete=[quality.completeness(df, name, cols) for name, (df, cols) in columns.items()],
+            profiled=[
+                quality.profile(
+                    national,
+                    "national",
+                    ["Year", "CO2_MtCO2e", "Total_GHG_MtCO2e", "Methane_MtCO2e"],
+                    [non_negative("CO2_MtCO2e"), non_negative("Total_GHG_MtCO2e")],
+                ),
+                quality.profile(
+                    sectors,
+                    "sectors",
+                    ["Year", "Sector_Code", "Gas", "Emissions_MtCO2e"],
+                    [non_negative("Emissions_MtCO2e")],
+                ),
+                quality.profile(
+                    economy,
+                    "provincial",
+                    ["Year", "Province_Code", "GRDP_Billion_VND", "Population", "Estimated_Carbon_Tonnes"],
+                    [*positives, percentage("Forest_Coverage_Pct", null_ok=False)],
+                ),
+                quality.profile(
+                    places, "provinces", ["Province_Code", "Province_Name", "Region", "Economic_Zone", "Area_Km2"]
+                ),
+            ],
             consistent=[quality.year_consistency(coverage, required_years)],
             referential=[quality.reference_counts(economy, "Province_Code", places, "Province_Code", provinces)],
             unique=[quality.uniqueness(df, name, key) for name, (df, key) in keys.items()],
-            valid=[quality.validity(df, name, checks) for name, (df, checks) in rules.items()],
         )
 
     def gate(self, **options) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .. import constants as k
 from ..functions import air, bands, ratios
+from ..operators.lookup import sized_lookup, star
 
 
 def _sum(column: str) -> Column:
@@ -81,6 +82,47 @@ def measure(
     return rows.groupBy(*by).agg(*(BASE[name]().alias(name) for name in names))
 
 
+AVERAGED = {"Avg_AQI_Index": "AQI_Index", "Avg_PM25": "PM25_ug_m3", "Avg_CO2_Concentration": "CO2_ppm"}
+
+
+def air_measures(
+    fact: DataFrame,
+    dates: DataFrame,
+    hours: DataFrame,
+    provinces: DataFrame,
+    stations: DataFrame,
+    by: Sequence[str],
+    small_stations: bool | None = None,
+) -> DataFrame:
+    """All air measures by columns of the dimensions: the same as over the view, summed up first.
+
+    Readings are summed per surrogate key before any join, so the joins see one row per year, hour
+    and station instead of one per reading, and a station with very many readings is one of them.
+    """
+    keys = ["Date_Key", "Time_Key", "Province_Key", "Station_Key"]
+    sums = fact.groupBy(*keys).agg(
+        *(F.sum(c).alias(f"{c}_sum") for c in AVERAGED.values()),
+        *(F.count(c).alias(f"{c}_n") for c in AVERAGED.values()),
+        F.sum(F.col("Is_Exceeding_QCVN").cast("int")).alias("exceeding"),
+        F.count(F.lit(1)).alias("readings"),
+    )
+    rows = star(sums, (dates.select("Date_Key", "Year"), "Date_Key"), (hours, "Time_Key"), (provinces, "Province_Key"))
+    places = stations.drop("Province_Key")
+    rows = sized_lookup(rows, places, "Station_Key", F.struct("Date_Key", "Time_Key"), small=small_stations)
+
+    def mean(column: str) -> Column:
+        return F.try_divide(F.sum(f"{column}_sum").cast("double"), F.sum(f"{column}_n"))
+
+    rate = F.try_divide(F.sum("exceeding").cast("double"), F.sum("readings"))
+    return rows.groupBy(*by).agg(
+        *(mean(column).alias(name) for name, column in AVERAGED.items()),
+        F.sum("exceeding").alias("Exceeding_QCVN_Hours"),
+        F.coalesce(rate, F.lit(0.0)).alias("Exceeding_QCVN_Rate"),
+        F.sum(F.when(F.col("Is_Rush_Hour"), F.col("exceeding"))).alias("Rush_Hour_Exceeding_Hours"),
+        air.aqi_color(mean("AQI_Index")).alias("AQI_Status_Color_Hex"),
+    )
+
+
 def guarded(view: DataFrame, by: Sequence[str] = (), gas: str = k.ALL_GASES) -> DataFrame:
     rows = view.where((F.col("Sector_Code") == k.TOTAL_SECTOR) & (F.col("Gas") == gas))
     return rows.groupBy(*by).agg(*(_sum(c).alias(n) for n, c in NATIONAL_GUARDED.items()))
@@ -243,25 +285,25 @@ def narrative(name: Column, grdp: Column, carbon: Column, index: Column, realiza
 
 
 def provincial_narrative(
-    provincial: DataFrame, hourly: DataFrame, dim_province: DataFrame, target: Column
+    provincial: DataFrame, air_hours: DataFrame, dim_province: DataFrame, target: Column
 ) -> DataFrame:
     """(Province_Code, Province_Name, Card_Title, Narrative) for each province selected on its own.
 
-    Facts are aggregated per province before they meet; provinces without facts still get a text.
+    ``air_hours`` has the air measures per province. Facts are aggregated per province before they
+    meet; provinces without facts still get a text.
     The window for the country's GRDP sees one row per province of the dimension.
     """
     names = ["Provincial_GRDP", "Provincial_Carbon_Tonnes", "Provincial_Decoupling_Index"]
     economy = provincial.groupBy("Province_Code").agg(
         *(BASE[name]().alias(name) for name in names), F.sum("GRDP_Billion_VND").alias("_grdp")
     )
-    air_hours = measure(hourly, ["Exceeding_QCVN_Hours"], by=["Province_Code"])
     total = F.sum("_grdp").over(Window.partitionBy()).cast("double")
     carbon, grdp = F.col("Provincial_Carbon_Tonnes"), F.col("Provincial_GRDP")
     realization = ratios.divide(carbon, quota(grdp, total, target))
     return (
         dim_province.select("Province_Code", "Province_Name")
         .join(economy, "Province_Code", "left")
-        .join(air_hours, "Province_Code", "left")
+        .join(air_hours.select("Province_Code", "Exceeding_QCVN_Hours"), "Province_Code", "left")
         .select(
             "Province_Code",
             "Province_Name",

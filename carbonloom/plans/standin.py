@@ -19,7 +19,7 @@ from ..operators.generators import dim_date, dim_time_of_day
 from ..operators.keys import dense_keys
 from ..operators.lookup import is_small
 from ..operators.series import pivot_first
-from . import facts, views
+from . import facts, measures, views
 
 # The parameters that take the place of the calendar and gas values of the original data.
 BASELINE_YEAR, QUADRANT_YEAR, FIRST_SHARE_YEAR = 1996, 2000, 1996
@@ -308,6 +308,11 @@ class StandIn:
             self.hourly_fact, self.dates, self.hours, self.provinces, self.stations, self.small_stations
         )
 
+    def air_measures(self, by: list[str]) -> DataFrame:
+        return measures.air_measures(
+            self.hourly_fact, self.dates, self.hours, self.provinces, self.stations, by, self.small_stations
+        )
+
 
 @lru_cache(maxsize=8)
 def stand_in(spark: SparkSession, sf_dir: str) -> StandIn:

@@ -19,7 +19,7 @@ from .operators.constraints import Rule, non_negative, percentage, positive, req
 from .operators.keys import dense_keys
 from .operators.ranking import share_within
 from .plans import kpis, measures, standin, variants, views
-from .plans.standin import StandIn, money, stand_in
+from .plans.standin import StandIn, amount, hundredths, money, stand_in
 from .sources import csvfiles, payloads
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -497,9 +497,7 @@ def dq_uniqueness(w: StandIn) -> DataFrame:
 def summary_stats(w: StandIn) -> DataFrame:
     priced = w.table("lineitem").select(money("l_quantity").alias("quantity"), money("l_extendedprice").alias("price"))
     valued = w.table("events").select(money("value").alias("value"))
-    return quality.summary_stats(priced, "lineitem", ["quantity", "price"]).unionByName(
-        quality.summary_stats(valued, "events", ["value"])
-    )
+    return quality.summary_stats({"lineitem": (priced, ["quantity", "price"]), "events": (valued, ["value"])})
 
 
 def gate_findings(w: StandIn) -> DataFrame:
@@ -508,12 +506,28 @@ def gate_findings(w: StandIn) -> DataFrame:
     coverage = quality.year_coverage(
         {"national": (national, F.col("Year")), "sector": (emissions, F.col("Year")), "economy": (economy, F.col("Year"))}
     )
+    positives = [positive(c, null_ok=False) for c in ("GRDP_Billion_VND", "Population", "Estimated_Carbon_Tonnes")]
     return quality.gate_rows(
-        complete=[
-            quality.completeness(national, "national", ["Year", "CO2_MtCO2e", "Total_GHG_MtCO2e"]),
-            quality.completeness(emissions, "sector", ["Year", "Sector_Code", "Gas", "Emissions_MtCO2e"]),
-            quality.completeness(economy, "economy", ["Year", "Province_Code", "GRDP_Billion_VND", "Population"]),
-            quality.completeness(provinces, "provinces", ["Province_Code", "Province_Name", "Region", "Area_Km2"]),
+        profiled=[
+            quality.profile(
+                national,
+                "national",
+                ["Year", "CO2_MtCO2e", "Total_GHG_MtCO2e"],
+                [non_negative("CO2_MtCO2e"), non_negative("Total_GHG_MtCO2e")],
+            ),
+            quality.profile(
+                emissions,
+                "sector",
+                ["Year", "Sector_Code", "Gas", "Emissions_MtCO2e"],
+                [non_negative("Emissions_MtCO2e")],
+            ),
+            quality.profile(
+                economy,
+                "economy",
+                ["Year", "Province_Code", "GRDP_Billion_VND", "Population"],
+                [*positives, percentage("Forest_Coverage_Pct", null_ok=False)],
+            ),
+            quality.profile(provinces, "provinces", ["Province_Code", "Province_Name", "Region", "Area_Km2"]),
         ],
         consistent=[quality.year_consistency(coverage, standin.COMMON_YEARS)],
         referential=[quality.reference_counts(economy, "Province_Code", provinces, "Province_Code", 25)],
@@ -523,20 +537,6 @@ def gate_findings(w: StandIn) -> DataFrame:
             quality.uniqueness(economy, "economy", ["Year", "Province_Code"]),
             quality.uniqueness(provinces, "provinces", ["Province_Code"]),
         ],
-        valid=[
-            quality.validity(national, "national", [non_negative("CO2_MtCO2e"), non_negative("Total_GHG_MtCO2e")]),
-            quality.validity(emissions, "sector", [non_negative("Emissions_MtCO2e")]),
-            quality.validity(
-                economy,
-                "economy",
-                [
-                    positive("GRDP_Billion_VND", null_ok=False),
-                    positive("Population", null_ok=False),
-                    percentage("Forest_Coverage_Pct", null_ok=False),
-                    positive("Estimated_Carbon_Tonnes", null_ok=False),
-                ],
-            ),
-        ],
         counted=[quality.row_count(provinces, "provinces", k.PROVINCE_COUNT)],
     )
 
@@ -560,7 +560,7 @@ def sector_rollup(w: StandIn) -> DataFrame:
 
 def customer_years(w: StandIn) -> DataFrame:
     return w.table("orders").groupBy("o_custkey", F.year("o_orderdate").alias("Year")).agg(
-        F.sum(money("o_totalprice")).alias("spent")
+        amount(F.sum(hundredths("o_totalprice"))).alias("spent")
     )
 
 
@@ -793,18 +793,18 @@ def measures_provincial_by_region(w: StandIn) -> DataFrame:
 
 @query
 def measures_air(w: StandIn) -> DataFrame:
-    return measures.measure(w.hourly_view, list(measures.AIR), by=["Province_Code", "Station_Type"])
+    return w.air_measures(["Province_Code", "Station_Type"])
 
 
 @query
 def measures_air_total(w: StandIn) -> DataFrame:
     """The four-table join aggregate over the whole hourly fact."""
-    return measures.measure(w.hourly_view, list(measures.AIR), by=["Region", "Time_Bucket"])
+    return w.air_measures(["Region", "Time_Bucket"])
 
 
 @query
 def provincial_narrative(w: StandIn) -> DataFrame:
-    return measures.provincial_narrative(w.provincial_view, w.hourly_view, w.provinces, target(w))
+    return measures.provincial_narrative(w.provincial_view, w.air_measures(["Province_Code"]), w.provinces, target(w))
 
 
 @query

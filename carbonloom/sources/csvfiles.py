@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import BooleanType, NumericType, StringType, StructType
 
+from ..functions.text import code_key
+
 
 def typed(cell: Column, dtype, blank=None) -> Column:
     """A text cell as ``dtype``; a blank one becomes ``blank``; a flag is true only when it is '1'."""
@@ -22,9 +24,14 @@ def apply_schema(df: DataFrame, ddl: str, blanks: dict[str, object] | None = Non
     return df.select(*(typed(F.col(f.name), f.dataType, blanks.get(f.name)).alias(f.name) for f in schema))
 
 
+def normalise_codes(df: DataFrame) -> DataFrame:
+    """Code columns in upper case and trimmed, so that they compare as under a case-blind collation."""
+    return df.withColumns({c: code_key(F.col(c)) for c in df.columns if c.endswith("_Code")})
+
+
 def read_csv(spark: SparkSession, path: str, ddl: str, blanks: dict[str, object] | None = None) -> DataFrame:
     """UTF-8 with or without BOM; columns are found by their header name."""
-    return apply_schema(spark.read.option("header", True).csv(path), ddl, blanks)
+    return normalise_codes(apply_schema(spark.read.option("header", True).csv(path), ddl, blanks))
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -66,4 +73,4 @@ def bulk_lines(spark: SparkSession, path: str, ddl: str) -> DataFrame:
 def bulk_load(spark: SparkSession, path: str, ddl: str) -> DataFrame:
     """Typed rows of a bulk file: blank numbers are 0, a value that does not fit its type fails the load."""
     numbers = {f.name: 0 for f in StructType.fromDDL(ddl) if isinstance(f.dataType, NumericType)}
-    return apply_schema(drop_short(bulk_lines(spark, path, ddl)), ddl, numbers)
+    return normalise_codes(apply_schema(drop_short(bulk_lines(spark, path, ddl)), ddl, numbers))

@@ -24,7 +24,7 @@ def readings_stream(
     lines = spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(folder)
     data = lines.where(F.ltrim(F.col("value"), F.lit("﻿")) != ",".join(names))
     split = csvfiles.split_fields(data, "value", names).drop("value")
-    return csvfiles.apply_schema(csvfiles.drop_short(split), ddl, numbers)
+    return csvfiles.normalise_codes(csvfiles.apply_schema(csvfiles.drop_short(split), ddl, numbers))
 
 
 def load_available(readings: DataFrame, path: str, checkpoint: str) -> StreamingQuery:

@@ -2,6 +2,7 @@
 
 import pytest
 
+from carbonloom.plans import measures
 from carbonloom.plans.jobs import Warehouse
 from carbonloom.streaming import hourly_feed
 from carbonloom.sources import schemas
@@ -23,7 +24,7 @@ NATIONAL = """Year,CO2_MtCO2e,CO2_Per_Capita_Tonnes,GDP_USD,Methane_MtCO2e,Renew
 SECTORS = """Year,Sector_Code,Sector_Name_EN,Sector_Name_VI,Sector_Category,Gas,Source,Emissions_MtCO2e
 2020,ENG,Energy,Năng lượng mới,Energy,All GHG,CAIT,60
 2020,TOT,Total,Tổng,Total,All GHG,CAIT,100
-2020,WST,Waste,Xử lý,Waste,All GHG,CAIT,
+2020,wst,Waste,Xử lý,Waste,All GHG,CAIT,
 2021,TOT,Total,Tổng,Total,All GHG,CAIT,110
 """
 PROVINCIAL = ("Year,Province_Code,Province_Name,GRDP_Billion_VND,Population,Industrial_Output_Billion_VND,"
@@ -39,6 +40,10 @@ HOURLY = "\n".join(
 )
 
 
+VIEWS = ("vw_dim_date", "vw_dim_time_of_day", "vw_dim_province", "vw_dim_sector", "vw_dim_station",
+         "vw_fact_national", "vw_fact_provincial", "vw_fact_hourly")
+
+
 @pytest.fixture
 def warehouse(spark, tmp_path):
     w = Warehouse(spark, str(tmp_path / "dwh"))
@@ -59,7 +64,7 @@ def test_full_load_twice(warehouse, tmp_path):
         w.load_yearly()
         w.load_stations()
         w.load_hourly_fact()
-        snapshots.append({name: as_dicts(df, df.columns[0]) for name, df in w.views().items()})
+        snapshots.append({name: as_dicts(w.view(name), w.view(name).columns[0]) for name in VIEWS})
     assert snapshots[0] == snapshots[1]
     views = snapshots[0]
     assert len(views["vw_dim_date"]) == 81 and len(views["vw_dim_time_of_day"]) == 24
@@ -88,6 +93,10 @@ def test_full_load_twice(warehouse, tmp_path):
     assert len(hourly) == 8 and len({r["Monitoring_ID"] for r in hourly}) == 8
     assert "Month" not in hourly[0] and sum(r["Is_Exceeding_QCVN"] for r in hourly) == 4
 
+    by = ["Region", "Station_Type", "Time_Bucket"]
+    over_view = measures.measure(w.view("vw_fact_hourly"), list(measures.AIR), by)
+    assert as_dicts(w.air_measures(by), *by) == as_dicts(over_view, *by) and over_view.count() == 4
+
     lost = by_key(w.orphans(), "lookup")
     assert lost["province"]["rows_lost"] == 1 and lost["sector"]["rows_lost"] == 0
     audit = as_dicts(w.audit())

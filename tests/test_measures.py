@@ -155,7 +155,8 @@ def test_air(hourly):
 
 
 def test_narrative(provincial, hourly, places):
-    found = by_key(measures.provincial_narrative(provincial, hourly, places, F.lit(0.0001)), "Province_Code")
+    air_hours = measures.measure(hourly, ["Exceeding_QCVN_Hours"], ["Province_Code"])
+    found = by_key(measures.provincial_narrative(provincial, air_hours, places, F.lit(0.0001)), "Province_Code")
     lines = found["01"]["Narrative"].split("\n")
     assert lines[0] == "📌 DETAILED PROVINCIAL ANALYSIS: P01"
     assert lines[1] == "• Economic Scale: GRDP reached 400.0 Billion VND; Total GHG Emissions: 0.00 Million Tonnes CO2e."

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from carbonloom.operators import constraints, quality
-from carbonloom.operators.quantiles import exact_medians
+from carbonloom.operators.quantiles import exact_medians, value_pairs
 from conftest import by_key
 
 
@@ -81,20 +81,19 @@ def test_exact_medians(spark, levels):
         "holes": [None if i % 2 else float(i) for i in range(501)],
     }
     df = spark.createDataFrame(list(zip(*columns.values())), ", ".join(f"{c} double" for c in columns))
-    found = {r["column"]: r["median"] for r in exact_medians(df, list(columns), levels).collect()}
+    found = {r["column"]: r["median"] for r in exact_medians(value_pairs(df, list(columns)), levels).collect()}
     for name, values in columns.items():
         assert found[name] == statistics.median(v for v in values if v is not None)
-    even = {r["column"]: r["median"] for r in exact_medians(df.limit(500), ["uniform"], levels).collect()}
-    assert "uniform" in even
 
 
 def test_even_count_averages_the_middle(rows):
     df = rows("v int", (1,), (2,), (10,), (20,))
-    assert exact_medians(df, ["v"]).first()["median"] == 6.0
+    assert exact_medians(value_pairs(df, ["v"])).first()["median"] == 6.0
 
 
 def test_summary(rows):
-    found = quality.summary_stats(rows("v double, w double", (1.0, None), (3.0, None), (None, None)), "d", ["v", "w"])
+    df = rows("v double, w double", (1.0, None), (3.0, None), (None, None))
+    found = quality.summary_stats({"d": (df, ["v", "w"])})
     by = by_key(found, "column")
     assert by["v"] == {"dataset": "d", "column": "v", "min": 1.0, "max": 3.0, "mean": 2.0, "median": 2.0}
     assert by["w"]["median"] is None and by["w"]["mean"] is None
@@ -103,11 +102,14 @@ def test_summary(rows):
 def test_gate(rows):
     df = rows("a int", (1,), (1,))
     findings = quality.gate_rows(
-        complete=[quality.completeness(df, "d", ["a"])],
+        profiled=[quality.profile(df, "d", ["a"], [constraints.positive("a"), constraints.Rule("a < 1", "a < 1")])],
         unique=[quality.uniqueness(df, "d", ["a"])],
         counted=[quality.row_count(df, "d", 2)],
     )
     found = by_key(quality.gate(findings), "check")
     assert found["completeness"]["passed"] and found["row_count"]["passed"]
     assert not found["uniqueness"]["passed"] and not found["overall"]["passed"]
-    assert found["overall"]["findings"] == 3 and found["overall"]["failed"] == 1
+    assert found["validity"]["findings"] == 2 and found["validity"]["failed"] == 1
+    assert found["overall"]["findings"] == 5 and found["overall"]["failed"] == 2
+    nothing = by_key(quality.gate(quality.profile(df.where("false"), "d", ["a"])), "check")
+    assert not nothing["completeness"]["passed"]
