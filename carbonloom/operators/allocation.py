@@ -7,6 +7,22 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .. import constants as k
 
 
+CATALOG_NAMES = {
+    "code": "Province_Code",
+    "name": "Province_Name",
+    "ascii": "Province_Name_Ascii",
+    "region": "Region",
+    "zone": "Economic_Zone",
+    "area": "Area_Km2",
+    "hub": "Is_Industrial_Hub",
+}
+
+
+def catalog_dimension(catalog: DataFrame) -> DataFrame:
+    """The dimension part of an allocation catalog: its own column names, without the share."""
+    return catalog.withColumnsRenamed(CATALOG_NAMES).drop("grdp_share")
+
+
 def with_years(catalog: DataFrame, first: int, last: int, year: str = "Year") -> DataFrame:
     """Every catalog row once per year, without a join."""
     return catalog.withColumn(year, F.explode(F.sequence(F.lit(first), F.lit(last))))

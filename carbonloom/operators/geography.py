@@ -41,6 +41,14 @@ def group_features(matched: DataFrame, key: str, ring_sets: str, order: str) ->
     return pieces.select(key, merged.alias("ring_sets")).withColumn("type", geometry_type(F.col("ring_sets")))
 
 
+def feature_types(matched: DataFrame, key: str, ring_sets: str) -> DataFrame:
+    """(key, pieces, rings, type) without bringing the geometry of a place together."""
+    counted = matched.groupBy(key).agg(
+        F.count(F.lit(1)).alias("pieces"), F.sum(F.size(ring_sets)).alias("rings")
+    )
+    return counted.withColumn("type", F.when(F.col("rings") == 1, "Polygon").otherwise(F.lit("MultiPolygon")))
+
+
 def enrich_features(features: DataFrame, dim: DataFrame, code: str, properties: list[str]) -> DataFrame:
     """Features with their attributes in one ``properties`` struct, in code order."""
     attributes = dim.select(code, F.struct(F.col(code).alias("id"), code, *properties).alias("properties"))

@@ -50,6 +50,11 @@ def keep_first(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataF
     )
 
 
+def nonempty_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows with at least one value in ``columns``."""
+    return df.dropna(how="all", subset=list(columns))
+
+
 def pivot_first(
     df: DataFrame, key: str, names: str, value: str, columns: Sequence[str], order: Sequence[str]
 ) -> DataFrame:
@@ -63,7 +68,7 @@ def pivot_first(
         return F.min_by(F.when(wanted, F.col(value)), F.when(wanted, F.struct(*order))).alias(name)
 
     wide = df.where(F.col(names).isin(*columns)).groupBy(key).agg(*(first(c) for c in columns))
-    return wide.dropna(how="all", subset=list(columns))
+    return nonempty_rows(wide, columns)
 
 
 def running_sums(

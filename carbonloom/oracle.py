@@ -667,6 +667,16 @@ sql("text_keys", (), f"""
 SELECT doc_id, length(key) AS key_chars, md5(key) AS key_md5
 FROM (SELECT doc_id, {strip_marks('text')} AS key FROM documents)""")
 
+sql("feature_types", ("provinces",), """
+SELECT Province_Code, COUNT(*) AS pieces, COUNT(*) AS rings,
+  CASE WHEN COUNT(*) = 1 THEN 'Polygon' ELSE 'MultiPolygon' END AS type
+FROM embeddings JOIN provinces ON Province_Name = 'NATION_' || (label * 2) GROUP BY 1""")
+
+sql("nonempty_rows", (), """
+SELECT o_custkey, MAX(o_totalprice) FILTER (WHERE o_orderpriority = '1-URGENT') AS urgent,
+  MAX(o_totalprice) FILTER (WHERE o_orderpriority = '5-LOW') AS low
+FROM orders GROUP BY 1 HAVING bool_or(o_orderpriority IN ('1-URGENT', '5-LOW'))""")
+
 cte("points")("""
 SELECT vec_id, label, i AS pos, CAST(floor(CAST(embedding[2 * i + 1] AS DOUBLE) * 10000) AS BIGINT) AS dx,
   CAST(floor(CAST(embedding[2 * i + 2] AS DOUBLE) * 10000) AS BIGINT) AS dy

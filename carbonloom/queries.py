@@ -650,6 +650,30 @@ def text_keys(w: StandIn) -> DataFrame:
     return w.table("documents").select("doc_id", F.length(key).cast("long").alias("key_chars"), F.md5(key).alias("key_md5"))
 
 
+@query
+def feature_types(w: StandIn) -> DataFrame:
+    """Embeddings as pieces of places, matched by a differently spelt name and typed per place."""
+    label = F.col("label")
+    pieces = w.table("embeddings").select(
+        F.concat(F.lit("Ñation–"), (label * 2).cast("string"), F.lit("\t")).alias("shape_name"),
+        F.when(F.size("embedding") > 0, F.array(F.array("vec_id"))).alias("ring_sets"),
+    )
+    matched = geography.match_names(pieces, "shape_name", w.provinces, "Province_Name")
+    return geography.feature_types(
+        geography.require_match(matched, "shape_name", "Province_Code"), "Province_Code", "ring_sets"
+    )
+
+
+@query
+def nonempty_rows(w: StandIn) -> DataFrame:
+    """Largest urgent and low order per customer, without customers that have neither."""
+    wide = w.table("orders").groupBy("o_custkey").agg(
+        F.max(F.when(F.col("o_orderpriority") == "1-URGENT", F.col("o_totalprice"))).alias("urgent"),
+        F.max(F.when(F.col("o_orderpriority") == "5-LOW", F.col("o_totalprice"))).alias("low"),
+    )
+    return series.nonempty_rows(wide, ["urgent", "low"])
+
+
 def vector_arcs(w: StandIn) -> DataFrame:
     """Embeddings as delta-coded arcs: pairs of components are integer steps."""
     steps = F.transform("embedding", lambda x: F.floor(x.cast("double") * 10000))

@@ -17,7 +17,7 @@ def local_session(name: str = "carbonloom", cpus: str | int | None = None) -> Sp
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "8g"))
-        .config("spark.sql.dataFrameQueryContext.enabled", "false")  # building plans takes a third of the calls
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")  # building plans takes fewer calls
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .getOrCreate()

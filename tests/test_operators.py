@@ -207,6 +207,11 @@ def test_allocation(rows):
     assert sum(r.weight for r in weights.collect()) == pytest.approx(1.0)
 
 
+def test_catalog_dimension(rows):
+    catalog = rows("code string, name string, hub int, grdp_share double", ("01", "Hà Nội", 1, 0.1))
+    assert allocation.catalog_dimension(catalog).columns == ["Province_Code", "Province_Name", "Is_Industrial_Hub"]
+
+
 def test_population(rows):
     places = rows("code string, area double, y int", ("01", 3359.0, 2015), ("01", 3359.0, 2024), ("26", 1236.0, 2016))
     base = rows("code string, base_thousands int", ("01", 8400))
