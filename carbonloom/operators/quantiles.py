@@ -1,4 +1,4 @@
-"""Exact medians without holding a column's values in one task."""
+"""Exact medians without shuffling or holding a column's values."""
 
 from __future__ import annotations
 
@@ -20,15 +20,14 @@ def value_pairs(df: DataFrame, columns: Sequence[str], prefix: str = "") -> Data
 def exact_medians(pairs: DataFrame, levels: int = 2) -> DataFrame:
     """(column, median) over (column, value) rows, NULLs skipped, the two middle values averaged.
 
-    Values are counted first. Then the middle ranks are narrowed down by histograms of at most
-    ``BUCKETS`` buckets over the range still in question; only the values of the last bucket are
-    ordered. More ``levels`` suit wider ranges; the result is exact for any number of them.
+    Each level is one pass that counts the rows of the range in question in ``BUCKETS`` buckets, so
+    only counts are shuffled, and goes on with the bucket that holds a middle rank. The values of
+    the last range alone are brought together, counted and ordered. More ``levels`` suit wider
+    ranges; the result is exact for any number of them.
     """
-    counts = (
-        pairs.where(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-    )
-    totals = counts.groupBy("column").agg(
-        F.sum("n").alias("rows"), F.min("value").alias("lo"), F.max("value").alias("hi")
+    values = pairs.where(F.col("value").isNotNull())
+    totals = values.groupBy("column").agg(
+        F.count(F.lit(1)).alias("rows"), F.min("value").alias("lo"), F.max("value").alias("hi")
     )
     middle = F.array(
         *(F.struct(F.lit(half).alias("half"), rank.cast("long").alias("rank"))
@@ -36,28 +35,35 @@ def exact_medians(pairs: DataFrame, levels: int = 2) -> DataFrame:
     )
     targets = totals.select("column", "lo", "hi", F.inline(middle))
 
-    running = Window.partitionBy("column", "half").rowsBetween(Window.unboundedPreceding, 0)
+    span = ["column", "lo", "hi"]
+    upto = Window.partitionBy(*span).rowsBetween(Window.unboundedPreceding, 0)
     hit = (F.col("upto") - F.col("n") < F.col("rank")) & (F.col("rank") <= F.col("upto"))
 
-    def candidates(found: DataFrame) -> DataFrame:
-        # two rows per column: small by construction
-        return counts.join(F.broadcast(found), "column").where(F.col("value").between(F.col("lo"), F.col("hi")))
+    def in_range(found: DataFrame) -> DataFrame:
+        # at most two ranges per column: small by construction
+        ranges = F.broadcast(found.select(*span).distinct())
+        return values.join(ranges, "column").where(F.col("value").between(F.col("lo"), F.col("hi")))
 
     for _ in range(levels):
         width = F.col("hi") - F.col("lo")
         bucket = F.coalesce(F.floor(F.try_divide((F.col("value") - F.col("lo")) * BUCKETS, width)), F.lit(0))
-        targets = (
-            candidates(targets)
-            .groupBy("column", "half", "rank", bucket.alias("bucket"))
-            .agg(F.sum("n").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"))
-            .withColumn("upto", F.sum("n").over(running.orderBy("bucket")))
-            .where(hit)
-            .select("column", "half", (F.col("rank") - F.col("upto") + F.col("n")).alias("rank"), "lo", "hi")
+        counts = (
+            in_range(targets)
+            .groupBy(*span, bucket.alias("bucket"))
+            .agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
+            .withColumn("upto", F.sum("n").over(upto.orderBy("bucket")))
         )
-    return (
-        candidates(targets)
-        .withColumn("upto", F.sum("n").over(running.orderBy("value")))
-        .where(hit)
-        .groupBy("column")
-        .agg(F.avg("value").alias("median"))
+        targets = counts.join(F.broadcast(targets), span).where(hit).select(
+            "column",
+            F.col("low").alias("lo"),
+            F.col("high").alias("hi"),
+            "half",
+            (F.col("rank") - F.col("upto") + F.col("n")).alias("rank"),
+        )
+    counts = (
+        in_range(targets)
+        .groupBy(*span, "value")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("upto", F.sum("n").over(upto.orderBy("value")))
     )
+    return counts.join(F.broadcast(targets), span).where(hit).groupBy("column").agg(F.avg("value").alias("median"))

@@ -495,9 +495,13 @@ def dq_uniqueness(w: StandIn) -> DataFrame:
 
 @query
 def summary_stats(w: StandIn) -> DataFrame:
-    priced = w.table("lineitem").select(money("l_quantity").alias("quantity"), money("l_extendedprice").alias("price"))
-    valued = w.table("events").select(money("value").alias("value"))
-    return quality.summary_stats({"lineitem": (priced, ["quantity", "price"]), "events": (valued, ["value"])})
+    """Taken in hundredths, which are whole numbers, and shown in units."""
+    priced = w.table("lineitem").select(
+        hundredths("l_quantity").alias("quantity"), hundredths("l_extendedprice").alias("price")
+    )
+    valued = w.table("events").select(hundredths("value").alias("value"))
+    found = quality.summary_stats({"lineitem": (priced, ["quantity", "price"]), "events": (valued, ["value"])})
+    return found.withColumns({c: F.col(c) / 100 for c in ("min", "max", "mean", "median")})
 
 
 def gate_findings(w: StandIn) -> DataFrame:
