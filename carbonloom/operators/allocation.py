@@ -2,11 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .. import constants as k
 
 
+def national_series(spark: SparkSession, grdp=k.NATIONAL_GRDP, ghg=k.NATIONAL_GHG) -> DataFrame:
+    """(Year, GRDP, GHG): the fixed national totals."""
+    rows = [(year, float(grdp[year]), float(ghg[year])) for year in sorted(set(grdp) & set(ghg))]
+    return spark.createDataFrame(rows, "Year int, GRDP double, GHG double")
+
+
+def base_population(spark: SparkSession, thousands=k.BASE_POPULATION_THOUSANDS) -> DataFrame:
+    """(Province_Code, base_thousands): the fixed base populations."""
+    return spark.createDataFrame(sorted(thousands.items()), "Province_Code string, base_thousands int")
+
+
 CATALOG_NAMES = {
     "code": "Province_Code",
     "name": "Province_Name",

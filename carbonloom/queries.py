@@ -680,11 +680,12 @@ def nonempty_rows(w: StandIn) -> DataFrame:
 
 def vector_arcs(w: StandIn) -> DataFrame:
     """Embeddings as delta-coded arcs: pairs of components are integer steps."""
-    steps = F.transform("embedding", lambda x: F.floor(x.cast("double") * 10000))
-    pairs = F.transform(
-        F.sequence(F.lit(0), F.floor(F.size("embedding") / 2).cast("int") - 1),
-        lambda i: F.array(F.get(steps, i * 2), F.get(steps, i * 2 + 1)),
-    )
+
+    def step(i):
+        return F.floor(F.get("embedding", i).cast("double") * 10000)
+
+    first = F.sequence(F.lit(0), F.floor(F.size("embedding") / 2).cast("int") - 1)
+    pairs = F.transform(first, lambda i: F.array(step(i * 2), step(i * 2 + 1)))
     return w.table("embeddings").select("vec_id", "label", pairs.alias("deltas"))
 
 

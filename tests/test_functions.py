@@ -136,8 +136,8 @@ def test_labels(spark, apply):
 
 def test_name_keys(apply):
     names = ["Đà Nẵng", "Hà Nội\t", "Bà Rịa–Vũng Tàu", "Bà Rịa - Vũng Tàu", "TP. Hồ Chí Minh", "Thừa Thiên Huế",
-             "plain", "Ñandú Ǻ", "", None]
+             "plain", "Ñandú Ǻ", "a\x00b_c", "日本 Tokyo–2", "", None]
     assert apply(name_key, names, "string") == [
-        "danang", "hanoi", "bariavungtau", "bariavungtau", "hochiminh", "thuathienhue", "plain", "nandua", "", None
+        "danang", "hanoi", "bariavungtau", "bariavungtau", "hochiminh", "thuathienhue", "plain", "nandua", "abc", "tokyo2", "", None
     ]
     assert apply(code_key, [" eng ", "ENG"], "string") == ["ENG", "ENG"]

@@ -192,6 +192,20 @@ def test_share_within(rows):
     assert found == {("a", "x"): 25.0, ("a", "y"): 75.0, ("b", "x"): None, (None, "x"): 100.0}
 
 
+def test_fixed_series(spark, rows):
+    catalog = rows("Province_Code string, share double, hub boolean", ("01", 0.126, True), ("26", 0.015, True))
+    years = allocation.with_years(catalog, 2015, 2024)
+    spread = allocation.allocate_by_share(years, allocation.national_series(spark), "share", F.col("hub"))
+    found = {(r.Year, r.Province_Code): r for r in spread.collect()}
+    assert len(found) == 20
+    assert found[(2024, "01")].GRDP_Billion_VND == 1383480.0 and found[(2024, "01")].Carbon_Mt == 117.795
+    people = allocation.project_population(
+        years, allocation.base_population(spark), "Province_Code", F.lit(1236.0), F.col("Year")
+    )
+    by = {(r.Year, r.Province_Code): r.Population for r in people.collect()}
+    assert by[(2015, "01")] == 8400000 and by[(2015, "26")] == 1109000
+
+
 def test_allocation(rows):
     catalog = rows("code string, share double, hub boolean", ("01", 0.126, True), ("26", 0.015, False))
     years = allocation.with_years(catalog, 2015, 2016)
