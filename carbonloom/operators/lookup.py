@@ -19,6 +19,14 @@ def is_small(dim: DataFrame, rows: int = SMALL_ROWS) -> bool:
     return dim.limit(rows + 1).count() <= rows
 
 
+def sized(dim: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
+    """The dimension, marked for broadcast when a count shows that it is small.
+
+    For derived dimensions, whose size Spark can only guess; published tables have a known size.
+    """
+    return F.broadcast(dim) if is_small(dim, rows) else dim
+
+
 def sized_lookup(
     fact: DataFrame, dim: DataFrame, on: str, row_id: Column, how: str = "inner", small: bool | None = None
 ) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from .. import constants as k
 from ..operators.generators import dim_date, dim_time_of_day
 from ..operators.keys import dense_keys
-from ..operators.lookup import is_small
+from ..operators.lookup import is_small, sized
 from ..operators.series import pivot_first
 from . import facts, measures, views
 
@@ -97,7 +97,7 @@ class StandIn:
     def provinces(self) -> DataFrame:
         nation = self.table("nation")
         key = F.col("n_nationkey")
-        return nation.join(self.table("region"), nation.n_regionkey == F.col("r_regionkey")).select(
+        rows = nation.join(self.table("region"), nation.n_regionkey == F.col("r_regionkey")).select(
             (key + 1).cast("int").alias("Province_Key"),
             province_code(key).alias("Province_Code"),
             F.col("n_name").alias("Province_Name"),
@@ -107,6 +107,7 @@ class StandIn:
             (F.lit(1000) + key * 10).cast("decimal(10,2)").alias("Area_Km2"),
             (key % 2 == 0).alias("Is_Industrial_Hub"),
         )
+        return sized(rows)
 
     @cached_property
     def sector_codes(self) -> DataFrame:
