@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from .. import constants as k
 from ..operators import quality
@@ -108,11 +108,11 @@ class Warehouse:
         self.stage(name, csvfiles.read_csv(self.spark, path, ddl, blanks), path.rsplit("/", 1)[-1])
 
     def stage_hourly(self, path: str) -> dict[str, int]:
-        """Bulk-loads readings; returns the kept and dropped line counts."""
-        rows = csvfiles.bulk_load(self.spark, path, schemas.HOURLY)
-        rows.write.mode("overwrite").parquet(self.path("staging/hourly"))
-        counts = csvfiles.short_lines(csvfiles.bulk_lines(self.spark, path, schemas.HOURLY)).first()
-        return counts.asDict()
+        """Bulk-loads readings; returns the kept and dropped line counts, taken in the same pass."""
+        seen = Observation()
+        split = csvfiles.bulk_lines(self.spark, path, schemas.HOURLY).observe(seen, *csvfiles.line_counts())
+        csvfiles.typed_rows(split, schemas.HOURLY).write.mode("overwrite").parquet(self.path("staging/hourly"))
+        return seen.get
 
     # --- dimensions ----------------------------------------------------------------
     def seed_dimensions(self) -> None:

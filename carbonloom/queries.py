@@ -284,8 +284,7 @@ def bulk_lines_split(w: StandIn) -> DataFrame:
     lines = w.table("documents").select("lang", F.explode(F.split("text", "\n")).alias("line"))
     split = csvfiles.split_fields(lines, "line", ["a", "b", "c"])
     return split.groupBy("lang").agg(
-        F.count_if("enough_fields").alias("kept"),
-        F.count_if(~F.col("enough_fields")).alias("dropped"),
+        *csvfiles.line_counts(),
         F.sum(F.when(F.col("enough_fields"), F.length("b") + F.length("c"))).alias("field_chars"),
     )
 

@@ -56,21 +56,27 @@ def drop_short(split: DataFrame) -> DataFrame:
     return split.where("enough_fields").drop("enough_fields")
 
 
-def short_lines(split: DataFrame) -> DataFrame:
-    """(kept, dropped) line counts, for the audit trail."""
-    return split.agg(
-        F.count_if("enough_fields").alias("kept"), F.count_if(~F.col("enough_fields")).alias("dropped")
-    )
+def line_counts() -> list[Column]:
+    """(kept, dropped) line counts as aggregates over split lines, for the audit trail."""
+    return [F.count_if("enough_fields").alias("kept"), F.count_if(~F.col("enough_fields")).alias("dropped")]
 
 
 def bulk_lines(spark: SparkSession, path: str, ddl: str) -> DataFrame:
     """Split lines of a bulk file (header lines left out), still with ``enough_fields``."""
+    return split_bulk(spark.read.text(path), ddl)
+
+
+def split_bulk(lines: DataFrame, ddl: str) -> DataFrame:
     names = StructType.fromDDL(ddl).names
-    lines = spark.read.text(path).where(F.ltrim(F.col("value"), F.lit("﻿")) != ",".join(names))
-    return split_fields(lines, "value", names).drop("value")
+    data = lines.where(F.ltrim(F.col("value"), F.lit("\ufeff")) != ",".join(names))
+    return split_fields(data, "value", names).drop("value")
 
 
-def bulk_load(spark: SparkSession, path: str, ddl: str) -> DataFrame:
-    """Typed rows of a bulk file: blank numbers are 0, a value that does not fit its type fails the load."""
+def typed_rows(split: DataFrame, ddl: str) -> DataFrame:
+    """Typed rows of split lines: blank numbers are 0, a value that does not fit its type fails the load."""
     numbers = {f.name: 0 for f in StructType.fromDDL(ddl) if isinstance(f.dataType, NumericType)}
-    return normalise_codes(apply_schema(drop_short(bulk_lines(spark, path, ddl)), ddl, numbers))
+    return normalise_codes(apply_schema(drop_short(split), ddl, numbers))
+
+
+def bulk_load(spark: SparkSession, path: str, ddl: str) -> DataFrame:
+    return typed_rows(bulk_lines(spark, path, ddl), ddl)

@@ -6,9 +6,8 @@ where it was. The file sink commits a batch as a whole.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import NumericType, StructType
 
 from ..sources import csvfiles, schemas
 
@@ -19,12 +18,8 @@ def readings_stream(
     spark: SparkSession, folder: str, ddl: str = schemas.HOURLY, files_per_batch: int = FILES_PER_BATCH
 ) -> DataFrame:
     """Typed readings from bulk files as they arrive; short lines and headers are left out."""
-    names = StructType.fromDDL(ddl).names
-    numbers = {f.name: 0 for f in StructType.fromDDL(ddl) if isinstance(f.dataType, NumericType)}
     lines = spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(folder)
-    data = lines.where(F.ltrim(F.col("value"), F.lit("﻿")) != ",".join(names))
-    split = csvfiles.split_fields(data, "value", names).drop("value")
-    return csvfiles.normalise_codes(csvfiles.apply_schema(csvfiles.drop_short(split), ddl, numbers))
+    return csvfiles.typed_rows(csvfiles.split_bulk(lines, ddl), ddl)
 
 
 def load_available(readings: DataFrame, path: str, checkpoint: str) -> StreamingQuery:

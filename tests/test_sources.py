@@ -58,7 +58,7 @@ def test_bulk_load_drops_short_lines_and_keeps_long_ones(spark, tmp_path):
     rows = as_dicts(csvfiles.bulk_load(spark, path, schemas.HOURLY), "Station_Code")
     assert [r["Station_Code"] for r in rows] == ["ST-01-01", "ST-01-02"]
     assert rows[0]["CO2_ppm"] == Decimal("500.10") and rows[0]["Is_Exceeding_QCVN"] is False
-    counts = csvfiles.short_lines(csvfiles.bulk_lines(spark, path, schemas.HOURLY)).first()
+    counts = csvfiles.bulk_lines(spark, path, schemas.HOURLY).agg(*csvfiles.line_counts()).first()
     assert (counts.kept, counts.dropped) == (2, 1)
     bad = write(tmp_path / "bad.csv", LINE.replace("500.10", "abc") + "\n")
     with pytest.raises(Exception):
