@@ -15,8 +15,9 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import duckdb  # noqa: E402
 
-from carbonloom.oracle import ORACLES  # noqa: E402
-from carbonloom.queries import QUERIES  # noqa: E402
+import __spark_entry__ as entry  # noqa: E402
+
+QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 
 TYPES = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN", "date": "DATE"}
 
