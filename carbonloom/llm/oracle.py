@@ -24,8 +24,8 @@ FROM b LEFT JOIN fits ON b.page_id = fits.page_id
     "op10_quality_cascade": r"""
 WITH w AS (
   SELECT doc_id, coalesce(text, '') AS text,
-    list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t\n\x0B\f\r]+'), x -> x <> '') AS words,
-    list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^ \t\n\x0B\f\r]')) AS lines
+    list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t\n\x0B\f\r]+'), lambda x: x <> '') AS words,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^ \t\n\x0B\f\r]')) AS lines
   FROM documents
 ), grams AS (
   SELECT doc_id, i, array_to_string(words[i:i + 7], ' ') AS gram

@@ -51,7 +51,7 @@ def _shifted(array: Column, by: int, size: Column) -> Column:
 
 def _pairs(array: Column, by: int, size: Column) -> Column:
     """Hash of every element and the one ``by`` places on; one array of size - by."""
-    return F.zip_with(F.slice(array, F.lit(1), F.greatest(size - by, F.lit(0))), _shifted(array, by, size), F.xxhash64)
+    return F.zip_with(F.slice(array, F.lit(1), F.greatest(size - by, F.lit(0))), _shifted(array, by, size), lambda a, b: F.xxhash64(a, b))
 
 
 def with_repeats(df: DataFrame, words: str, out: str) -> DataFrame:
@@ -62,7 +62,7 @@ def with_repeats(df: DataFrame, words: str, out: str) -> DataFrame:
     of the repeated ones is the sum of the gaps between their places, eight at most, plus the last eight.
     """
     kept = df.columns
-    df = df.withColumn("_n", F.size(words)).withColumn("_1", F.transform(words, F.xxhash64))
+    df = df.withColumn("_n", F.size(words)).withColumn("_1", F.transform(words, lambda word: F.xxhash64(word)))
     df = df.withColumn("_2", F.when(F.col("_n") > WINDOW, _pairs(F.col("_1"), 1, F.col("_n"))))
     df = df.withColumn("_4", _pairs(F.col("_2"), 2, F.col("_n") - 1))
     df = df.withColumn("_4", F.when(F.size(F.array_distinct("_4")) < F.size("_4"), F.col("_4")))
