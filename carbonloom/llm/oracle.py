@@ -20,6 +20,35 @@ WITH a AS (
 )
 SELECT b.page_id, b.host, b.path, fits.rule, coalesce(fits.v, 'allow') AS verdict
 FROM b LEFT JOIN fits ON b.page_id = fits.page_id
+""",
+    "op9_leak_scan": r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM documents
+), b AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM benchmark
+), windows AS (
+  SELECT DISTINCT item, len(part) AS size, array_to_string(part, ' ') AS gram FROM (
+    SELECT item, words[i:i + 9] AS part
+    FROM (SELECT item, words, unnest(range(1, greatest(len(words) - 9, 1) + 1)) AS i FROM b WHERE len(words) > 0)
+  )
+), grams AS (
+  SELECT doc_id, i, size, array_to_string(words[i:i + size - 1], ' ') AS gram
+  FROM (SELECT doc_id, words, size, unnest(range(1, len(words) - size + 2)) AS i
+        FROM d CROSS JOIN (SELECT DISTINCT size FROM windows) WHERE len(words) >= size)
+), found AS (
+  SELECT doc_id, item, i, g.size FROM grams g JOIN windows w ON g.size = w.size AND g.gram = w.gram
+), hit AS (
+  SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + size)) AS p FROM found) GROUP BY doc_id
+), items AS (
+  SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS names
+  FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(d.words) AS BIGINT) AS n_words, CAST(coalesce(hit.n, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(items.n, 0) AS BIGINT) AS n_items, sha256(coalesce(items.names, '')) AS items_sha256,
+  coalesce(hit.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit ON hit.doc_id = d.doc_id LEFT JOIN items ON items.doc_id = d.doc_id
 """,
     "op10_quality_cascade": r"""
 WITH w AS (

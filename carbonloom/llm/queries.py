@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from carbonloom.llm import quality_cascade, url_rules
+from carbonloom.llm import leak_scan, quality_cascade, toxic_neighbours, url_rules
 
 URL_RULES = (
     url_rules.UrlRule("allow", "com/"),
@@ -19,15 +20,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def remainder(by: int) -> Column:
+    """crc32 of the doc_id as text, modulo ``by``."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(by))
+
+
+def op1_toxic_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxic_neighbours.fit(docs, labels.where(remainder(5) != 0))
+    found = toxic_neighbours.score(docs, model)
+    return found.select("doc_id", (remainder(5) == 0).alias("held_out"), "score", "predicted", "evidence")
+
+
 def op2_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op9_leak_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leak_scan.digest(leak_scan.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+
+
 def op10_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_cascade.verdicts(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op1_toxic_neighbours": op1_toxic_neighbours,
     "op2_url_rules": op2_url_rules,
+    "op9_leak_scan": op9_leak_scan,
     "op10_quality_cascade": op10_quality_cascade,
 }
