@@ -1,6 +1,7 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
-Words are runs of letters, digits and characters beyond ASCII, A-Z lower-cased. The index holds at most
+Words are runs of letters, digits and characters beyond ASCII, A-Z lower-cased. Terms are words and, for
+inflected and compounded forms, the first ``PREFIXES`` bytes of longer words. The index holds at most
 ``MAX_EXAMPLES`` labelled texts (distinct ones, in order of a hash of the text) over at most ``MAX_TERMS``
 terms, those whose presence goes with the label (chi-square of ``MIN_CHI2`` or more). Inverse document
 frequencies count every row of the scored table. Both bounds make the index small enough to broadcast
@@ -33,6 +34,7 @@ from pyspark.sql import functions as F
 MAX_EXAMPLES = 6_000
 MAX_TERMS = 2_048
 MIN_CHI2 = 30.0
+PREFIXES = (4, 6)
 BLOCK = 64
 K = 15
 
@@ -45,9 +47,42 @@ def tokens(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").translate(_TABLE).split()
 
 
-def vector(text: str | None, terms: dict[bytes, int], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def terms_of(word: bytes) -> list[bytes]:
+    return [word, *(b"^" + word[:n] for n in PREFIXES if len(word) > n)]
+
+
+class Vocabulary:
+    """Places of the indexed terms; remembers the places of the words it has met, ``SEEN`` at most."""
+
+    SEEN = 500_000
+
+    def __init__(self, terms: list[bytes]):
+        self.terms = {t: i for i, t in enumerate(terms)}
+        self.seen: dict[bytes, tuple[int, ...]] = {}
+
+    def __reduce__(self):
+        return (Vocabulary, (list(self.terms),))
+
+    def __len__(self) -> int:
+        return len(self.terms)
+
+    def counts(self, text: str | None) -> Counter:
+        out: Counter = Counter()
+        seen = self.seen
+        for word, n in Counter(tokens(text)).items():
+            places = seen.get(word)
+            if places is None:
+                if len(seen) >= self.SEEN:
+                    seen.clear()
+                places = seen[word] = tuple(self.terms[t] for t in terms_of(word) if t in self.terms)
+            for p in places:
+                out[p] += n
+        return out
+
+
+def vector(text: str | None, terms: Vocabulary, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Indexed terms of a text and their TF-IDF weights, (1 + ln tf) * idf, of length 1."""
-    counts = Counter(terms[t] for t in tokens(text) if t in terms)
+    counts = terms.counts(text)
     if not counts:
         return np.zeros(0, np.int64), np.zeros(0)
     places = np.array(sorted(counts), np.int64)
@@ -104,7 +139,7 @@ class BlockMaxIndex:
 
 @dataclass
 class Model:
-    terms: dict[bytes, int]
+    terms: Vocabulary
     idf: np.ndarray
     index: BlockMaxIndex
     labels: np.ndarray
@@ -198,7 +233,7 @@ def fit(
             for frame in frames:
                 counts: dict[bytes, list[int]] = {}
                 for text, label in zip(frame["text"], frame["label"]):
-                    for word in set(tokens(text)):
+                    for word in {t for w in set(tokens(text)) for t in terms_of(w)}:
                         counts.setdefault(word, [0, 0])[int(label)] += 1
                 yield pd.DataFrame({"word": list(counts), "n0": [c[0] for c in counts.values()], "n1": [c[1] for c in counts.values()]})
 
@@ -210,20 +245,20 @@ def fit(
         chi2 = F.lit(float(n)) * F.pow(a * d - b * c, F.lit(2.0)) / ((a + b) * (c + d) * (a + c) * (b + d))
         chosen = words.withColumn("chi2", chi2).where(F.col("chi2") >= min_chi2)
         chosen = chosen.orderBy(F.col("chi2").desc(), "word").limit(max_terms).select("word").collect() if n else []
-        terms = {bytes(r.word): i for i, r in enumerate(chosen)}
+        terms = Vocabulary([bytes(r.word) for r in chosen])
 
         def frequencies(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             counts = np.zeros(len(terms) + 1, np.int64)
             for frame in frames:
                 for text in frame["text"]:
-                    counts[[terms[t] for t in set(tokens(text)) & terms.keys()]] += 1
+                    counts[list(terms.counts(text))] += 1
                 counts[-1] += len(frame)
             yield pd.DataFrame({"term": np.arange(len(counts)), "n": counts})
 
         total = dict(
             corpus.select(F.col(text_col).alias("text")).mapInPandas(frequencies, "term long, n long")
             .groupBy("term").agg(F.sum("n")).collect()
-        ) if terms else {}
+        ) if len(terms) else {}
         rows = total.get(len(terms), 0)
         idf = np.array([math.log((1 + rows) / (1 + total.get(i, 0))) + 1 for i in range(len(terms))])
 
