@@ -3,7 +3,8 @@
 Words are runs of letters, digits and characters beyond ASCII, A-Z lower-cased. Terms are words and, for
 inflected and compounded forms, the first ``PREFIXES`` bytes of longer words. The index holds at most
 ``MAX_EXAMPLES`` labelled texts (distinct ones, in order of a hash of the text) over at most ``MAX_TERMS``
-terms, those whose presence goes with the label (chi-square of ``MIN_CHI2`` or more). Inverse document
+terms, those whose presence goes with the label (chi-square of ``MIN_CHI2`` or more). All other words are one
+term more, of weight ``REST`` each, so that a term's share of the text counts. Inverse document
 frequencies count every row of the scored table. Both bounds make the index small enough to broadcast
 whatever the size of the corpus.
 
@@ -35,6 +36,7 @@ MAX_EXAMPLES = 6_000
 MAX_TERMS = 2_048
 MIN_CHI2 = 30.0
 PREFIXES = (4, 6)
+REST = 0.02
 BLOCK = 64
 K = 15
 
@@ -67,6 +69,7 @@ class Vocabulary:
         return len(self.terms)
 
     def counts(self, text: str | None) -> Counter:
+        """Occurrences by place; the words without a place are counted under the last one, ``len(self)``."""
         out: Counter = Counter()
         seen = self.seen
         for word, n in Counter(tokens(text)).items():
@@ -75,18 +78,18 @@ class Vocabulary:
                 if len(seen) >= self.SEEN:
                     seen.clear()
                 places = seen[word] = tuple(self.terms[t] for t in terms_of(word) if t in self.terms)
-            for p in places:
+            for p in places or (len(self.terms),):
                 out[p] += n
         return out
 
 
 def vector(text: str | None, terms: Vocabulary, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Indexed terms of a text and their TF-IDF weights, (1 + ln tf) * idf, of length 1."""
+    """Places of a text and their weights tf * idf, of length 1; nothing for a text without an indexed term."""
     counts = terms.counts(text)
-    if not counts:
+    if not counts or min(counts) == len(terms):
         return np.zeros(0, np.int64), np.zeros(0)
     places = np.array(sorted(counts), np.int64)
-    weights = (1 + np.log([counts[p] for p in places.tolist()])) * idf[places]
+    weights = np.array([counts[p] for p in places.tolist()]) * idf[places]
     return places, weights / math.sqrt(float((weights**2).sum()))
 
 
@@ -114,26 +117,26 @@ class BlockMaxIndex:
         order = np.argsort(-bound, kind="stable")
         lists = [(self.example[a:b], self.weight[a:b] * w) for a, b, w in zip(self.begin[places], self.begin[places + 1], weights)]
         best, cosines = np.zeros(0, np.int64), np.zeros(0)
-        step, at = 1, 0
+        at, step = 0, 2
         while at < len(order) and bound[order[at]] > 0:
-            if len(best) >= k and cosines[k - 1] > bound[order[at]] + 1e-12:
+            reach = bound[order[at : at + step]]
+            if len(best) >= k:
+                reach = reach[reach >= cosines[k - 1] - 1e-12]
+            if not len(reach):
                 break
-            some = np.sort(order[at : at + step])
-            at, step = at + step, step * 2
-            total = np.zeros((len(some), self.block))
+            chosen = np.zeros(self.blocks, bool)
+            chosen[order[at : at + len(reach)]] = True
+            total = np.zeros(self.n)
             for examples, values in lists:
-                low = np.searchsorted(examples, some * self.block)
-                high = np.searchsorted(examples, (some + 1) * self.block)
-                for row in np.flatnonzero(high > low):
-                    part = slice(low[row], high[row])
-                    total[row, examples[part] - some[row] * self.block] += values[part]
-            row, column = np.nonzero(total)
-            found = some[row] * self.block + column
-            keep = found != but
-            best = np.concatenate((best, found[keep]))
-            cosines = np.concatenate((cosines, total[row, column][keep]))
+                some = chosen[examples // self.block]
+                total[examples[some]] += values[some]
+            if 0 <= but < self.n:
+                total[but] = 0
+            found = np.flatnonzero(total)
+            best, cosines = np.concatenate((best, found)), np.concatenate((cosines, total[found]))
             first = np.lexsort((best, -cosines))[:k]
             best, cosines = best[first], cosines[first]
+            at, step = at + len(reach), step * 4
         return best, cosines
 
 
@@ -251,7 +254,7 @@ def fit(
             counts = np.zeros(len(terms) + 1, np.int64)
             for frame in frames:
                 for text in frame["text"]:
-                    counts[list(terms.counts(text))] += 1
+                    counts[[p for p in terms.counts(text) if p < len(terms)]] += 1
                 counts[-1] += len(frame)
             yield pd.DataFrame({"term": np.arange(len(counts)), "n": counts})
 
@@ -260,7 +263,7 @@ def fit(
             .groupBy("term").agg(F.sum("n")).collect()
         ) if len(terms) else {}
         rows = total.get(len(terms), 0)
-        idf = np.array([math.log((1 + rows) / (1 + total.get(i, 0))) + 1 for i in range(len(terms))])
+        idf = np.array([math.log((1 + rows) / (1 + total.get(i, 0))) + 1 for i in range(len(terms))] + [REST])
 
         def counted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for frame in frames:
@@ -278,9 +281,9 @@ def fit(
         examples.unpersist()
     none = [r.label for r in known if not r.places]
     # examples that share their heaviest term stand together, so that block bounds are tight
-    some = sorted((r for r in known if r.places), key=lambda r: (r.places[int(np.argmax(r.weights))], r.h, r.n))
+    some = sorted((r for r in known if r.places), key=lambda r: (r.places[int(np.argmax(r.weights[: max(len(r.weights) - 1, 1)]))], r.weights[-1], r.h, r.n))
     vectors = [(np.array(r.places, np.int64), np.array(r.weights)) for r in some]
-    index = BlockMaxIndex(vectors, len(terms))
+    index = BlockMaxIndex(vectors, len(terms) + 1)
     rate = min(max(positive / n, 1e-3), 1 - 1e-3) if n else 0.0
     model = Model(
         terms, idf, index, np.array([r.label for r in some], float), [r.id for r in some], rate,
