@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carbonloom.llm import leak_scan, quality_cascade, toxic_neighbours, url_rules
+from carbonloom.llm import leak_scan, ngram_join, quality_cascade, toxic_neighbours, url_rules
 
 URL_RULES = (
     url_rules.UrlRule("allow", "com/"),
@@ -36,6 +36,10 @@ def op2_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(table(spark, sf_dir, "documents"))
+
+
 def op9_leak_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leak_scan.digest(leak_scan.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
@@ -47,6 +51,7 @@ def op10_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_toxic_neighbours": op1_toxic_neighbours,
     "op2_url_rules": op2_url_rules,
+    "op5_ngram_join": op5_ngram_join,
     "op9_leak_scan": op9_leak_scan,
     "op10_quality_cascade": op10_quality_cascade,
 }
