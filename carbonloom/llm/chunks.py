@@ -17,6 +17,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -67,7 +68,7 @@ def unpack(parts: pa.ChunkedArray) -> pa.Table:
     ids = table["id"].combine_chunks()
     if ids.null_count or len(set(ids.to_pylist())) < len(ids):
         return table.sort_by([("id", "ascending"), ("text", "ascending")]).combine_chunks()
-    return table.take(pa.compute.sort_indices(ids)).combine_chunks()
+    return table.take(pc.sort_indices(ids)).combine_chunks()
 
 
 def ask(packed: DataFrame, question: Callable[[pa.Table], list[tuple]], columns: str) -> DataFrame:

@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -110,7 +111,7 @@ def signatures(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, id_col
             mask = mask & open_[of]
             offsets = np.concatenate(([0], np.cumsum(np.bincount(of[mask], minlength=len(sizes)))))
             lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(hashes[mask].view(np.int64)))
-            columns.append(pa.compute.if_else(pa.array(open_), lists, pa.scalar(None, lists.type)))
+            columns.append(pc.if_else(pa.array(open_), lists, pa.scalar(None, lists.type)))
         return pa.Table.from_arrays(columns, names=["doc_id", "n_shingles", "s1", "s2", "shared", "p1", "p2", "p3"])
 
     asked = ch.ask(packed, question, "bucket int, keys binary, counts binary")

@@ -18,6 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -146,7 +147,7 @@ def judge(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            text = pa.compute.binary_join_element_wise(batch.column("host"), batch.column("path"), "")
+            text = pc.binary_join_element_wise(batch.column("host"), batch.column("path"), "")
             text = text.cast(pa.large_binary())
             offsets = np.frombuffer(text.buffers()[1], np.int64)[text.offset : text.offset + len(text) + 1]
             data = np.frombuffer(text.buffers()[2] or b"", np.uint8)
