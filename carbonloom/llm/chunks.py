@@ -18,7 +18,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 CHUNK_BYTES = 24 << 20
@@ -33,11 +33,12 @@ def chunk_count(docs: DataFrame) -> int:
     return max(partitions, min(-(-size // CHUNK_BYTES), 1 << 25) if size < 1 << 50 else 1)
 
 
-def pack(docs: DataFrame, id_col: str, text_col: str, chunks: int) -> DataFrame:
-    """(chunk, part): the rows of each chunk as compressed Arrow blocks."""
+def pack(docs: DataFrame, id_col: str, text_col: str, chunks: int, flag: Column | None = None) -> DataFrame:
+    """(chunk, part): the rows of each chunk as compressed Arrow blocks of id, text and ``flag`` (null is false)."""
     df = docs.select(
         F.col(id_col).cast("long").alias("id"),
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+        F.coalesce(F.lit(False) if flag is None else flag, F.lit(False)).alias("flag"),
         F.pmod(F.xxhash64(F.col(id_col).cast("long")), F.lit(chunks)).cast("int").alias("chunk"),
     )
 
@@ -46,7 +47,7 @@ def pack(docs: DataFrame, id_col: str, text_col: str, chunks: int) -> DataFrame:
         for batch in batches:
             chunk = np.asarray(batch.column("chunk"))
             order = np.argsort(chunk, kind="stable")
-            table = pa.Table.from_batches([batch.select(["id", "text"])]).take(pa.array(order))
+            table = pa.Table.from_batches([batch.select(["id", "text", "flag"])]).take(pa.array(order))
             cuts = np.flatnonzero(np.diff(chunk[order], prepend=-1))
             numbers, parts = [], []
             for a, b in zip(cuts, [*cuts[1:], len(order)]):
@@ -62,7 +63,7 @@ def pack(docs: DataFrame, id_col: str, text_col: str, chunks: int) -> DataFrame:
 
 
 def unpack(parts: pa.ChunkedArray) -> pa.Table:
-    """(id, text) of a chunk, in order of id, then text: the same order whatever order the blocks came in."""
+    """(id, text, flag) of a chunk, in order of id, then text: the same order whatever order the blocks came in."""
     tables = [pa.ipc.open_stream(p.as_buffer()).read_all() for c in parts.chunks for p in c]
     table = pa.concat_tables(tables)
     ids = table["id"].combine_chunks()
@@ -75,23 +76,23 @@ def ask(packed: DataFrame, question: Callable[[pa.Table], list[tuple]], columns:
     """Rows (chunk, then ``columns``) of ``question(texts)`` for every chunk."""
     schema = f"chunk int, {columns}"
 
-    def run(table: pa.Table) -> pa.Table:
-        rows = question(unpack(table["part"]))
-        return _table([(table["chunk"][0].as_py(), *row) for row in rows], kinds)
+    def run(blocks: pa.Table) -> pa.Table:
+        rows = question(unpack(blocks["part"]))
+        return table([(blocks["chunk"][0].as_py(), *row) for row in rows], form)
 
-    kinds = _kinds(schema)
+    form = kinds(schema)
     return packed.groupBy("chunk").applyInArrow(run, schema)
 
 
 def answer(asked: DataFrame, reply: Callable[[list[dict]], list[tuple]], columns: str) -> DataFrame:
     """Rows (chunk, bucket, then ``columns``) of ``reply(blocks of a bucket, in order of chunk)``."""
     schema = f"chunk int, bucket int, {columns}"
-    kinds = _kinds(schema)
+    form = kinds(schema)
 
-    def run(table: pa.Table) -> pa.Table:
-        rows = sorted(table.to_pylist(), key=lambda r: r["chunk"])
+    def run(blocks: pa.Table) -> pa.Table:
+        rows = sorted(blocks.to_pylist(), key=lambda r: r["chunk"])
         bucket = rows[0]["bucket"]
-        return _table([(chunk, bucket, *rest) for chunk, *rest in reply(rows)], kinds)
+        return table([(chunk, bucket, *rest) for chunk, *rest in reply(rows)], form)
 
     return asked.groupBy("bucket").applyInArrow(run, schema)
 
@@ -101,23 +102,27 @@ def meet(packed: DataFrame, answers: DataFrame, use: Callable[[pa.Table, pa.Tabl
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
-            return _table([], kinds)
+            return table([], form)
         return use(unpack(left["part"]), right)
 
-    kinds = _kinds(schema)
+    form = kinds(schema)
     return packed.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(run, schema)
 
 
-def _kinds(schema: str) -> pa.Schema:
+def chunk_of(answers: pa.Table) -> int:
+    return answers["chunk"][0].as_py()
+
+
+def kinds(schema: str) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
     return to_arrow_schema(StructType.fromDDL(schema))
 
 
-def _table(rows: list[tuple], kinds: pa.Schema) -> pa.Table:
-    columns = zip(*rows) if rows else [[] for _ in kinds]
-    return pa.Table.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, kinds)], schema=kinds)
+def table(rows: list[tuple], schema: pa.Schema) -> pa.Table:
+    columns = zip(*rows) if rows else [[] for _ in schema]
+    return pa.Table.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
 def bucket_cuts(keys: np.ndarray, buckets: int) -> np.ndarray:
