@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carbonloom.llm import katz, leak_scan, ngram_join, quality_cascade, toxic_neighbours, url_rules
+from carbonloom.llm import katz, leak_scan, ngram_join, quality_cascade, suffix_merge, toxic_neighbours, url_rules
 
 URL_RULES = (
     url_rules.UrlRule("allow", "com/"),
@@ -36,6 +36,11 @@ def op2_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op3_suffix_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_merge.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = katz.score(table(spark, sf_dir, "documents"), remainder(10) != 0)
     return found.select("doc_id", (remainder(10) == 0).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
@@ -56,6 +61,7 @@ def op10_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_toxic_neighbours": op1_toxic_neighbours,
     "op2_url_rules": op2_url_rules,
+    "op3_suffix_merge": op3_suffix_merge,
     "op4_katz": op4_katz,
     "op5_ngram_join": op5_ngram_join,
     "op9_leak_scan": op9_leak_scan,
