@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carbonloom.llm import katz, leak_scan, ngram_join, quality_cascade, suffix_merge, toxic_neighbours, url_rules
+from carbonloom.llm import katz, leak_scan, ngram_join, quality_cascade, sentence_pieces, suffix_merge, toxic_neighbours, url_rules
 
 URL_RULES = (
     url_rules.UrlRule("allow", "com/"),
@@ -16,6 +18,10 @@ URL_RULES = (
 )
 
 
+#: The vocabulary that op7 and the pipeline encode with; its folder is set by the environment.
+PIECES = os.path.join(os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers"), "piece_bpe_32k.model")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -50,6 +56,17 @@ def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(table(spark, sf_dir, "documents"))
 
 
+def op7_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = sentence_pieces.read_vocabulary(PIECES)
+    found = sentence_pieces.decode(sentence_pieces.encode(table(spark, sf_dir, "documents"), v), v)
+    return found.select(
+        "doc_id",
+        F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_pieces"),
+        F.xxhash64("ids").alias("ids_hash"),
+        F.col("text").eqNullSafe(F.col("decoded")).alias("round_trip"),
+    )
+
+
 def op9_leak_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leak_scan.digest(leak_scan.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
@@ -64,6 +81,7 @@ QUERIES = {
     "op3_suffix_merge": op3_suffix_merge,
     "op4_katz": op4_katz,
     "op5_ngram_join": op5_ngram_join,
+    "op7_sentence_pieces": op7_sentence_pieces,
     "op9_leak_scan": op9_leak_scan,
     "op10_quality_cascade": op10_quality_cascade,
 }
