@@ -33,12 +33,15 @@ def chunk_count(docs: DataFrame) -> int:
     return max(partitions, min(-(-size // CHUNK_BYTES), 1 << 25) if size < 1 << 50 else 1)
 
 
-def pack(docs: DataFrame, id_col: str, text_col: str, chunks: int, flag: Column | None = None) -> DataFrame:
-    """(chunk, part): the rows of each chunk as compressed Arrow blocks of id, text and ``flag`` (null is false)."""
+def pack(docs: DataFrame, id_col: str, text_col: str, chunks: int, flag: Column | None = None, extra: tuple[str, ...] = ()) -> DataFrame:
+    """(chunk, part): the rows of each chunk as compressed Arrow blocks of id, text, ``flag`` (null is false) and the
+    ``extra`` columns as e0, e1, …"""
+    names = ["id", "text", "flag", *(f"e{i}" for i in range(len(extra)))]
     df = docs.select(
         F.col(id_col).cast("long").alias("id"),
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
         F.coalesce(F.lit(False) if flag is None else flag, F.lit(False)).alias("flag"),
+        *(F.col(f"`{c}`").alias(f"e{i}") for i, c in enumerate(extra)),
         F.pmod(F.xxhash64(F.col(id_col).cast("long")), F.lit(chunks)).cast("int").alias("chunk"),
     )
 
@@ -47,7 +50,7 @@ def pack(docs: DataFrame, id_col: str, text_col: str, chunks: int, flag: Column
         for batch in batches:
             chunk = np.asarray(batch.column("chunk"))
             order = np.argsort(chunk, kind="stable")
-            table = pa.Table.from_batches([batch.select(["id", "text", "flag"])]).take(pa.array(order))
+            table = pa.Table.from_batches([batch.select(names)]).take(pa.array(order))
             cuts = np.flatnonzero(np.diff(chunk[order], prepend=-1))
             numbers, parts = [], []
             for a, b in zip(cuts, [*cuts[1:], len(order)]):
@@ -63,7 +66,7 @@ def pack(docs: DataFrame, id_col: str, text_col: str, chunks: int, flag: Column
 
 
 def unpack(parts: pa.ChunkedArray) -> pa.Table:
-    """(id, text, flag) of a chunk, in order of id, then text: the same order whatever order the blocks came in."""
+    """(id, text, flag, e0, …) of a chunk, in order of id, then text: the same order whatever order the blocks came in."""
     tables = [pa.ipc.open_stream(p.as_buffer()).read_all() for c in parts.chunks for p in c]
     table = pa.concat_tables(tables)
     ids = table["id"].combine_chunks()

@@ -7,7 +7,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carbonloom.llm import katz, leak_scan, ngram_join, quality_cascade, sentence_pieces, suffix_merge, toxic_neighbours, url_rules
+from carbonloom.llm import katz, leak_scan, line_dedup, ngram_join, quality_cascade, sentence_pieces, suffix_merge, toxic_neighbours, url_rules
 
 URL_RULES = (
     url_rules.UrlRule("allow", "com/"),
@@ -56,6 +56,11 @@ def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(table(spark, sf_dir, "documents"))
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.dedup(table(spark, sf_dir, "documents"), counts=True)
+    return found.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
+
+
 def op7_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = sentence_pieces.read_vocabulary(PIECES)
     found = sentence_pieces.decode(sentence_pieces.encode(table(spark, sf_dir, "documents"), v), v)
@@ -81,6 +86,7 @@ QUERIES = {
     "op3_suffix_merge": op3_suffix_merge,
     "op4_katz": op4_katz,
     "op5_ngram_join": op5_ngram_join,
+    "op6_line_dedup": op6_line_dedup,
     "op7_sentence_pieces": op7_sentence_pieces,
     "op9_leak_scan": op9_leak_scan,
     "op10_quality_cascade": op10_quality_cascade,
