@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from carbonloom.session import work_dir
@@ -50,69 +50,87 @@ def _forests(links: DataFrame) -> DataFrame:
     return links.mapInArrow(run, "a long, b long")
 
 
+def _stars(links: DataFrame) -> bool:
+    """Whether every node has one link, to a node that has none."""
+    ends = links.select(F.col("a").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("in_")).union(
+        links.select("b", F.lit(0), F.lit(1))
+    )
+    nodes = ends.groupBy("node").agg(F.sum("out").alias("out"), F.max("in_").alias("in_"))
+    return nodes.where((F.col("out") > 1) | ((F.col("out") > 0) & (F.col("in_") > 0))).isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, component) of every node of the links (a, b): the smallest node it is connected with.
 
     Union-find in the tasks first; then the forests' links are pulled to smaller nodes by alternating steps
-    (every node passes its smallest neighbour to the larger ones, then to the smaller ones) until nothing
-    moves. The minimum of a node's neighbours combines before the shuffle, so a hub costs no task more.
+    (every node passes its smallest neighbour to the larger ones, then to the smaller ones) until each
+    component is a star. The minimum of a node's neighbours combines before the shuffle, so a hub costs no
+    task more.
     """
     links = _forests(links.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).where("a <> b"))
     links = saved(links.distinct())
-    state = None
-    while True:
+    while not _stars(links):
         both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         # to the larger neighbours: each is linked to the smallest that this node knows
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         # to the smaller neighbours and itself
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b")))
         links = saved(small.where("a <> b").distinct())
-        now = links.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
-        if state == now:
-            break
-        state = now
-    roots = links.groupBy("b").agg(F.lit(1).alias("one")).select(F.col("b").alias("node"), F.col("b").alias("component"))
-    return links.groupBy("a").agg(F.min("b").alias("b")).toDF("node", "component").union(roots)
+    roots = links.select(F.col("b").alias("node")).distinct().select("node", F.col("node").alias("component"))
+    return links.toDF("node", "component").union(roots)
 
 
-def linked_groups(postings: DataFrame, verify: Callable[[DataFrame], DataFrame], rounds: int = 2) -> DataFrame:
-    """(node, component) over all verified links between nodes that share a key; nodes without a link are absent.
+#: Hub rounds at most, and pairs per posting from which one more is worth it.
+ROUNDS, WORTH = 2, 4
 
-    ``postings`` has (key, node); ``verify`` takes distinct pairs (a, b), a < b, and returns those that link.
-    A key's nodes are not paired with each other: in each round every node is paired with one hub per key
-    (the smallest, then another by hash), unless they are connected already, and keys whose nodes have all
-    met are done. What is left are keys with nodes of different components: their pairs across components
-    are verified one by one, so no link between components is lost.
-    """
-    comps, links = None, None
 
-    def open_postings() -> DataFrame:
-        if comps is None:
-            now = postings.withColumn("comp", F.col("node"))
-        else:
-            now = postings.join(comps, "node", "left").select("key", "node", F.coalesce("component", "node").alias("comp"))
-        several = now.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("key")
-        return now.join(several, "key", "left_semi")
+def linked_groups(
+    postings: DataFrame,
+    verify: Callable[[DataFrame], DataFrame],
+    near: Callable[[Callable[[str], Column], Callable[[str], Column]], Column] | None = None,
+) -> DataFrame:
+    """(node, component) over all verified links between nodes that share a key; nodes without a link are absent.
 
-    def distinct_pairs(pairs: DataFrame) -> DataFrame:
-        return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
+    ``postings`` has (key, node) and what ``near`` reads: a condition on two postings of a key, given as functions
+    from column name to column, that holds for at least one shared key of every pair that links. ``verify`` takes
+    distinct pairs (a, b) and returns those that link.
 
-    for turn in range(rounds + 1):
-        now = saved(open_postings())
-        if now.isEmpty():
-            break
-        if turn < rounds:
-            rank = F.col("node") if turn == 0 else F.xxhash64("node", F.lit(turn))
-            hubs = now.groupBy("key").agg(F.min(F.struct(rank.alias("rank"), "node", "comp")).alias("hub"))
-            pairs = now.join(hubs, "key").where("comp <> hub.comp").select(F.col("node").alias("a"), F.col("hub.node").alias("b"))
+    A key's nodes are not paired with each other. In a round every key has a hub (its smallest node, later others by
+    hash), and every node is paired with the hub it shares most keys with, unless they are connected. Keys whose
+    nodes are all connected are done. When few pairs are left, or after ``ROUNDS`` rounds, all remaining pairs of
+    nodes that share a key and are not connected are verified, so no link between components is lost.
+    """
+    more = [c for c in postings.columns if c not in ("key", "node")]
+    now, comps, links = postings.withColumn("comp", F.col("node")), None, None
+    for turn in range(ROUNDS + 1):
+        if turn:
+            named = postings.join(comps, "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component")
+            keys = named.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("size"))
+            now = saved(named.join(keys.where("x <> y").select("key", "size"), "key"))
+            total = now.agg(F.count("*").alias("n"), F.sum("size").alias("pairs")).first()
+            if not total.n:
+                break
+        last = turn and (turn == ROUNDS or total.pairs <= WORTH * total.n)
+        if last:
+            other = now.select("key", *(F.col(c).alias(f"{c}_b") for c in ("node", "comp", *more)))
+            pairs = now.join(other, "key").where("comp < comp_b")
+            if near is not None:
+                pairs = pairs.where(near(F.col, lambda c: F.col(f"{c}_b")))
+            pairs = pairs.select(F.col("node").alias("a"), F.col("node_b").alias("b")).distinct()
         else:
-            other = now.toDF("key", "b", "comp_b")
-            pairs = now.join(other, "key").where("comp < comp_b").select(F.col("node").alias("a"), "b")
-        found = saved(verify(distinct_pairs(pairs)))
-        links = found if links is None else links.union(found)
-        comps = saved(components(links))
-    if comps is None:
-        return postings.select("node", F.col("node").alias("component")).limit(0)
+            rank = F.xxhash64("node", F.lit(turn)) if turn else F.col("node")
+            hubs = now.groupBy("key").agg(F.min(F.struct(rank.alias("rank"), "node", "comp", *more)).alias("hub"))
+            pairs = now.join(hubs, "key").where("comp <> hub.comp")
+            if near is not None:
+                pairs = pairs.where(near(F.col, lambda c: F.col(f"hub.{c}")))
+            pairs = pairs.groupBy(F.col("node").alias("a"), F.col("hub.node").alias("b")).agg(F.count("*").alias("n"))
+            pairs = pairs.groupBy("a").agg(F.max(F.struct("n", "b")).alias("best")).select("a", "best.b")
+        found = saved(verify(pairs))
+        if comps is None or not found.isEmpty():
+            links = found if links is None else links.union(found)
+            comps = saved(components(links))
+        if last:
+            break
     return comps

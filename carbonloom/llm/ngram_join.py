@@ -5,7 +5,8 @@ sequence is one. Two sets of similarity t or more share a token among the first
 of each, in any order that is the same for all sets. Candidates must share a prefix token under every one of
 three orders: rarest first by document frequency, rarest first with other ties, and by hash alone. Tokens of
 frequency 1 cannot be shared, so most documents have no prefix left under the first order and cost no more.
-What passes all filters is verified on the sets.
+Under the first order, what two sets can still share after a common token must be enough, too. What passes
+all filters is verified on the sets.
 
 Equal sets are one class and go through the join once. A group of near copies is linked through hubs, never
 pair by pair (``components.linked_groups``).
@@ -59,7 +60,7 @@ def _frequencies(blocks: list[dict]) -> list[tuple]:
     return out
 
 
-_SCHEMA = "doc_id long, n_shingles long, s1 long, s2 long, shared array<long>, p1 array<long>, p2 array<long>, p3 array<long>"
+_SCHEMA = "doc_id long, n_shingles long, s1 long, s2 long, shared array<long>, p1 array<long>, at1 array<int>, p2 array<long>, p3 array<long>"
 
 
 def signatures(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -68,10 +69,13 @@ def signatures(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, id_col
     buckets = ch.chunk_count(docs)
     packed = ch.pack(docs, id_col, text_col, buckets)
 
+    # frequencies are asked for by the first bits of a hash, 12 more than would number all tokens: an order needs no more
+    cut = np.uint64(max(0, 64 - 12 - (buckets << 22).bit_length()))
+
     def question(texts: pa.Table) -> list[tuple]:
         hashes, _, _ = _sets(texts["text"], n)
-        keys, counts = np.unique(hashes, return_counts=True)
-        cuts = ch.bucket_cuts(keys, buckets)
+        keys, counts = np.unique(hashes >> cut, return_counts=True)
+        cuts = ch.bucket_cuts(keys << cut, buckets)
         return [
             (i, ch.put_keys(keys[a:b]), ch.put(counts[a:b].astype(np.uint32)))
             for i, (a, b) in enumerate(zip(cuts, cuts[1:]))
@@ -80,39 +84,46 @@ def signatures(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, id_col
 
     def use(texts: pa.Table, replies: pa.Table) -> pa.Table:
         hashes, of, sizes = _sets(texts["text"], n)
-        keys, place = np.unique(hashes, return_inverse=True)
+        _, place = np.unique(hashes >> cut, return_inverse=True)
         rows = sorted(replies.to_pylist(), key=lambda r: r["bucket"])
         known = np.concatenate([ch.get(r["df"], np.uint8) for r in rows]) if rows else np.zeros(0, np.uint8)
         df = known[place].astype(np.int64)
         begin = np.concatenate(([0], np.cumsum(sizes)))
-        sums = [np.zeros(len(sizes) + 1, np.uint64), np.zeros(len(sizes) + 1, np.uint64)]
+        sums = [np.zeros(len(sizes), np.uint64), np.zeros(len(sizes), np.uint64)]
         for k, total in enumerate(sums):
             running = np.concatenate((np.zeros(1, np.uint64), np.cumsum(hs.mix(hashes + np.uint64(k + 1)), dtype=np.uint64)))
-            total[:-1] = running[begin[1:]] - running[begin[:-1]]
+            total[:] = running[begin[1:]] - running[begin[:-1]]
         length = sizes - -(-percent * sizes // 100) + 1
-        masks = []
-        for rank in ((hashes, df), (hs.mix(hashes + np.uint64(11)), np.log2(np.maximum(df, 1)).astype(np.int64)), (hs.mix(hashes + np.uint64(12)),)):
-            order = np.lexsort((*rank, of))
-            inside = np.empty(len(of), bool)
-            inside[order] = np.arange(len(of)) - begin[of] < length[of]
-            masks.append(inside & (df > 1))
+
+        def prefix(hashes: np.ndarray, of: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            """Places of the tokens in their set's order, and which of them are in its prefix."""
+            place, first = np.empty(len(of), np.int64), np.searchsorted(of, of)
+            place[order] = np.arange(len(of)) - first
+            return place, place < length[of]
+
+        # the hashes of a set are sorted: a stable sort by frequency leaves them so
+        at, inside = prefix(hashes, of, np.argsort(of * 256 + df, kind="stable"))
         open_ = np.zeros(len(sizes), bool)
-        for mask in masks:
-            has = np.zeros(len(sizes), bool)
-            has[of[mask]] = True
-            open_ = has if mask is masks[0] else open_ & has
+        open_[of[inside & (df > 1)]] = True
         # one row of each class is enough; the table is in order of id
-        _, first = np.unique(np.stack([sizes.astype(np.uint64), sums[0][:-1], sums[1][:-1]], 1), axis=0, return_index=True)
+        _, first = np.unique(np.stack([sizes.astype(np.uint64), *sums], 1), axis=0, return_index=True)
         once = np.zeros(len(sizes), bool)
         once[first] = True
         open_ &= once
-        columns = [pa.array(texts["id"].combine_chunks()), pa.array(sizes), pa.array(sums[0][:-1].view(np.int64)), pa.array(sums[1][:-1].view(np.int64))]
-        for mask in (df > 1, *masks):
-            mask = mask & open_[of]
+        columns = [pa.array(texts["id"].combine_chunks()), pa.array(sizes), *(pa.array(x.view(np.int64)) for x in sums)]
+        # the other orders, for the sets that need them
+        some = open_[of]
+        hashes, of, df, at, inside = hashes[some], of[some], df[some], at[some], inside[some]
+        rare = np.log2(np.maximum(df, 1)).astype(np.int64)
+        _, second = prefix(hashes, of, np.lexsort((hs.mix(hashes + np.uint64(11)), rare, of)))
+        _, third = prefix(hashes, of, np.lexsort((hs.mix(hashes + np.uint64(12)), of)))
+        known = df > 1
+        for mask, values in ((known, hashes), (known & inside, hashes), (known & inside, at), (known & second, hashes), (known & third, hashes)):
             offsets = np.concatenate(([0], np.cumsum(np.bincount(of[mask], minlength=len(sizes)))))
-            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(hashes[mask].view(np.int64)))
+            values = pa.array(values[mask].view(np.int64)) if values is hashes else pa.array(values[mask].astype(np.int32))
+            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
             columns.append(pc.if_else(pa.array(open_), lists, pa.scalar(None, lists.type)))
-        return pa.Table.from_arrays(columns, names=["doc_id", "n_shingles", "s1", "s2", "shared", "p1", "p2", "p3"])
+        return pa.Table.from_arrays(columns, names=["doc_id", "n_shingles", "s1", "s2", "shared", "p1", "at1", "p2", "p3"])
 
     asked = ch.ask(packed, question, "bucket int, keys binary, counts binary")
     return ch.meet(packed, ch.answer(asked, _frequencies, "df binary"), use, _SCHEMA)
@@ -127,20 +138,26 @@ def join(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, id_col: str
         rows.where("shared IS NOT NULL")
         .join(classes.where("node IS NOT NULL"), of_class)
         .where("doc_id = node")
-        .select("node", F.col("n_shingles").alias("n"), "shared", "p1", "p2", "p3")
+        .select("node", F.col("n_shingles").alias("n"), "shared", "p1", "at1", "p2", "p3")
     )
 
+    def near(x, y):
+        # what two sets can share from their first common token on
+        rest = F.least(x("n") - x("at"), y("n") - y("at"))
+        return (100 + percent) * rest >= percent * (x("n") + y("n"))
+
     def verify(pairs: DataFrame) -> DataFrame:
-        a = sets.select(*(F.col(c).alias(f"{c}_a") for c in sets.columns))
-        b = sets.select(*(F.col(c).alias(f"{c}_b") for c in sets.columns))
-        close = F.lit(100) * F.least("n_a", "n_b") >= F.lit(percent) * F.greatest("n_a", "n_b")
-        both = pairs.join(a, F.col("a") == F.col("node_a")).join(b, (F.col("b") == F.col("node_b")) & close)
-        both = both.where(F.arrays_overlap("p1_a", "p1_b")).where(F.arrays_overlap("p2_a", "p2_b")).where(F.arrays_overlap("p3_a", "p3_b"))
-        common = F.size(F.array_intersect("shared_a", "shared_b"))
+        # first the other orders' prefixes, then the sets of the pairs that are left
+        filters, tokens = sets.select("node", "p2", "p3"), sets.select("node", "n", "shared")
+        both = pairs.join(filters.toDF("a", "p2_a", "p3_a"), "a").join(filters.toDF("b", "p2_b", "p3_b"), "b")
+        both = both.where(F.arrays_overlap("p2_a", "p2_b") & F.arrays_overlap("p3_a", "p3_b")).select("a", "b")
+        both = both.join(tokens.toDF("a", "n_a", "s_a"), "a").join(tokens.toDF("b", "n_b", "s_b"), "b")
+        common = F.size(F.array_intersect("s_a", "s_b"))
         return both.where(100 * common >= percent * (F.col("n_a") + F.col("n_b") - common)).select("a", "b")
 
-    postings = sets.select("node", F.explode("p1").alias("key")).select("key", "node").distinct()
-    found = linked_groups(postings, verify)
+    prefix = F.explode(F.arrays_zip("p1", "at1")).alias("x")
+    postings = sets.select("node", "n", prefix).select(F.col("x.p1").alias("key"), "node", "n", F.col("x.at1").alias("at"))
+    found = linked_groups(postings, verify, near)
     named = classes.join(found, "node", "left").select(*of_class, F.coalesce("component", "node").alias("component_id"))
     out = rows.select("doc_id", *of_class).join(named, of_class, "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))

@@ -7,7 +7,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carbonloom.llm import katz, leak_scan, line_dedup, ngram_join, quality_cascade, sentence_pieces, suffix_merge, toxic_neighbours, url_rules
+from carbonloom.llm import katz, leak_scan, licence_rules, line_dedup, ngram_join, quality_cascade, sentence_pieces, suffix_merge, toxic_neighbours, url_rules
 
 URL_RULES = (
     url_rules.UrlRule("allow", "com/"),
@@ -72,6 +72,17 @@ def op7_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_licence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licence_rules.scan(table(spark, sf_dir, "documents"))
+    licences = F.array_sort(F.array_distinct(F.transform("findings", lambda x: x.licence)))
+    return found.select(
+        "doc_id",
+        F.size("sentences").cast("long").alias("n_sentences"),
+        F.size("findings").cast("long").alias("n_findings"),
+        F.array_join(licences, ",").alias("licences"),
+    )
+
+
 def op9_leak_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leak_scan.digest(leak_scan.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
@@ -88,6 +99,7 @@ QUERIES = {
     "op5_ngram_join": op5_ngram_join,
     "op6_line_dedup": op6_line_dedup,
     "op7_sentence_pieces": op7_sentence_pieces,
+    "op8_licence_rules": op8_licence_rules,
     "op9_leak_scan": op9_leak_scan,
     "op10_quality_cascade": op10_quality_cascade,
 }
