@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 #: Text of the benchmark that one automaton is built from at most.
 SLICE_BYTES = 8 << 20
@@ -109,7 +110,8 @@ def scan(
 ) -> DataFrame:
     """doc_id, n_words, n_hit, items (ids as strings, sorted, each once), spans (character offsets of hit runs)."""
     parts = [(b._jbroadcast.id(), b) for b in _slices(docs.sparkSession, benchmark, item_col, item_text_col)]
-    ids = docs.schema[id_col].dataType.simpleString()
+    out = StructType.fromDDL("id long, n_words long, n_hit long, items array<string>, spans array<struct<start:long,end:long>>")
+    out = StructType([StructField("id", docs.schema[id_col].dataType), *out.fields[1:]])
 
     def build(key: int, part) -> tuple:
         if key not in _built:
@@ -152,12 +154,17 @@ def scan(
             ]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["id", *schema.names])
 
-    found = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
-        run, f"id {ids}, n_words long, n_hit long, items array<string>, spans array<struct<start:long,end:long>>"
-    )
+    found = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, out)
     return found.withColumnRenamed("id", id_col)
 
 
+def keep_clean(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with their columns, in whose text no window of the benchmark occurs."""
+    numbered = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(text_col).alias("text"))
+    found = scan(numbered, benchmark, window, "row")
+    return found.where("n_hit = 0").select(*(F.col("row").getField(c).alias(c) for c in docs.columns))
+
+
 def digest(found: DataFrame) -> DataFrame:
     """The columns of the numbered query."""
     return found.select(

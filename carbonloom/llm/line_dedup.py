@@ -128,10 +128,10 @@ def _shared_bands(blocks: list[dict]) -> list[tuple]:
 
 
 def dedup(
-    docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text", counts: bool = False
+    docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text", counts: bool = False, drop_emptied: bool = False
 ) -> DataFrame:
     """Every row with its columns, its text without the removed lines; with ``counts``, its id, text, n_lines and
-    n_removed instead."""
+    n_removed instead. ``drop_emptied`` leaves out rows that had lines and have lost them all."""
     buckets = ch.chunk_count(docs)
     extra = () if counts else tuple(c for c in docs.columns if c not in (id_col, text_col))
     packed = ch.pack(docs, id_col, text_col, buckets, F.col(text_col).isNull(), extra)
@@ -246,6 +246,8 @@ def dedup(
 
     kinds = "".join(f"e{i} {docs.schema[c].dataType.simpleString()}, " for i, c in enumerate(extra))
     out = ch.meet(packed, answers, cut, f"id long, text string, {kinds}n_lines long, n_removed long")
+    if drop_emptied:
+        out = out.where("n_lines = 0 OR n_removed < n_lines")
     if counts:
         return out.withColumnRenamed("id", id_col)
     own = {id_col: F.col("id").cast(docs.schema[id_col].dataType), text_col: F.col("text")}

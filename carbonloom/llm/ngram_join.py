@@ -161,3 +161,15 @@ def join(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, id_col: str
     named = classes.join(found, "node", "left").select(*of_class, F.coalesce("component", "node").alias("component_id"))
     out = rows.select("doc_id", *of_class).join(named, of_class, "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def keep_one(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with their columns, that name their component: of every group of linked documents the one
+    of smallest id. Rows without words all stay, of equal rows (id and text) one."""
+    found = saved(join(docs, n, percent, id_col, text_col))
+    kept = found.where("component_id <=> doc_id").groupBy("doc_id").agg(F.count("*").alias("rows")).withColumnsRenamed({"doc_id": "_kept", "rows": "_rows"})
+    same = docs[id_col].cast("long").eqNullSafe(F.col("_kept"))
+    once = docs.join(kept.where("_rows = 1"), same, "left_semi")
+    # an id of several rows is the exception
+    several = docs.join(kept.where("_rows > 1"), same, "left_semi").dropDuplicates([id_col, text_col])
+    return once.unionByName(several)
