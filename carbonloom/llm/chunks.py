@@ -7,7 +7,9 @@ blocks by bucket, where the answer for each key is found with the keys of all ot
 answers by chunk, where the texts are met again. A key goes once per chunk, however often it occurs, so a
 hot key costs one entry per chunk. Both passes read the same exchange of the texts.
 
-There are as many chunks as shuffle partitions, or more if the table is larger than ``CHUNK_BYTES`` each.
+There are as many chunks as shuffle partitions, or more if chunks would be larger than ``CHUNK_BYTES`` or
+``GROWTH`` times the square root of the table's bytes: blocks are as many as chunks times buckets, so chunks grow with
+the table (100 TB: 1 GB each).
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-CHUNK_BYTES = 24 << 20
+CHUNK_BYTES, GROWTH = 8 << 20, 100
 _CODEC = "zstd"
 
 
@@ -29,8 +31,8 @@ def chunk_count(docs: DataFrame) -> int:
     """From the planner's size estimate and the session's shuffle partitions; runs no job."""
     size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # an estimate beyond a petabyte is a product of guesses
-    return max(partitions, min(-(-size // CHUNK_BYTES), 1 << 25) if size < 1 << 50 else 1)
+    # an estimate beyond 16 petabytes is a product of guesses
+    return max(partitions, -(-size // max(CHUNK_BYTES, GROWTH * math.isqrt(size))) if size < 1 << 54 else 1)
 
 
 def pack(docs: DataFrame, id_col: str, text_col: str, chunks: int, flag: Column | None = None, extra: tuple[str, ...] = ()) -> DataFrame:
@@ -66,12 +68,13 @@ def pack(docs: DataFrame, id_col: str, text_col: str, chunks: int, flag: Column
 
 
 def unpack(parts: pa.ChunkedArray) -> pa.Table:
-    """(id, text, flag, e0, …) of a chunk, in order of id, then text: the same order whatever order the blocks came in."""
+    """(id, text, flag, e0, …) of a chunk, in order of id (null first), then text: the same order whatever order the blocks came in."""
     tables = [pa.ipc.open_stream(p.as_buffer()).read_all() for c in parts.chunks for p in c]
     table = pa.concat_tables(tables)
     ids = table["id"].combine_chunks()
     if ids.null_count or len(set(ids.to_pylist())) < len(ids):
-        return table.sort_by([("id", "ascending"), ("text", "ascending")]).combine_chunks()
+        keys = [("id", "ascending"), ("text", "ascending")]
+        return table.take(pc.sort_indices(table, sort_keys=keys, null_placement="at_start")).combine_chunks()
     return table.take(pc.sort_indices(ids)).combine_chunks()
 
 

@@ -168,7 +168,7 @@ def keep_one(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, id_col:
     of smallest id. Rows without words all stay, of equal rows (id and text) one."""
     found = saved(join(docs, n, percent, id_col, text_col))
     kept = found.where("component_id <=> doc_id").groupBy("doc_id").agg(F.count("*").alias("rows")).withColumnsRenamed({"doc_id": "_kept", "rows": "_rows"})
-    same = docs[id_col].cast("long").eqNullSafe(F.col("_kept"))
+    same = docs[id_col].cast("long").eqNullSafe(kept["_kept"])
     once = docs.join(kept.where("_rows = 1"), same, "left_semi")
     # an id of several rows is the exception
     several = docs.join(kept.where("_rows > 1"), same, "left_semi").dropDuplicates([id_col, text_col])

@@ -245,7 +245,8 @@ def fit(
         # 2 x 2 chi-square of a word's presence and the label
         a, b = F.col("n1").cast("double"), F.col("n0").cast("double")
         c, d = F.lit(float(positive)) - a, F.lit(float(n - positive)) - b
-        chi2 = F.lit(float(n)) * F.pow(a * d - b * c, F.lit(2.0)) / ((a + b) * (c + d) * (a + c) * (b + d))
+        # a word of every example tells nothing: null, and below any bound
+        chi2 = F.try_divide(F.lit(float(n)) * F.pow(a * d - b * c, F.lit(2.0)), (a + b) * (c + d) * (a + c) * (b + d))
         chosen = words.withColumn("chi2", chi2).where(F.col("chi2") >= min_chi2)
         chosen = chosen.orderBy(F.col("chi2").desc(), "word").limit(max_terms).select("word").collect() if n else []
         terms = Vocabulary([bytes(r.word) for r in chosen])
