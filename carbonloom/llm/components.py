@@ -83,7 +83,7 @@ def components(links: DataFrame) -> DataFrame:
 
 
 #: Hub rounds at most, and pairs per posting from which one more is worth it.
-ROUNDS, WORTH = 2, 4
+ROUNDS, WORTH = 4, 32
 
 
 def linked_groups(
