@@ -35,6 +35,10 @@ def chunk_count(docs: DataFrame) -> int:
     return max(partitions, -(-size // max(CHUNK_BYTES, GROWTH * math.isqrt(size))) if size < 1 << 54 else 1)
 
 
+def chunk_of_id(id_col: str, chunks: int) -> Column:
+    return F.pmod(F.xxhash64(F.col(id_col).cast("long")), F.lit(chunks)).cast("int")
+
+
 def pack(docs: DataFrame, id_col: str, text_col: str, chunks: int, flag: Column | None = None, extra: tuple[str, ...] = ()) -> DataFrame:
     """(chunk, part): the rows of each chunk as compressed Arrow blocks of id, text, ``flag`` (null is false) and the
     ``extra`` columns as e0, e1, …"""
@@ -44,7 +48,7 @@ def pack(docs: DataFrame, id_col: str, text_col: str, chunks: int, flag: Column
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
         F.coalesce(F.lit(False) if flag is None else flag, F.lit(False)).alias("flag"),
         *(F.col(f"`{c}`").alias(f"e{i}") for i, c in enumerate(extra)),
-        F.pmod(F.xxhash64(F.col(id_col).cast("long")), F.lit(chunks)).cast("int").alias("chunk"),
+        chunk_of_id(id_col, chunks).alias("chunk"),
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -71,7 +71,7 @@ def lines(text):
     return [(i, x.strip(BLANKS).encode()) for i, x in enumerate((text or "").split("\n")) if x.strip(BLANKS)]
 
 
-def line_shingles(line, n=5):
+def line_shingles(line, n=8):
     return {line[i : i + n] for i in range(max(len(line) - n + 1, 1))}
 
 
