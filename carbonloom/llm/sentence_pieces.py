@@ -147,13 +147,10 @@ _WIDTH = np.ones(256, np.int64)
 _WIDTH[0xC0:0xE0], _WIDTH[0xE0:0xF0], _WIDTH[0xF0:] = 2, 3, 4
 
 
-def _block(v: Vocabulary, stretches: list[bytes]) -> list[np.ndarray]:
+def _block(v: Vocabulary, stretches: list[bytes], length: np.ndarray) -> list[np.ndarray]:
     """Ids of stretches of similar length, all advancing together."""
-    n, length = len(stretches), np.array([len(s) for s in stretches], np.int64)
-    width = int(length.max())
-    data = np.zeros((n, width), np.uint8)
-    for i, s in enumerate(stretches):
-        data[i, : len(s)] = np.frombuffer(s, np.uint8)
+    n, width = len(stretches), int(length.max())
+    data = np.frombuffer(b"".join([s.ljust(width, b"\0") for s in stretches]), np.uint8).reshape(n, width)
     best = np.full((n, width + 1), -np.inf)
     best[:, 0] = 0
     back, piece = np.zeros((n, width + 1), np.int16), np.zeros((n, width + 1), np.int32)
@@ -242,77 +239,117 @@ def _alone(v: Vocabulary, stretch: bytes) -> np.ndarray:
     return np.array(out[::-1], np.int32)
 
 
-def encode_stretches(v: Vocabulary, stretches: list[bytes]) -> list[np.ndarray]:
-    out: list = [None] * len(stretches)
-    order = sorted(range(len(stretches)), key=lambda i: len(stretches[i]))
+def encode_stretches(v: Vocabulary, stretches: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all stretches one after the other, and how many each has."""
+    length = np.fromiter(map(len, stretches), np.int64, len(stretches))
+    order = np.argsort(length, kind="stable")
+    ranked = length[order]
+    found: list[np.ndarray] = []
     a = 0
     while a < len(order):
-        size = len(stretches[order[a]])
+        size = int(ranked[a])
         if size > LONG:
-            out[order[a]] = _alone(v, stretches[order[a]])
+            found.append(_alone(v, stretches[order[a]]))
             a += 1
             continue
-        b, most = a, max(16, CELLS // max(size, 1))
-        while b < len(order) and b - a < most and len(stretches[order[b]]) <= min(size + 4 + size // 4, LONG):
-            b += 1
-        for i, ids in zip(order[a:b], _block(v, [stretches[i] for i in order[a:b]])):
-            out[i] = ids
+        most = a + max(16, CELLS // max(size, 1))
+        b = min(most, int(np.searchsorted(ranked, min(size + 4 + size // 4, LONG), side="right")))
+        found.extend(_block(v, [stretches[i] for i in order[a:b].tolist()], ranked[a:b]))
         a = b
-    return out
+    sizes = np.empty(len(order), np.int64)
+    sizes[order] = [len(x) for x in found]
+    begin = np.concatenate(([0], np.cumsum(sizes)))[:-1]
+    flat = np.empty(int(sizes.sum()), np.int32)
+    if len(flat):
+        flat[_spread(begin[order], sizes[order])] = np.concatenate(found)
+    return flat, sizes
+
+
+def _spread(begin: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """begin[0], begin[0] + 1, … (sizes[0] places), begin[1], …"""
+    ends = np.cumsum(sizes)
+    return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(begin - (ends - sizes), sizes)
 
 
 class Encoder:
+    """Keeps the ids of the stretches it has met: ``flat[begin[i] : begin[i] + size[i]]`` for stretch number i."""
+
     def __init__(self, v: Vocabulary):
         self.v = v
         self.clear()
 
     def clear(self) -> None:
         self.place: dict[bytes, int] = {}
-        self.ids: list[np.ndarray] = []
+        self.flat, self.begin, self.size = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def encode(self, texts: list[str | None]) -> pa.ListArray:
-        parts = []
-        for text in texts:
-            raw = b" " + text.encode("utf-8", "surrogatepass") if text else b""
-            parts.append(_CUT.findall(raw) if self.v.cuts else [raw] if raw else [])
+        stretches: list[bytes] = []
+        ends = np.zeros(len(texts) + 1, np.int64)
+        for i, text in enumerate(texts):
+            if text:
+                raw = b" " + text.encode("utf-8", "surrogatepass")
+                stretches += _CUT.findall(raw) if self.v.cuts else [raw]
+            ends[i + 1] = len(stretches)
         if len(self.place) > SEEN:
             self.clear()
-        new = {s for p in parts for s in p if s not in self.place}
-        new = sorted(new)
-        self.place.update(zip(new, range(len(self.ids), len(self.ids) + len(new))))
-        self.ids.extend(encode_stretches(self.v, new))
-        flat, offsets = [], [0]
-        for p in parts:
-            flat.extend([self.ids[self.place[s]] for s in p])
-            offsets.append(len(flat))
-        ends = np.concatenate(([0], np.cumsum([len(x) for x in flat], dtype=np.int64)))
-        values = np.concatenate(flat) if flat else np.zeros(0, np.int32)
+        new = list(set(stretches).difference(self.place))
+        if new:
+            self.place.update(zip(new, range(len(self.begin), len(self.begin) + len(new))))
+            flat, size = encode_stretches(self.v, new)
+            self.begin = np.concatenate((self.begin, len(self.flat) + np.cumsum(size) - size))
+            self.flat, self.size = np.concatenate((self.flat, flat)), np.concatenate((self.size, size))
+        place = np.fromiter(map(self.place.__getitem__, stretches), np.int64, len(stretches))
+        sizes = self.size[place]
+        offsets = np.concatenate(([0], np.cumsum(sizes)))[ends]
+        values = self.flat[_spread(self.begin[place], sizes)]
         return pa.ListArray.from_arrays(
-            pa.array(ends[offsets], pa.int32()), pa.array(values, pa.int32()), mask=pa.array([t is None for t in texts])
+            pa.array(offsets, pa.int32()), pa.array(values, pa.int32()), mask=pa.array([t is None for t in texts], pa.bool_())
         )
 
 
+class Decoder:
+    def __init__(self, v: Vocabulary):
+        raw = [*v.pieces, "\u2047".encode()]
+        self.sizes = np.array([len(x) for x in raw], np.int64)
+        self.begin = np.cumsum(self.sizes) - self.sizes
+        self.bytes = np.frombuffer(b"".join(raw), np.uint8)
+
+    def decode(self, lists: pa.ListArray) -> pa.Array:
+        """Texts of lists of ids; null lists give null."""
+        none = lists.is_null().to_numpy(zero_copy_only=False)
+        bounds = lists.offsets.to_numpy().astype(np.int64)
+        ids = lists.values.fill_null(-1).to_numpy()[bounds[0] : bounds[-1]].astype(np.int64)
+        ids[(ids < 0) | (ids >= len(self.sizes) - 1)] = len(self.sizes) - 1
+        sizes = self.sizes[ids]
+        data = self.bytes[_spread(self.begin[ids], sizes)]
+        ends = np.concatenate(([0], np.cumsum(sizes)))[bounds - bounds[0]]
+        first = ends[:-1][ends[:-1] < ends[1:]]
+        keep = np.ones(len(data), bool)
+        keep[first[data[first] == 0x20]] = False
+        offsets = np.concatenate(([0], np.cumsum(keep, dtype=np.int64)))[ends]
+        raw = data[keep].tobytes()
+        cuts = offsets.tolist()
+        texts = [None if gone else raw[a:b].decode("utf-8", "replace") for gone, a, b in zip(none, cuts, cuts[1:])]
+        return pa.array(texts, pa.string())
+
+
 def decode_ids(v: Vocabulary, ids: list[int] | None) -> str | None:
-    if ids is None:
-        return None
-    n = len(v.pieces)
-    raw = b"".join([v.pieces[i] if i is not None and 0 <= i < n else b"\xe2\x81\x87" for i in ids])
-    return (raw[1:] if raw.startswith(b" ") else raw).decode("utf-8", "replace")
+    return Decoder(v).decode(pa.array([ids], pa.list_(pa.int32())))[0].as_py()
 
 
-#: Of this worker: a broadcast's id and its encoder.
-_encoders: dict[int, Encoder] = {}
+#: Of this worker: a broadcast's id, its encoder and decoder.
+_workers: dict[int, tuple[Encoder, Decoder]] = {}
 
 
 def _shared(docs: DataFrame, v: Vocabulary):
     broadcast = docs.sparkSession.sparkContext.broadcast(v)
     key = broadcast._jbroadcast.id()
 
-    def get() -> Encoder:
-        if key not in _encoders:
-            _encoders.clear()
-            _encoders[key] = Encoder(broadcast.value)
-        return _encoders[key]
+    def get() -> tuple[Encoder, Decoder]:
+        if key not in _workers:
+            _workers.clear()
+            _workers[key] = Encoder(broadcast.value), Decoder(broadcast.value)
+        return _workers[key]
 
     return get
 
@@ -327,7 +364,7 @@ def encode(docs: DataFrame, v: Vocabulary, id_col: str = "doc_id", text_col: str
             texts = batch.column(1).to_pylist()
             # a batch of long texts is encoded in parts, so that the lists of stretches stay small
             for a, b in _parts(texts):
-                ids = get().encode(texts[a:b])
+                ids = get()[0].encode(texts[a:b])
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), ids], names=["id", "text", "ids"])
 
     out = kinds.mapInArrow(run, f"id {kinds.schema['id'].dataType.simpleString()}, text string, ids array<int>")
@@ -354,15 +391,7 @@ def decode(encoded: DataFrame, v: Vocabulary, ids_col: str = "ids", out: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            v = get().v
-            texts = pa.array([decode_ids(v, ids) for ids in _lists(batch.column(at))], pa.string())
-            yield pa.RecordBatch.from_arrays([*batch.columns, texts], names=[*names, "text"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, get()[1].decode(batch.column(at))], names=[*names, "text"])
 
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in plain.schema)
     return plain.mapInArrow(run, f"{schema}, text string").toDF(*encoded.columns, out)
-
-
-def _lists(column: pa.ListArray) -> Iterator[list[int] | None]:
-    """Row by row: a whole batch as Python lists would be large."""
-    for row in column:
-        yield row.values.to_pylist() if row.is_valid else None
