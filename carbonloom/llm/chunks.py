@@ -87,8 +87,9 @@ def ask(packed: DataFrame, question: Callable[[pa.Table], list[tuple]], columns:
     schema = f"chunk int, {columns}"
 
     def run(blocks: pa.Table) -> pa.Table:
-        rows = question(unpack(blocks["part"]))
-        return table([(blocks["chunk"][0].as_py(), *row) for row in rows], form)
+        chunk = blocks["chunk"][0].as_py()
+        rows = question(_numbered(unpack(blocks["part"]), chunk))
+        return table([(chunk, *row) for row in rows], form)
 
     form = kinds(schema)
     return packed.groupBy("chunk").applyInArrow(run, schema)
@@ -113,14 +114,19 @@ def meet(packed: DataFrame, answers: DataFrame, use: Callable[[pa.Table, pa.Tabl
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
             return table([], form)
-        return use(unpack(left["part"]), right)
+        return use(_numbered(unpack(left["part"]), left["chunk"][0].as_py()), right)
 
     form = kinds(schema)
     return packed.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(run, schema)
 
 
-def chunk_of(answers: pa.Table) -> int:
-    return answers["chunk"][0].as_py()
+def _numbered(texts: pa.Table, chunk: int) -> pa.Table:
+    return texts.replace_schema_metadata({"chunk": str(chunk)})
+
+
+def chunk_of(texts: pa.Table) -> int:
+    """The number of the chunk that ``ask`` or ``meet`` gave."""
+    return int(texts.schema.metadata[b"chunk"])
 
 
 def kinds(schema: str) -> pa.Schema:

@@ -205,7 +205,7 @@ def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
         ]
         keys, places = histories(t, words)
         rows = _asked(WEIGHTS, buckets, keys, *(s[places] for s in sums))
-        chunk = ch.chunk_of(replies)
+        chunk = ch.chunk_of(texts)
         return ch.table([(chunk, *r) for r in rows], form)
 
     def evaluate(texts: pa.Table, replies: pa.Table) -> pa.Table:

@@ -7,7 +7,7 @@ Of each component of linked lines the earliest line stays (smallest id, then pla
 removed with their line ends. Other lines stay as they are.
 
 Candidates come from MinHash signatures of ``BANDS`` x ``ROWS`` values: one permutation, whose hashes fall into
-that many bins; a bin without a shingle takes the value of the next filled one. A pair of 75 % shares a band with
+that many bins; a bin without a shingle takes the value of another. Short lines take a permutation per value. A pair of 75 % shares a band with
 probability 0.996, one of 80 % with 0.9996; unrelated lines (2 % in common) with 1 in 10 million. Lines that share a band meet through hubs (``components.linked_groups``)
 and are verified on their texts.
 
@@ -72,37 +72,61 @@ class Lines:
         return np.sort(first)
 
 
+#: Lines of fewer shingles take a permutation per value; one permutation would leave most of their bins empty.
+FEW = 64
+_BITS = np.uint64(32)
+_LOW = np.uint64(0xFFFFFFFF)
+
+
+def _least(hashes: np.ndarray, owner: np.ndarray, begin: np.ndarray, bins: int) -> np.ndarray:
+    """(lines x bins) minima: of one permutation per bin for short lines, else of one permutation cut into bins."""
+    n = len(begin) - 1
+    out = np.full((n, bins), _LOW, np.uint64)
+    few = np.diff(begin) < FEW
+    some = few[owner]
+    if some.any():
+        own, first = hashes[some], ch.runs(owner[some])
+        for k in range(bins):
+            out[few, k] = np.minimum.reduceat(hs.mix(own + np.uint64(k + 1) * np.uint64(0xD1342543DE82EF95)) >> _BITS, first)
+    if not few.all():
+        own, of = hashes[~some], (np.cumsum(~few) - 1)[owner[~some]]
+        least = np.full(int((~few).sum()) * bins, _LOW, np.uint64)
+        np.minimum.at(least, of * bins + (((own >> _BITS) * np.uint64(bins)) >> _BITS).astype(np.int64), own & _LOW)
+        least = least.reshape(-1, bins)
+        # an empty bin takes the value of the first filled one of a sequence that is random, and its own
+        empty = least == _LOW
+        filled = ~empty
+        source = least.copy()
+        for turn in range(4 * bins):
+            rows = np.flatnonzero(empty.any(axis=1))
+            if not len(rows):
+                break
+            pick = (hs.mix(np.arange(bins, dtype=np.uint64) + np.uint64(1000 * (turn + 1))) % np.uint64(bins)).astype(np.int64)
+            take = empty[rows] & filled[rows][:, pick]
+            part = least[rows]
+            part[take] = source[rows][:, pick][take]
+            least[rows] = part
+            empty[rows] &= ~take
+        out[~few] = least
+    return out
+
+
 def signatures(data: np.ndarray, low: np.ndarray, high: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
     """(lines x bands) band hashes of the lines ``data[low[i]:high[i]]``; worked on in pieces of bytes."""
-    bins = bands * rows
     out = np.zeros((len(low), bands), np.uint64)
-    size = high - low
-    for a, b in hs.pieces(np.concatenate(([0], np.cumsum(size))), 256 << 10):
+    for a, b in hs.pieces(np.concatenate(([0], np.cumsum(high - low))), 256 << 10):
         lo, hi = low[a:b], high[a:b]
         n = np.maximum(hi - lo - SHINGLE + 1, 1)
+        begin = np.concatenate(([0], np.cumsum(n)))
         owner = np.repeat(np.arange(b - a), n)
-        start = np.repeat(lo, n) + np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
+        start = np.arange(len(owner)) + (lo - begin[:-1])[owner]
         base = int(lo.min())
         running = hs.Running(data[base : int(hi.max())])
-        hashes = running.of(start - base, np.minimum(start + SHINGLE, np.repeat(hi, n)) - base)
-        least = np.full((b - a) * bins, np.iinfo(np.uint64).max, np.uint64)
-        np.minimum.at(least, owner * bins + (hashes % np.uint64(bins)).astype(np.int64), hashes // np.uint64(bins))
-        least = least.reshape(b - a, bins)
-        empty = least == np.iinfo(np.uint64).max
-        # from the next filled bin, as far as it takes
-        for _ in range(bins):
-            rows_left = np.flatnonzero(empty.any(axis=1))
-            if not len(rows_left):
-                break
-            part, gap = least[rows_left], empty[rows_left]
-            following, open_ = np.roll(part, -1, axis=1), np.roll(gap, -1, axis=1)
-            take = gap & ~open_
-            part[take] = following[take]
-            gap[take] = False
-            least[rows_left], empty[rows_left] = part, gap
+        hashes = running.of(start - base, np.minimum(start + SHINGLE, hi[owner]) - base)
+        least = _least(hashes, owner, begin, bands * rows)
         total = np.zeros((b - a, bands), np.uint64)
-        for r in range(rows):
-            total = hs.mix(total * np.uint64(31) + least[:, r::rows] + np.uint64(r))
+        for r in range(rows):  # the values of a band stand far apart
+            total = hs.mix(total * np.uint64(31) + least[:, r * bands : (r + 1) * bands] + np.uint64(r))
         out[a:b] = hs.mix(total + np.arange(bands, dtype=np.uint64))
     return out
 
@@ -178,18 +202,26 @@ def dedup(
 
     postings = _postings(docs, id_col, text_col, buckets)
 
-    # the texts of the lines that share a band, each from one chunk that has it
+    # in one pass over the chunks: the texts of the lines that share a band, each from one chunk that has it, and the
+    # first place and the number of every distinct line
     wanted = postings.groupBy("node").agg(F.min("chunk").alias("chunk"))
 
-    def line_texts(texts: pa.Table, nodes: pa.Table) -> pa.Table:
+    def lines_of(texts: pa.Table, nodes: pa.Table) -> pa.Table:
         t = Lines(texts)
-        some = t.distinct()
-        some = some[np.isin(t.node[some], nodes["node"].to_numpy())] if nodes.num_rows else some[:0]
+        names, first, number = np.unique(t.node, return_index=True, return_counts=True)
+        some = first[np.isin(names, nodes["node"].to_numpy())] if nodes.num_rows else first[:0]
         raw = t.data.tobytes()
         lines = [raw[a:b] for a, b in zip(t.low[some].tolist(), t.high[some].tolist())]
-        return pa.table({"node": pa.array(t.node[some], pa.int64()), "line": pa.array(lines, pa.binary())})
+        rows = [(n, x, None, None, None, None, None) for n, x in zip(t.node[some].tolist(), lines)]
+        rows.append((None, None, ch.chunk_of(texts), names.tolist(), t.doc[first].tolist(), t.at[first].tolist(), number.tolist()))
+        return ch.table(rows, form)
 
-    texts = saved(ch.meet(packed, wanted, line_texts, "node long, line binary"))
+    schema = "node long, line binary, chunk int, nodes array<long>, doc array<long>, at array<long>, n array<long>"
+    form = ch.kinds(schema)
+    both = saved(ch.meet(packed, wanted, lines_of, schema))
+    texts = both.where("line IS NOT NULL").select("node", "line")
+    exploded = F.explode(F.arrays_zip(F.col("nodes").alias("node"), "doc", "at", "n")).alias("x")
+    lines = both.where("nodes IS NOT NULL").select("chunk", exploded).select("chunk", "x.*")
 
     def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -208,22 +240,13 @@ def dedup(
     found = linked_groups(postings.select("key", "node"), verify)
 
     # the earliest line of each component, among all lines
-    def line_places(texts_: pa.Table) -> list[tuple]:
-        t = Lines(texts_)
-        some = t.distinct()
-        names, number = np.unique(t.node, return_counts=True)
-        number = number[np.searchsorted(names, t.node[some])] if len(some) else number
-        return [(t.node[some].tolist(), t.doc[some].tolist(), t.at[some].tolist(), number.tolist())]
-
-    lists = ch.ask(packed, line_places, "node array<long>, doc array<long>, at array<long>, n array<long>")
-    lines = lists.select("chunk", F.explode(F.arrays_zip("node", "doc", "at", "n")).alias("x")).select("chunk", "x.*")
-    place = F.struct("doc", "at")
-    firsts = lines.groupBy("node").agg(F.min(place).alias("first"), F.sum("n").alias("n"))
+    firsts = lines.groupBy("node").agg(F.min(F.struct("doc", "at")).alias("first"), F.sum("n").alias("n"))
     firsts = firsts.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     best = firsts.groupBy("component").agg(F.min("first").alias("best"), F.sum("n").alias("all"))
     # only lines that occur again, alike or equal, need an answer
-    kept = firsts.join(best.where(F.col("all") > 1), "component").select("node", F.col("best.doc").alias("doc"), F.col("best.at").alias("at"))
-    answers = lines.select("chunk", "node").join(kept, "node")
+    kept = firsts.select("node", "component").join(best.where(F.col("all") > 1), "component")
+    kept = kept.select("node", F.col("best.doc").alias("doc"), F.col("best.at").alias("at"))
+    answers = lines.select("node", "chunk").join(kept, "node").select("chunk", "node", "doc", "at")
 
     def cut(texts_: pa.Table, winners: pa.Table) -> pa.Table:
         t = Lines(texts_)

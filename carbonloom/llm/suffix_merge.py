@@ -417,7 +417,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             of, start, keys = t.window_keys(verdict.single)
             some, _ = _firsts(keys)
             rows += _blocks(WINDOWS, buckets, keys[some], t.id[of[some]], (t.at[of] + start - t.place[of])[some])
-        chunk = ch.chunk_of(replies)
+        chunk = ch.chunk_of(texts)
         return ch.table([(chunk, *r) for r in rows], form)
 
     def merged(blocks: list[dict]) -> list[tuple]:
