@@ -25,9 +25,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from carbonloom.llm import chunks as ch
+
 MARKER = "▁"
 UNKNOWN_PENALTY = 10.0
 #: Scores that differ by less are equal.
@@ -35,7 +38,10 @@ TIE = 1e-9
 #: Stretches longer than this are encoded alone, others in blocks of about so many cells.
 LONG, CELLS = 512, 1 << 19
 #: Stretches whose pieces a worker keeps.
-SEEN = 300_000
+SEEN = 200_000
+#: Bytes that are encoded, and ids that are decoded together, about.
+ENCODED = 2 << 20
+DECODED = 400_000
 _CUT = re.compile(rb" +[^ ]*")
 
 
@@ -361,27 +367,17 @@ def encode(docs: DataFrame, v: Vocabulary, id_col: str = "doc_id", text_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).to_pylist()
             # a batch of long texts is encoded in parts, so that the lists of stretches stay small
-            for a, b in _parts(texts):
-                ids = get()[0].encode(texts[a:b])
+            sizes = pc.binary_length(batch.column(1)).fill_null(0).to_numpy()
+            part = np.cumsum(sizes, dtype=np.int64) // ENCODED
+            for a, b in zip(starts := ch.runs(part).tolist(), [*starts[1:], len(sizes)]):
+                ids = get()[0].encode(batch.column(1).slice(a, b - a).to_pylist())
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), ids], names=["id", "text", "ids"])
 
     out = kinds.mapInArrow(run, f"id {kinds.schema['id'].dataType.simpleString()}, text string, ids array<int>")
     return out.select(F.col("id").alias(id_col), F.col("text").alias(text_col), "ids")
 
 
-def _parts(texts: list[str | None], size: int = 4 << 20) -> Iterator[tuple[int, int]]:
-    a = total = 0
-    for i, text in enumerate(texts):
-        total += len(text or "")
-        if total >= size:
-            yield a, i + 1
-            a, total = i + 1, 0
-    if a < len(texts):
-        yield a, len(texts)
-
-
 def decode(encoded: DataFrame, v: Vocabulary, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
     """All columns and the decoded text."""
     get = _shared(encoded, v)
@@ -391,7 +387,12 @@ def decode(encoded: DataFrame, v: Vocabulary, ids_col: str = "ids", out: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([*batch.columns, get()[1].decode(batch.column(at))], names=[*names, "text"])
+            # in parts: the places of all bytes of a batch would be large
+            sizes = batch.column(at).value_lengths().fill_null(0).to_numpy()
+            part = np.cumsum(sizes) // DECODED
+            for a, b in zip(starts := ch.runs(part).tolist(), [*starts[1:], len(sizes)]):
+                rows = batch.slice(a, b - a)
+                yield pa.RecordBatch.from_arrays([*rows.columns, get()[1].decode(rows.column(at))], names=[*names, "text"])
 
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in plain.schema)
     return plain.mapInArrow(run, f"{schema}, text string").toDF(*encoded.columns, out)
