@@ -190,7 +190,9 @@ def keep(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "text
         rule = found["rule"]
         for name in rule.needs:
             if name not in has:
+                # generated, not projected: else Catalyst would write the measure out in the filter, term by term
                 df, has = steps[name](df), has | {name}
+                df = df.select(*(c for c in df.columns if c != name), F.explode(F.array(name)).alias(name))
         df = df.filter(~F.coalesce(rule.fails({n: F.col(n) for n in rule.needs}), F.lit(False)))
     return df.select(*(F.col(new).alias(old) for old, new in names.items()))
 
