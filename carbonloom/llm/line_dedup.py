@@ -84,29 +84,26 @@ def _least(hashes: np.ndarray, owner: np.ndarray, begin: np.ndarray, bins: int)
     out = np.full((n, bins), _LOW, np.uint64)
     few = np.diff(begin) < FEW
     some = few[owner]
+    seeds = hs.mix(np.arange(1, bins + 1, dtype=np.uint64))
     if some.any():
         own, first = hashes[some], ch.runs(owner[some])
         for k in range(bins):
-            out[few, k] = np.minimum.reduceat(hs.mix(own + np.uint64(k + 1) * np.uint64(0xD1342543DE82EF95)) >> _BITS, first)
+            out[few, k] = np.minimum.reduceat(hs.mix(own + seeds[k]) >> _BITS, first)
     if not few.all():
         own, of = hashes[~some], (np.cumsum(~few) - 1)[owner[~some]]
         least = np.full(int((~few).sum()) * bins, _LOW, np.uint64)
         np.minimum.at(least, of * bins + (((own >> _BITS) * np.uint64(bins)) >> _BITS).astype(np.int64), own & _LOW)
         least = least.reshape(-1, bins)
         # an empty bin takes the value of the first filled one of a sequence that is random, and its own
-        empty = least == _LOW
-        filled = ~empty
-        source = least.copy()
-        for turn in range(4 * bins):
-            rows = np.flatnonzero(empty.any(axis=1))
-            if not len(rows):
+        row, column = np.nonzero(least == _LOW)
+        filled, source = least != _LOW, least.copy()
+        for turn in range(8 * bins):
+            if not len(row):
                 break
             pick = (hs.mix(np.arange(bins, dtype=np.uint64) + np.uint64(1000 * (turn + 1))) % np.uint64(bins)).astype(np.int64)
-            take = empty[rows] & filled[rows][:, pick]
-            part = least[rows]
-            part[take] = source[rows][:, pick][take]
-            least[rows] = part
-            empty[rows] &= ~take
+            take = filled[row, pick[column]]
+            least[row[take], column[take]] = source[row[take], pick[column[take]]]
+            row, column = row[~take], column[~take]
         out[~few] = least
     return out
 
