@@ -34,8 +34,8 @@ def catalog_dimension(catalog: DataFrame) -> DataFrame:
     return catalog.withColumnsRenamed(CATALOG_NAMES).drop("grdp_share")
 
 
-def with_years(catalog: DataFrame, first: int, last: int, year: str = "Year") -> DataFrame:
-    """Every catalog row once per year, without a join."""
+def with_years(catalog: DataFrame, first: int | Column, last: int | Column, year: str = "Year") -> DataFrame:
+    """Every catalog row once per year, without a join; the years may be scalar subqueries over the data."""
     return catalog.withColumn(year, F.explode(F.sequence(F.lit(first), F.lit(last))))
 
 

@@ -57,6 +57,19 @@ def enforce(df: DataFrame, dataset: str, rules: list[Rule]) -> None:
         )
 
 
+def enforce_unique(df: DataFrame, dataset: str, key: list[str], partition: str | None = None) -> set:
+    """Raise if two rows share a key; one row comes back to the driver, with the values of ``partition`` (few)."""
+    counts = df.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
+    found = counts.agg(
+        F.count_if(F.col("n") > 1).alias("doubled"),
+        F.min(F.when(F.col("n") > 1, F.struct(*key).cast("string"))).alias("example"),
+        *([] if partition is None else [F.collect_set(partition).alias("values")]),
+    ).first()
+    if found.doubled:
+        raise ValueError(f"{dataset}: {found.doubled} values of {', '.join(key)} occur more than once, such as {found.example}")
+    return set() if partition is None else set(found["values"])
+
+
 def fail_on_broken(df: DataFrame, dataset: str, rules: list[Rule]) -> DataFrame:
     """The rows unchanged; the job that reads them fails at the first one that breaks a rule."""
     names = F.concat_ws(", ", *(F.when(rule.broken, F.lit(rule.name)) for rule in rules))

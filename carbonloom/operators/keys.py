@@ -15,10 +15,11 @@ def dense_keys(
 ) -> DataFrame:
     """Number the rows ``start + 1, start + 2, …`` in the order (hash prefix, natural key).
 
-    ``natural_key`` must be unique. Rows are numbered inside 16**digits hash buckets; only the
+    ``natural_key`` must be unique; a NULL one fails the job. Rows are numbered inside 16**digits hash buckets; only the
     bucket counts (16**digits rows at most) are summed up in one place.
     """
-    bucketed = df.withColumn("_bucket", F.substring(F.md5(F.col(natural_key).cast("string")), 1, digits))
+    text = F.coalesce(F.col(natural_key).cast("string"), F.raise_error(F.lit(f"NULL in natural key {natural_key}")))
+    bucketed = df.withColumn("_bucket", F.substring(F.md5(text), 1, digits))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         bucketed.groupBy("_bucket")

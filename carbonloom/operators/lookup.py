@@ -1,7 +1,7 @@
 """Star lookups: facts joined to dimensions on natural keys, and the rows those joins lose.
 
-A dimension without a size bound is joined by ``sized_lookup``: it is broadcast when a count shows
-that it is small, and otherwise shuffled with each key's fact rows split over several groups.
+How a dimension is joined is left to Spark: it broadcasts by its own size estimate, at run time too, and
+splits skewed partitions of a shuffled join. A caller who knows better asks for salts.
 """
 
 from __future__ import annotations
@@ -10,34 +10,16 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-SALTS = 16
-SMALL_ROWS = 200_000
 
-
-def is_small(dim: DataFrame, rows: int = SMALL_ROWS) -> bool:
-    """Counts the dimension, but not past ``rows``."""
-    return dim.limit(rows + 1).count() <= rows
-
-
-def sized(dim: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
-    """The dimension, marked for broadcast when a count shows that it is small.
-
-    For derived dimensions, whose size Spark can only guess; published tables have a known size.
-    """
-    return F.broadcast(dim) if is_small(dim, rows) else dim
-
-
-def sized_lookup(
-    fact: DataFrame, dim: DataFrame, on: str, row_id: Column, how: str = "inner", small: bool | None = None
+def spread_lookup(
+    fact: DataFrame, dim: DataFrame, on: str, row_id: Column, how: str = "inner", salts: int | None = None
 ) -> DataFrame:
-    """Lookup in a dimension of unknown size. ``small`` is the result of :func:`is_small` where known."""
-    if is_small(dim) if small is None else small:
-        return fact.join(F.broadcast(dim), on, how)
-    return salted_lookup(fact, dim, on, row_id, how)
+    """Lookup in a dimension without a size bound; with ``salts``, see :func:`salted_lookup`."""
+    return fact.join(dim, on, how) if salts is None else salted_lookup(fact, dim, on, row_id, salts, how)
 
 
 def salted_lookup(
-    fact: DataFrame, dim: DataFrame, on: str, row_id: Column, how: str = "inner", salts: int = SALTS
+    fact: DataFrame, dim: DataFrame, on: str, row_id: Column, salts: int, how: str = "inner"
 ) -> DataFrame:
     """Shuffled lookup in which each key's fact rows go to ``salts`` groups.
 

@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .keys import dense_keys
-from .lookup import is_small
 
 
 def one_row_per_key(source: DataFrame, key: str) -> DataFrame:
@@ -16,9 +15,10 @@ def one_row_per_key(source: DataFrame, key: str) -> DataFrame:
     packed = source.groupBy(key).agg(
         F.count(F.lit(1)).alias("_n"), F.any_value(F.struct(*others)).alias("_row")
     )
-    message = F.concat(F.lit("several source rows for key "), F.col(key).cast("string"))
-    unique = F.when(F.col("_n") == 1, F.col("_row")).otherwise(F.raise_error(message))
-    return packed.select(key, unique.alias("_row")).select(key, *(F.col(f"_row.{c}").alias(c) for c in others))
+    message = F.concat(F.lit("several source rows for key "), F.coalesce(F.col(key).cast("string"), F.lit("NULL")))
+    # a filter, so that no projection can prune the check away
+    unique = F.when(F.col("_n") == 1, F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
+    return packed.where(unique).select(key, *(F.col(f"_row.{c}").alias(c) for c in others))
 
 
 def scd1_merge(
@@ -68,13 +68,15 @@ def scd1_merge(
     return known.unionByName(fresh).select(*target.columns)
 
 
-def replace_slices(existing: DataFrame, staged: DataFrame, key: str) -> DataFrame:
-    """Idempotent reload: rows of every ``key`` value present in ``staged`` are replaced by it.
+def staged_keys(staged: DataFrame, key: str) -> DataFrame:
+    """The key values that a reload replaces: those staged, before any lookup loses rows."""
+    return staged.select(key).where(F.col(key).isNotNull()).distinct()
 
-    The values are counted first: few of them (years, as a rule) are broadcast, so that the
-    existing rows need no shuffle.
+
+def replace_slices(existing: DataFrame, rows: DataFrame, key: str, staged: DataFrame | None = None) -> DataFrame:
+    """Idempotent reload: rows of every ``key`` value of ``staged`` (``rows`` itself if not given) give way to ``rows``.
+
+    A staged value whose rows the lookups have all lost is left without rows.
     """
-    reloaded = staged.select(key).distinct()
-    if is_small(reloaded):
-        reloaded = F.broadcast(reloaded)
-    return existing.join(reloaded, key, "left_anti").unionByName(staged.select(*existing.columns))
+    keys = staged_keys(rows if staged is None else staged, key)
+    return existing.join(keys, key, "left_anti").unionByName(rows.select(*existing.columns))

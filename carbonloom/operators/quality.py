@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import constants as k
 from .constraints import Rule
-from .quantiles import exact_medians, value_pairs
+from .quantiles import bracket, exact_medians, value_pairs
 
 
 def union_all(parts: Sequence[DataFrame]) -> DataFrame:
@@ -107,23 +107,30 @@ def row_count(df: DataFrame, dataset: str, expected: int) -> DataFrame:
 
 
 def summary_stats(datasets: dict[str, tuple[DataFrame, Sequence[str]]]) -> DataFrame:
-    """(dataset, column, min, max, mean, median), NULLs skipped, exact; one median search for all."""
+    """(dataset, column, min, max, mean, median), NULLs skipped, exact, in two passes over each dataset: one for
+    everything but the median and for its bracket, one for the median."""
     stats, pairs = [], []
     for dataset, (df, columns) in datasets.items():
         summed = df.agg(
             *(F.min(F.col(c).cast("double")).alias(f"min{i}") for i, c in enumerate(columns)),
             *(F.max(F.col(c).cast("double")).alias(f"max{i}") for i, c in enumerate(columns)),
             *(F.try_divide(F.sum(c).cast("double"), F.count(c)).alias(f"mean{i}") for i, c in enumerate(columns)),
+            *(F.count(c).alias(f"rows{i}") for i, c in enumerate(columns)),
+            *(bracket(F.col(c).cast("double")).alias(f"ends{i}") for i, c in enumerate(columns)),
         )
         rows = F.array(
-            *(F.struct(F.lit(c).alias("column"), *(F.col(f"{n}{i}").alias(n) for n in ("min", "max", "mean")))
+            *(F.struct(F.lit(c).alias("column"), *(F.col(f"{n}{i}").alias(n) for n in ("min", "max", "mean", "rows", "ends")))
               for i, c in enumerate(columns))
         )
         stats.append(summed.select(F.lit(dataset).alias("dataset"), F.inline(rows)))
         pairs.append(value_pairs(df, columns, prefix=dataset + "."))
     place = F.concat_ws(".", "dataset", "column")
-    medians = exact_medians(union_all(pairs)).withColumnRenamed("column", "_place")
-    return union_all(stats).join(medians, place == F.col("_place"), "left").drop("_place")
+    found = union_all(stats)
+    ranges = found.where("ends IS NOT NULL").select(
+        place.alias("column"), "rows", F.col("ends")[0].alias("lo"), F.col("ends")[1].alias("hi")
+    )
+    medians = exact_medians(union_all(pairs), ranges).withColumnRenamed("column", "_place")
+    return found.join(medians, place == F.col("_place"), "left").drop("_place", "rows", "ends")
 
 
 def profile(df: DataFrame, dataset: str, columns: Sequence[str], rules: Sequence[Rule] = ()) -> DataFrame:

@@ -28,8 +28,8 @@ def with_lags(
         F.col(year).alias("_from"),
         F.explode(F.array(*(F.lit(o) for o in offsets))).alias("_lag"),
     ).withColumn(year, F.col("_from") + F.col("_lag"))
-    if last_year is not None:
-        sent = sent.where(F.col(year) <= last_year)
+    if last_year is not None:  # for years made by a lag only: a row's own year stays
+        sent = sent.where((F.col("_lag") == 0) | (F.col(year) <= last_year))
 
     def pick(lag: int) -> Column:
         return F.max(F.when(F.col("_lag") == lag, F.col("_v")))
@@ -40,14 +40,9 @@ def with_lags(
 
 
 def keep_first(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """First row per key in the given order; duplicates fall away before the shuffle."""
-    rest = [c for c in df.columns if c not in key]
-    return (
-        df.groupBy(*key)
-        .agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("_row"))
-        .select(*key, *(F.col(f"_row.{c}").alias(c) for c in rest))
-        .select(*df.columns)
-    )
+    """First row per key in the given order; Spark drops later rows of a key before the shuffle."""
+    first = F.row_number().over(Window.partitionBy(*key).orderBy(*order))
+    return df.withColumn("_first", first).where("_first = 1").drop("_first")
 
 
 def nonempty_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -63,9 +58,12 @@ def pivot_first(
     Keys whose values are all NULL are left out.
     """
 
+    # a single column needs no struct, and fixed-width values can be aggregated in place
+    place = F.col(order[0]) if len(order) == 1 else F.struct(*order)
+
     def first(name: str) -> Column:
         wanted = (F.col(names) == name) & F.col(value).isNotNull()
-        return F.min_by(F.when(wanted, F.col(value)), F.when(wanted, F.struct(*order))).alias(name)
+        return F.min_by(F.when(wanted, F.col(value)), F.when(wanted, place)).alias(name)
 
     wide = df.where(F.col(names).isin(*columns)).groupBy(key).agg(*(first(c) for c in columns))
     return nonempty_rows(wide, columns)

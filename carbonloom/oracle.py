@@ -419,9 +419,14 @@ FROM part GROUP BY p_type""")
 cte("text_lines")("SELECT lang, unnest(string_split(text, chr(10))) AS line FROM documents")
 
 sql("blank_rule", ("text_lines",), """
-SELECT lang, COUNT(NULLIF(cell, '')) AS Numbers, COUNT(*) AS Numbers_Or_Zero,
-  CAST(SUM(COALESCE(CAST(NULLIF(cell, '') AS BIGINT), 0)) AS BIGINT) AS Total, COUNT(*) FILTER (WHERE cell = '1') AS Flags
-FROM (SELECT lang, regexp_extract(line, '([0-9]{1,9})', 1) AS cell FROM text_lines) GROUP BY lang""")
+SELECT lang, COUNT(n) AS Numbers, COUNT(*) AS Numbers_Or_Zero,
+  CAST(SUM(COALESCE(n, 0) % 1000003) AS BIGINT) AS Total, COUNT(*) FILTER (WHERE cell = '1') AS Flags
+FROM (SELECT lang, cell, CASE WHEN length(cell) BETWEEN 1 AND 38 THEN CAST(cell AS HUGEINT) END AS n
+      FROM (SELECT lang, regexp_extract(line, '([0-9]+)', 1) AS cell FROM text_lines)) GROUP BY lang""")
+
+sql("csv_quoted_cells", (), """
+SELECT c_custkey AS code, c_name || ' "' || c_nationkey || '", x' AS name, CAST(c_nationkey AS BIGINT) AS nation
+FROM customer""")
 
 sql("bulk_lines_split", ("text_lines",), """
 SELECT lang, COUNT(*) FILTER (WHERE len(f) >= 3) AS kept, COUNT(*) FILTER (WHERE len(f) < 3) AS dropped,
@@ -487,6 +492,19 @@ FROM (SELECT year(o_orderdate) AS Date_Key, 'loaded' AS origin, {money('o_totalp
       UNION ALL SELECT year(l_shipdate), 'staged', {money('l_extendedprice')} FROM lineitem WHERE year(l_shipdate) >= 2000)
 GROUP BY 1, 2""")
 
+sql("reload_by_staged_years", (), """
+SELECT Date_Key, origin, COUNT(*) AS Fact_Rows
+FROM (SELECT year(o_orderdate) AS Date_Key, 'loaded' AS origin FROM orders
+      WHERE year(o_orderdate) NOT IN (SELECT year(l_shipdate) FROM lineitem WHERE year(l_shipdate) >= 1996)
+      UNION ALL SELECT year(l_shipdate), 'staged' FROM lineitem
+      WHERE year(l_shipdate) >= 1996 AND year(l_shipdate) % 2 = 0)
+GROUP BY 1, 2""")
+
+sql("fact_key_uniqueness", ("national_fact", "provincial_fact", "hourly_fact"), """
+SELECT 'national' AS fact, COUNT(*) AS Fact_Rows, COUNT(*) AS Fact_Keys FROM national_fact
+UNION ALL SELECT 'provincial', COUNT(*), COUNT(*) FROM provincial_fact
+UNION ALL SELECT 'hourly', COUNT(*), COUNT(*) FROM hourly_fact""")
+
 _RULES = (
     ("orders", "o_totalprice > 0", "orders", "o_totalprice <= 0 OR o_totalprice IS NULL"),
     ("orders", "o_orderdate not null", "orders", "o_orderdate IS NULL"),
@@ -520,7 +538,8 @@ FROM (
     CASE WHEN event_type = 'error' THEN 'code ' || CAST(json_extract(props, '$.k') AS INTEGER) END AS error,
     CAST(epoch_us(ts) AS HUGEINT) * 1000000000 + event_id AS ord
   FROM events)
-GROUP BY log_id, lone""")
+GROUP BY log_id, lone
+HAVING lone IS NOT NULL OR log_id IS NULL OR bool_or(status = 'RUNNING')""")
 
 # --- aggregates --------------------------------------------------------------------
 
@@ -724,7 +743,7 @@ FROM (
     round(COALESCE(grdp, 10000000) * share, 2) AS GRDP_Billion_VND,
     round(COALESCE(ghg, 500) * (share * CAST(CASE WHEN c_nationkey % 2 = 0 THEN 1.6 ELSE 0.75 END AS DOUBLE)), 3) AS Carbon_Mt
   FROM (SELECT c_nationkey, CAST(COUNT(*) AS DOUBLE) / (SELECT COUNT(*) FROM customer) AS share FROM customer GROUP BY 1)
-  CROSS JOIN range(1995, 2003) t(y)
+  CROSS JOIN range((SELECT MIN(year(o_orderdate)) FROM orders), (SELECT MAX(year(o_orderdate)) + 2 FROM orders)) t(y)
   LEFT JOIN (SELECT year(o_orderdate) AS y, CAST(SUM({money('o_totalprice')}) AS DOUBLE) AS grdp,
                CAST(COUNT(*) AS DOUBLE) / 1000 AS ghg FROM orders GROUP BY 1) n ON n.y = t.y)""")
 
@@ -770,11 +789,12 @@ FROM national_years""")
 
 cte("sector_sums", "national_view")(national_sums(", Sector_Code"))
 sql("measures_national_by_sector", ("sector_sums", "dates"), f"""
-SELECT Year, Sector_Code, ghg AS Total_GHG_Emissions, prior AS Emissions_Prior_Year, {_YOY} AS Emissions_YoY_Growth,
+SELECT Year, Sector_Code, ghg AS Total_GHG_Emissions, gdp AS National_GDP, {_INTENSITY} AS National_Emission_Intensity, prior AS Emissions_Prior_Year, {_YOY} AS Emissions_YoY_Growth,
   {_CAGR} AS Emissions_CAGR_5Y, CASE WHEN ghg IS NOT NULL OR z IS NOT NULL
     THEN COALESCE(ghg, 0) - COALESCE(z * {_CUT}, 0) END AS Target_Gap
 FROM (
-  SELECT d.Year, k.Sector_Code, s.ghg, p.ghg AS prior, b.ghg AS base, z.ghg AS z
+  SELECT d.Year, k.Sector_Code, s.ghg, p.ghg AS prior, b.ghg AS base, z.ghg AS z,
+    (SELECT MAX(t.gdp) FROM sector_sums t WHERE t.Year = d.Year AND t.Sector_Code = 'TOT') AS gdp
   FROM dates d CROSS JOIN (SELECT DISTINCT Sector_Code FROM sector_sums) k
   LEFT JOIN sector_sums s ON s.Year = d.Year AND s.Sector_Code = k.Sector_Code
   LEFT JOIN sector_sums p ON p.Year = d.Year - 1 AND p.Sector_Code = k.Sector_Code
@@ -848,10 +868,27 @@ FROM (
              FROM hourly_view GROUP BY 1) a ON a.Province_Code = p.Province_Code
   CROSS JOIN target)""")
 
-sql("card_title", ("provincial_view",), f"""
+sql("card_title", ("provinces",), f"""
 SELECT Economic_Zone, Region, {quoted(k.CARD_TITLE)} || CASE WHEN COUNT(DISTINCT Province_Name) = 1 THEN MIN(Province_Name)
-  ELSE {quoted(k.NO_SELECTION)} END AS Card_Title FROM provincial_view GROUP BY 1, 2""")
-
+  ELSE {quoted(k.NO_SELECTION)} END AS Card_Title FROM provinces GROUP BY 1, 2""")
+
+sql("measures_air_by_rush", ("hourly_view",), f"""
+SELECT r.* EXCLUDE (Rush_Hour_Exceeding_Hours), w.h AS Rush_Hour_Exceeding_Hours
+FROM (SELECT Region, Is_Rush_Hour, {_AIR} FROM hourly_view GROUP BY 1, 2) r
+JOIN (SELECT Region, CAST(SUM(CASE WHEN Is_Rush_Hour THEN CAST(Is_Exceeding_QCVN AS INTEGER) END) AS BIGINT) AS h
+      FROM hourly_view GROUP BY 1) w ON w.Region = r.Region""")
+
+_WHOLE = """CAST(SUM(Emissions_MtCO2e) AS DOUBLE) AS ghg, CAST(SUM(CO2_MtCO2e) AS DOUBLE) AS co2"""
+_GDP = "CAST(MAX(CASE WHEN Sector_Code = 'TOT' THEN GDP_USD END) AS DOUBLE) AS gdp"
+sql("measures_by_decade", ("national_view",), f"""
+SELECT s.Decade, s.Sector_Code, ghg AS Total_GHG_Emissions, co2 AS Total_CO2_Emissions, gdp AS National_GDP,
+  {_INTENSITY} AS National_Emission_Intensity
+FROM (SELECT Year // 10 * 10 || 's' AS Decade, Sector_Code, {_WHOLE} FROM national_view GROUP BY 1, 2) s
+JOIN (SELECT Year // 10 * 10 || 's' AS Decade, {_GDP} FROM national_view GROUP BY 1) g ON g.Decade = s.Decade""")
+sql("measures_total", ("national_view",), f"""
+SELECT ghg AS Total_GHG_Emissions, co2 AS Total_CO2_Emissions, gdp AS National_GDP,
+  {_INTENSITY} AS National_Emission_Intensity FROM (SELECT {_WHOLE}, {_GDP} FROM national_view)"""
+)
 sql("dashboard_gdp_co2", ("national_sums",), f"""
 SELECT Year, gdp AS National_GDP, co2 AS Total_CO2_Emissions, {_INTENSITY} AS National_Emission_Intensity FROM national_sums""")
 sql("dashboard_sector_share", ("national_view",), """

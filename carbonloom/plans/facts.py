@@ -8,7 +8,7 @@ from .. import constants as k
 from ..functions.ratios import total_row_guard
 from ..operators.constraints import Rule, non_negative, percentage, required
 from ..operators.keys import packed_key
-from ..operators.lookup import sized_lookup, star
+from ..operators.lookup import spread_lookup, star
 
 PROVINCIAL_MEASURES = (
     "GRDP_Billion_VND",
@@ -24,6 +24,7 @@ READINGS = ("CO2_ppm", "CO_mg_m3", "NO2_ug_m3", "SO2_ug_m3", "PM25_ug_m3", "PM10
 YEARS, GAS_SLOTS, HOURS = 10_000, 16, 1 << 21
 
 NATIONAL_RULES = [
+    required("Emission_ID"),
     required("Date_Key"),
     required("Sector_Key"),
     non_negative("Emissions_MtCO2e", null_ok=False),
@@ -33,6 +34,7 @@ NATIONAL_RULES = [
     non_negative("GDP_USD"),
 ]
 PROVINCIAL_RULES = [
+    required("Economy_ID"),
     required("Date_Key"),
     required("Province_Key"),
     *(non_negative(c, null_ok=False) for c in PROVINCIAL_MEASURES[:3]),
@@ -41,7 +43,7 @@ PROVINCIAL_RULES = [
     required("Decoupling_Index"),
 ]
 HOURLY_RULES: list[Rule] = [
-    required(c) for c in ("Date_Key", "Time_Key", "Province_Key", "Station_Key", *READINGS, "AQI_Index")
+    required(c) for c in ("Monitoring_ID", "Date_Key", "Time_Key", "Province_Key", "Station_Key", *READINGS, "AQI_Index")
 ]
 
 
@@ -60,7 +62,9 @@ def national_fact(
         national.select("Year", "CO2_MtCO2e", "Methane_MtCO2e", "Renewable_Energy_Pct", "GDP_USD"), "Year", "left"
     )
     code = F.col("Sector_Code")
-    gas_slot = F.array_position(F.array(*(F.lit(g) for g in gases)), F.col("Gas"))
+    slot = F.array_position(F.array(*(F.lit(g) for g in gases)), F.col("Gas"))
+    unknown = F.raise_error(F.concat(F.lit("unknown gas: "), F.coalesce(F.col("Gas"), F.lit("NULL"))))
+    gas_slot = F.when(slot > 0, slot).otherwise(unknown.cast("long"))
     return rows.select(
         packed_key((F.col("Sector_Key"), 0), (F.col("Date_Key"), YEARS), (gas_slot, GAS_SLOTS)).alias("Emission_ID"),
         "Date_Key",
@@ -104,12 +108,12 @@ def hourly_fact(
     dim_station: DataFrame,
     row_id: Column | None = None,
     keep: tuple[str, ...] = ("Month", "Day"),
-    small_stations: bool | None = None,
+    salts: int | None = None,
 ) -> DataFrame:
     """Readings with their four keys. ``keep`` columns ride along for the physical partitions.
 
     Year, hour and province dimensions are small. Stations have no size bound, and one station may
-    hold much of the data: their lookup is sized. ``row_id`` gives Monitoring_ID where station and
+    hold much of the data: their lookup takes ``salts``. ``row_id`` gives Monitoring_ID where station and
     hour do not identify a reading.
     """
     rows = star(
@@ -120,7 +124,7 @@ def hourly_fact(
     )
     spread = row_id if row_id is not None else F.struct("Month", "Day", "Hour_24")
     places = dim_station.select("Station_Key", "Station_Code")
-    rows = sized_lookup(rows, places, "Station_Code", spread, small=small_stations)
+    rows = spread_lookup(rows, places, "Station_Code", spread, salts=salts)
     return rows.select(
         (row_id if row_id is not None else reading_key()).cast("long").alias("Monitoring_ID"),
         "Date_Key",

@@ -1,24 +1,35 @@
 """Load jobs over a warehouse folder of Parquet tables.
 
-Every job can be run again after any failure: staging is overwritten, dimensions are merged by
-natural key, facts replace the partitions of the years they bring.
+Every job can be run again after any failure: staging is overwritten, dimensions are merged by natural key into
+a new version, facts replace the partitions of the years that are staged.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from .. import constants as k
 from ..operators import quality
 from ..operators.audit import RUNNING, audit_state
-from ..operators.constraints import non_negative, percentage, positive
+from ..operators.constraints import Rule, non_negative, percentage, positive, required
 from ..operators.generators import dim_date, dim_time_of_day, sector_seed
 from ..operators.lookup import lookup_losses
 from ..operators.merge import scd1_merge
 from ..sources import csvfiles, schemas
-from ..sources.tables import exists, publish_dimension, publish_fact, stage_overwrite, truncate
+from ..sources.tables import (
+    exists,
+    publish_dimension,
+    publish_fact,
+    published,
+    remember_schema,
+    remembered_schema,
+    stage_overwrite,
+    truncate,
+)
 from . import facts, measures, views
 
 STAGING = ("national", "sectors", "provincial", "provinces", "stations", "hourly")
@@ -33,12 +44,19 @@ AUDIT = (
 )
 DIMENSIONS = {
     "dim_date": "Date_Key int, Year int, Decade string, Five_Year_Plan_Phase string, Is_Target_Milestone boolean",
+    "dim_time_of_day": "Time_Key int, Hour_24 smallint, Hour_Label string, Time_Bucket string, Is_Rush_Hour boolean",
     "dim_province": "Province_Key bigint, " + schemas.PROVINCES,
     "dim_sector": "Sector_Key bigint, Sector_Code string, Sector_Name_EN string, Sector_Name_VI string, "
     "Sector_Category string, Scope_Type string",
     "dim_station": "Station_Key bigint, Station_Code string, Station_Name string, Province_Key bigint, "
     "Station_Type string, Latitude decimal(9,6), Longitude decimal(9,6), Is_Active boolean",
 }
+#: Beside the natural and surrogate keys, which are checked for NULLs and duplicates in every version.
+DIMENSION_RULES = {
+    "dim_province": [non_negative("Area_Km2"), *(required(c) for c in PROVINCE_COLUMNS)],
+    "dim_sector": [required(c) for c in SECTOR_COLUMNS],
+    "dim_station": [required(c) for c in STATION_COLUMNS],
+}
 
 
 @dataclass(frozen=True)
@@ -50,11 +68,27 @@ class Warehouse:
         return f"{self.root}/{table}"
 
     def read(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(table))
+        """A table under its known schema, so that opening it runs no job."""
+        if table in DIMENSIONS:
+            path = published(self.spark, self.path(table))
+            if path is None:
+                raise FileNotFoundError(f"{table} is not loaded yet")
+            return self.spark.read.schema(DIMENSIONS[table]).parquet(path)
+        schema = remembered_schema(self.spark, self.path(table))
+        reader = self.spark.read if schema is None else self.spark.read.schema(schema)
+        return reader.parquet(self.path(table))
 
     def has(self, table: str) -> bool:
+        if table in DIMENSIONS:
+            return published(self.spark, self.path(table)) is not None
         return exists(self.spark, self.path(table))
 
+    def publish(self, table: str, df: DataFrame, key: str, natural: str | None = None, rules: Sequence[Rule] = ()) -> None:
+        """The dimension under its declared types, as a new version."""
+        wanted = StructType.fromDDL(DIMENSIONS[table])
+        typed = df.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in wanted))
+        publish_dimension(self.spark, typed, self.path(table), key, natural, rules)
+
     def dimension(self, table: str) -> DataFrame:
         """The dimension, empty before its first load."""
         if self.has(table):
@@ -111,7 +145,9 @@ class Warehouse:
         """Bulk-loads readings; returns the kept and dropped line counts, taken in the same pass."""
         seen = Observation()
         split = csvfiles.bulk_lines(self.spark, path, schemas.HOURLY).observe(seen, *csvfiles.line_counts())
-        csvfiles.typed_rows(split, schemas.HOURLY).write.mode("overwrite").parquet(self.path("staging/hourly"))
+        rows = csvfiles.typed_rows(split, schemas.HOURLY)
+        rows.write.mode("overwrite").parquet(self.path("staging/hourly"))
+        remember_schema(self.spark, self.path("staging/hourly"), rows.schema)
         return seen.get
 
     # --- dimensions ----------------------------------------------------------------
@@ -120,8 +156,8 @@ class Warehouse:
         if self.has("dim_date"):
             known = self.read("dim_date")
             dates = known.join(dates, "Date_Key", "left_anti").unionByName(dates)
-        publish_dimension(self.spark, dates, self.path("dim_date"), "Date_Key")
-        publish_dimension(self.spark, dim_time_of_day(self.spark), self.path("dim_time_of_day"), "Time_Key")
+        self.publish("dim_date", dates, "Date_Key", "Year")
+        self.publish("dim_time_of_day", dim_time_of_day(self.spark), "Time_Key", "Hour_24")
         self._merge("dim_sector", sector_seed(self.spark), "Sector_Code", [*SECTOR_COLUMNS, "Scope_Type"], "Sector_Key")
         if self.has("staging/provinces"):
             self.load_provinces()
@@ -132,7 +168,7 @@ class Warehouse:
             return
         target = self.dimension(table)
         merged = scd1_merge(target, source, key, columns, surrogate, **options)
-        publish_dimension(self.spark, merged.select(*target.columns), self.path(table), surrogate)
+        self.publish(table, merged, surrogate, key, DIMENSION_RULES.get(table, ()))
 
     def load_provinces(self) -> None:
         self._merge(
@@ -164,37 +200,53 @@ class Warehouse:
         national = facts.national_fact(
             self.staged("sectors"), dates, self.read("dim_sector"), self.staged("national")
         )
-        publish_fact(national, self.path("fact_national"), facts.NATIONAL_RULES)
+        years = self.staged("sectors").select(F.col("Year").alias("Date_Key"))
+        publish_fact(national, self.path("fact_national"), facts.NATIONAL_RULES, "Emission_ID", years)
         provincial = facts.provincial_fact(self.staged("provincial"), dates, self.read("dim_province"))
-        publish_fact(provincial, self.path("fact_provincial"), facts.PROVINCIAL_RULES)
+        years = self.staged("provincial").select(F.col("Year").alias("Date_Key"))
+        publish_fact(provincial, self.path("fact_provincial"), facts.PROVINCIAL_RULES, "Economy_ID", years)
 
     def load_hourly_fact(self) -> None:
+        staged = self.staged("hourly")
         fact = facts.hourly_fact(
-            self.staged("hourly"),
+            staged,
             self.read("dim_date"),
             self.read("dim_time_of_day"),
             self.read("dim_province"),
             self.read("dim_station"),
         )
-        publish_fact(fact, self.path("fact_hourly"), facts.HOURLY_RULES, ("Date_Key", "Month"))
+        publish_fact(fact, self.path("fact_hourly"), facts.HOURLY_RULES, "Monitoring_ID", staged)
 
     def orphans(self) -> DataFrame:
-        """Staged rows that the inner lookups lose."""
-        return lookup_losses(
-            self.staged("provincial"), {"province": (self.read("dim_province"), "Province_Code", "Province_Code")}
-        ).unionByName(
-            lookup_losses(
-                self.staged("sectors"), {"sector": (self.read("dim_sector"), "Sector_Code", "Sector_Code")}
-            )
+        """(fact, lookup, rows_lost): staged rows that each inner lookup would lose, for the tables that are staged."""
+        dates, provinces = (self.read("dim_date"), "Year", "Year"), (self.read("dim_province"), "Province_Code", "Province_Code")
+        lookups = {
+            "provincial": {"date": dates, "province": provinces},
+            "sectors": {"date": dates, "sector": (self.read("dim_sector"), "Sector_Code", "Sector_Code")},
+        }
+        if self.has("staging/hourly") and self.has("dim_station"):
+            lookups["hourly"] = {
+                "date": (self.read("dim_date"), "Date_Key", "Date_Key"),
+                "hour": (self.read("dim_time_of_day"), "Hour_24", "Hour_24"),
+                "province": provinces,
+                "station": (self.read("dim_station"), "Station_Code", "Station_Code"),
+            }
+        return quality.union_all(
+            [lookup_losses(self.staged(name), by).select(F.lit(name).alias("fact"), "lookup", "rows_lost") for name, by in lookups.items()]
         )
 
+    def log_losses(self, package: str, facts_: Sequence[str]) -> None:
+        """One finished entry per lookup that loses rows."""
+        for row in self.orphans().where(F.col("fact").isin(*facts_) & (F.col("rows_lost") > 0)).collect():
+            self.log(package, "WARNING", f"{row.fact}: rows lost by {row.lookup}", rows=row.rows_lost)
+
     def run(self, package: str, task: str, job, table: str | None = None) -> None:
         """Runs one job with its audit trail; the row count of ``table`` goes into it."""
         run = self.log(package, RUNNING, task)
         try:
             job()
         except Exception as error:
-            self.log(package, "FAILED", task, run, error=str(error)[:4000])
+            self.log(package, "FAILED", task, run, error=str(error))
             raise
         rows = self.read(table).count() if table else None
         self.log(package, "SUCCESS", task, run, rows)
@@ -203,6 +255,16 @@ class Warehouse:
         """Dimensions, then facts, with audit."""
         self.run("dimensions", "provinces and sectors", self.load_dimensions)
         self.run("facts", "national and provincial", self.load_yearly_facts, "fact_provincial")
+        self.log_losses("facts", ("provincial", "sectors"))
+
+    def load_hourly(self, path: str) -> None:
+        """Readings from a bulk file to the fact, with audit; dropped lines and lost rows go into the trail."""
+        counts: dict[str, int] = {}
+        self.run("hourly", "staging", lambda: counts.update(self.stage_hourly(path)))
+        if counts["dropped"]:
+            self.log("hourly", "WARNING", "lines with too few fields", rows=counts["dropped"])
+        self.run("hourly", "fact", self.load_hourly_fact, "fact_hourly")
+        self.log_losses("hourly", ("hourly",))
 
     # --- views -------------------------------------------------------------------------
     def view(self, name: str) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .. import constants as k
 from ..functions import air, bands, ratios
-from ..operators.lookup import sized_lookup, star
+from ..operators.lookup import star
 
 
 def _sum(column: str) -> Column:
@@ -74,12 +74,47 @@ AIR = {
 BASE = {**NATIONAL, **PROVINCIAL, **AIR}
 
 
+#: Measures that set a filter of their own on a column. It takes the place of the grouping by that column, so the
+#: measure is the same for all its values.
+OWN_FILTER = {
+    "National_GDP": "Sector_Code",
+    "National_Emission_Intensity": "Sector_Code",
+    "Rush_Hour_Exceeding_Hours": "Is_Rush_Hour",
+}
+
+
+def with_whole(rows: DataFrame, view: DataFrame, by: Sequence[str], column: str, measures: dict[str, Column]) -> DataFrame:
+    """Adds (or replaces) ``measures`` of ``view``, grouped by ``by`` without ``column``, to rows that have ``by``."""
+    rest = [c for c in by if c != column]
+    whole = view.groupBy(*rest).agg(*(m.alias(f"_w_{name}") for name, m in measures.items()))
+    rows = rows.drop(*measures)
+    if not rest:
+        return rows.select("*", *(whole.select(f"_w_{name}").scalar().alias(name) for name in measures))
+    whole = whole.select(*(F.col(c).alias(f"_k_{c}") for c in rest), *(F.col(f"_w_{n}").alias(n) for n in measures))
+    same = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in rest]
+    return rows.join(whole, same, "left").drop(*(f"_k_{c}" for c in rest))
+
+
 def measure(
     view: DataFrame, names: Sequence[str], by: Sequence[str] = (), where: Column | None = None
 ) -> DataFrame:
-    """Any base measures of one view at any grain: filter, then one aggregate."""
+    """Any base measures of one view at any grain: filter, then one aggregate.
+
+    A measure that filters a column of ``by`` itself is aggregated without that column and joined back.
+    """
     rows = view if where is None else view.where(where)
-    return rows.groupBy(*by).agg(*(BASE[name]().alias(name) for name in names))
+    out = rows.groupBy(*by).agg(*(BASE[name]().alias(name) for name in names))
+    if "Sector_Code" in by and {"National_GDP", "National_Emission_Intensity"} & {*names}:
+        out = with_whole(out, rows, by, "Sector_Code", {"National_GDP": _gdp()})
+        if "National_Emission_Intensity" in names:
+            if "Total_GHG_Emissions" not in names:
+                ghg = rows.groupBy(*by).agg(_sum("Emissions_MtCO2e").alias("Total_GHG_Emissions"))
+                out = out.join(ghg, [out[c].eqNullSafe(ghg[c]) for c in by], "left").drop(*(ghg[c] for c in by))
+            intensity = _intensity(F.col("Total_GHG_Emissions"), F.col("National_GDP"))
+            out = out.withColumn("National_Emission_Intensity", intensity)
+    if "Is_Rush_Hour" in by and "Rush_Hour_Exceeding_Hours" in names:
+        out = with_whole(out, rows, by, "Is_Rush_Hour", {"Rush_Hour_Exceeding_Hours": BASE["Rush_Hour_Exceeding_Hours"]()})
+    return out.select(*by, *names)
 
 
 AVERAGED = {"Avg_AQI_Index": "AQI_Index", "Avg_PM25": "PM25_ug_m3", "Avg_CO2_Concentration": "CO2_ppm"}
@@ -92,35 +127,46 @@ def air_measures(
     provinces: DataFrame,
     stations: DataFrame,
     by: Sequence[str],
-    small_stations: bool | None = None,
+    presum: bool = False,
 ) -> DataFrame:
-    """All air measures by columns of the dimensions: the same as over the view, summed up first.
+    """All air measures by columns of the dimensions, in one aggregate over the star.
 
-    Readings are summed per surrogate key before any join, so the joins see one row per year, hour
-    and station instead of one per reading, and a station with very many readings is one of them.
+    The dimensions are broadcast as long as Spark finds them small, and partial sums absorb a hot key before the one
+    shuffle. With ``presum``, for a station dimension that must be shuffled, readings are summed per surrogate key
+    first, so that the joins see one row per year, hour and station.
     """
-    keys = ["Date_Key", "Time_Key", "Province_Key", "Station_Key"]
-    sums = fact.groupBy(*keys).agg(
-        *(F.sum(c).alias(f"{c}_sum") for c in AVERAGED.values()),
-        *(F.count(c).alias(f"{c}_n") for c in AVERAGED.values()),
-        F.sum(F.col("Is_Exceeding_QCVN").cast("int")).alias("exceeding"),
-        F.count(F.lit(1)).alias("readings"),
+    rows = fact.select(
+        "Date_Key",
+        "Time_Key",
+        "Province_Key",
+        "Station_Key",
+        *(F.col(c).alias(f"{c}_sum") for c in AVERAGED.values()),
+        *(F.col(c).isNotNull().cast("int").alias(f"{c}_n") for c in AVERAGED.values()),
+        F.col("Is_Exceeding_QCVN").cast("int").alias("exceeding"),
+        F.lit(1).alias("readings"),
     )
-    rows = star(sums, (dates.select("Date_Key", "Year"), "Date_Key"), (hours, "Time_Key"), (provinces, "Province_Key"))
+    if presum:
+        keys = ["Date_Key", "Time_Key", "Province_Key", "Station_Key"]
+        rows = rows.groupBy(*keys).agg(*(F.sum(c).alias(c) for c in rows.columns if c not in keys))
+    rows = star(rows, (dates.select("Date_Key", "Year"), "Date_Key"), (hours, "Time_Key"), (provinces, "Province_Key"))
     places = stations.drop("Province_Key")
-    rows = sized_lookup(rows, places, "Station_Key", F.struct("Date_Key", "Time_Key"), small=small_stations)
+    rows = rows.join(places, "Station_Key")
 
     def mean(column: str) -> Column:
         return F.try_divide(F.sum(f"{column}_sum").cast("double"), F.sum(f"{column}_n"))
 
     rate = F.try_divide(F.sum("exceeding").cast("double"), F.sum("readings"))
-    return rows.groupBy(*by).agg(
+    rush = F.sum(F.when(F.col("Is_Rush_Hour"), F.col("exceeding")))
+    out = rows.groupBy(*by).agg(
         *(mean(column).alias(name) for name, column in AVERAGED.items()),
         F.sum("exceeding").alias("Exceeding_QCVN_Hours"),
         F.coalesce(rate, F.lit(0.0)).alias("Exceeding_QCVN_Rate"),
-        F.sum(F.when(F.col("Is_Rush_Hour"), F.col("exceeding"))).alias("Rush_Hour_Exceeding_Hours"),
+        rush.alias("Rush_Hour_Exceeding_Hours"),
         air.aqi_color(mean("AQI_Index")).alias("AQI_Status_Color_Hex"),
     )
+    if "Is_Rush_Hour" not in by:
+        return out
+    return with_whole(out, rows, by, "Is_Rush_Hour", {"Rush_Hour_Exceeding_Hours": rush}).select(*out.columns)
 
 
 def guarded(view: DataFrame, by: Sequence[str] = (), gas: str = k.ALL_GASES) -> DataFrame:
@@ -153,8 +199,9 @@ def card_title(selected: Column) -> Column:
 
 
 def selected_value(column: str, default: str) -> Column:
-    """The one value of the current rows, or ``default`` when there are several or none."""
-    return F.when(F.min(column) == F.max(column), F.min(column)).otherwise(F.lit(default))
+    """The one value of the current rows, or ``default`` when there are several (a NULL is one) or none."""
+    one = (F.min(column) == F.max(column)) & (F.count(column) == F.count(F.lit(1)))
+    return F.when(one, F.min(column)).otherwise(F.lit(default))
 
 
 def national_by_year(
@@ -174,6 +221,9 @@ def national_by_year(
     if by:
         calendar = F.explode(F.sequence(F.lit(k.FIRST_YEAR), F.lit(k.LAST_YEAR)))
         spine = sums.select(*by).distinct().withColumn("Year", calendar).join(dates.select("Year"), "Year")
+        if "Sector_Code" in by:  # known for every sector of a year, also one without rows in it
+            spine = with_whole(spine, view, ["Year", *by], "Sector_Code", {"National_GDP": _gdp()})
+            sums = sums.drop("National_GDP")
     else:
         spine = dates.select("Year")
     ordered = Window.partitionBy(*by).orderBy("Year")

@@ -17,7 +17,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from .. import constants as k
 from ..operators.generators import dim_date, dim_time_of_day
 from ..operators.keys import dense_keys
-from ..operators.lookup import is_small, sized
 from ..operators.series import pivot_first
 from . import facts, measures, views
 
@@ -107,7 +106,7 @@ class StandIn:
             (F.lit(1000) + key * 10).cast("decimal(10,2)").alias("Area_Km2"),
             (key % 2 == 0).alias("Is_Industrial_Hub"),
         )
-        return sized(rows)
+        return rows
 
     @cached_property
     def sector_codes(self) -> DataFrame:
@@ -151,10 +150,6 @@ class StandIn:
         key = F.substring("Station_Code", 4, 20).cast("long") + 1
         return rows.select(key.alias("Station_Key"), "*")
 
-    @cached_property
-    def small_stations(self) -> bool:
-        return is_small(self.table("events").select("user_id").distinct())
-
     # --- staged yearly rows --------------------------------------------------
     @cached_property
     def economy(self) -> DataFrame:
@@ -292,7 +287,6 @@ class StandIn:
             self.provinces,
             self.stations,
             row_id=F.col("event_id"),
-            small_stations=self.small_stations,
         )
 
     @cached_property
@@ -306,12 +300,12 @@ class StandIn:
     @cached_property
     def hourly_view(self) -> DataFrame:
         return views.vw_fact_hourly(
-            self.hourly_fact, self.dates, self.hours, self.provinces, self.stations, self.small_stations
+            self.hourly_fact, self.dates, self.hours, self.provinces, self.stations
         )
 
     def air_measures(self, by: list[str]) -> DataFrame:
         return measures.air_measures(
-            self.hourly_fact, self.dates, self.hours, self.provinces, self.stations, by, self.small_stations
+            self.hourly_fact, self.dates, self.hours, self.provinces, self.stations, by
         )
 
 

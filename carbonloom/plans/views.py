@@ -1,6 +1,6 @@
 """The eight report views: joins on surrogate keys and column expressions, so filters push down.
 
-Date, hour and province dimensions are small; the station lookup is sized, as stations may not be.
+Date, hour and province dimensions are small; stations may not be, and their lookup takes salts.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from .. import constants as k
 from ..functions import bands, calendar as cal, labels
 from ..functions.ratios import guarded_ratio, total_row_guard
-from ..operators.lookup import sized_lookup, star
+from ..operators.lookup import spread_lookup, star
 from .facts import PROVINCIAL_MEASURES, READINGS
 
 
@@ -145,7 +145,7 @@ def vw_fact_hourly(
     hours: DataFrame,
     provinces: DataFrame,
     stations: DataFrame,
-    small_stations: bool | None = None,
+    salts: int | None = None,
 ) -> DataFrame:
     """Month and day are not part of the view: its date is the year alone."""
     rows = star(
@@ -155,7 +155,7 @@ def vw_fact_hourly(
         (provinces.select("Province_Key", "Province_Code", "Province_Name", "Region"), "Province_Key"),
     )
     places = stations.select("Station_Key", "Station_Code", "Station_Name", "Station_Type", "Latitude", "Longitude")
-    return sized_lookup(rows, places, "Station_Key", F.col("Monitoring_ID"), small=small_stations).select(
+    return spread_lookup(rows, places, "Station_Key", F.col("Monitoring_ID"), salts=salts).select(
         "Monitoring_ID",
         "Date_Key",
         "Year",

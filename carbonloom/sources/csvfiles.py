@@ -8,6 +8,10 @@ from pyspark.sql.types import BooleanType, NumericType, StringType, StructType
 from ..functions.text import code_key
 
 
+#: Quoted cells with doubled quotes inside, in and out.
+QUOTING = {"quote": '"', "escape": '"'}
+
+
 def typed(cell: Column, dtype, blank=None) -> Column:
     """A text cell as ``dtype``; a blank one becomes ``blank``; a flag is true only when it is '1'."""
     if isinstance(dtype, StringType):
@@ -31,11 +35,19 @@ def normalise_codes(df: DataFrame) -> DataFrame:
 
 def read_csv(spark: SparkSession, path: str, ddl: str, blanks: dict[str, object] | None = None) -> DataFrame:
     """UTF-8 with or without BOM; columns are found by their header name."""
-    return normalise_codes(apply_schema(spark.read.option("header", True).csv(path), ddl, blanks))
+    return normalise_codes(apply_schema(spark.read.options(header=True, multiLine=True, **QUOTING).csv(path), ddl, blanks))
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").options(header=True, **QUOTING).csv(path)
+
+
+def parse_cells(lines: DataFrame, line: str, names: list[str]) -> DataFrame:
+    """Lines of quoted CSV as text columns, under the same options as the reader."""
+    ddl = ", ".join(f"`{n}` string" for n in names)
+    return lines.withColumn("_cells", F.from_csv(line, ddl, QUOTING)).select(
+        *(c for c in lines.columns if c != line), *(F.col("_cells").getField(n).alias(n) for n in names)
+    )
 
 
 def split_fields(lines: DataFrame, line: str, names: list[str], sep: str = ",") -> DataFrame:

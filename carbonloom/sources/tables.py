@@ -1,12 +1,16 @@
-"""Parquet tables: staging with lineage, and facts that are published by partition."""
+"""Parquet tables: staging with lineage, dimensions in versions, and facts that are published by partition."""
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
-from ..operators.constraints import Rule, enforce, fail_on_broken, required
+from ..operators.constraints import Rule, enforce, enforce_unique, fail_on_broken, required
+from ..operators.merge import staged_keys
 
 
 def with_lineage(df: DataFrame, source: str) -> DataFrame:
@@ -15,7 +19,9 @@ def with_lineage(df: DataFrame, source: str) -> DataFrame:
 
 def stage_overwrite(df: DataFrame, path: str, source: str) -> None:
     """Truncate and reload a staging table with its lineage columns."""
-    with_lineage(df, source).write.mode("overwrite").parquet(path)
+    rows = with_lineage(df, source)
+    rows.write.mode("overwrite").parquet(path)
+    remember_schema(df.sparkSession, path, rows.schema)
 
 
 def truncate(spark: SparkSession, path: str) -> None:
@@ -29,29 +35,110 @@ def exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
-def publish_dimension(spark: SparkSession, df: DataFrame, path: str, key: str) -> None:
-    """Replaces a dimension by ``df``, which may read the old one: written aside, checked, then swapped in."""
-    aside = f"{path}__next"
-    df.write.mode("overwrite").parquet(aside)
-    ready = spark.read.parquet(aside)
-    enforce(ready, path, [required(key)])
-    ready.write.mode("overwrite").parquet(path)
+def _file_system(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file in one step: written aside, then renamed over the old one."""
+    fs, aside = _file_system(spark, f"{path}.{uuid.uuid4().hex}.tmp")
+    out = fs.create(aside, True)
+    out.write(bytearray(text, "utf-8"))
+    out.close()
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    context = hadoop.FileContext.getFileContext(aside.toUri(), spark._jsc.hadoopConfiguration())
+    overwrite = spark._sc._gateway.new_array(hadoop.Options.Rename, 1)
+    overwrite[0] = hadoop.Options.Rename.OVERWRITE
+    context.rename(context.makeQualified(aside), context.makeQualified(hadoop.Path(path)), overwrite)
+
+
+def _read_text(spark: SparkSession, path: str) -> str | None:
+    fs, target = _file_system(spark, path)
+    if not fs.exists(target):
+        return None
+    stream = fs.open(target)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def published(spark: SparkSession, path: str) -> str | None:
+    """The folder of a dimension's current version; None before the first load.
+
+    Versions without a pointer are not a first load: keys given out before would be given out anew.
+    """
+    name = _read_text(spark, f"{path}/current")
+    if name is None and exists(spark, f"{path}/versions"):
+        raise FileNotFoundError(f"{path}: versions without a pointer to the current one")
+    return None if name is None else f"{path}/versions/{name.strip()}"
+
+
+def publish_dimension(
+    spark: SparkSession, df: DataFrame, path: str, key: str, natural: str | None = None, rules: Sequence[Rule] = ()
+) -> None:
+    """A new version of a dimension, which may read the old one: written aside, checked, then pointed to.
+
+    The pointer is one small file that is replaced in one step, so readers and a job that failed midway find the
+    old version whole. The version before stays for readers at work; older ones go.
+    """
+    old, name = published(spark, path), uuid.uuid4().hex
+    folder = f"{path}/versions/{name}"
+    df.write.parquet(folder)
+    ready = spark.read.schema(df.schema).parquet(folder)
+    keys = [key] if natural is None else [key, natural]
+    enforce(ready, path, [*(required(c) for c in keys), *rules])
+    for column in keys:
+        enforce_unique(ready, path, [column])
+    _write_text(spark, f"{path}/current", name)
+    fs, versions = _file_system(spark, f"{path}/versions")
+    for status in fs.listStatus(versions):
+        found = status.getPath()
+        if found.getName() not in (name, (old or "").rsplit("/", 1)[-1]):
+            fs.delete(found, True)
+
+
+def remembered_schema(spark: SparkSession, path: str) -> StructType | None:
+    text = _read_text(spark, f"{path}__schema")
+    return None if text is None else StructType.fromJson(json.loads(text))
+
+
+def remember_schema(spark: SparkSession, path: str, schema: StructType) -> None:
+    """Kept beside a table, so that opening it needs no job."""
+    if remembered_schema(spark, path) != schema:
+        _write_text(spark, f"{path}__schema", schema.json())
 
 
 def publish_fact(
-    df: DataFrame, path: str, rules: list[Rule], partition_by: Sequence[str] = ("Date_Key",)
+    df: DataFrame,
+    path: str,
+    rules: list[Rule],
+    key: str,
+    staged: DataFrame,
+    partition_by: str = "Date_Key",
 ) -> None:
-    """Replaces the partitions that ``df`` has rows for, in one pass.
+    """Replaces the partitions of every staged ``partition_by`` value by the rows of ``df``.
 
-    A broken rule fails the job before its commit, and new partitions become visible only at the
-    commit, so a failed load leaves the table as it was and can be run again. The rebalance keeps
-    file sizes even when one partition holds most rows.
+    ``staged`` holds those values before any lookup loses rows (:func:`staged_keys`): a value whose rows are all
+    lost ends up without rows, too. Values are years, so few come to the driver. A duplicate ``key`` or a broken
+    rule fails the job before its commit, and new partitions become visible only at the commit, so a failed load
+    leaves the table as it was; emptied partitions go after it, and a load that fails between can be run again. The
+    rebalance keeps file sizes even when one partition holds most rows.
     """
+    spark = df.sparkSession
+    filled = enforce_unique(df, path, [partition_by, key], partition_by)
     (
         fail_on_broken(df, path, rules)
-        .hint("rebalance", *partition_by)
+        .hint("rebalance", partition_by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_by)
+        .partitionBy(partition_by)
         .parquet(path)
     )
+    rest = [f for f in df.schema.fields if f.name != partition_by]
+    remember_schema(spark, path, StructType([*rest, df.schema[partition_by]]))
+    for row in staged_keys(staged, partition_by).collect():
+        if row[0] not in filled:
+            fs, folder = _file_system(spark, f"{path}/{partition_by}={row[0]}")
+            fs.delete(folder, True)

@@ -97,11 +97,14 @@ def test_full_load_twice(warehouse, tmp_path):
     over_view = measures.measure(w.view("vw_fact_hourly"), list(measures.AIR), by)
     assert as_dicts(w.air_measures(by), *by) == as_dicts(over_view, *by) and over_view.count() == 4
 
-    lost = by_key(w.orphans(), "lookup")
-    assert lost["province"]["rows_lost"] == 1 and lost["sector"]["rows_lost"] == 0
+    lost = {(r.fact, r.lookup): r.rows_lost for r in w.orphans().collect()}
+    assert lost[("provincial", "province")] == 1 and lost[("sectors", "sector")] == 0
+    assert lost[("hourly", "station")] == 4 and lost[("hourly", "date")] == lost[("hourly", "hour")] == 0
     audit = as_dicts(w.audit())
-    assert len(audit) == 4 and all(r["status"] == "SUCCESS" for r in audit)
-    assert {r["rows_processed"] for r in audit if r["package"] == "facts"} == {2}
+    assert len([r for r in audit if r["status"] == "SUCCESS"]) == 4
+    warned = [(r["task"], r["rows_processed"]) for r in audit if r["status"] != "SUCCESS"]
+    assert warned == [("provincial: rows lost by province", 1)] * 2
+    assert {r["rows_processed"] for r in audit if r["package"] == "facts" and r["status"] == "SUCCESS"} == {2}
 
     gate = by_key(w.gate(required_years=(2020,), provinces=2), "check")
     assert not gate["referential"]["passed"] and not gate["overall"]["passed"] and gate["uniqueness"]["passed"]
@@ -141,3 +144,40 @@ def test_streamed_bulk_load_takes_each_file_once(spark, tmp_path):
     assert load() == 24
     (tmp_path / "in" / "c.csv").write_text(HOURLY, encoding="utf-8")
     assert load() == 36
+
+
+def test_reload_replaces_whole_staged_years(warehouse, tmp_path):
+    w = warehouse
+    w.seed_dimensions()
+    w.load_yearly()
+    w.load_stations()
+    w.load_hourly(str(tmp_path / "hourly.csv"))
+    assert w.read("fact_hourly").count() == 8
+    trail = [(r.task, r.rows_processed) for r in w.audit().where("status = 'WARNING' AND package = 'hourly'").collect()]
+    assert sorted(trail) == [("hourly: rows lost by station", 4), ("lines with too few fields", 1)]
+    # only January again: the other month goes; then only readings of unknown stations: the year is empty
+    january = "\n".join(line for line in HOURLY.split("\n") if not line.startswith("2024,2024,2,"))
+    (tmp_path / "january.csv").write_text(january, encoding="utf-8")
+    w.load_hourly(str(tmp_path / "january.csv"))
+    assert w.read("fact_hourly").count() == 4
+    orphans = "\n".join(line for line in HOURLY.split("\n") if "ST-XX" in line)
+    (tmp_path / "orphans.csv").write_text(orphans, encoding="utf-8")
+    w.load_hourly(str(tmp_path / "orphans.csv"))
+    assert w.read("fact_hourly").count() == 0
+
+
+def test_unknown_gas_and_doubled_reading_fail_the_load(warehouse, spark, tmp_path):
+    w = warehouse
+    w.seed_dimensions()
+    w.load_yearly()
+    other = w.staged("sectors").selectExpr("* except (Gas)", "'CF4' as Gas")
+    other.write.parquet(w.path("other"))
+    w.stage("sectors", spark.read.parquet(w.path("other")), "other.csv")
+    with pytest.raises(Exception, match="unknown gas: CF4"):
+        w.load_yearly_facts()
+    w.load_stations()
+    lines = HOURLY.split("\n")
+    (tmp_path / "twice.csv").write_text("\n".join([*lines[:2], lines[1]]), encoding="utf-8")
+    w.stage_hourly(str(tmp_path / "twice.csv"))
+    with pytest.raises(ValueError, match="Monitoring_ID occur more than once"):
+        w.load_hourly_fact()

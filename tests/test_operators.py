@@ -38,12 +38,11 @@ def test_lookups(rows):
     fact = rows("code string, v int", ("a", 1), ("a", 2), ("b", 3), ("x", 4), (None, 5))
     dim = rows("code string, key int", ("a", 1), ("b", 2), ("c", 3))
     expected = [("a", 1, 1), ("a", 2, 1), ("b", 3, 2)]
-    for small in (True, False, None):
-        found = lookup.sized_lookup(fact, dim, "code", F.col("v"), small=small)
+    for salts in (None, 1, 4):
+        found = lookup.spread_lookup(fact, dim, "code", F.col("v"), salts=salts)
         assert sorted((r.code, r.v, r.key) for r in found.collect()) == expected
-    left = lookup.salted_lookup(fact, dim, "code", F.col("v"), "left")
+    left = lookup.salted_lookup(fact, dim, "code", F.col("v"), 4, "left")
     assert left.count() == 5
-    assert lookup.is_small(dim, 3) and not lookup.is_small(dim, 2)
     lost = by_key(lookup.lookup_losses(fact, {"dim": (dim, "code", "code")}), "lookup")
     assert lost["dim"]["rows_lost"] == 2
     sides = {(r.side, r.key) for r in lookup.key_difference(fact, "code", dim, "code").collect()}
@@ -56,7 +55,7 @@ def test_salted_lookup_equals_plain_on_a_hot_key(spark):
     )
     dim = spark.range(0, 40).select(F.col("id").alias("code"), (F.col("id") * 2).alias("key"))
     plain = hot.join(dim, "code")
-    salted = lookup.salted_lookup(hot, dim, "code", F.col("v"))
+    salted = lookup.salted_lookup(hot, dim, "code", F.col("v"), 16)
     assert salted.count() == plain.count()
     assert salted.exceptAll(plain).isEmpty() and plain.exceptAll(salted).isEmpty()
 
@@ -235,3 +234,40 @@ def test_population(rows):
         ("01", 2024): int(8400 * 1000 * (1.0 + 9 * 0.011)),
         ("26", 2016): int(1109 * 1000 * (1.0 + 1 * 0.011)),
     }
+
+
+def test_null_natural_key_fails_the_merge(rows):
+    target = rows("k bigint, code string, v int", (1, "a", 1))
+    source = rows("code string, v int", ("b", 2), (None, 3))
+    with pytest.raises(Exception, match="NULL in natural key code"):
+        merge.scd1_merge(target, source, "code", ["v"], "k").collect()
+
+
+def test_doubled_source_key_fails_even_where_only_rows_are_counted(rows):
+    target = rows("k bigint, code string, v int", (1, "a", 1))
+    source = rows("code string, v int", ("b", 2), ("b", 3))
+    with pytest.raises(Exception, match="several source rows for key b"):
+        merge.scd1_merge(target, source, "code", ["v"], "k").count()
+
+
+def test_lags_keep_own_rows_after_the_last_year(rows):
+    df = rows("k int, y int, v double", (1, 2050, 1.0), (1, 2051, 2.0))
+    found = {r.y: (r.v, r.v_minus_1) for r in series.with_lags(df, ["k"], "y", "v", [1], 2050).collect()}
+    assert found == {2050: (1.0, None), 2051: (2.0, None)}
+
+
+def test_reload_takes_the_years_from_staging(rows):
+    old = rows("y int, v int", (1, 1), (2, 2), (3, 3))
+    staged, kept = rows("y int, v int", (2, 9), (3, 9)), rows("y int, v int", (3, 9))
+    found = merge.replace_slices(old, kept, "y", staged).collect()
+    assert sorted((r.y, r.v) for r in found) == [(1, 1), (3, 9)]
+
+
+def test_closing_an_unknown_run_changes_nothing(rows):
+    ddl = "event_id string, log_id string, package string, task string, status string, rows_processed bigint, error string, at int"
+    events = rows(ddl, ("e1", "r1", "p", "t", "RUNNING", None, None, 1), ("e2", "r1", "p", "t", "SUCCESS", 5, None, 2),
+                  ("e3", "gone", "p", "t", "FAILED", None, "x", 3), ("e4", None, "p", "t", "SUCCESS", 1, None, 4))
+    timed = events.withColumn("at", F.timestamp_seconds("at"))
+    from carbonloom.operators.audit import audit_state
+
+    assert sorted((r.log_id or "", r.status) for r in audit_state(timed).collect()) == [("", "SUCCESS"), ("r1", "SUCCESS")]

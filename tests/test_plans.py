@@ -38,11 +38,39 @@ def test_filters_reach_the_scan(spark):
     assert re.search(r"DataFilters: \[[^\]]*lpad", text)
 
 
-def test_sized_lookup_chooses_by_size(spark):
+def test_no_job_runs_while_a_plan_is_built(spark):
+    """Only queries of the training-data folder may run jobs before their result is asked for."""
+    spark.sparkContext.setJobGroup("plans", "building")
+    try:
+        for build in QUERIES.values():
+            build(spark, SF_DIR)
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("plans")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_shipping_bound_reaches_the_files(spark):
+    assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(l_shipdate", plan(QUERIES["idempotent_reload"](spark, SF_DIR)))
+
+
+def test_first_rows_are_not_aggregated_by_sorting(spark):
+    text = plan(QUERIES["dedup_keep_first"](spark, SF_DIR))
+    assert "SortAggregate" not in text and "WindowGroupLimit" in text
+
+
+def test_medians_take_two_scans_of_each_table(spark):
+    df = QUERIES["summary_stats"](spark, SF_DIR)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    scans = re.findall(r"FileScan parquet \[[^\]]*\].*?/(\w+)\.parquet", final)
+    assert scans and max(scans.count(t) for t in scans) <= 2
+
+
+def test_salts_are_asked_for(spark):
     fact = spark.range(100).select((F.col("id") % 7).alias("k"), F.col("id").alias("v"))
     dim = spark.range(7).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
-    assert "_salt" not in plan(lookup.sized_lookup(fact, dim, "k", F.col("v")))
-    assert "_salt" in plan(lookup.sized_lookup(fact, dim, "k", F.col("v"), small=False))
+    assert "_salt" not in plan(lookup.spread_lookup(fact, dim, "k", F.col("v")))
+    assert "_salt" in plan(lookup.spread_lookup(fact, dim, "k", F.col("v"), salts=4))
 
 
 def test_reload_broadcasts_the_few_years(spark):

@@ -201,15 +201,60 @@ def test_publish_fact_replaces_only_its_partitions(spark, rows, tmp_path):
     path = str(tmp_path / "fact")
     ddl = "Date_Key int, v int"
     rule = [non_negative("v")]
-    tables.publish_fact(rows(ddl, (2022, 1), (2023, 2), (2024, 3)), path, rule)
+
+    def publish(df, staged=None):
+        tables.publish_fact(df, path, rule, "v", df if staged is None else staged)
+
+    publish(rows(ddl, (2022, 1), (2023, 2), (2024, 3)))
     for _ in range(2):
-        tables.publish_fact(rows(ddl, (2023, 9), (2023, 8)), path, rule)
+        publish(rows(ddl, (2023, 9), (2023, 8)))
     read = lambda: sorted((r.Date_Key, r.v) for r in spark.read.parquet(path).collect())
     expected = [(2022, 1), (2023, 8), (2023, 9), (2024, 3)]
     assert read() == expected
     with pytest.raises(Exception, match="broken rules"):
-        tables.publish_fact(rows(ddl, (2022, 5), (2024, -1)), path, rule)
+        publish(rows(ddl, (2022, 5), (2024, -1)))
+    assert read() == expected
+    with pytest.raises(ValueError, match="1 values of Date_Key, v occur more than once"):
+        publish(rows(ddl, (2022, 5), (2022, 5)))
     assert read() == expected
+    # a staged year that the lookups have emptied, and one that was never loaded
+    publish(rows(ddl, (2022, 7)), rows("Date_Key int", (2022,), (2023,), (1999,)))
+    assert read() == [(2022, 7), (2024, 3)]
+    assert tables.remembered_schema(spark, path).names == ["v", "Date_Key"]
+
+
+def test_dimension_versions(spark, rows, tmp_path):
+    path = str(tmp_path / "dim")
+    ddl = "k bigint, code string"
+    assert tables.published(spark, path) is None
+    tables.publish_dimension(spark, rows(ddl, (7, "a")), path, "k", "code")
+    first = tables.published(spark, path)
+    grown = spark.read.parquet(first).union(rows(ddl, (9, "b")))
+    tables.publish_dimension(spark, grown, path, "k", "code")
+    second = tables.published(spark, path)
+    assert second != first and sorted(r.k for r in spark.read.parquet(second).collect()) == [7, 9]
+    # a failed check leaves the pointer, and so the keys, as they were
+    for bad in (rows(ddl, (1, None)), rows(ddl, (1, "a"), (1, "b")), rows(ddl, (1, "a"), (2, "a"))):
+        with pytest.raises(ValueError):
+            tables.publish_dimension(spark, bad, path, "k", "code")
+        assert tables.published(spark, path) == second
+    tables.publish_dimension(spark, spark.read.parquet(second), path, "k", "code")
+    assert len([p for p in (tmp_path / "dim" / "versions").iterdir()]) == 2
+    (tmp_path / "dim" / "current").unlink()
+    with pytest.raises(FileNotFoundError, match="without a pointer"):
+        tables.published(spark, path)
+
+
+def test_csv_quotes_round_trip(spark, rows, tmp_path):
+    path = str(tmp_path / "csv")
+    ddl = "Province_Code string, Province_Name string, Area_Km2 double"
+    cells = [("01", 'Tỉnh "A", B', 1.5), ("02", "plain", None), ("03", 'two\nlines, "quoted"', 2.0)]
+    csvfiles.write_csv(rows(ddl, *cells), path)
+    found = csvfiles.read_csv(spark, path, ddl).collect()
+    assert sorted((r.Province_Code, r.Province_Name, r.Area_Km2) for r in found) == cells
+    (tmp_path / "one.csv").write_text('\ufeffProvince_Code,Province_Name,Area_Km2\n01,"Tỉnh ""A"", B",3\n', encoding="utf-8")
+    one = csvfiles.read_csv(spark, str(tmp_path / "one.csv"), ddl).first()
+    assert (one.Province_Name, one.Area_Km2) == ('Tỉnh "A", B', 3.0)
 
 
 def test_staging_lineage_and_truncate(spark, rows, tmp_path):
