@@ -107,9 +107,9 @@ def linked_groups(
     for turn in range(ROUNDS + 1):
         if turn:
             named = postings.join(comps, "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component")
-            keys = named.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("size"))
-            now = saved(named.join(keys.where("x <> y").select("key", "size"), "key"))
-            total = now.agg(F.count("*").alias("n"), F.sum("size").alias("pairs")).first()
+            keys = named.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("_group"))
+            now = saved(named.join(keys.where("x <> y").select("key", "_group"), "key"))
+            total = now.agg(F.count("*").alias("n"), F.sum("_group").alias("pairs")).first()
             if not total.n:
                 break
         last = turn and (turn == ROUNDS or total.pairs <= WORTH * total.n)

@@ -8,7 +8,7 @@ removed with their line ends. Other lines stay as they are.
 
 Candidates come from MinHash signatures of ``BANDS`` x ``ROWS`` values: one permutation, whose hashes fall into
 that many bins; a bin without a shingle takes the value of another. Short lines take a permutation per value. A pair of 75 % shares a band with
-probability 0.996, one of 80 % with 0.9996; unrelated lines (2 % in common) with 1 in 10 million. Lines that share a band meet through hubs (``components.linked_groups``)
+probability 0.98, one of 80 % with 0.998, one of 20 % with 0.0004: many lines have a fifth in common. Lines that share a band meet through hubs (``components.linked_groups``)
 and are verified on their texts.
 
 A null text has no lines and stays null; an empty one stays empty. Rows with equal ids are ordered by their text.
@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from carbonloom.llm import chunks as ch
@@ -31,7 +31,7 @@ from carbonloom.llm.components import linked_groups, saved
 
 SHINGLE = 8
 PERCENT = 75
-BANDS, ROWS = 20, 5
+BANDS, ROWS = 28, 7
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, 0x09, 0x0B, 0x0C, 0x0D]] = True
 
@@ -136,10 +136,9 @@ def _shared_bands(blocks: list[dict]) -> list[tuple]:
     """For the blocks of a bucket: the bands that different lines share, as (band, line), by a chunk that has the line."""
     keys, nodes, chunk = [], [], []
     for b in blocks:
-        place = ch.get(b["places"], np.uint32)
         keys.append(ch.get_keys(b["keys"]))
-        nodes.append(ch.get(b["nodes"], np.int64)[place])
-        chunk.append(ch.get(b["chunks"], np.int32)[place])
+        nodes.append(ch.get(b["nodes"], np.int64))
+        chunk.append(ch.get(b["chunks"], np.int32))
     keys, nodes, chunk = np.concatenate(keys), np.concatenate(nodes), np.concatenate(chunk)
     order = np.lexsort((chunk, nodes, keys))
     keys, nodes, chunk = keys[order], nodes[order], chunk[order]
@@ -165,24 +164,22 @@ def _postings(docs: DataFrame, id_col: str, text_col: str, buckets: int) -> Data
             t = Lines(pa.Table.from_batches([batch]))
             some = t.distinct()
             keys = (signatures(t.data, t.low[some], t.high[some]) >> cut).reshape(-1)
-            line = np.repeat(np.arange(len(some)), BANDS)
             order = np.argsort(keys, kind="stable")
-            keys, line = keys[order], line[order]
-            chunk = np.asarray(batch.column("chunk"))[t.text[some]]
+            keys, line = keys[order], order // BANDS
+            nodes, chunk = t.node[some][line], np.asarray(batch.column("chunk"))[t.text[some]][line].astype(np.int32)
             rows = []
             cuts = ch.bucket_cuts(keys << cut, buckets)
             for i, (a, b) in enumerate(zip(cuts, cuts[1:])):
                 if b > a:
-                    own, place = np.unique(line[a:b], return_inverse=True)
-                    rows.append((i, ch.put_keys(keys[a:b]), ch.put(place.astype(np.uint32)), ch.put(t.node[some][own]), ch.put(chunk[own].astype(np.int32))))
+                    rows.append((i, ch.put_keys(keys[a:b]), ch.put(nodes[a:b]), ch.put(chunk[a:b])))
             yield from ch.table(rows, asked_form).to_batches()
 
-    asked_form = ch.kinds("bucket int, keys binary, places binary, nodes binary, chunks binary")
+    asked_form = ch.kinds("bucket int, keys binary, nodes binary, chunks binary")
     form = ch.kinds("chunk int, keys array<long>, nodes array<long>")
     texts = docs.select(
         F.lit(0).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), ch.chunk_of_id(id_col, buckets).alias("chunk")
     )
-    asked = texts.mapInArrow(run, "bucket int, keys binary, places binary, nodes binary, chunks binary")
+    asked = texts.mapInArrow(run, "bucket int, keys binary, nodes binary, chunks binary")
     shared = asked.groupBy("bucket").applyInArrow(lambda blocks: ch.table(_shared_bands(blocks.to_pylist()), form), "chunk int, keys array<long>, nodes array<long>")
     shared = saved(shared)
     return shared.select("chunk", F.explode(F.arrays_zip("keys", "nodes")).alias("x")).select("chunk", F.col("x.keys").alias("key"), F.col("x.nodes").alias("node"))
@@ -209,14 +206,15 @@ def dedup(
         some = first[np.isin(names, nodes["node"].to_numpy())] if nodes.num_rows else first[:0]
         raw = t.data.tobytes()
         lines = [raw[a:b] for a, b in zip(t.low[some].tolist(), t.high[some].tolist())]
-        rows = [(n, x, None, None, None, None, None) for n, x in zip(t.node[some].tolist(), lines)]
-        rows.append((None, None, ch.chunk_of(texts), names.tolist(), t.doc[first].tolist(), t.at[first].tolist(), number.tolist()))
+        rows = [(n, x, len(shingle_set(x)), None, None, None, None, None) for n, x in zip(t.node[some].tolist(), lines)]
+        rows.append((None, None, None, ch.chunk_of(texts), names.tolist(), t.doc[first].tolist(), t.at[first].tolist(), number.tolist()))
         return ch.table(rows, form)
 
-    schema = "node long, line binary, chunk int, nodes array<long>, doc array<long>, at array<long>, n array<long>"
+    schema = "node long, line binary, size int, chunk int, nodes array<long>, doc array<long>, at array<long>, n array<long>"
     form = ch.kinds(schema)
     both = saved(ch.meet(packed, wanted, lines_of, schema))
     texts = both.where("line IS NOT NULL").select("node", "line")
+    sizes = both.where("line IS NOT NULL").select("node", "size")
     exploded = F.explode(F.arrays_zip(F.col("nodes").alias("node"), "doc", "at", "n")).alias("x")
     lines = both.where("nodes IS NOT NULL").select("chunk", exploded).select("chunk", "x.*")
 
@@ -234,7 +232,11 @@ def dedup(
         both = pairs.join(x, "a").join(y, "b")
         return both.select("a", "b", "x", "y").mapInArrow(verified, "a long, b long")
 
-    found = linked_groups(postings.select("key", "node"), verify)
+    def near(x, y) -> Column:
+        # sets of more different sizes cannot be that similar
+        return 100 * F.least(x("size"), y("size")) >= percent * F.greatest(x("size"), y("size"))
+
+    found = linked_groups(postings.select("key", "node").join(sizes, "node"), verify, near)
 
     # the earliest line of each component, among all lines
     firsts = lines.groupBy("node").agg(F.min(F.struct("doc", "at")).alias("first"), F.sum("n").alias("n"))
