@@ -17,8 +17,15 @@ def quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-def upto(expr: str, bands, after: str) -> str:
-    whens = " ".join(f"WHEN {expr} <= {bound} THEN {quoted(label)}" for bound, label in bands)
+# Upper bounds of the bands, written out: only the labels come from the fixed values.
+PLAN_YEARS = (1975, 1980, 1985, 1990, 1995, 2000, 2005, 2010, 2015, 2020, 2025, 2030, 2035, 2040, 2045)
+POLICY_YEARS = (1985, 2020, 2030)
+BUCKET_HOURS = (5, 9, 15, 19)
+AQI_BOUNDS, AQI_COLOR_BOUNDS = (50, 100, 150, 200), (50, 100, 150, 200, 300)
+
+
+def upto(expr: str, bounds, bands, after: str) -> str:
+    whens = " ".join(f"WHEN {expr} <= {bound} THEN {quoted(label)}" for bound, (_, label) in zip(bounds, bands, strict=True))
     return f"CASE {whens} ELSE {quoted(after)} END"
 
 
@@ -98,7 +105,7 @@ def color(x: str) -> str:
 
 
 def aqi_color(x: str) -> str:
-    return f"CASE WHEN {x} IS NULL THEN '{k.AQI_COLOR_NONE}' ELSE {upto(x, k.AQI_COLORS, k.AQI_COLOR_AFTER)} END"
+    return f"CASE WHEN {x} IS NULL THEN '{k.AQI_COLOR_NONE}' ELSE {upto(x, AQI_COLOR_BOUNDS, k.AQI_COLORS, k.AQI_COLOR_AFTER)} END"
 
 
 def mean(column: str) -> str:
@@ -115,13 +122,13 @@ def strip_marks(text: str, prefix: bool = True) -> str:
 
 cte("dates")(f"""
 SELECT CAST(y AS BIGINT) AS Date_Key, CAST(y AS BIGINT) AS Year, {decade('y')} AS Decade,
-  {upto('y', k.PLAN_PHASES, k.PLAN_PHASE_AFTER)} AS Five_Year_Plan_Phase, y IN (2030, 2050) AS Is_Target_Milestone
+  {upto('y', PLAN_YEARS, k.PLAN_PHASES, k.PLAN_PHASE_AFTER)} AS Five_Year_Plan_Phase, y IN (2030, 2050) AS Is_Target_Milestone
 FROM range(1970, 2051) t(y)""")
 
 cte("hours")(f"""
 SELECT CAST(h AS BIGINT) AS Time_Key, CAST(h AS BIGINT) AS Hour_24,
   lpad(CAST(h AS VARCHAR), 2, '0') || ':00' AS Hour_Label,
-  {upto('h', k.TIME_BUCKETS, k.TIME_BUCKET_AFTER)} AS Time_Bucket, h IN (7, 8, 9, 17, 18, 19) AS Is_Rush_Hour
+  {upto('h', BUCKET_HOURS, k.TIME_BUCKETS, k.TIME_BUCKET_AFTER)} AS Time_Bucket, h IN (7, 8, 9, 17, 18, 19) AS Is_Rush_Hour
 FROM range(0, 24) t(h)""")
 
 cte("provinces")("""
@@ -216,7 +223,7 @@ SELECT f.Economy_ID, f.Date_Key, d.Year, d.Decade, f.Province_Key, p.Province_Co
 FROM provincial_fact f JOIN dates d ON f.Date_Key = d.Date_Key JOIN provinces p ON f.Province_Key = p.Province_Key""")
 
 cte("readings")(f"""
-SELECT *, {upto('AQI_Index', k.AQI_CATEGORIES, k.AQI_CATEGORY_AFTER)} AS AQI_Category,
+SELECT *, {upto('AQI_Index', AQI_BOUNDS, k.AQI_CATEGORIES, k.AQI_CATEGORY_AFTER)} AS AQI_Category,
   PM25_ug_m3 > 50 AS Is_Exceeding_QCVN
 FROM (
   SELECT *, CAST(LEAST(GREATEST(round_even(CAST(PM25_ug_m3 AS DOUBLE) * 2.2 + CAST(NO2_ug_m3 AS DOUBLE) * 0.4, 0), 15), 320)
@@ -378,13 +385,13 @@ SELECT {decade('year(l_shipdate)')} AS Decade, COUNT(*) AS Lines, CAST(SUM({mone
 FROM lineitem GROUP BY 1""")
 
 sql("plan_phase_band", (), f"""
-SELECT {upto('year(o_orderdate)', k.PLAN_PHASES, k.PLAN_PHASE_AFTER)} AS Five_Year_Plan_Phase,
-  {upto('year(o_orderdate)', k.POLICY_PERIODS, k.POLICY_PERIOD_AFTER)} AS Policy_Period, COUNT(*) AS Orders,
+SELECT {upto('year(o_orderdate)', PLAN_YEARS, k.PLAN_PHASES, k.PLAN_PHASE_AFTER)} AS Five_Year_Plan_Phase,
+  {upto('year(o_orderdate)', POLICY_YEARS, k.POLICY_PERIODS, k.POLICY_PERIOD_AFTER)} AS Policy_Period, COUNT(*) AS Orders,
   CAST(SUM({money('o_totalprice')}) AS DOUBLE) AS Total
 FROM orders GROUP BY 1, 2""")
 
 sql("hour_bucket_profile", (), f"""
-SELECT {upto('hour(ts)', k.TIME_BUCKETS, k.TIME_BUCKET_AFTER)} AS Time_Bucket,
+SELECT {upto('hour(ts)', BUCKET_HOURS, k.TIME_BUCKETS, k.TIME_BUCKET_AFTER)} AS Time_Bucket,
   hour(ts) IN (7, 8, 9, 17, 18, 19) AS Is_Rush_Hour, COUNT(*) AS Readings,
   CAST(SUM({money('value')}) AS DOUBLE) AS Total_Value
 FROM events GROUP BY 1, 2""")
