@@ -9,6 +9,9 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
+# Arrow's own pools keep memory that is freed; the workers of an executor share its limit.
+pa.set_memory_pool(pa.system_memory_pool())
+
 _RATIO = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_RATIO, -1, 1 << 64)
 #: Bytes of text that are worked on together, so that the arrays of a step stay small.

@@ -151,6 +151,13 @@ def _shared_bands(blocks: list[dict]) -> list[tuple]:
     return [(int(c), keys[chunk == c].tolist(), nodes[chunk == c].tolist()) for c in np.unique(chunk)]
 
 
+def _slices(batch: pa.RecordBatch, size: int = 12 << 20) -> Iterator[pa.RecordBatch]:
+    """A batch of long texts in parts of about ``size`` bytes."""
+    part = np.cumsum(pc.binary_length(batch.column("text")).to_numpy(), dtype=np.int64) // size
+    for a, b in zip(starts := ch.runs(part).tolist(), [*starts[1:], batch.num_rows]):
+        yield batch.slice(a, b - a)
+
+
 def _postings(docs: DataFrame, id_col: str, text_col: str, buckets: int) -> DataFrame:
     """(chunk, key, node) of all bands that different lines share.
 
@@ -160,7 +167,7 @@ def _postings(docs: DataFrame, id_col: str, text_col: str, buckets: int) -> Data
     cut = np.uint64(max(0, 64 - 8 - (buckets << 22).bit_length()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in _slices(whole)):
             t = Lines(pa.Table.from_batches([batch]))
             some = t.distinct()
             keys = (signatures(t.data, t.low[some], t.high[some]) >> cut).reshape(-1)

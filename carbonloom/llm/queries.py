@@ -63,7 +63,7 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = sentence_pieces.read_vocabulary(PIECES)
-    found = sentence_pieces.decode(sentence_pieces.encode(table(spark, sf_dir, "documents"), v), v)
+    found = sentence_pieces.encode(table(spark, sf_dir, "documents"), v, decoded="decoded")
     return found.select(
         "doc_id",
         F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_pieces"),

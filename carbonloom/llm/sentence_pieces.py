@@ -38,9 +38,9 @@ TIE = 1e-9
 #: Stretches longer than this are encoded alone, others in blocks of about so many cells.
 LONG, CELLS = 512, 1 << 19
 #: Stretches whose pieces a worker keeps.
-SEEN = 200_000
+SEEN = 150_000
 #: Bytes that are encoded, and ids that are decoded together, about.
-ENCODED = 2 << 20
+ENCODED = 1 << 20
 DECODED = 400_000
 _CUT = re.compile(rb" +[^ ]*")
 
@@ -360,8 +360,11 @@ def _shared(docs: DataFrame, v: Vocabulary):
     return get
 
 
-def encode(docs: DataFrame, v: Vocabulary, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The id and text columns, and ``ids``. The vocabulary (about a megabyte) is broadcast."""
+def encode(
+    docs: DataFrame, v: Vocabulary, id_col: str = "doc_id", text_col: str = "text", decoded: str | None = None
+) -> DataFrame:
+    """The id and text columns, and ``ids``; with ``decoded``, a column of that name with the ids decoded again, in the
+    same pass. The vocabulary (about a megabyte) is broadcast."""
     get = _shared(docs, v)
     kinds = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
@@ -372,10 +375,16 @@ def encode(docs: DataFrame, v: Vocabulary, id_col: str = "doc_id", text_col: str
             part = np.cumsum(sizes, dtype=np.int64) // ENCODED
             for a, b in zip(starts := ch.runs(part).tolist(), [*starts[1:], len(sizes)]):
                 ids = get()[0].encode(batch.column(1).slice(a, b - a).to_pylist())
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), ids], names=["id", "text", "ids"])
-
-    out = kinds.mapInArrow(run, f"id {kinds.schema['id'].dataType.simpleString()}, text string, ids array<int>")
-    return out.select(F.col("id").alias(id_col), F.col("text").alias(text_col), "ids")
+                columns = [batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), ids]
+                if decoded:
+                    columns.append(get()[1].decode(ids))
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "text", "ids", "decoded"][: len(columns)])
+
+    schema = f"id {kinds.schema['id'].dataType.simpleString()}, text string, ids array<int>"
+    out = kinds.mapInArrow(run, schema + (", decoded string" if decoded else ""))
+    return out.select(
+        F.col("id").alias(id_col), F.col("text").alias(text_col), "ids", *([F.col("decoded").alias(decoded)] if decoded else [])
+    )
 
 
 def decode(encoded: DataFrame, v: Vocabulary, ids_col: str = "ids", out: str = "decoded") -> DataFrame:

@@ -45,7 +45,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def sentence_piece_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and whether they decode to its text."""
     v = sentence_pieces.read_vocabulary(PIECES)
-    found = sentence_pieces.decode(sentence_pieces.encode(docs, v), v)
+    found = sentence_pieces.encode(docs, v, decoded="decoded")
     same = F.col("text").eqNullSafe(F.col("decoded")).alias("round_trip")
     return found.select("doc_id", "ids", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_pieces"), same)
 

@@ -42,6 +42,7 @@ def test_best_path_and_round_trip(spark, docs, texts, vocabulary):
     df = docs.select("doc_id", "text").union(spark.createDataFrame([(k, t) for k, t in every.items() if k >= 1000], "doc_id long, text string"))
     found = sp.decode(sp.encode(df, vocabulary), vocabulary).collect()
     assert len(found) == len(every)
+    assert sorted(map(str, sp.encode(df, vocabulary, decoded="decoded").collect())) == sorted(map(str, found))
     for r in found:
         text = every[r.doc_id]
         assert r.decoded == text
