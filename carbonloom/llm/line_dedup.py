@@ -112,14 +112,16 @@ def signatures(data: np.ndarray, low: np.ndarray, high: np.ndarray, bands: int =
     """(lines x bands) band hashes of the lines ``data[low[i]:high[i]]``; worked on in pieces of bytes."""
     out = np.zeros((len(low), bands), np.uint64)
     for a, b in hs.pieces(np.concatenate(([0], np.cumsum(high - low))), 256 << 10):
-        lo, hi = low[a:b], high[a:b]
-        n = np.maximum(hi - lo - SHINGLE + 1, 1)
+        size = high[a:b] - low[a:b]
+        hi = np.cumsum(size)
+        lo = hi - size
+        # the bytes of these lines only, one after the other
+        part = data[np.arange(int(hi[-1])) + np.repeat(low[a:b] - lo, size)]
+        n = np.maximum(size - SHINGLE + 1, 1)
         begin = np.concatenate(([0], np.cumsum(n)))
         owner = np.repeat(np.arange(b - a), n)
         start = np.arange(len(owner)) + (lo - begin[:-1])[owner]
-        base = int(lo.min())
-        running = hs.Running(data[base : int(hi.max())])
-        hashes = running.of(start - base, np.minimum(start + SHINGLE, hi[owner]) - base)
+        hashes = hs.Running(part).of(start, np.minimum(start + SHINGLE, hi[owner]))
         least = _least(hashes, owner, begin, bands * rows)
         total = np.zeros((b - a, bands), np.uint64)
         for r in range(rows):  # the values of a band stand far apart
