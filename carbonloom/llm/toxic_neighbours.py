@@ -2,19 +2,18 @@
 
 Words are runs of letters, digits and characters beyond ASCII, A-Z lower-cased. Terms are words and, for
 inflected and compounded forms, the first ``PREFIXES`` bytes of longer words. The index holds at most
-``MAX_EXAMPLES`` labelled texts (distinct ones, in order of a hash of the text) over at most ``MAX_TERMS``
-terms, those whose presence goes with the label (chi-square of ``MIN_CHI2`` or more). All other words are one
-term more, of weight ``REST`` each, so that a term's share of the text counts. Inverse document
-frequencies count every row of the scored table. Both bounds make the index small enough to broadcast
-whatever the size of the corpus.
+``MAX_EXAMPLES`` labelled texts (distinct ones, in order of a hash of the text) with every term of theirs, which
+makes it small enough to broadcast whatever the size of the corpus. Inverse document frequencies count every
+row of the scored table. A term weighs more the more surely its presence goes with the label: by ``REST`` plus
+chi-square / (chi-square + ``HALF_CHI2``). No term is left out; a term of no example cannot meet any and is not counted.
 
 A text is scored by its ``k`` nearest examples. Examples stand in blocks; a term's greatest weight in each
-block bounds every cosine in it, and blocks are evaluated in order of their bounds until the k-th best
-cosine reaches the next bound, so the neighbours are exact. Votes weigh 1 / (distance + 0.1), smoothed by the
+block bounds every cosine in it, and blocks are evaluated from the greatest bound on until the k-th best
+cosine is above all others, so the neighbours are exact. Votes weigh 1 / (distance + 0.1), smoothed by the
 base rate; a logistic curve fitted on the examples' leave-one-out votes calibrates them.
 
-Null and empty texts, and texts without an indexed term, have no neighbours and get the smoothed rate of such
-examples. Ties in cosine go to the example first in the index. Repeated rows count as rows in the document
+Null and empty texts, and texts that share no term with an example, have no neighbours and get the smoothed rate
+of examples without a term. Ties in cosine go to the example first in the index. Repeated rows count as rows in the document
 frequencies and are scored one by one. Without labelled rows every score is 0. Ids, languages and sources
 are never read as inputs of a score.
 """
@@ -22,23 +21,26 @@ are never read as inputs of a score.
 from __future__ import annotations
 
 import math
-from collections import Counter
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MAX_EXAMPLES = 6_000
-MAX_TERMS = 2_048
-MIN_CHI2 = 30.0
+HALF_CHI2 = 30.0
 PREFIXES = (4, 6)
 REST = 0.02
 BLOCK = 64
 K = 15
+#: Texts that are worked on together.
+BATCH = 256
 
 _TABLE = bytes(
     b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else b + 32 if 0x41 <= b <= 0x5A else 0x20 for b in range(256)
@@ -53,97 +55,194 @@ def terms_of(word: bytes) -> list[bytes]:
     return [word, *(b"^" + word[:n] for n in PREFIXES if len(word) > n)]
 
 
+def _ranges(begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The places begin[0], …, end[0] - 1, begin[1], …"""
+    size = end - begin
+    return np.arange(int(size.sum())) + np.repeat(begin - (np.cumsum(size) - size), size)
+
+
+class _Words(dict):
+    """Numbers of the words met, and the places of each one's terms one after the other."""
+
+    def __init__(self, terms: dict[bytes, int]):
+        super().__init__()
+        self.terms, self.flat, self.begin = terms, array("q"), array("q", [0])
+
+    def __missing__(self, word: bytes) -> int:
+        self.flat.extend(self.terms[t] for t in terms_of(word) if t in self.terms)
+        self.begin.append(len(self.flat))
+        self[word] = number = len(self)
+        return number
+
+
 class Vocabulary:
-    """Places of the indexed terms; remembers the places of the words it has met, ``SEEN`` at most."""
+    """Places of the indexed terms; remembers the places of the words it has met, about ``SEEN`` at most."""
 
     SEEN = 500_000
 
-    def __init__(self, terms: list[bytes]):
-        self.terms = {t: i for i, t in enumerate(terms)}
-        self.seen: dict[bytes, tuple[int, ...]] = {}
+    def __init__(self, terms: pa.Array):
+        self.list = terms
 
     def __reduce__(self):
-        return (Vocabulary, (list(self.terms),))
+        return (Vocabulary, (self.list,))
 
     def __len__(self) -> int:
-        return len(self.terms)
-
-    def counts(self, text: str | None) -> Counter:
-        """Occurrences by place; the words without a place are counted under the last one, ``len(self)``."""
-        out: Counter = Counter()
-        seen = self.seen
-        for word, n in Counter(tokens(text)).items():
-            places = seen.get(word)
-            if places is None:
-                if len(seen) >= self.SEEN:
-                    seen.clear()
-                places = seen[word] = tuple(self.terms[t] for t in terms_of(word) if t in self.terms)
-            for p in places or (len(self.terms),):
-                out[p] += n
-        return out
+        return len(self.list)
+
+    @cached_property
+    def terms(self) -> dict[bytes, int]:
+        """Made where texts are read only."""
+        return {t: i for i, t in enumerate(self.list.to_pylist())}
+
+    @cached_property
+    def seen(self) -> _Words:
+        return _Words(self.terms)
+
+    def counts(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Number of the text, place and occurrences of every term of every text, in this order."""
+        if len(self.seen) >= self.SEEN:
+            self.seen = _Words(self.terms)
+        number = self.seen.__getitem__
+        own = [list(map(number, tokens(t))) for t in texts]
+        text = np.repeat(np.arange(len(own)), [len(x) for x in own])
+        word = np.concatenate([np.array(x, np.int64) for x in own]) if own else np.zeros(0, np.int64)
+        key, n = np.unique(text << 32 | word, return_counts=True)
+        text, word = key >> 32, key & 0xFFFFFFFF
+        begin = np.frombuffer(self.seen.begin, np.int64)
+        flat = np.frombuffer(self.seen.flat, np.int64) if self.seen.flat else np.zeros(0, np.int64)
+        size = begin[word + 1] - begin[word]
+        place = flat[_ranges(begin[word], begin[word + 1])]
+        key, at = np.unique(np.repeat(text, size) << 32 | place, return_inverse=True)
+        return key >> 32, key & 0xFFFFFFFF, np.bincount(at, np.repeat(n, size), len(key)).astype(np.int64)
+
+
+def vectors_of(texts: list[str | None], terms: Vocabulary, weight: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Places of each text and their weights (count times the term's), of length 1; nothing for a text without an indexed term."""
+    text, place, n = terms.counts(texts)
+    weights = n * weight[place]
+    length = np.sqrt(np.bincount(text, weights**2, len(texts)))
+    weights = weights / length[text]
+    cuts = np.searchsorted(text, np.arange(len(texts) + 1))
+    return [(place[a:b], weights[a:b]) for a, b in zip(cuts, cuts[1:])]
 
 
-def vector(text: str | None, terms: Vocabulary, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places of a text and their weights tf * idf, of length 1; nothing for a text without an indexed term."""
-    counts = terms.counts(text)
-    if not counts or min(counts) == len(terms):
-        return np.zeros(0, np.int64), np.zeros(0)
-    places = np.array(sorted(counts), np.int64)
-    weights = np.array([counts[p] for p in places.tolist()]) * idf[places]
-    return places, weights / math.sqrt(float((weights**2).sum()))
+class BlockMaxIndex:
+    """Postings of each term in order of example, and each term's greatest weight per block.
 
+    The terms of most examples are kept as rows of a matrix, so that a batch of texts meets a block in one product.
+    Products are of 32 bits: what comes within ``SLACK`` of the k-th is computed again from the postings' 64 bits.
+    """
 
-class BlockMaxIndex:
-    """Postings of each term in order of example, and each term's greatest weight per block."""
+    #: Terms in the matrix at most, and the part of the examples that such a term has at least.
+    ROWS, PART = 1_024, 64
+    #: More than twice what 1,024 products of 32 bits can be wrong by, for vectors of length 1.
+    SLACK = 2e-4
 
     def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], n_terms: int, block: int = BLOCK):
-        self.n, self.block = len(vectors), block
+        self.n, self.block, self.n_terms = len(vectors), block, n_terms
         self.blocks = -(-self.n // block)
-        lengths = [len(p) for p, _ in vectors]
-        example = np.repeat(np.arange(self.n), lengths)
-        term = np.concatenate([p for p, _ in vectors]) if vectors else np.zeros(0, np.int64)
-        weight = np.concatenate([w for _, w in vectors]) if vectors else np.zeros(0)
-        order = np.lexsort((example, term))
+        self.own_begin = np.concatenate(([0], np.cumsum([len(p) for p, _ in vectors], dtype=np.int64)))
+        self.own_term = np.concatenate([p for p, _ in vectors]).astype(np.int32) if vectors else np.zeros(0, np.int32)
+        self.own_weight = np.concatenate([w for _, w in vectors]) if vectors else np.zeros(0)
+        self.laid_out = False
+
+    def __getstate__(self) -> dict:
+        names = ("n", "block", "n_terms", "blocks", "own_begin", "own_term", "own_weight")
+        return {x: getattr(self, x) for x in names} | {"laid_out": False}
+
+    def vector(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        own = slice(self.own_begin[i], self.own_begin[i + 1])
+        return self.own_term[own], self.own_weight[own]
+
+    def _lay_out(self) -> None:
+        """The matrix and the postings, where they are asked; only the examples' vectors are sent there."""
+        example = np.repeat(np.arange(self.n, dtype=np.int32), np.diff(self.own_begin))
+        term, weight = self.own_term, self.own_weight
+        known = np.bincount(term, minlength=self.n_terms)
+        hot = np.argsort(-known, kind="stable")[: self.ROWS]
+        hot = hot[known[hot] * self.PART >= max(self.n, 1)]
+        self.row = np.full(self.n_terms, -1, np.int32)
+        self.row[hot] = np.arange(len(hot))
+        row = self.row[term]
+        some = row >= 0
+        self.hot = np.zeros((len(hot), self.blocks * self.block), np.float32)
+        self.hot[row[some], example[some]] = weight[some]
+        self.greatest = self.hot.reshape(len(hot), self.blocks, self.block).max(2)
+        term, example, weight = term[~some], example[~some], weight[~some]
+        order = np.argsort(term, kind="stable")
         self.example, self.weight = example[order], weight[order]
-        self.begin = np.searchsorted(term[order], np.arange(n_terms + 1))
-        self.greatest = np.zeros((n_terms, self.blocks))
-        np.maximum.at(self.greatest, (term, example // block), weight)
+        self.begin = np.searchsorted(term[order], np.arange(self.n_terms + 1))
+        self.laid_out = True
 
     def nearest(self, places: np.ndarray, weights: np.ndarray, k: int, but: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """The k examples of greatest cosine above 0 (``but`` left out), best first, and their cosines."""
-        if not len(places) or not self.n:
-            return np.zeros(0, np.int64), np.zeros(0)
-        bound = weights @ self.greatest[places]
-        order = np.argsort(-bound, kind="stable")
-        lists = [(self.example[a:b], self.weight[a:b] * w) for a, b, w in zip(self.begin[places], self.begin[places + 1], weights)]
-        best, cosines = np.zeros(0, np.int64), np.zeros(0)
-        at, step = 0, 2
-        while at < len(order) and bound[order[at]] > 0:
-            reach = bound[order[at : at + step]]
-            if len(best) >= k:
-                reach = reach[reach >= cosines[k - 1] - 1e-12]
-            if not len(reach):
-                break
-            chosen = np.zeros(self.blocks, bool)
-            chosen[order[at : at + len(reach)]] = True
-            total = np.zeros(self.n)
-            for examples, values in lists:
-                some = chosen[examples // self.block]
-                total[examples[some]] += values[some]
-            if 0 <= but < self.n:
-                total[but] = 0
-            found = np.flatnonzero(total)
-            best, cosines = np.concatenate((best, found)), np.concatenate((cosines, total[found]))
-            first = np.lexsort((best, -cosines))[:k]
-            best, cosines = best[first], cosines[first]
-            at, step = at + len(reach), step * 4
-        return best, cosines
+        return self.nearest_of([(places, weights)], k, [but])[0]
+
+    def nearest_of(self, texts: list[tuple[np.ndarray, np.ndarray]], k: int, but: list[int] | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+        """``nearest`` of each of some vectors, blocks met by all of them together."""
+        if not self.n or not texts:
+            return [(np.zeros(0, np.int64), np.zeros(0))] * len(texts)
+        if not self.laid_out:
+            self._lay_out()
+        m, width = len(texts), self.blocks * self.block
+        text = np.repeat(np.arange(m), [len(p) for p, _ in texts])
+        place = np.concatenate([p for p, _ in texts]).astype(np.int64)
+        weight = np.concatenate([w for _, w in texts])
+        row = self.row[place]
+        some = row >= 0
+        asked = np.zeros((m, len(self.hot)), np.float32)
+        asked[text[some], row[some]] = weight[some]
+        # the rarer terms' part of every cosine
+        text, place, weight = text[~some], place[~some], weight[~some]
+        begin, end = self.begin[place], self.begin[place + 1]
+        at, size = _ranges(begin, end), end - begin
+        cosine = np.bincount(np.repeat(text * width, size) + self.example[at], np.repeat(weight, size) * self.weight[at], m * width)
+        cosine = cosine.astype(np.float32).reshape(m, width)
+        bound = asked @ self.greatest + cosine.reshape(m, self.blocks, self.block).max(2)
+        done = np.zeros((m, self.blocks), bool)
+        left_out = [(i, x) for i, x in enumerate(but or []) if 0 <= x < self.n]
+
+        def meet(chosen: np.ndarray) -> np.ndarray:
+            """Cosines with the examples of the blocks met so far, and 0 for others."""
+            for b in np.flatnonzero(chosen.any(0)):
+                rows = np.flatnonzero(chosen[:, b])
+                own = slice(b * self.block, (b + 1) * self.block)
+                cosine[rows, own] += (asked if len(rows) == m else asked[rows]) @ self.hot[:, own]
+            done[chosen] = True
+            found = np.where(np.repeat(done, self.block, 1), cosine, np.float32(0))
+            for i, x in left_out:
+                found[i, x] = 0
+            return found
+
+        def kth(found: np.ndarray) -> np.ndarray:
+            return np.partition(found, width - k, 1)[:, width - k] if width > k else np.zeros(m, np.float32)
+
+        first = np.zeros((m, self.blocks), bool)
+        some = min(2, self.blocks)
+        np.put_along_axis(first, np.argpartition(-bound, some - 1, 1)[:, :some], True, 1)
+        found = meet(first & (bound > 0))
+        found = meet(~done & (bound > 0) & (bound >= kth(found)[:, None] - self.SLACK))
+        near = (found > 0) & (found >= kth(found)[:, None] - self.SLACK)
+        out, full = [], np.zeros(self.n_terms)
+        for i, (places, weights) in enumerate(texts):
+            best = np.flatnonzero(near[i])
+            if not len(best):
+                out.append((best, np.zeros(0)))
+                continue
+            full[places] = weights
+            begin, end = self.own_begin[best], self.own_begin[best + 1]
+            at, size = _ranges(begin, end), end - begin
+            cosines = np.add.reduceat(full[self.own_term[at]] * self.own_weight[at], np.cumsum(size) - size)
+            full[places] = 0
+            order = np.lexsort((best, -cosines))[:k]
+            out.append((best[order], cosines[order]))
+        return out
 
 
 @dataclass
 class Model:
     terms: Vocabulary
-    idf: np.ndarray
+    weight: np.ndarray
     index: BlockMaxIndex
     labels: np.ndarray
     example_ids: list
@@ -158,11 +257,13 @@ class Model:
         weights = 1 / (np.maximum(1 - cosines, 0) + 0.1)
         return float((weights @ self.labels[near] + self.rate) / (weights.sum() + 1))
 
-    def score(self, text: str | None) -> tuple[float, np.ndarray, np.ndarray]:
-        near, cosines = self.index.nearest(*vector(text, self.terms, self.idf), self.k)
-        if not len(near):
-            return self.none_rate, near, cosines
-        return _logistic(self.slope * _logit(self.votes(near, cosines)) + self.shift), near, cosines
+    def scores(self, texts: list[str | None]) -> list[tuple[float, np.ndarray, np.ndarray]]:
+        out = []
+        for a in range(0, len(texts), BATCH):
+            for near, cosines in self.index.nearest_of(vectors_of(texts[a : a + BATCH], self.terms, self.weight), self.k):
+                p = _logistic(self.slope * _logit(self.votes(near, cosines)) + self.shift) if len(near) else self.none_rate
+                out.append((p, near, cosines))
+        return out
 
 
 def _logit(p: float) -> float:
@@ -217,14 +318,12 @@ def fit(
     text_col: str = "text",
     label_col: str = "toxic",
     max_examples: int = MAX_EXAMPLES,
-    max_terms: int = MAX_TERMS,
-    min_chi2: float = MIN_CHI2,
     k: int = K,
     corpus: DataFrame | None = None,
 ) -> Model:
     """Learns from ``labels`` (give only rows that may be learnt from); document frequencies from ``corpus`` or ``docs``.
 
-    The driver gets the examples' indexed terms and counts of at most ``max_terms`` terms.
+    The driver gets the examples' terms and their counts.
     """
     corpus = docs if corpus is None else corpus
     examples = _examples(docs, labels, id_col, text_col, label_col, max_examples).persist()
@@ -242,57 +341,76 @@ def fit(
 
         words = examples.select("text", "label").mapInPandas(distinct_words, "word binary, n0 long, n1 long")
         words = words.groupBy("word").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-        # 2 x 2 chi-square of a word's presence and the label
-        a, b = F.col("n1").cast("double"), F.col("n0").cast("double")
-        c, d = F.lit(float(positive)) - a, F.lit(float(n - positive)) - b
-        # a word of every example tells nothing: null, and below any bound
-        chi2 = F.try_divide(F.lit(float(n)) * F.pow(a * d - b * c, F.lit(2.0)), (a + b) * (c + d) * (a + c) * (b + d))
-        chosen = words.withColumn("chi2", chi2).where(F.col("chi2") >= min_chi2)
-        chosen = chosen.orderBy(F.col("chi2").desc(), "word").limit(max_terms).select("word").collect() if n else []
-        terms = Vocabulary([bytes(r.word) for r in chosen])
+        found = words.toArrow()
+        a, b = (found[x].to_numpy().astype(float) for x in ("n1", "n0"))
+        c, d = positive - a, n - positive - b
+        # 2 x 2 chi-square of a word's presence and the label; a word of every example tells nothing
+        below = (a + b) * (c + d) * (a + c) * (b + d)
+        chi2 = n * (a * d - b * c) ** 2 / np.where(below > 0, below, np.inf)
+        order = pc.sort_indices(found.append_column("chi2", pa.array(chi2)), sort_keys=[("chi2", "descending"), ("word", "ascending")])
+        terms, chi2 = Vocabulary(found["word"].take(order).combine_chunks()), chi2[order.to_numpy()]
+        del found, a, b, c, d, below, order
 
         def frequencies(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             counts = np.zeros(len(terms) + 1, np.int64)
             for frame in frames:
-                for text in frame["text"]:
-                    counts[[p for p in terms.counts(text) if p < len(terms)]] += 1
+                texts = frame["text"].tolist()
+                for at in range(0, len(texts), BATCH):
+                    counts[:-1] += np.bincount(terms.counts(texts[at : at + BATCH])[1], minlength=len(terms))
                 counts[-1] += len(frame)
-            yield pd.DataFrame({"term": np.arange(len(counts)), "n": counts})
+            some = np.flatnonzero(counts)
+            yield pd.DataFrame({"term": some, "n": counts[some]})
 
-        total = dict(
-            corpus.select(F.col(text_col).alias("text")).mapInPandas(frequencies, "term long, n long")
-            .groupBy("term").agg(F.sum("n")).collect()
-        ) if len(terms) else {}
-        rows = total.get(len(terms), 0)
-        idf = np.array([math.log((1 + rows) / (1 + total.get(i, 0))) + 1 for i in range(len(terms))] + [REST])
+        known = np.zeros(len(terms) + 1, np.int64)
+        if len(terms):
+            total = corpus.select(F.col(text_col).alias("text")).mapInPandas(frequencies, "term long, n long")
+            total = total.groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+            known[total["term"].to_numpy()] = total["n"].to_numpy()
+        idf = np.log((1 + known[-1]) / (1 + known[:-1])) + 1
+        weight = idf * (REST + chi2 / (chi2 + HALF_CHI2))
 
         def counted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for frame in frames:
-                found = [vector(text, terms, idf) for text in frame["text"]]
+                found = vectors_of(frame["text"].tolist(), terms, weight)
                 yield pd.DataFrame(
-                    {"h": frame["_h"], "n": frame["_n"], "id": frame["id"], "label": frame["label"], "places": [p for p, _ in found], "weights": [w for _, w in found]}
+                    {"h": frame["_h"], "n": frame["_n"], "id": frame["id"], "label": frame["label"], "places": [p.astype(np.int32).tobytes() for p, _ in found], "weights": [w.tobytes() for _, w in found]}
                 )
 
         ids = examples.schema["id"].dataType.simpleString()
-        known = sorted(
-            examples.mapInPandas(counted, f"h long, n int, id {ids}, label int, places array<long>, weights array<double>").collect(),
-            key=lambda r: (r.h, r.n),
-        )
+        known = examples.mapInPandas(counted, f"h long, n int, id {ids}, label int, places binary, weights binary")
+        known = known.toArrow().sort_by([("h", "ascending"), ("n", "ascending")])
     finally:
         examples.unpersist()
-    none = [r.label for r in known if not r.places]
+    label, name = known["label"].to_numpy(), known["id"].to_pylist()
+    vectors = [(np.frombuffer(p.as_buffer(), np.int32), np.frombuffer(w.as_buffer())) for p, w in zip(known["places"], known["weights"])]
+    none = [label[i] for i, (p, _) in enumerate(vectors) if not len(p)]
     # examples that share their heaviest term stand together, so that block bounds are tight
-    some = sorted((r for r in known if r.places), key=lambda r: (r.places[int(np.argmax(r.weights[: max(len(r.weights) - 1, 1)]))], r.weights[-1], r.h, r.n))
-    vectors = [(np.array(r.places, np.int64), np.array(r.weights)) for r in some]
-    index = BlockMaxIndex(vectors, len(terms) + 1)
+    some = [(p[int(np.argmax(w))], -w.max(), i) for i, (p, w) in enumerate(vectors) if len(p)]
+    some = [i for _, _, i in sorted(some)]
+    index = BlockMaxIndex([vectors[i] for i in some], len(terms))
+    del known, vectors
     rate = min(max(positive / n, 1e-3), 1 - 1e-3) if n else 0.0
     model = Model(
-        terms, idf, index, np.array([r.label for r in some], float), [r.id for r in some], rate,
+        terms, weight, index, label[some].astype(float), [name[i] for i in some], rate,
         (sum(none) + rate) / (len(none) + 1) if n else 0.0, 1.0, 0.0, k,
     )
-    near = [index.nearest(*v, k, but=i) for i, v in enumerate(vectors)]
-    votes = [(model.votes(*x), y) for x, y in zip(near, model.labels) if len(x[0])]
-    model.slope, model.shift = _calibrate(np.array([v for v, _ in votes]), np.array([y for _, y in votes]))
+    if index.n:
+        shared = docs.sparkSession.sparkContext.broadcast(model)
+
+        def left_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            m = shared.value
+            for batch in batches:
+                every = batch.column(0).to_pylist()
+                for a in range(0, len(every), BATCH):
+                    some = every[a : a + BATCH]
+                    near = m.index.nearest_of([m.index.vector(i) for i in some], m.k, some)
+                    votes = [m.votes(*x) if len(x[0]) else None for x in near]
+                    yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(votes, pa.float64())], names=["id", "vote"])
+
+        parts = -(-index.n // (4 * BATCH))
+        votes = docs.sparkSession.range(0, index.n, 1, parts).mapInArrow(left_out, "id long, vote double").where("vote IS NOT NULL").toArrow().sort_by("id")
+        shared.unpersist()
+        model.slope, model.shift = _calibrate(votes["vote"].to_numpy(), model.labels[votes["id"].to_numpy()])
     return model
 
 
@@ -305,7 +423,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in batches:
-            found = [m.score(t) for t in batch.column(1).to_pylist()]
+            found = m.scores(batch.column(1).to_pylist())
             near = [
                 [{"example": str(m.example_ids[i]), "cosine": float(c), "label": int(m.labels[i])} for i, c in zip(a[:evidence], b[:evidence])]
                 for _, a, b in found

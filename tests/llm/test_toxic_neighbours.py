@@ -64,3 +64,30 @@ def test_held_out_accuracy(spark):
     labels = spark.read.parquet(f"{folder}/labels.parquet")
     found = op1_toxic_neighbours(spark, folder).where("held_out").join(labels, "doc_id").select("predicted", "toxic").collect()
     assert sum(r.predicted == r.toxic for r in found) / len(found) > 0.93
+
+
+def test_small_tables_use_every_term(spark):
+    # too few examples for any term to go with the label for sure
+    rng = random.Random(6)
+    rows = [(i, " ".join(rng.choice(["ab", "cd", "ef", "gh", "ij", "kl", "mn"]) for _ in range(rng.randrange(1, 6)))) for i in range(24)]
+    docs = spark.createDataFrame([*rows, (50, "zz"), (51, "")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(16)], "doc_id long, toxic int")
+    model = tn.fit(docs, labels)
+    got = {r.doc_id: r for r in tn.score(docs, model, evidence=24).collect()}
+
+    def full(text):
+        out = {}
+        for t in tn.tokens(text):
+            out[t] = out.get(t, 0) + model.weight[model.terms.terms[t]] if t in model.terms.terms else 0
+        length = sum(x * x for x in out.values()) ** 0.5
+        return {t: x / length for t, x in out.items() if x}
+
+    texts = dict(rows)
+    own = {int(i): full(texts[int(i)]) for i in model.example_ids}
+    assert len(own) == len({texts[i] for i in range(16)})
+    for i, text in rows:
+        q = full(text)
+        want = sorted((c for o in own.values() if (c := sum(q[t] * o.get(t, 0) for t in q)) > 0), reverse=True)[: model.k]
+        assert [e.cosine for e in got[i].evidence] == pytest.approx(want)
+        assert want
+    assert not got[50].evidence and not got[51].evidence
