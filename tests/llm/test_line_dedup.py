@@ -23,3 +23,10 @@ def test_repeated_rows_and_empty(spark, nothing):
     got = sorted((r.doc_id or 0, r.text) for r in line_dedup.dedup(df).collect())
     assert got == [(0, "one line here\nother"), (1, ""), (1, "")]
     assert line_dedup.dedup(nothing).count() == 0
+
+
+def test_one_changed_byte_in_a_short_line(spark):
+    # 46 bytes: 37 of 47 five-byte shingles are shared, but only 31 of 47 eight-byte ones
+    line = "abcdefghijklmnopqrstuvwxyz0123456789ABCDEFGHIJ"
+    df = spark.createDataFrame([(1, line), (2, line[:20] + "#" + line[21:])], "doc_id long, text string")
+    assert {r.doc_id: r.n_removed for r in line_dedup.dedup(df, counts=True).collect()} == {1: 0, 2: 1}
