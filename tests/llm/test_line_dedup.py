@@ -1,4 +1,7 @@
+import random
+
 import brute
+import numpy as np
 from carbonloom.llm import line_dedup
 
 
@@ -30,3 +33,28 @@ def test_one_changed_byte_in_a_short_line(spark):
     line = "abcdefghijklmnopqrstuvwxyz0123456789ABCDEFGHIJ"
     df = spark.createDataFrame([(1, line), (2, line[:20] + "#" + line[21:])], "doc_id long, text string")
     assert {r.doc_id: r.n_removed for r in line_dedup.dedup(df, counts=True).collect()} == {1: 0, 2: 1}
+
+
+def recall(seed=3, pairs=3000, least=75, below=78):
+    """The part of the pairs of lines at ``least`` to ``below`` % similarity that share a band, and how many pairs."""
+    rng = random.Random(seed)
+    letters = "abcdefghijklmnopqrstuvwxyz      "
+    data, low, high = b"", [], []
+    while len(low) < 2 * pairs:
+        line = "".join(rng.choice(letters) for _ in range(rng.randrange(40, 300)))
+        other = list(line)
+        for _ in range(max(1, round(len(line) / 35))):
+            other[rng.randrange(len(line))] = "#"
+        a, b = line.strip().encode(), "".join(other).strip().encode()
+        s, t = line_dedup.shingle_set(a), line_dedup.shingle_set(b)
+        if least * len(s | t) <= 100 * len(s & t) < below * len(s | t):
+            for x in (a, b):
+                low.append(len(data))
+                data += x
+                high.append(len(data))
+    bands = line_dedup.signatures(np.frombuffer(data, np.uint8), np.array(low), np.array(high))
+    return float((bands[::2] == bands[1::2]).any(1).mean()), pairs
+
+
+def test_recall_at_the_threshold():
+    assert recall()[0] >= 0.995
