@@ -12,7 +12,7 @@ Equal sets are one class and go through the join once. A group of near copies is
 pair by pair (``components.linked_groups``).
 
 Null and empty texts, and texts without words, have an empty set, link with nothing and are their own
-component. Rows are judged one by one; a null id is never a component's name unless it is alone. Columns
+component. Rows are judged one by one; a null id is never a component's name unless all its ids are null. Columns
 beside id and text are not read.
 """
 
@@ -105,10 +105,11 @@ def signatures(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, id_col
         at, inside = prefix(hashes, of, np.argsort(of * 256 + df, kind="stable"))
         open_ = np.zeros(len(sizes), bool)
         open_[of[inside & (df > 1)]] = True
-        # one row of each class is enough; the table is in order of id
-        _, first = np.unique(np.stack([sizes.astype(np.uint64), *sums], 1), axis=0, return_index=True)
+        # one row of each class is enough: the one of smallest id, as the table is in order of id behind null ids
+        by_id = np.roll(np.arange(len(sizes)), -texts["id"].null_count)
+        _, first = np.unique(np.stack([sizes.astype(np.uint64), *sums], 1)[by_id], axis=0, return_index=True)
         once = np.zeros(len(sizes), bool)
-        once[first] = True
+        once[by_id[first]] = True
         open_ &= once
         columns = [pa.array(texts["id"].combine_chunks()), pa.array(sizes), *(pa.array(x.view(np.int64)) for x in sums)]
         # the other orders, for the sets that need them
@@ -133,11 +134,13 @@ def join(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, id_col: str
     """doc_id, n_shingles and component_id (the smallest id reachable by links) of every row."""
     rows = saved(signatures(docs, n, percent, id_col, text_col))
     of_class = ["n_shingles", "s1", "s2"]
-    classes = rows.where("n_shingles > 0").groupBy(*of_class).agg(F.min("doc_id").alias("node"))
+    classes = rows.where("n_shingles > 0").groupBy(*of_class).agg(F.min("doc_id").alias("first"))
+    # a class of null ids alone (they share a chunk, where one row has its lists) is a node by a hash of its sums
+    classes = classes.withColumn("node", F.coalesce("first", F.xxhash64(*of_class)))
     sets = saved(
         rows.where("shared IS NOT NULL")
-        .join(classes.where("node IS NOT NULL"), of_class)
-        .where("doc_id = node")
+        .join(classes, of_class)
+        .where("doc_id <=> first")
         .select("node", F.col("n_shingles").alias("n"), "shared", "p1", "at1", "p2", "p3")
     )
 
@@ -158,7 +161,10 @@ def join(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, id_col: str
     prefix = F.explode(F.arrays_zip("p1", "at1")).alias("x")
     postings = sets.select("node", "n", prefix).select(F.col("x.p1").alias("key"), "node", "n", F.col("x.at1").alias("at"))
     found = linked_groups(postings, verify, near)
-    named = classes.join(found, "node", "left").select(*of_class, F.coalesce("component", "node").alias("component_id"))
+    # the smallest id, as a component may be called by a hash
+    names = found.join(classes.select("node", "first"), "node").groupBy("component").agg(F.min("first").alias("name"))
+    found = found.join(names, "component").select("node", "name")
+    named = classes.join(found, "node", "left").select(*of_class, F.coalesce("name", "first").alias("component_id"))
     out = rows.select("doc_id", *of_class).join(named, of_class, "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 

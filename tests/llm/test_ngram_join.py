@@ -41,3 +41,17 @@ def test_many_near_copies_of_one_text(spark):
 def test_empty(nothing):
     assert ngram_join.join(nothing).count() == 0
     assert ngram_join.keep_one(nothing).count() == 0
+
+
+def test_null_ids_in_the_chunk_of_the_smallest_id(spark):
+    text, other = "a b c d e f g h", "q r s t u v w x"
+    rows = [(7, text), (None, text), (9, text + " i"), (None, other), (12, other + " y"), (None, "k l m n o p"), (None, "k l m n o p")]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        got = ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    # null ids: a copy of 7, a text of its own that is near 12, and two rows that are alone
+    want = [(7, 7), (9, 7), (12, 12), (None, 7), (None, 12), (None, None), (None, None)]
+    assert sorted(((r.doc_id, r.component_id) for r in got), key=str) == sorted(want, key=str)
