@@ -123,7 +123,7 @@ def grams(hashes: np.ndarray, firsts: np.ndarray, n: int) -> tuple[np.ndarray, n
     """Hash of every n consecutive words of a text; of all its words where it has fewer. Also the text's number."""
     counts = np.diff(firsts)
     total = np.zeros(len(hashes), np.uint64)
-    for j in range(n):
+    for j in range(min(n, len(hashes))):
         total[: len(hashes) - j] += hashes[j:] * _STEPS[j]
     owner = np.repeat(np.arange(len(counts)), counts)
     whole = np.arange(len(hashes)) + n <= firsts[owner + 1]

@@ -1,5 +1,6 @@
 import brute
-from carbonloom.llm import ngram_join
+import pyarrow as pa
+from carbonloom.llm import hashing, ngram_join
 
 
 def test_components(docs, texts):
@@ -55,3 +56,9 @@ def test_null_ids_in_the_chunk_of_the_smallest_id(spark):
     # null ids: a copy of 7, a text of its own that is near 12, and two rows that are alone
     want = [(7, 7), (9, 7), (12, 12), (None, 7), (None, 12), (None, None), (None, None)]
     assert sorted(((r.doc_id, r.component_id) for r in got), key=str) == sorted(want, key=str)
+
+
+def test_chunks_of_few_words():
+    for text in ("", "one", "one two", "one two three", "one two three four"):
+        hashes, of = hashing.grams(*hashing.words(pa.chunked_array([[text]], pa.string())), 5)
+        assert of.tolist() == [0] * bool(text) and len(hashes) == bool(text)
