@@ -6,7 +6,7 @@ from carbonloom.plans import measures
 from carbonloom.plans.jobs import Warehouse
 from carbonloom.streaming import hourly_feed
 from carbonloom.sources import schemas
-from conftest import as_dicts, by_key
+from helpers import as_dicts, by_key
 
 PROVINCES = """﻿Province_Code,Province_Name,Province_Name_Ascii,Region,Economic_Zone,Area_Km2,Is_Industrial_Hub
 01,Hà Nội,Ha Noi,Đồng bằng sông Hồng,KTTĐ Bắc Bộ,3359.8,1

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from carbonloom import constants as k
 from carbonloom.operators.generators import dim_date
 from carbonloom.plans import kpis, measures, variants
-from conftest import as_dicts, by_key
+from helpers import as_dicts, by_key
 
 NATIONAL = ("Year int, Decade string, Five_Year_Plan_Phase string, Sector_Code string, Sector_Category string, "
             "Sector_Name_VI string, Gas string, Emissions_MtCO2e double, CO2_MtCO2e double, Methane_MtCO2e double, "

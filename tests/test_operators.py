@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from carbonloom.operators import allocation, audit, lookup, merge, ranking, series
 from carbonloom.operators.generators import dim_date, dim_time_of_day, sector_seed
 from carbonloom.operators.keys import dense_keys, packed_key
-from conftest import as_dicts, by_key
+from helpers import as_dicts, by_key
 
 
 def test_generated_dimensions(spark):

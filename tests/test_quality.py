@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from carbonloom.operators import constraints, quality
 from carbonloom.operators.quantiles import exact_medians, value_pairs
-from conftest import by_key
+from helpers import by_key
 
 
 def test_completeness_threshold(rows):

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from carbonloom.operators import geography
 from carbonloom.operators.constraints import non_negative
 from carbonloom.sources import csvfiles, payloads, schemas, tables, topology
-from conftest import as_dicts, by_key
+from helpers import as_dicts, by_key
 
 BOM = "﻿"
 
