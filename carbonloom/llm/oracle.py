@@ -79,5 +79,35 @@ SELECT *, NOT (base_failed
   OR 4 * n_distinct_words * n_distinct_words < 9 * n_words
   OR word_chars < 2 * n_words OR word_chars > 25 * n_words) AS kept
 FROM b
+""",
+    "op12_secret_scan": r"""
+WITH rules(place, kind, pattern, part, least) AS (
+  VALUES (0, 'assign', '([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 2, 6),
+    (1, 'access', '(AKIA[A-Z0-9]+)', 1, 20), (2, 'hex', '([0-9a-f]+)', 1, 24), (3, 'github', '(gh[pousr]_[A-Za-z0-9]+)', 1, 40),
+    (4, 'slack', '(xox[abposr]-[A-Za-z0-9-]+)', 1, 15), (5, 'google', '(AIza[A-Za-z0-9_-]+)', 1, 39),
+    (6, 'jwt', '(eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+)', 1, 30),
+    (7, 'private_key', '(-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----)', 1, 1)
+), d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents
+), cut AS (
+  SELECT r, place, kind, least, regexp_extract_all(text, pattern) AS found,
+    CASE WHEN part = 2 THEN regexp_extract_all(text, pattern, 2) ELSE regexp_extract_all(text, pattern, 1) END AS measured,
+    string_split_regex(text, pattern) AS rest
+  FROM d JOIN rules ON regexp_matches(text, pattern)
+), sized AS (
+  SELECT r, place, kind, least, i, length(found[i]) AS size, length(measured[i]) AS part, length(rest[i]) AS gap
+  FROM (SELECT *, unnest(range(1, len(found) + 1)) AS i FROM cut)
+), placed AS (
+  SELECT *, sum(gap + size) OVER (PARTITION BY r, place ORDER BY i) AS stop FROM sized
+), spans AS (
+  SELECT r, place, kind, stop - size AS start, kind || ':' || CAST(stop - size AS BIGINT) || ':' || CAST(stop AS BIGINT) AS span FROM placed WHERE part >= least
+), each AS (
+  SELECT r, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+    string_agg(span, ',' ORDER BY start, place) FILTER (place < 3) AS base, string_agg(span, ',' ORDER BY start, place) AS spans
+  FROM spans GROUP BY r
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN each ON each.r = d.r
 """,
 }

@@ -25,12 +25,13 @@ COLUMNS = {
     "op8_": {"doc_id"},
     "op9_": {"doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"},
     "op10_": {"doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"},
+    "op12_": {"doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"},
 }
 NUMBERED = {next(p for p in COLUMNS if n.startswith(p)): n for n in entry.QUERIES if n != "pipeline"}
 
 
 def test_one_query_for_each_number():
-    assert set(NUMBERED) == set(COLUMNS) and len(entry.QUERIES) == 11
+    assert set(NUMBERED) == set(COLUMNS) and len(entry.QUERIES) == len(COLUMNS) + 1
 
 
 @pytest.mark.parametrize("name", list(entry.ORACLES))
