@@ -19,7 +19,7 @@ import __spark_entry__ as entry  # noqa: E402
 
 QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 
-TYPES = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN", "date": "DATE"}
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN", "date": "DATE"}
 
 
 def connect(sf_dir: str):
