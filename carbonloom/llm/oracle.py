@@ -109,5 +109,32 @@ WITH rules(place, kind, pattern, part, least) AS (
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
   sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM d LEFT JOIN each ON each.r = d.r
+""",
+    "op11_ranked_search": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS words
+  FROM documents
+), b AS (
+  SELECT row_number() OVER () AS i, item_id,
+    list_distinct(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS words
+  FROM (SELECT DISTINCT item_id, text FROM benchmark)
+), s AS (
+  SELECT CAST(count(*) FILTER (len(words) > 0) AS BIGINT) AS n_docs, CAST(sum(len(words)) AS BIGINT) AS n_all FROM d
+), tf AS (
+  SELECT r, doc_id, n, term, CAST(count(*) AS BIGINT) AS tf
+  FROM (SELECT r, doc_id, CAST(len(words) AS BIGINT) AS n, unnest(words) AS term FROM d) GROUP BY r, doc_id, n, term
+), w AS (
+  SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf CROSS JOIN s GROUP BY term, n_docs
+), parts AS (
+  SELECT r, doc_id, tf.term, w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + ((50 * n * n_docs) // n_all)))) AS part
+  FROM tf JOIN w ON w.term = tf.term CROSS JOIN s
+), scores AS (
+  SELECT i, item_id, r, doc_id, CAST(sum(part) AS BIGINT) AS score
+  FROM (SELECT i, item_id, unnest(words) AS term FROM b) q JOIN parts ON parts.term = q.term
+  GROUP BY i, item_id, r, doc_id HAVING sum(part) > 0
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id ASC NULLS LAST) AS rank FROM scores) WHERE rank <= 50
 """,
 }

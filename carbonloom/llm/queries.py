@@ -7,7 +7,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carbonloom.llm import katz, leak_scan, licence_rules, line_dedup, ngram_join, quality_cascade, secret_scan, sentence_pieces, suffix_merge, toxic_neighbours, url_rules
+from carbonloom.llm import katz, leak_scan, licence_rules, line_dedup, ngram_join, quality_cascade, ranked_search, secret_scan, sentence_pieces, suffix_merge, toxic_neighbours, url_rules
 
 URL_RULES = (
     url_rules.UrlRule("allow", "com/"),
@@ -91,6 +91,10 @@ def op10_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_cascade.verdicts(table(spark, sf_dir, "documents"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.scan(table(spark, sf_dir, "documents")))
 
@@ -106,5 +110,6 @@ QUERIES = {
     "op8_licence_rules": op8_licence_rules,
     "op9_leak_scan": op9_leak_scan,
     "op10_quality_cascade": op10_quality_cascade,
+    "op11_ranked_search": op11_ranked_search,
     "op12_secret_scan": op12_secret_scan,
 }
