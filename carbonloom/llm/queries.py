@@ -7,7 +7,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carbonloom.llm import katz, leak_scan, licence_rules, line_dedup, ngram_join, quality_cascade, ranked_search, secret_scan, sentence_pieces, suffix_merge, toxic_neighbours, url_rules
+from carbonloom.llm import hard_negatives, katz, leak_scan, licence_rules, line_dedup, ngram_join, quality_cascade, ranked_search, secret_scan, sentence_pieces, suffix_merge, toxic_neighbours, url_rules
 
 URL_RULES = (
     url_rules.UrlRule("allow", "com/"),
@@ -99,6 +99,12 @@ def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.scan(table(spark, sf_dir, "documents")))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
 QUERIES = {
     "op1_toxic_neighbours": op1_toxic_neighbours,
     "op2_url_rules": op2_url_rules,
@@ -112,4 +118,5 @@ QUERIES = {
     "op10_quality_cascade": op10_quality_cascade,
     "op11_ranked_search": op11_ranked_search,
     "op12_secret_scan": op12_secret_scan,
+    "op13_hard_negatives": op13_hard_negatives,
 }

@@ -26,6 +26,7 @@ COLUMNS = {
     "op9_": {"doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"},
     "op10_": {"doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"},
     "op11_": {"item_id", "rank", "doc_id", "score"},
+    "op13_": {"anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"},
     "op12_": {"doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"},
 }
 NUMBERED = {next(p for p in COLUMNS if n.startswith(p)): n for n in entry.QUERIES if n != "pipeline"}
