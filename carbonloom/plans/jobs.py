@@ -1,7 +1,7 @@
 """Load jobs over a warehouse folder of Parquet tables.
 
 Every job can be run again after any failure: staging is overwritten, dimensions are merged by natural key into
-a new version, facts replace the partitions of the years that are staged.
+a new version, facts replace the slices of the years that are staged and are published as snapshots, each in one step.
 """
 
 from __future__ import annotations
@@ -19,17 +19,17 @@ from ..operators.constraints import Rule, non_negative, percentage, positive, re
 from ..operators.generators import dim_date, dim_time_of_day, sector_seed
 from ..operators.lookup import lookup_losses
 from ..operators.merge import scd1_merge
-from ..sources import csvfiles, schemas
+from ..sources import csvfiles, schemas, snapshots
 from ..sources.tables import (
     exists,
     publish_dimension,
-    publish_fact,
     published,
     remember_schema,
     remembered_schema,
     stage_overwrite,
     truncate,
 )
+from ..streaming import hourly_feed
 from . import facts, measures, views
 
 STAGING = ("national", "sectors", "provincial", "provinces", "stations", "hourly")
@@ -37,6 +37,8 @@ YEARLY_STAGING = STAGING[:4]
 PROVINCE_COLUMNS = ["Province_Name", "Province_Name_Ascii", "Region", "Economic_Zone", "Area_Km2", "Is_Industrial_Hub"]
 SECTOR_COLUMNS = ["Sector_Name_EN", "Sector_Name_VI", "Sector_Category"]
 STATION_COLUMNS = ["Station_Name", "Province_Key", "Station_Type", "Latitude", "Longitude", "Is_Active"]
+#: Slices of each fact: what a load replaces, and what a filter prunes.
+FACTS = {"fact_national": ("Date_Key",), "fact_provincial": ("Date_Key",), "fact_hourly": hourly_feed.MONTHS}
 HOURLY_STAR = ["fact_hourly", "dim_date", "dim_time_of_day", "dim_province", "dim_station"]
 AUDIT = (
     "event_id string, log_id string, package string, task string, status string, rows_processed bigint, "
@@ -74,6 +76,8 @@ class Warehouse:
             if path is None:
                 raise FileNotFoundError(f"{table} is not loaded yet")
             return self.spark.read.schema(DIMENSIONS[table]).parquet(path)
+        if table in FACTS:
+            return snapshots.read(self.spark, self.path(table))
         schema = remembered_schema(self.spark, self.path(table))
         reader = self.spark.read if schema is None else self.spark.read.schema(schema)
         return reader.parquet(self.path(table))
@@ -81,6 +85,8 @@ class Warehouse:
     def has(self, table: str) -> bool:
         if table in DIMENSIONS:
             return published(self.spark, self.path(table)) is not None
+        if table in FACTS:
+            return snapshots.snapshot(self.spark, self.path(table)) is not None
         return exists(self.spark, self.path(table))
 
     def publish(self, table: str, df: DataFrame, key: str, natural: str | None = None, rules: Sequence[Rule] = ()) -> None:
@@ -139,7 +145,8 @@ class Warehouse:
             "provinces": (schemas.PROVINCES, schemas.PROVINCE_BLANKS),
             "stations": (schemas.STATIONS, None),
         }[name]
-        self.stage(name, csvfiles.read_csv(self.spark, path, ddl, blanks), path.rsplit("/", 1)[-1])
+        # these files are small, and read whole in case a cell holds a line end
+        self.stage(name, csvfiles.read_csv(self.spark, path, ddl, blanks, line_ends_in_cells=True), path.rsplit("/", 1)[-1])
 
     def stage_hourly(self, path: str) -> dict[str, int]:
         """Bulk-loads readings; returns the kept and dropped line counts, taken in the same pass."""
@@ -195,27 +202,67 @@ class Warehouse:
         self._merge("dim_station", rows, "Station_Code", STATION_COLUMNS, "Station_Key")
 
     # --- facts -----------------------------------------------------------------------
+    def publish_fact(self, table: str, rows: DataFrame, staged: DataFrame, rules: list[Rule], key: str, layout=snapshots.Layout()) -> None:
+        """One snapshot in which all slices of the staged years are ``rows``."""
+        years = snapshots.staged_slices(staged, ["Date_Key"])
+        snapshots.replace(rows, self.path(table), FACTS[table], years, rules, key, layout)
+
     def load_yearly_facts(self) -> None:
         dates = self.read("dim_date")
         national = facts.national_fact(
             self.staged("sectors"), dates, self.read("dim_sector"), self.staged("national")
         )
         years = self.staged("sectors").select(F.col("Year").alias("Date_Key"))
-        publish_fact(national, self.path("fact_national"), facts.NATIONAL_RULES, "Emission_ID", years)
+        self.publish_fact("fact_national", national, years, facts.NATIONAL_RULES, "Emission_ID")
         provincial = facts.provincial_fact(self.staged("provincial"), dates, self.read("dim_province"))
         years = self.staged("provincial").select(F.col("Year").alias("Date_Key"))
-        publish_fact(provincial, self.path("fact_provincial"), facts.PROVINCIAL_RULES, "Economy_ID", years)
+        self.publish_fact("fact_provincial", provincial, years, facts.PROVINCIAL_RULES, "Economy_ID")
+
+    def hourly_rows(self, readings: DataFrame, keep: Sequence[str] = ("Month", "Day")) -> DataFrame:
+        dims = (self.read(table) for table in ("dim_date", "dim_time_of_day", "dim_province", "dim_station"))
+        return facts.hourly_fact(readings, *dims, keep=tuple(keep))
+
+    def hourly_layout(self) -> snapshots.Layout:
+        """Rows of a month by station and day, with a Bloom filter for stations."""
+        last = self.read("dim_station").agg(F.max("Station_Key").alias("last")).first().last or 1
+        return snapshots.Layout(cluster=(("Station_Key", 1, last), ("Day", 1, 31)), bloom=("Station_Key",), bloom_values=last)
 
     def load_hourly_fact(self) -> None:
         staged = self.staged("hourly")
-        fact = facts.hourly_fact(
-            staged,
-            self.read("dim_date"),
-            self.read("dim_time_of_day"),
-            self.read("dim_province"),
-            self.read("dim_station"),
+        self.publish_fact("fact_hourly", self.hourly_rows(staged), staged, facts.HOURLY_RULES, "Monitoring_ID", self.hourly_layout())
+
+    def stream_hourly(self, folder: str, checkpoint: str, **options):
+        """Readings from files as they arrive, upserted into the fact; see :func:`hourly_feed.load_fact`."""
+        readings = hourly_feed.readings_stream(self.spark, folder, files_per_batch=options.pop("files_per_batch", hourly_feed.FILES_PER_BATCH), arrival=True)
+
+        return hourly_feed.load_fact(
+            readings,
+            lambda batch: self.hourly_rows(batch, ("Month", "Day", "Arrived_At")),
+            self.path("fact_hourly"),
+            checkpoint,
+            rules=facts.HOURLY_RULES,
+            layout=self.hourly_layout,
+            unmatched=self.unmatched_readings,
+            **options,
         )
-        publish_fact(fact, self.path("fact_hourly"), facts.HOURLY_RULES, "Monitoring_ID", staged)
+
+    def unmatched_readings(self, readings: DataFrame) -> DataFrame:
+        """The readings that some lookup of the fact would lose."""
+        found = readings
+        for table, key in (("dim_date", "Date_Key"), ("dim_time_of_day", "Hour_24"), ("dim_province", "Province_Code"), ("dim_station", "Station_Code")):
+            known = self.read(table).select(F.col(key).alias("_known")).distinct()
+            found = found.join(known, found[key] == known["_known"], "left").withColumn(f"_has_{key}", F.col("_known").isNotNull()).drop("_known")
+        flags = [c for c in found.columns if c.startswith("_has_")]
+        all_known = F.lit(True)
+        for flag in flags:
+            all_known = all_known & F.col(flag)
+        return found.where(~all_known).drop(*flags)
+
+    def expire(self, keep: int = 2) -> None:
+        """Deletes what only older snapshots of the facts show."""
+        for table in FACTS:
+            if self.has(table):
+                snapshots.expire(self.spark, self.path(table), keep)
 
     def orphans(self) -> DataFrame:
         """(fact, lookup, rows_lost): staged rows that each inner lookup would lose, for the tables that are staged."""

@@ -22,10 +22,10 @@ def typed(cell: Column, dtype, blank=None) -> Column:
     return value if blank is None else F.coalesce(value, F.lit(blank).cast(dtype))
 
 
-def apply_schema(df: DataFrame, ddl: str, blanks: dict[str, object] | None = None) -> DataFrame:
+def apply_schema(df: DataFrame, ddl: str, blanks: dict[str, object] | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     schema = StructType.fromDDL(ddl)
     blanks = blanks or {}
-    return df.select(*(typed(F.col(f.name), f.dataType, blanks.get(f.name)).alias(f.name) for f in schema))
+    return df.select(*(typed(F.col(f.name), f.dataType, blanks.get(f.name)).alias(f.name) for f in schema), *keep)
 
 
 def normalise_codes(df: DataFrame) -> DataFrame:
@@ -33,9 +33,16 @@ def normalise_codes(df: DataFrame) -> DataFrame:
     return df.withColumns({c: code_key(F.col(c)) for c in df.columns if c.endswith("_Code")})
 
 
-def read_csv(spark: SparkSession, path: str, ddl: str, blanks: dict[str, object] | None = None) -> DataFrame:
-    """UTF-8 with or without BOM; columns are found by their header name."""
-    return normalise_codes(apply_schema(spark.read.options(header=True, multiLine=True, **QUOTING).csv(path), ddl, blanks))
+def read_csv(
+    spark: SparkSession, path: str, ddl: str, blanks: dict[str, object] | None = None, line_ends_in_cells: bool = False
+) -> DataFrame:
+    """UTF-8 with or without BOM; columns are found by their header name.
+
+    Large files are read in splits. A file whose quoted cells hold line ends must be read whole by one task, so that is for
+    the caller to say; without it such a cell is cut, and its row is short.
+    """
+    reader = spark.read.options(header=True, multiLine=line_ends_in_cells, **QUOTING)
+    return normalise_codes(apply_schema(reader.csv(path), ddl, blanks))
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -84,10 +91,10 @@ def split_bulk(lines: DataFrame, ddl: str) -> DataFrame:
     return split_fields(data, "value", names).drop("value")
 
 
-def typed_rows(split: DataFrame, ddl: str) -> DataFrame:
+def typed_rows(split: DataFrame, ddl: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """Typed rows of split lines: blank numbers are 0, a value that does not fit its type fails the load."""
     numbers = {f.name: 0 for f in StructType.fromDDL(ddl) if isinstance(f.dataType, NumericType)}
-    return normalise_codes(apply_schema(drop_short(split), ddl, numbers))
+    return normalise_codes(apply_schema(drop_short(split), ddl, numbers, keep))
 
 
 def bulk_load(spark: SparkSession, path: str, ddl: str) -> DataFrame:

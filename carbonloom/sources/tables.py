@@ -1,4 +1,4 @@
-"""Parquet tables: staging with lineage, dimensions in versions, and facts that are published by partition."""
+"""Parquet tables: staging with lineage, and dimensions in versions. Facts are in :mod:`snapshots`."""
 
 from __future__ import annotations
 
@@ -9,8 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from ..operators.constraints import Rule, enforce, enforce_unique, fail_on_broken, required
-from ..operators.merge import staged_keys
+from ..operators.constraints import Rule, enforce, enforce_unique, required
 
 
 def with_lineage(df: DataFrame, source: str) -> DataFrame:
@@ -108,37 +107,3 @@ def remember_schema(spark: SparkSession, path: str, schema: StructType) -> None:
     """Kept beside a table, so that opening it needs no job."""
     if remembered_schema(spark, path) != schema:
         _write_text(spark, f"{path}__schema", schema.json())
-
-
-def publish_fact(
-    df: DataFrame,
-    path: str,
-    rules: list[Rule],
-    key: str,
-    staged: DataFrame,
-    partition_by: str = "Date_Key",
-) -> None:
-    """Replaces the partitions of every staged ``partition_by`` value by the rows of ``df``.
-
-    ``staged`` holds those values before any lookup loses rows (:func:`staged_keys`): a value whose rows are all
-    lost ends up without rows, too. Values are years, so few come to the driver. A duplicate ``key`` or a broken
-    rule fails the job before its commit, and new partitions become visible only at the commit, so a failed load
-    leaves the table as it was; emptied partitions go after it, and a load that fails between can be run again. The
-    rebalance keeps file sizes even when one partition holds most rows.
-    """
-    spark = df.sparkSession
-    filled = enforce_unique(df, path, [partition_by, key], partition_by)
-    (
-        fail_on_broken(df, path, rules)
-        .hint("rebalance", partition_by)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition_by)
-        .parquet(path)
-    )
-    rest = [f for f in df.schema.fields if f.name != partition_by]
-    remember_schema(spark, path, StructType([*rest, df.schema[partition_by]]))
-    for row in staged_keys(staged, partition_by).collect():
-        if row[0] not in filled:
-            fs, folder = _file_system(spark, f"{path}/{partition_by}={row[0]}")
-            fs.delete(folder, True)
