@@ -28,11 +28,13 @@ _CODEC = "zstd"
 
 
 def chunk_count(docs: DataFrame) -> int:
-    """From the planner's size estimate and the session's shuffle partitions; runs no job."""
+    """From the planner's size estimate and the session's shuffle partitions; runs no job where the estimate can be one."""
     size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size >= 1 << 54:  # 16 petabytes: a product of guesses, as behind a join; the strings are measured instead
+        strings = [F.coalesce(F.sum(F.octet_length(f"`{c}`")), F.lit(0)) for c, kind in docs.dtypes if kind == "string"]
+        size = sum(docs.agg(*strings).first()) if strings else 0
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # an estimate beyond 16 petabytes is a product of guesses
-    return max(partitions, -(-size // max(CHUNK_BYTES, GROWTH * math.isqrt(size))) if size < 1 << 54 else 1)
+    return max(partitions, -(-size // max(CHUNK_BYTES, GROWTH * math.isqrt(size))))
 
 
 def chunk_of_id(id_col: str, chunks: int) -> Column:

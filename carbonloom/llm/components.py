@@ -2,23 +2,21 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from carbonloom.session import work_dir
+from carbonloom.llm.shared import folder
 
 
 def saved(df: DataFrame) -> DataFrame:
     """``df`` cut off from its lineage, in the shared folder of ``spark.checkpoint.dir``; an own one only where unset."""
     context = df.sparkSession.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        folder = work_dir(df.sparkSession, "")
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="carbonloom-"))
+        context.setCheckpointDir(folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
@@ -82,25 +80,57 @@ def components(links: DataFrame) -> DataFrame:
     return links.toDF("node", "component").union(roots)
 
 
-#: Hub rounds at most, and pairs per posting from which one more is worth it.
-ROUNDS, WORTH = 2, 4
+#: Hub rounds at most, pairs per posting from which one more is worth it, and hubs of a key in the last round.
+ROUNDS, WORTH, HUBS = 3, 4, 12
+#: Nodes of a key that are compared with all its nodes in one group of the last join.
+SPLIT = 512
+#: 64-bit words of a set's bitmap.
+WORDS = 32
+
+
+def bitmaps(hashes: np.ndarray, owner: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """For n sets of distinct hashes (``owner``: the set of each): (n x WORDS) long, the bits that a set's hashes fall on, and
+    how many of its elements hide behind the bit of another one."""
+    bits = np.zeros((n, WORDS * 64), bool)
+    bits[owner, (hashes >> np.uint64(32)).astype(np.int64) % (WORDS * 64)] = True
+    return np.packbits(bits, axis=1).view(np.int64), np.bincount(owner, minlength=n) - bits.sum(1)
+
+
+def sketch(rows: DataFrame, size: str, spare: str, words: str) -> DataFrame:
+    """(node, size, spare, w0, …): what :func:`may_share` reads, none of it null."""
+    zero = F.lit(0).cast("long")
+    each = (F.coalesce(F.get(words, i), zero).alias(f"w{i}") for i in range(WORDS))
+    return rows.select(F.coalesce("node", zero).alias("node"), *(F.coalesce(F.col(c).cast("long"), zero).alias(n) for c, n in ((size, "size"), (spare, "spare"))), *each)
+
+
+def may_share(percent: int, x: Callable[[str], Column], y: Callable[[str], Column]) -> Column:
+    """Whether two sets can reach ``percent`` by their sizes and bitmaps: they share at most an element for each common bit, and those
+    that hide behind a bit of another element (``spare``)."""
+    common = sum((F.bit_count(x(f"w{i}").bitwiseAND(y(f"w{i}"))) for i in range(1, WORDS)), F.bit_count(x("w0").bitwiseAND(y("w0"))))
+    common = common + F.least(x("spare"), y("spare"))
+    return (100 + percent) * common >= percent * (x("size") + y("size"))
 
 
 def linked_groups(
     postings: DataFrame,
     verify: Callable[[DataFrame], DataFrame],
+    sketches: DataFrame,
+    percent: int,
     near: Callable[[Callable[[str], Column], Callable[[str], Column]], Column] | None = None,
 ) -> DataFrame:
     """(node, component) over all verified links between nodes that share a key; nodes without a link are absent.
 
     ``postings`` has (key, node) and what ``near`` reads: a condition on two postings of a key, given as functions
     from column name to column, that holds for at least one shared key of every pair that links. ``verify`` takes
-    distinct pairs (a, b) and returns those that link.
-
-    A key's nodes are not paired with each other. In a round every key has a hub (its smallest node, later others by
-    hash), and every node is paired with the hub it shares most keys with, unless they are connected. Keys whose
-    nodes are all connected are done. When few pairs are left, or after ``ROUNDS`` rounds, all remaining pairs of
-    nodes that share a key and are not connected are verified, so no link between components is lost.
+    distinct pairs (a, b) and returns those that link. ``sketches``: see :func:`sketch`.
+
+    A key's nodes are not paired with each other. In a round every key has a hub (by hash, another one each round), and
+    every node is paired with the hub it shares most keys with, unless they are connected. Keys whose nodes are all
+    connected are done. In the last round keys have ``HUBS`` hubs, and nodes meet all of them whose sizes and bitmaps
+    leave room for ``percent``. After the rounds, what is left are keys whose nodes are alike, but mostly not alike enough: there
+    a pair comes out of the join only if the nodes are not connected, and sizes and bitmaps leave room for
+    ``percent``; keys of many nodes are split among many groups. Those pairs are verified, so no link between
+    components is lost.
     """
     more = [c for c in postings.columns if c not in ("key", "node")]
     now, comps, links = postings.withColumn("comp", F.col("node")), None, None
@@ -114,11 +144,9 @@ def linked_groups(
                 break
         last = turn and (turn == ROUNDS or total.pairs <= WORTH * total.n)
         if last:
-            other = now.select("key", *(F.col(c).alias(f"{c}_b") for c in ("node", "comp", *more)))
-            pairs = now.join(other, "key").where("comp < comp_b")
-            if near is not None:
-                pairs = pairs.where(near(F.col, lambda c: F.col(f"{c}_b")))
-            pairs = pairs.select(F.col("node").alias("a"), F.col("node_b").alias("b")).distinct()
+            pairs = _open_pairs(now, sketches, percent, near)
+        elif turn == ROUNDS - 1:
+            pairs = _hub_pairs(now, sketches, percent, near, turn)
         else:
             rank = F.xxhash64("node", F.lit(turn)) if turn else F.col("node")
             hubs = now.groupBy("key").agg(F.min(F.struct(rank.alias("rank"), "node", "comp", *more)).alias("hub"))
@@ -134,3 +162,38 @@ def linked_groups(
         if last:
             break
     return comps
+
+
+def _room(percent: int, near) -> Column:
+    """Whether a posting and one with columns named …_b may link and are not connected."""
+
+    def second(c: str) -> Column:
+        return F.col(f"{c}_b")
+
+    room = (F.col("comp") != second("comp")) & may_share(percent, F.col, second)
+    return room if near is None else room & near(F.col, second)
+
+
+def _with_sketches(now: DataFrame, sketches: DataFrame) -> tuple[DataFrame, list[str]]:
+    rows = now.drop("size").join(sketches, "node")
+    return rows, [c for c in rows.columns if c not in ("key", "_group")]
+
+
+def _hub_pairs(now: DataFrame, sketches: DataFrame, percent: int, near, turn: int) -> DataFrame:
+    """Pairs of every node with the hubs of its keys."""
+    first = F.row_number().over(Window.partitionBy("key").orderBy(F.xxhash64("node", F.lit(turn)), "node"))
+    hubs = now.withColumn("_place", first).where(F.col("_place") <= HUBS).drop("_place")
+    (rows, _), (hubs, kept) = _with_sketches(now, sketches), _with_sketches(hubs, sketches)
+    pairs = rows.join(hubs.select("key", *(F.col(c).alias(f"{c}_b") for c in kept)), "key").where(_room(percent, near))
+    return pairs.select(F.least("node", "node_b").alias("a"), F.greatest("node", "node_b").alias("b")).distinct()
+
+
+def _open_pairs(now: DataFrame, sketches: DataFrame, percent: int, near) -> DataFrame:
+    """Distinct pairs (a, b) of unconnected nodes that share an open key and may be ``percent`` alike."""
+    rows, kept = _with_sketches(now, sketches)
+    rows = rows.withColumn("_splits", F.ceil(F.col("_group") / SPLIT).cast("int"))
+    one = rows.withColumn("_split", F.pmod(F.xxhash64("node"), F.col("_splits")).cast("int"))
+    other = rows.withColumn("_split", F.explode(F.sequence(F.lit(0), F.col("_splits") - 1)))
+    other = other.select("key", "_split", *(F.col(c).alias(f"{c}_b") for c in kept))
+    pairs = one.join(other, ["key", "_split"]).where((F.col("comp") < F.col("comp_b")) & _room(percent, near))
+    return pairs.select(F.col("node").alias("a"), F.col("node_b").alias("b")).distinct()

@@ -2,14 +2,18 @@
 
 A line is a \\n-split part of a text with a character other than space, tab, vertical tab, form feed and carriage
 return; it is compared without those at its ends. Equal lines are one node. Two lines link when the Jaccard
-similarity of their sets of 5-byte shingles is ``PERCENT`` % or more (shorter lines: the line is the one shingle).
+similarity of their sets of 5-character shingles is ``PERCENT`` % or more (shorter lines: the line is the one shingle).
 Of each component of linked lines the earliest line stays (smallest id, then place in its text); all others are
 removed with their line ends. Other lines stay as they are.
 
 Candidates come from MinHash signatures of ``BANDS`` x ``ROWS`` values: one permutation, whose hashes fall into
-that many bins; a bin without a shingle takes the value of another. Short lines take a permutation per value. A pair of 75 % shares a band with
-probability 0.9990 (measured at 75 to 76 %: 0.999), one of 80 % with 0.99999, one of 20 % with 0.0006: many lines have a fifth in common. Lines that share a band meet through hubs (``components.linked_groups``)
-and are verified on their texts.
+that many bins; a bin without a shingle takes the value of another. Short lines take a permutation per value. A pair of 75 % shares
+a band with probability 0.9990 (measured at 75 to 76 %: 0.999), one of 80 % with 0.99999, one of 20 % with 0.0006: many lines
+have a fifth in common. Lines that share a band meet through hubs (``components.linked_groups``) and are verified on their texts.
+
+A chunk sends each of its distinct lines' bands once, as the first bits of their hashes with the line's number in the chunk and
+16 bits that tell lines apart; the answer names the lines that share a band with another one, and only those lines' texts
+travel further.
 
 A null text has no lines and stays null; an empty one stays empty. Rows with equal ids are ordered by their text.
 Null ids come first. Lines are identified by 64-bit hashes of their bytes.
@@ -21,78 +25,102 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from carbonloom.llm import chunks as ch
 from carbonloom.llm import hashing as hs
-from carbonloom.llm.components import linked_groups, saved
+from carbonloom.llm.components import bitmaps, linked_groups, sketch
+from carbonloom.llm.shared import stored
 
 SHINGLE = 5
 PERCENT = 75
 BANDS, ROWS = 48, 7
-_BLANK = np.zeros(256, bool)
-_BLANK[[0x20, 0x09, 0x0B, 0x0C, 0x0D]] = True
+_BLANKS = b" \t\x0b\x0c\r"
 
 
 class Lines:
-    """The lines with a word of a chunk's texts, in order: text, number of the line in it, ends without blanks, hash."""
+    """The lines with a word of a chunk's texts, in order: their text's number, their number in it, hash and bytes without blanks."""
 
     def __init__(self, texts: pa.Table):
-        self.data, self.offsets = hs.buffers(texts["text"])
         ids = texts["id"].combine_chunks().fill_null(np.iinfo(np.int64).min).to_numpy()
         # equal ids stand together, in order of text: their line numbers go on
         rank = np.arange(len(ids)) - np.searchsorted(ids, ids)
-        parts: list[list[np.ndarray]] = [[], [], [], [], []]
-        for a, b in hs.pieces(self.offsets):
-            base, end = self.offsets[a], self.offsets[b]
-            part, own = self.data[base:end], self.offsets[a : b + 1] - base
-            start, stop, first = hs.stretches(part != 0x0A, own)
-            text = np.searchsorted(first, np.arange(len(start)), side="right") - 1 + a
-            # without the blanks at the ends; a line of blanks is none
-            filled = np.flatnonzero(~_BLANK[part])
-            at = np.searchsorted(filled, start)
-            some = at < len(filled)
-            some[some] = filled[at[some]] < stop[some]
-            start, stop, text, at = start[some], stop[some], text[some], at[some]
-            low = filled[at]
-            high = filled[np.searchsorted(filled, stop) - 1] + 1
-            running = hs.Running(part)
-            for out, x in zip(parts, (text, start + base, low + base, high + base, running.of(low, high).view(np.int64))):
-                out.append(x)
-        self.text, self.start, self.low, self.high, self.node = (np.concatenate(p) if p else np.zeros(0, np.int64) for p in parts)
+        #: All parts of each text, with and without words.
+        self.parts = [x.split(b"\n") for x in texts["text"].cast(pa.large_binary()).to_pylist()]
+        self.bare: list[bytes] = []
+        text, number = [], []
+        for t, parts in enumerate(self.parts):
+            for i, part in enumerate(parts):
+                line = part.strip(_BLANKS)
+                if line:
+                    self.bare.append(line)
+                    text.append(t)
+                    number.append(i)
+        digest = xxhash.xxh3_64_intdigest
+        self.node = np.array([digest(x) for x in self.bare], np.uint64).view(np.int64)
+        self.text, self.number = np.array(text, np.int64), np.array(number, np.int64)
         self.doc = ids[self.text]
         # its place in the text tells lines apart and orders them
-        self.at = self.start - self.offsets[self.text] + (rank[self.text].astype(np.int64) << 40)
+        self.at = self.number + (rank[self.text].astype(np.int64) << 40)
 
     def distinct(self) -> np.ndarray:
-        """One place of each line: the first."""
-        _, first = np.unique(self.node, return_index=True)
-        return np.sort(first)
+        """One place of each line: the first, in order."""
+        return np.sort(np.unique(self.node, return_index=True)[1])
 
 
 #: Lines of fewer shingles take a permutation per value; one permutation would leave most of their bins empty.
 FEW = 64
+#: Bytes of lines whose arrays are worked on together.
+_PIECE = 512 << 10
 _BITS = np.uint64(32)
-_LOW = np.uint64(0xFFFFFFFF)
+_LOW = np.uint32(0xFFFFFFFF)
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _hashes(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash of every shingle of the lines, its line, and where each line's shingles begin (and the end)."""
+    data = b"".join(lines)
+    codes = np.frombuffer(data.decode("utf-8", "surrogatepass").encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    if len(codes) == len(data):
+        sizes = np.array([len(x) for x in lines], np.int64)
+    else:
+        lead = np.concatenate(([0], np.cumsum(np.frombuffer(data, np.uint8) & 0xC0 != 0x80)))
+        sizes = np.diff(lead[np.concatenate(([0], np.cumsum([len(x) for x in lines])))])
+    ends = np.cumsum(sizes)
+    total = codes + np.uint64(1)
+    for j in range(1, SHINGLE):
+        # a place near the end of the last line reads no further than the codes
+        ahead = np.zeros_like(codes)
+        ahead[:-j] = codes[j:]
+        total = total * _STEP + ahead
+    counts = np.maximum(sizes - SHINGLE + 1, 1)
+    begin = np.concatenate(([0], np.cumsum(counts)))
+    owner = np.repeat(np.arange(len(lines)), counts)
+    out = hs.mix(total[np.arange(begin[-1]) + np.repeat(ends - sizes - begin[:-1], counts)])
+    short = np.flatnonzero(sizes < SHINGLE)
+    if len(short):  # their one place has read into the next line
+        out[begin[short]] = [xxhash.xxh3_64_intdigest(lines[i]) for i in short]
+    return out, owner, begin
 
 
 def _least(hashes: np.ndarray, owner: np.ndarray, begin: np.ndarray, bins: int) -> np.ndarray:
     """(lines x bins) minima: of one permutation per bin for short lines, else of one permutation cut into bins."""
     n = len(begin) - 1
-    out = np.full((n, bins), _LOW, np.uint64)
+    out = np.full((n, bins), _LOW, np.uint32)
     few = np.diff(begin) < FEW
     some = few[owner]
     seeds = hs.mix(np.arange(1, bins + 1, dtype=np.uint64))
     if some.any():
         own, first = hashes[some], ch.runs(owner[some])
         for k in range(bins):
-            out[few, k] = np.minimum.reduceat(hs.mix(own + seeds[k]) >> _BITS, first)
+            # one multiplication by an odd number and the high half: enough to order the same hashes anew
+            out[few, k] = np.minimum.reduceat(((own ^ seeds[k]) * (seeds[k] | np.uint64(1))) >> _BITS, first)
     if not few.all():
         own, of = hashes[~some], (np.cumsum(~few) - 1)[owner[~some]]
-        least = np.full(int((~few).sum()) * bins, _LOW, np.uint64)
-        np.minimum.at(least, of * bins + (((own >> _BITS) * np.uint64(bins)) >> _BITS).astype(np.int64), own & _LOW)
+        least = np.full(int((~few).sum()) * bins, _LOW, np.uint32)
+        np.minimum.at(least, of * bins + (((own >> _BITS) * np.uint64(bins)) >> _BITS).astype(np.int64), own.astype(np.uint32))
         least = least.reshape(-1, bins)
         # an empty bin takes the value of the first filled one of a sequence that is random, and its own
         row, column = np.nonzero(least == _LOW)
@@ -108,90 +136,98 @@ def _least(hashes: np.ndarray, owner: np.ndarray, begin: np.ndarray, bins: int)
     return out
 
 
-def signatures(data: np.ndarray, low: np.ndarray, high: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
-    """(lines x bands) band hashes of the lines ``data[low[i]:high[i]]``; worked on in pieces of bytes."""
-    out = np.zeros((len(low), bands), np.uint64)
-    for a, b in hs.pieces(np.concatenate(([0], np.cumsum(high - low))), 256 << 10):
-        size = high[a:b] - low[a:b]
-        hi = np.cumsum(size)
-        lo = hi - size
-        # the bytes of these lines only, one after the other
-        part = data[np.arange(int(hi[-1])) + np.repeat(low[a:b] - lo, size)]
-        n = np.maximum(size - SHINGLE + 1, 1)
-        begin = np.concatenate(([0], np.cumsum(n)))
-        owner = np.repeat(np.arange(b - a), n)
-        start = np.arange(len(owner)) + (lo - begin[:-1])[owner]
-        hashes = hs.Running(part).of(start, np.minimum(start + SHINGLE, hi[owner]))
-        least = _least(hashes, owner, begin, bands * rows)
+def _pieces(lines: list[bytes]) -> Iterator[tuple[int, int]]:
+    yield from hs.pieces(np.concatenate(([0], np.cumsum([len(x) for x in lines], dtype=np.int64))), _PIECE)
+
+
+def signatures(lines: list[bytes], bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
+    """(lines x bands) band hashes; worked on in pieces of bytes."""
+    out = np.zeros((len(lines), bands), np.uint64)
+    for a, b in _pieces(lines):
+        least = _least(*_hashes(lines[a:b]), bands * rows)
         total = np.zeros((b - a, bands), np.uint64)
         for r in range(rows):  # the values of a band stand far apart
-            total = hs.mix(total * np.uint64(31) + least[:, r * bands : (r + 1) * bands] + np.uint64(r))
+            total = (total + least[:, r * bands : (r + 1) * bands]) * _STEP
+            total ^= total >> np.uint64(29)
         out[a:b] = hs.mix(total + np.arange(bands, dtype=np.uint64))
     return out
 
 
-def shingle_set(line: bytes) -> frozenset[bytes]:
-    return frozenset(line[i : i + SHINGLE] for i in range(max(len(line) - SHINGLE + 1, 1)))
+def shingle_set(line: bytes) -> frozenset[str]:
+    text = line.decode("utf-8", "surrogatepass")
+    return frozenset(text[i : i + SHINGLE] for i in range(max(len(text) - SHINGLE + 1, 1)))
+
+
+def _sketches(lines: list[bytes]) -> tuple[list[int], list[int], list[list[int]]]:
+    """Number of distinct shingles, of those hidden in the bitmap, and the bitmap of each line."""
+    sizes: list[int] = []
+    spare: list[int] = []
+    words: list[list[int]] = []
+    for a, b in _pieces(lines):
+        hashes, owner, _ = _hashes(lines[a:b])
+        order = np.lexsort((hashes, owner))
+        hashes, owner = hashes[order], owner[order]
+        new = np.ones(len(owner), bool)
+        new[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
+        sizes += np.bincount(owner[new], minlength=b - a).tolist()
+        bits, hidden = bitmaps(hashes[new], owner[new], b - a)
+        words += bits.tolist()
+        spare += hidden.tolist()
+    return sizes, spare, words
 
 
 def _shared_bands(blocks: list[dict]) -> list[tuple]:
-    """For the blocks of a bucket: the bands that different lines share, as (band, line), by a chunk that has the line."""
-    keys, nodes, chunk = [], [], []
-    for b in blocks:
-        keys.append(ch.get_keys(b["keys"]))
-        nodes.append(ch.get(b["nodes"], np.int64))
-        chunk.append(ch.get(b["chunks"], np.int32))
-    keys, nodes, chunk = np.concatenate(keys), np.concatenate(nodes), np.concatenate(chunk)
-    order = np.lexsort((chunk, nodes, keys))
-    keys, nodes, chunk = keys[order], nodes[order], chunk[order]
+    """For the blocks of a bucket: the bands that different lines share, as (chunk, keys, numbers of the lines in the chunk);
+    of equal lines in several chunks the one of the smallest chunk."""
+    blocks = sorted(blocks, key=lambda b: b["chunk"])
+    keys = np.concatenate([ch.get_keys(b["keys"]) for b in blocks])
+    tags = np.concatenate([ch.get(b["tags"], np.uint16) for b in blocks])
+    numbers = np.concatenate([ch.get(b["numbers"], np.int32) for b in blocks])
+    chunk = np.repeat(np.array([b["chunk"] for b in blocks], np.int32), [len(ch.get(b["tags"], np.uint16)) for b in blocks])
+    order = np.argsort(keys, kind="stable")  # in order of chunk within a key
+    same = keys[order][1:] == keys[order][:-1]
+    alone = ~(np.append(same, False) | np.insert(same, 0, False))
+    order = order[~alone]  # most bands are of one line only: the rest is sorted further
+    order = order[np.lexsort((chunk[order], tags[order], keys[order]))]
+    keys, tags, numbers, chunk = keys[order], tags[order], numbers[order], chunk[order]
     new = np.ones(len(keys), bool)
-    new[1:] = (keys[1:] != keys[:-1]) | (nodes[1:] != nodes[:-1])
-    keys, nodes, chunk = keys[new], nodes[new], chunk[new]
+    new[1:] = (keys[1:] != keys[:-1]) | (tags[1:] != tags[:-1])
+    keys, numbers, chunk = keys[new], numbers[new], chunk[new]
     size = np.diff(np.append(ch.runs(keys), len(keys)))
     some = np.repeat(size > 1, size)
-    keys, nodes, chunk = keys[some].view(np.int64), nodes[some], chunk[some]
-    return [(int(c), keys[chunk == c].tolist(), nodes[chunk == c].tolist()) for c in np.unique(chunk)]
+    keys, numbers, chunk = keys[some].view(np.int64), numbers[some], chunk[some]
+    order = np.argsort(chunk, kind="stable")
+    cuts = ch.runs(chunk[order])
+    return [(int(chunk[order[a]]), keys[order[a:b]].tolist(), numbers[order[a:b]].tolist()) for a, b in zip(cuts, [*cuts[1:], len(order)])]
 
 
-def _slices(batch: pa.RecordBatch, size: int = 12 << 20) -> Iterator[pa.RecordBatch]:
-    """A batch of long texts in parts of about ``size`` bytes."""
-    part = np.cumsum(pc.binary_length(batch.column("text")).to_numpy(), dtype=np.int64) // size
-    for a, b in zip(starts := ch.runs(part).tolist(), [*starts[1:], batch.num_rows]):
-        yield batch.slice(a, b - a)
+def _question(buckets: int):
+    """A chunk's bands by bucket: keys, and per key the line's number in the chunk and 16 bits of the line."""
+    # the first bits of a hash: a few false candidates are cheaper than long keys
+    cut = np.uint64(max(0, 64 - 8 - (buckets << 22).bit_length()))
 
+    def run(texts: pa.Table) -> list[tuple]:
+        t = Lines(texts)
+        some = t.distinct()
+        bands = signatures([t.bare[i] for i in some])
+        keys = (bands >> cut).reshape(-1)
+        tags = (hs.mix(t.node[some].view(np.uint64)[:, None] + bands) >> np.uint64(48)).astype(np.uint16).reshape(-1)
+        order = np.argsort(keys, kind="stable")
+        keys = keys[order]
+        cuts = ch.bucket_cuts(keys << cut, buckets)
+        return [
+            (i, ch.put_keys(keys[a:b]), ch.put((order[a:b] // BANDS).astype(np.int32)), ch.put(tags[order[a:b]]))
+            for i, (a, b) in enumerate(zip(cuts, cuts[1:]))
+            if b > a
+        ]
 
-def _postings(docs: DataFrame, id_col: str, text_col: str, buckets: int) -> DataFrame:
-    """(chunk, key, node) of all bands that different lines share.
+    return run
 
-    The texts stay where they are read: each batch sends its distinct lines' bands, as the first bits of their hashes (a
-    few false candidates are cheaper than long keys).
-    """
-    cut = np.uint64(max(0, 64 - 8 - (buckets << 22).bit_length()))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (part for whole in batches for part in _slices(whole)):
-            t = Lines(pa.Table.from_batches([batch]))
-            some = t.distinct()
-            keys = (signatures(t.data, t.low[some], t.high[some]) >> cut).reshape(-1)
-            order = np.argsort(keys, kind="stable")
-            keys, line = keys[order], order // BANDS
-            nodes, chunk = t.node[some][line], np.asarray(batch.column("chunk"))[t.text[some]][line].astype(np.int32)
-            rows = []
-            cuts = ch.bucket_cuts(keys << cut, buckets)
-            for i, (a, b) in enumerate(zip(cuts, cuts[1:])):
-                if b > a:
-                    rows.append((i, ch.put_keys(keys[a:b]), ch.put(nodes[a:b]), ch.put(chunk[a:b])))
-            yield from ch.table(rows, asked_form).to_batches()
-
-    asked_form = ch.kinds("bucket int, keys binary, nodes binary, chunks binary")
-    form = ch.kinds("chunk int, keys array<long>, nodes array<long>")
-    texts = docs.select(
-        F.lit(0).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), ch.chunk_of_id(id_col, buckets).alias("chunk")
-    )
-    asked = texts.mapInArrow(run, "bucket int, keys binary, nodes binary, chunks binary")
-    shared = asked.groupBy("bucket").applyInArrow(lambda blocks: ch.table(_shared_bands(blocks.to_pylist()), form), "chunk int, keys array<long>, nodes array<long>")
-    shared = saved(shared)
-    return shared.select("chunk", F.explode(F.arrays_zip("keys", "nodes")).alias("x")).select("chunk", F.col("x.keys").alias("key"), F.col("x.nodes").alias("node"))
+_LINE = (
+    "node long, line binary, keys array<long>, size int, spare int, words array<long>, "
+    "chunk int, nodes array<long>, doc array<long>, at array<long>, n array<long>"
+)
 
 
 def dedup(
@@ -203,35 +239,44 @@ def dedup(
     extra = () if counts else tuple(c for c in docs.columns if c not in (id_col, text_col))
     packed = ch.pack(docs, id_col, text_col, buckets, F.col(text_col).isNull(), extra)
 
-    postings = _postings(docs, id_col, text_col, buckets)
-
-    # in one pass over the chunks: the texts of the lines that share a band, each from one chunk that has it, and the
-    # first place and the number of every distinct line
-    wanted = postings.groupBy("node").agg(F.min("chunk").alias("chunk"))
+    asked = ch.ask(packed, _question(buckets), "bucket int, keys binary, numbers binary, tags binary")
+    reply = ch.kinds("chunk int, keys array<long>, numbers array<int>")
+    shared = asked.groupBy("bucket").applyInArrow(lambda blocks: ch.table(_shared_bands(blocks.to_pylist()), reply), "chunk int, keys array<long>, numbers array<int>")
 
-    def lines_of(texts: pa.Table, nodes: pa.Table) -> pa.Table:
+    # in one pass over the chunks: the texts of the lines that share a band, and the first place and the number of
+    # every distinct line
+    def lines_of(texts: pa.Table, replies: pa.Table) -> pa.Table:
         t = Lines(texts)
         names, first, number = np.unique(t.node, return_index=True, return_counts=True)
-        some = first[np.isin(names, nodes["node"].to_numpy())] if nodes.num_rows else first[:0]
-        raw = t.data.tobytes()
-        lines = [raw[a:b] for a, b in zip(t.low[some].tolist(), t.high[some].tolist())]
-        rows = [(n, x, len(shingle_set(x)), None, None, None, None, None) for n, x in zip(t.node[some].tolist(), lines)]
-        rows.append((None, None, None, ch.chunk_of(texts), names.tolist(), t.doc[first].tolist(), t.at[first].tolist(), number.tolist()))
+        some = np.sort(first)
+        of_line: dict[int, list[int]] = {}
+        for r in replies.to_pylist():
+            for key, line in zip(r["keys"], r["numbers"]):
+                of_line.setdefault(line, []).append(key)
+        lines = [t.bare[some[i]] for i in of_line]
+        none = [None] * 5
+        rows = [(int(t.node[some[i]]), x, keys, *of, *none) for (i, keys), x, *of in zip(of_line.items(), lines, *_sketches(lines))]
+        rows.append((*[None] * 6, ch.chunk_of(texts), names.tolist(), t.doc[first].tolist(), t.at[first].tolist(), number.tolist()))
         return ch.table(rows, form)
 
-    schema = "node long, line binary, size int, chunk int, nodes array<long>, doc array<long>, at array<long>, n array<long>"
-    form = ch.kinds(schema)
-    both = saved(ch.meet(packed, wanted, lines_of, schema))
-    texts = both.where("line IS NOT NULL").select("node", "line")
-    sizes = both.where("line IS NOT NULL").select("node", "size")
+    form = ch.kinds(_LINE)
+    both = stored(ch.meet(packed, shared, lines_of, _LINE), "lines")
+    found = both.where("line IS NOT NULL")
+    texts = found.select("node", "line")
+    postings = found.select(F.explode("keys").alias("key"), "node", "size")
     exploded = F.explode(F.arrays_zip(F.col("nodes").alias("node"), "doc", "at", "n")).alias("x")
     lines = both.where("nodes IS NOT NULL").select("chunk", exploded).select("chunk", "x.*")
 
     def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for a, b in zip(batch.column("x"), batch.column("y")):
-                s, t = shingle_set(a.as_py()), shingle_set(b.as_py())
+            keep, known = [], {}
+            for a, b, to in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), batch.column("b").to_pylist()):
+                s = shingle_set(a)
+                if to not in known:  # hubs come again
+                    if len(known) > 200:
+                        known.clear()
+                    known[to] = shingle_set(b)
+                t = known[to]
                 common = len(s & t)
                 keep.append(100 * common >= percent * (len(s) + len(t) - common))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
@@ -245,7 +290,7 @@ def dedup(
         # sets of more different sizes cannot be that similar
         return 100 * F.least(x("size"), y("size")) >= percent * F.greatest(x("size"), y("size"))
 
-    found = linked_groups(postings.select("key", "node").join(sizes, "node"), verify, near)
+    found = linked_groups(postings, verify, sketch(found, "size", "spare", "words"), percent, near)
 
     # the earliest line of each component, among all lines
     firsts = lines.groupBy("node").agg(F.min(F.struct("doc", "at")).alias("first"), F.sum("n").alias("n"))
@@ -266,34 +311,20 @@ def dedup(
         if len(nodes):
             doc, place = winners["doc"].to_numpy()[order], winners["at"].to_numpy()[order]
             gone = (nodes[at] == t.node) & ((doc[at] != t.doc) | (place[at] != t.at))
-        drop = np.zeros(len(t.data) + 1, np.int32)
-        # the whole line with its line end; a last line takes the one before it
-        stop = _line_ends(t)
-        np.add.at(drop, t.start[gone], 1)
-        np.add.at(drop, np.minimum(stop[gone] + 1, t.offsets[t.text[gone] + 1]), -1)
-        keep = np.cumsum(drop[:-1]) == 0
-        total = np.concatenate(([0], np.cumsum(keep, dtype=np.int64)))
-        size = np.diff(total[t.offsets])
-        removed = np.bincount(t.text[gone], minlength=len(size))
-        data = t.data[keep]
-        # a text that has lost its last line ends where the line before ended
-        ends = np.cumsum(size)
-        had = np.diff(t.offsets)
-        closed = (had > 0) & (t.data[np.maximum(t.offsets[1:] - 1, 0)] == 0x0A) if len(t.data) else np.zeros(len(size), bool)
-        trim = (removed > 0) & (size > 0) & ~closed
-        trim[trim] = data[ends[trim] - 1] == 0x0A
-        mask = np.ones(len(data), bool)
-        mask[ends[trim] - 1] = False
-        size = size - trim
-        offsets = np.concatenate(([0], np.cumsum(size))).astype(np.int64)
-        text = pa.LargeStringArray.from_buffers(len(size), pa.py_buffer(offsets), pa.py_buffer(data[mask].tobytes()))
-        text = pc.if_else(texts_["flag"].combine_chunks(), pa.scalar(None, pa.string()), text.cast(pa.string()))
+        removed = np.bincount(t.text[gone], minlength=len(t.parts))
+        without = {}
+        for i, number in zip(t.text[gone].tolist(), t.number[gone].tolist()):
+            without.setdefault(i, set()).add(number)
+        kept_parts = (
+            [x for j, x in enumerate(parts) if j not in without[i]] if i in without else parts for i, parts in enumerate(t.parts)
+        )
+        text = [None if none else b"\n".join(parts) for none, parts in zip(texts_["flag"].to_pylist(), kept_parts)]
         return pa.table(
             {
                 "id": texts_["id"],
-                "text": text,
+                "text": pa.array(text, pa.binary()).cast(pa.string()),
                 **{f"e{i}": texts_[f"e{i}"] for i in range(len(extra))},
-                "n_lines": pa.array(np.bincount(t.text, minlength=len(size)).astype(np.int64)),
+                "n_lines": pa.array(np.bincount(t.text, minlength=len(t.parts)).astype(np.int64)),
                 "n_removed": pa.array(removed.astype(np.int64)),
             }
         )
@@ -307,14 +338,3 @@ def dedup(
     own = {id_col: F.col("id").cast(docs.schema[id_col].dataType), text_col: F.col("text")}
     own |= {c: F.col(f"e{i}") for i, c in enumerate(extra)}
     return out.select(*(own[c].alias(c) for c in docs.columns))
-
-
-def _line_ends(t: Lines) -> np.ndarray:
-    """Where each line's own line feed is, or its text's end."""
-    feeds = np.flatnonzero(t.data == 0x0A)
-    at = np.searchsorted(feeds, t.start)
-    end = t.offsets[t.text + 1]
-    has = at < len(feeds)
-    out = end.copy()
-    out[has] = np.minimum(feeds[at[has]], end[has])
-    return out

@@ -12,8 +12,8 @@ Equal sets are one class and go through the join once. A group of near copies is
 pair by pair (``components.linked_groups``).
 
 Null and empty texts, and texts without words, have an empty set, link with nothing and are their own
-component. Rows are judged one by one; a null id is never a component's name unless all its ids are null. Columns
-beside id and text are not read.
+component. Rows are judged one by one, also rows of one id with different texts; a null id is never a component's name unless
+all its ids are null. Columns beside id and text are not read.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from carbonloom.llm import chunks as ch
 from carbonloom.llm import hashing as hs
-from carbonloom.llm.components import linked_groups, saved
+from carbonloom.llm.components import WORDS, bitmaps, linked_groups, saved, sketch
 
 SHINGLE = 5
 PERCENT = 75
@@ -60,14 +60,23 @@ def _frequencies(blocks: list[dict]) -> list[tuple]:
     return out
 
 
-_SCHEMA = "doc_id long, n_shingles long, s1 long, s2 long, shared array<long>, p1 array<long>, at1 array<int>, p2 array<long>, p3 array<long>"
+_SCHEMA = (
+    "doc_id long, text_key long, n_shingles long, s1 long, s2 long, shared array<long>, p1 array<long>, at1 array<int>, "
+    "p2 array<long>, p3 array<long>, words array<long>, spare long"
+)
+
+
+def _text_key(text_col: str):
+    """Tells the texts of one id apart."""
+    return F.xxhash64(F.col(text_col))
 
 
 def signatures(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, set size, two sums that identify the set, and for one row of each class and chunk whose prefix
     under the first order holds a shared token: the shared tokens and the shared tokens of the three prefixes."""
     buckets = ch.chunk_count(docs)
-    packed = ch.pack(docs, id_col, text_col, buckets)
+    named = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), _text_key(text_col).alias("text_key"))
+    packed = ch.pack(named, "id", "text", buckets, extra=("text_key",))
 
     # frequencies are asked for by the first bits of a hash, 12 more than would number all tokens: an order needs no more
     cut = np.uint64(max(0, 64 - 12 - (buckets << 22).bit_length()))
@@ -111,7 +120,7 @@ def signatures(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, id_col
         once = np.zeros(len(sizes), bool)
         once[by_id[first]] = True
         open_ &= once
-        columns = [pa.array(texts["id"].combine_chunks()), pa.array(sizes), *(pa.array(x.view(np.int64)) for x in sums)]
+        columns = [texts["id"].combine_chunks(), texts["e0"].combine_chunks(), pa.array(sizes), *(pa.array(x.view(np.int64)) for x in sums)]
         # the other orders, for the sets that need them
         some = open_[of]
         hashes, of, df, at, inside = hashes[some], of[some], df[some], at[some], inside[some]
@@ -124,25 +133,29 @@ def signatures(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, id_col
             values = pa.array(values[mask].view(np.int64)) if values is hashes else pa.array(values[mask].astype(np.int32))
             lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
             columns.append(pc.if_else(pa.array(open_), lists, pa.scalar(None, lists.type)))
-        return pa.Table.from_arrays(columns, names=["doc_id", "n_shingles", "s1", "s2", "shared", "p1", "at1", "p2", "p3"])
-
+        # bitmaps of the shared tokens, for the sets that need them
+        numbers = np.flatnonzero(open_)
+        words, hidden = bitmaps(hashes[known], np.searchsorted(numbers, of[known]), len(numbers))
+        offsets = np.concatenate(([0], np.cumsum(open_ * WORDS)))
+        lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(words.reshape(-1)))
+        columns.append(pc.if_else(pa.array(open_), lists, pa.scalar(None, lists.type)))
+        spare = np.zeros(len(sizes), np.int64)
+        spare[numbers] = hidden
+        columns.append(pa.array(spare))
+        return pa.Table.from_arrays(columns, names=form.names)
+
+    form = ch.kinds(_SCHEMA)
     asked = ch.ask(packed, question, "bucket int, keys binary, counts binary")
     return ch.meet(packed, ch.answer(asked, _frequencies, "df binary"), use, _SCHEMA)
 
 
-def join(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles and component_id (the smallest id reachable by links) of every row."""
-    rows = saved(signatures(docs, n, percent, id_col, text_col))
-    of_class = ["n_shingles", "s1", "s2"]
-    classes = rows.where("n_shingles > 0").groupBy(*of_class).agg(F.min("doc_id").alias("first"))
-    # a class of null ids alone (they share a chunk, where one row has its lists) is a node by a hash of its sums
-    classes = classes.withColumn("node", F.coalesce("first", F.xxhash64(*of_class)))
-    sets = saved(
-        rows.where("shared IS NOT NULL")
-        .join(classes, of_class)
-        .where("doc_id <=> first")
-        .select("node", F.col("n_shingles").alias("n"), "shared", "p1", "at1", "p2", "p3")
-    )
+def _linked_rows(docs: DataFrame, n: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """Per row its id, text_key, n_shingles, node (its class; null without words) and component (a node)."""
+    rows = saved(signatures(docs, n, percent, id_col, text_col)).withColumn("node", F.when(F.col("n_shingles") > 0, F.xxhash64("n_shingles", "s1", "s2")))
+    # a class has its lists once in each chunk: any of them, they are alike
+    lists = ("n_shingles", "shared", "p1", "at1", "p2", "p3", "words", "spare")
+    sets = rows.where("shared IS NOT NULL").groupBy("node").agg(F.any_value(F.struct(*lists)).alias("x"))
+    sets = saved(sets.select("node", F.col("x.n_shingles").alias("n"), *(f"x.{c}" for c in lists[1:])))
 
     def near(x, y):
         # what two sets can share from their first common token on
@@ -160,22 +173,34 @@ def join(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, id_col: str
 
     prefix = F.explode(F.arrays_zip("p1", "at1")).alias("x")
     postings = sets.select("node", "n", prefix).select(F.col("x.p1").alias("key"), "node", "n", F.col("x.at1").alias("at"))
-    found = linked_groups(postings, verify, near)
-    # the smallest id, as a component may be called by a hash
-    names = found.join(classes.select("node", "first"), "node").groupBy("component").agg(F.min("first").alias("name"))
-    found = found.join(names, "component").select("node", "name")
-    named = classes.join(found, "node", "left").select(*of_class, F.coalesce("name", "first").alias("component_id"))
-    out = rows.select("doc_id", *of_class).join(named, of_class, "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    found = linked_groups(postings, verify, sketch(sets, "n", "spare", "words"), percent, near)
+    return rows.select("doc_id", "text_key", "n_shingles", "node").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+
+def join(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_shingles and component_id (the smallest id reachable by links) of every row."""
+    rows = _linked_rows(docs, n, percent, id_col, text_col)
+    # the sums combine before the shuffle: a component of a third of all rows costs no task more
+    names = rows.where("node IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("name"))
+    out = rows.join(names, "component", "left")
+    return out.select("doc_id", "n_shingles", F.coalesce("name", "doc_id").alias("component_id"))
 
 
 def keep_one(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, with their columns, that name their component: of every group of linked documents the one
-    of smallest id. Rows without words all stay, of equal rows (id and text) one."""
-    found = saved(join(docs, n, percent, id_col, text_col))
-    kept = found.where("component_id <=> doc_id").groupBy("doc_id").agg(F.count("*").alias("rows")).withColumnsRenamed({"doc_id": "_kept", "rows": "_rows"})
-    same = docs[id_col].cast("long").eqNullSafe(kept["_kept"])
-    once = docs.join(kept.where("_rows = 1"), same, "left_semi")
-    # an id of several rows is the exception
-    several = docs.join(kept.where("_rows > 1"), same, "left_semi").dropDuplicates([id_col, text_col])
-    return once.unionByName(several)
+    """The rows of ``docs``, with their columns, of which each stands for its component: of every group of linked documents
+    the one of smallest id (null last; of two texts of one id any, but always the same). Rows without words all stay, but of rows
+    with equal id and text one."""
+    rows = _linked_rows(docs, n, percent, id_col, text_col)
+    first = F.min_by(F.struct("doc_id", "text_key"), F.struct(F.col("doc_id").isNull(), "doc_id", "text_key"))
+    best = rows.where("node IS NOT NULL").groupBy("component").agg(first.alias("best")).select("component", "best.*")
+    # every row of the chosen id and text, counted: rows of one id and text are the exception
+    chosen = rows.join(best.select("component", F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")), "component", "left")
+    chosen = chosen.where(F.col("node").isNull() | (F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key"))))
+    kept = chosen.groupBy(F.col("doc_id").alias("_kept"), F.col("text_key").alias("_text_key")).agg(F.count("*").alias("_rows"))
+    kept = saved(kept)
+
+    def of(which: DataFrame) -> DataFrame:
+        same = docs[id_col].cast("long").eqNullSafe(which["_kept"]) & (_text_key(text_col) == which["_text_key"])
+        return docs.join(which, same, "left_semi")
+
+    return of(kept.where("_rows = 1")).unionByName(of(kept.where("_rows > 1")).dropDuplicates([id_col, text_col]))

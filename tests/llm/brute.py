@@ -72,6 +72,8 @@ def lines(text):
 
 
 def line_shingles(line, n=5):
+    """Shingles of characters."""
+    line = line.decode("utf-8", "surrogatepass")
     return {line[i : i + n] for i in range(max(len(line) - n + 1, 1))}
 
 

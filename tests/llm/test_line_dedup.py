@@ -1,8 +1,8 @@
 import random
 
 import brute
-import numpy as np
-from carbonloom.llm import line_dedup
+from carbonloom.llm import components, line_dedup
+from pyspark.sql import functions as F
 
 
 def test_lines(docs, texts):
@@ -39,8 +39,8 @@ def recall(seed=3, pairs=3000, least=75, below=78):
     """The part of the pairs of lines at ``least`` to ``below`` % similarity that share a band, and how many pairs."""
     rng = random.Random(seed)
     letters = "abcdefghijklmnopqrstuvwxyz      "
-    data, low, high = b"", [], []
-    while len(low) < 2 * pairs:
+    lines = []
+    while len(lines) < 2 * pairs:
         line = "".join(rng.choice(letters) for _ in range(rng.randrange(40, 300)))
         other = list(line)
         for _ in range(max(1, round(len(line) / 35))):
@@ -48,13 +48,40 @@ def recall(seed=3, pairs=3000, least=75, below=78):
         a, b = line.strip().encode(), "".join(other).strip().encode()
         s, t = line_dedup.shingle_set(a), line_dedup.shingle_set(b)
         if least * len(s | t) <= 100 * len(s & t) < below * len(s | t):
-            for x in (a, b):
-                low.append(len(data))
-                data += x
-                high.append(len(data))
-    bands = line_dedup.signatures(np.frombuffer(data, np.uint8), np.array(low), np.array(high))
+            lines += [a, b]
+    bands = line_dedup.signatures(lines)
     return float((bands[::2] == bands[1::2]).any(1).mean()), pairs
 
 
 def test_recall_at_the_threshold():
     assert recall()[0] >= 0.995
+
+
+def test_shingles_are_of_characters(spark):
+    # 60 characters of three bytes each: one changed character leaves 52 of 60 shingles
+    line = "".join(chr(0x4E00 + 7 * i) for i in range(60))
+    df = spark.createDataFrame([(1, line), (2, line[:30] + "é" + line[31:]), (3, line[:26] + "abcdefgh" + line[34:])], "doc_id long, text string")
+    assert {r.doc_id: r.n_removed for r in line_dedup.dedup(df, counts=True).collect()} == {1: 0, 2: 1, 3: 0}
+
+
+def test_bitmaps_bound_what_sets_share(spark):
+    rng = random.Random(9)
+    lines = []
+    for _ in range(60):
+        base = [rng.choice("abcdefgh ") for _ in range(rng.choice([6, 40, 200, 900]))]
+        for share in (1, 0.9, 0.7, 0.5):
+            lines.append("".join(c if rng.random() < share ** 0.2 else "#" for c in base).encode())
+    sizes, spare, words = line_dedup._sketches(lines)
+    assert sizes == [len(line_dedup.shingle_set(x)) for x in lines]
+    rows = [(i, *x) for i, x in enumerate(zip(sizes, spare, words))]
+    df = spark.createDataFrame(rows, "node long, size int, spare int, words array<long>")
+    df = components.sketch(df, "size", "spare", "words").withColumn("key", F.floor(F.col("node") / 4))
+    other = df.select("key", *(df[c].alias(f"{c}_b") for c in df.columns if c != "key"))
+    kept = {(r.node, r.node_b) for r in df.join(other, "key").where(components.may_share(75, F.col, lambda c: F.col(f"{c}_b"))).collect()}
+    alike = 0
+    for i, a in enumerate(lines):
+        for j in range(i - i % 4, i - i % 4 + 4):
+            s, t = line_dedup.shingle_set(a), line_dedup.shingle_set(lines[j])
+            alike += i != j and 100 * len(s & t) >= 75 * len(s | t)
+            assert (i, j) in kept or 100 * len(s & t) < 75 * len(s | t)
+    assert alike > 20 and len(kept) < 0.9 * 4 * len(lines)

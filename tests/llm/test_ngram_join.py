@@ -62,3 +62,15 @@ def test_chunks_of_few_words():
     for text in ("", "one", "one two", "one two three", "one two three four"):
         hashes, of = hashing.grams(*hashing.words(pa.chunked_array([[text]], pa.string())), 5)
         assert of.tolist() == [0] * bool(text) and len(hashes) == bool(text)
+
+
+def test_rows_of_one_id_with_different_texts(spark):
+    """Each row stands for its own text: a row alike to nothing stays, whatever other rows its id has."""
+    a, b = "k l m n o p q r", "a b c d e f g h"
+    rows = [(3, b), (7, a), (7, b + " i"), (3, b), (None, a + " s"), (5, None), (5, None), (5, "one")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.join(df).collect()), key=str)
+    want = [(3, 4, 3), (3, 4, 3), (7, 4, 7), (7, 5, 3), (None, 5, 7), (5, 0, 5), (5, 0, 5), (5, 1, 5)]
+    assert got == sorted(want, key=str)
+    kept = sorted(((r.doc_id, r.text) for r in ngram_join.keep_one(df).collect()), key=str)
+    assert kept == sorted([(3, b), (7, a), (5, None), (5, "one")], key=str)
