@@ -59,18 +59,25 @@ def key_difference(left: DataFrame, left_key: str, right: DataFrame, right_key:
 
 
 def lookup_losses(fact: DataFrame, dims: dict[str, tuple[DataFrame, str, str]]) -> DataFrame:
-    """Rows that each inner lookup would drop: (lookup, rows_lost).
+    """Rows that each inner lookup would drop: (lookup, rows_lost), from one scan of ``fact``.
 
-    ``dims`` maps a lookup name to (dimension, fact key, dimension key). Rows are counted per key
-    before the join, so a hot key reaches it as one row.
+    ``dims`` maps a lookup name to (dimension, fact key, dimension key). Rows are counted per lookup and key before the one
+    join, so a hot key reaches it as one row; keys meet as text, NULL ones are lost.
     """
-    parts = []
-    for name, (dim, fact_key, dim_key) in dims.items():
-        per_key = fact.groupBy(F.col(fact_key).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
-        lost = per_key.join(dim.select(F.col(dim_key).alias("_k")), "_k", "left_anti")
-        parts.append(
-            lost.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("rows_lost")).select(
-                F.lit(name).alias("lookup"), "rows_lost"
-            )
-        )
-    return reduce(DataFrame.unionByName, parts)
+
+    def entry(number: int, key: Column) -> Column:
+        return F.struct(F.lit(number).alias("_l"), key.cast("string").alias("_k"))
+
+    lookups = list(dims.items())
+    wanted = F.array(*(entry(i, F.col(fact_key)) for i, (_, (_, fact_key, _)) in enumerate(lookups)))
+    per_key = fact.select(F.inline(wanted)).groupBy("_l", "_k").agg(F.count(F.lit(1)).alias("_n"))
+    known = reduce(
+        DataFrame.unionByName,
+        [dim.select(F.lit(i).alias("_l"), F.col(dim_key).cast("string").alias("_k")) for i, (_, (dim, _, dim_key)) in enumerate(lookups)],
+    )
+    lost = per_key.join(known, ["_l", "_k"], "left_anti")
+    # a lookup that loses nothing, or a fact without rows, has a row all the same
+    names = F.array(*(F.struct(F.lit(i).alias("_l"), F.lit(name).alias("lookup")) for i, (name, _) in enumerate(lookups)))
+    numbers = fact.sparkSession.range(1).select(F.inline(names))
+    sums = lost.groupBy("_l").agg(F.sum("_n").alias("rows_lost"))
+    return numbers.join(sums, "_l", "left").select("lookup", F.coalesce("rows_lost", F.lit(0)).cast("long").alias("rows_lost"))

@@ -425,11 +425,14 @@ FROM part GROUP BY p_type""")
 
 cte("text_lines")("SELECT lang, unnest(string_split(text, chr(10))) AS line FROM documents")
 
-sql("blank_rule", ("text_lines",), """
-SELECT lang, COUNT(n) AS Numbers, COUNT(*) AS Numbers_Or_Zero,
+sql("blank_rule", (), """
+WITH text_lines AS (SELECT lang, unnest(string_split(text, chr(10))) AS line FROM documents),
+cells AS (SELECT lang, cell, ltrim(cell, '0') AS digits FROM (SELECT lang, regexp_extract(line, '([0-9]+)', 1) AS cell FROM text_lines)),
+numbers AS (SELECT lang, cell, length(digits) > 38 AS unfit,
+  CASE WHEN length(cell) > 0 AND length(digits) <= 38 THEN CAST('0' || digits AS HUGEINT) END AS n FROM cells)
+SELECT lang, COUNT(n) AS Numbers, COUNT(*) FILTER (WHERE unfit) AS Unfit, COUNT(*) FILTER (WHERE NOT unfit) AS Numbers_Or_Zero,
   CAST(SUM(COALESCE(n, 0) % 1000003) AS BIGINT) AS Total, COUNT(*) FILTER (WHERE cell = '1') AS Flags
-FROM (SELECT lang, cell, CASE WHEN length(cell) BETWEEN 1 AND 38 THEN CAST(cell AS HUGEINT) END AS n
-      FROM (SELECT lang, regexp_extract(line, '([0-9]+)', 1) AS cell FROM text_lines)) GROUP BY lang""")
+FROM numbers GROUP BY lang""")
 
 sql("csv_quoted_cells", (), """
 SELECT c_custkey AS code, c_name || ' "' || c_nationkey || '", x' AS name, CAST(c_nationkey AS BIGINT) AS nation
@@ -914,3 +917,42 @@ JOIN (SELECT Province_Code, Year, SUM(Estimated_Carbon_Tonnes) AS c, SUM(GRDP_Bi
 sql("pm25_daily_limit", ("readings",), f"""
 SELECT Station_Code, Date_Key AS Year, Month, Day, {mean('PM25_ug_m3')} AS Mean_PM25, {mean('PM25_ug_m3')} > 50 AS Is_Exceeding
 FROM readings GROUP BY 1, 2, 3, 4""")
+
+# --- written tables ---------------------------------------------------------------------
+
+ORACLES["hourly_stream_upsert"] = ORACLES["hourly_fact"]
+
+sql("snapshot_reload", (), """
+SELECT CAST(1 AS BIGINT) AS Version, year(o_orderdate) AS Date_Key, 'loaded' AS origin, COUNT(*) AS Fact_Rows FROM orders GROUP BY 2
+UNION ALL
+SELECT 2, Date_Key, origin, COUNT(*)
+FROM (SELECT year(o_orderdate) AS Date_Key, 'loaded' AS origin FROM orders
+      WHERE year(o_orderdate) NOT IN (SELECT year(l_shipdate) FROM lineitem WHERE year(l_shipdate) >= 1996)
+      UNION ALL SELECT year(l_shipdate), 'staged' FROM lineitem
+      WHERE year(l_shipdate) >= 1996 AND year(l_shipdate) % 2 = 0)
+GROUP BY 2, 3""")
+
+sql("clustered_station_days", ("hourly_fact",), """
+SELECT Station_Key, Day, COUNT(*) AS Readings, CAST(SUM(PM25_ug_m3) AS DOUBLE) AS PM25
+FROM hourly_fact WHERE Station_Key IN (3, 7, 11) AND Month = 1 AND Day BETWEEN 5 AND 9 GROUP BY 1, 2""")
+
+sql("incremental_profile", (), """
+WITH lines AS (SELECT * FROM lineitem WHERE year(l_shipdate) <> 1996 OR l_returnflag <> 'R')
+SELECT 'l_orderkey' AS "column", COUNT(*) AS rows, COUNT(*) - COUNT(l_orderkey) AS nulls, CAST(NULL AS DOUBLE) AS min,
+  CAST(NULL AS DOUBLE) AS max, CAST(NULL AS DOUBLE) AS mean, CAST(1 AS BIGINT) AS slices_profiled_again FROM lines
+UNION ALL SELECT 'l_returnflag', COUNT(*), COUNT(*) - COUNT(l_returnflag), NULL, NULL, NULL, 1 FROM lines
+UNION ALL SELECT 'l_quantity', COUNT(*), COUNT(*) - COUNT(l_quantity), MIN(l_quantity), MAX(l_quantity),
+  round(CAST(SUM(CAST(l_quantity AS DECIMAL(18,4))) AS DOUBLE) / COUNT(l_quantity), 6), 1 FROM lines
+UNION ALL SELECT 'l_extendedprice', COUNT(*), COUNT(*) - COUNT(l_extendedprice), MIN(l_extendedprice), MAX(l_extendedprice),
+  round(CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,4))) AS DOUBLE) / COUNT(l_extendedprice), 6), 1 FROM lines""")
+
+sql("measures_air_grains", ("hourly_view",), f"""
+SELECT 'Province_Code+Station_Type' AS grain, Province_Code, Station_Type, CAST(NULL AS VARCHAR) AS Region,
+  CAST(NULL AS VARCHAR) AS Time_Bucket, CAST(NULL AS BOOLEAN) AS Is_Rush_Hour, {_AIR} FROM hourly_view GROUP BY 2, 3
+UNION ALL BY NAME
+SELECT 'Region+Time_Bucket' AS grain, Region, Time_Bucket, {_AIR} FROM hourly_view GROUP BY 2, 3
+UNION ALL BY NAME
+SELECT 'Is_Rush_Hour+Region' AS grain, r.* EXCLUDE (Rush_Hour_Exceeding_Hours), w.h AS Rush_Hour_Exceeding_Hours
+FROM (SELECT Region, Is_Rush_Hour, {_AIR} FROM hourly_view GROUP BY 1, 2) r
+JOIN (SELECT Region, CAST(SUM(CASE WHEN Is_Rush_Hour THEN CAST(Is_Exceeding_QCVN AS INTEGER) END) AS BIGINT) AS h
+      FROM hourly_view GROUP BY 1) w ON w.Region = r.Region""")

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from .. import constants as k
-from ..operators import quality
+from ..operators import profiles, quality
 from ..operators.audit import RUNNING, audit_state
 from ..operators.constraints import Rule, non_negative, percentage, positive, required
 from ..operators.generators import dim_date, dim_time_of_day, sector_seed
@@ -30,7 +30,7 @@ from ..sources.tables import (
     truncate,
 )
 from ..streaming import hourly_feed
-from . import facts, measures, views
+from . import cuboids, facts, measures, views
 
 STAGING = ("national", "sectors", "provincial", "provinces", "stations", "hourly")
 YEARLY_STAGING = STAGING[:4]
@@ -39,6 +39,17 @@ SECTOR_COLUMNS = ["Sector_Name_EN", "Sector_Name_VI", "Sector_Category"]
 STATION_COLUMNS = ["Station_Name", "Province_Key", "Station_Type", "Latitude", "Longitude", "Is_Active"]
 #: Slices of each fact: what a load replaces, and what a filter prunes.
 FACTS = {"fact_national": ("Date_Key",), "fact_provincial": ("Date_Key",), "fact_hourly": hourly_feed.MONTHS}
+FACT_SPECS = {
+    "fact_national": profiles.Spec(
+        "fact_national", ("Sector_Key", "Emissions_MtCO2e"), ("Emissions_MtCO2e",), tuple(facts.NATIONAL_RULES), ("Date_Key", "Emission_ID")
+    ),
+    "fact_provincial": profiles.Spec(
+        "fact_provincial", ("Province_Key", *facts.PROVINCIAL_MEASURES), facts.PROVINCIAL_MEASURES, tuple(facts.PROVINCIAL_RULES), ("Date_Key", "Economy_ID")
+    ),
+    "fact_hourly": profiles.Spec(
+        "fact_hourly", ("Station_Key", "AQI_Index", *facts.READINGS), facts.READINGS, tuple(facts.HOURLY_RULES), (*hourly_feed.MONTHS, "Monitoring_ID")
+    ),
+}
 HOURLY_STAR = ["fact_hourly", "dim_date", "dim_time_of_day", "dim_province", "dim_station"]
 AUDIT = (
     "event_id string, log_id string, package string, task string, status string, rows_processed bigint, "
@@ -329,8 +340,20 @@ class Warehouse:
         function, tables = build[name]
         return function(*(self.read(table) for table in tables))
 
+    def _sums_of(self) -> dict[str, object]:
+        """What stored sums must be of: the versions of the star's tables."""
+        fact = snapshots.snapshot(self.spark, self.path("fact_hourly"))
+        return {"fact_hourly": fact.version if fact else 0} | {t: published(self.spark, self.path(t)) for t in HOURLY_STAR[1:]}
+
+    def store_air_sums(self, grains: Sequence[Sequence[str]]) -> None:
+        """Sums of the air measures at several grains, from one scan of the fact; good until it or a dimension changes."""
+        rows = cuboids.star_rows(*(self.read(table) for table in HOURLY_STAR))
+        cuboids.store(rows, self.path("air_sums"), [tuple(g) for g in grains], self._sums_of())
+
     def air_measures(self, by: list[str]) -> DataFrame:
-        return measures.air_measures(*(self.read(table) for table in HOURLY_STAR), by=by)
+        """From stored sums where they are of the present tables and fine enough, else from the star."""
+        stored = cuboids.answer(self.spark, self.path("air_sums"), self._sums_of(), by)
+        return stored if stored is not None else measures.air_measures(*(self.read(table) for table in HOURLY_STAR), by=by)
 
     # --- quality gate ----------------------------------------------------------------------
     def findings(self, required_years=k.REQUIRED_YEARS, provinces: int = k.PROVINCE_COUNT) -> DataFrame:
@@ -376,5 +399,11 @@ class Warehouse:
             unique=[quality.uniqueness(df, name, key) for name, (df, key) in keys.items()],
         )
 
+    def fact_findings(self, table: str) -> DataFrame:
+        """Completeness, rules and doubled keys of a loaded fact; only slices that changed since the last time are read."""
+        spec = FACT_SPECS[table]
+        profiles.refresh(self.spark, self.path(table), self.path("profiles"), spec)
+        return profiles.findings(self.spark, self.path(table), self.path("profiles"), spec)
+
     def gate(self, **options) -> DataFrame:
         return quality.gate(self.findings(**options))

@@ -249,9 +249,12 @@ class StandIn:
     # --- hourly readings -----------------------------------------------------
     @cached_property
     def readings(self) -> DataFrame:
+        return self.readings_of(self.table("events"))
+
+    def readings_of(self, events: DataFrame) -> DataFrame:
         ts, user, value = F.col("ts"), F.col("user_id"), F.col("value")
         kk = F.get_json_object("props", "$.k").cast("int")
-        raw = self.table("events").select(
+        raw = events.select(
             "event_id",
             F.year(ts).alias("Date_Key"),
             F.year(ts).alias("Year"),

@@ -14,13 +14,15 @@ from pyspark.sql.types import DecimalType, IntegralType, LongType
 from . import constants as k
 from .functions import bands, calendar as cal, labels, ratios
 from .functions.text import name_key
-from .operators import allocation, audit, geography, lookup, merge, quality, series
+from .operators import allocation, audit, geography, lookup, merge, profiles, quality, series
 from .operators.constraints import Rule, non_negative, percentage, positive, required, violations
 from .operators.keys import dense_keys
 from .operators.ranking import share_within
-from .plans import kpis, measures, standin, variants, views
+from .plans import cuboids, facts, kpis, measures, standin, variants, views
 from .plans.standin import StandIn, amount, hundredths, money, stand_in
-from .sources import csvfiles, payloads
+from .session import scratch
+from .sources import csvfiles, payloads, snapshots
+from .streaming import hourly_feed
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -47,6 +49,15 @@ def query(build: Callable[[StandIn], DataFrame]) -> Callable[[StandIn], DataFram
     return build
 
 
+#: Queries that write tables (in a scratch folder) and read them again; the others only build a plan.
+WRITING: set[str] = set()
+
+
+def writing_query(build: Callable[[StandIn], DataFrame]) -> Callable[[StandIn], DataFrame]:
+    WRITING.add(build.__name__)
+    return query(build)
+
+
 # --- analytic queries --------------------------------------------------------
 
 
@@ -264,16 +275,18 @@ def code_map_default(w: StandIn) -> DataFrame:
 
 @query
 def blank_rule(w: StandIn) -> DataFrame:
-    """The first number of every text line as a cell: blank where the line has none."""
+    """The first number of every text line as a cell: blank where the line has none; numbers that no decimal holds are counted apart."""
     lines = w.table("documents").select("lang", F.explode(F.split("text", "\n")).alias("line"))
     cell = F.regexp_extract("line", "([0-9]+)", 1)
-    fitting = F.when(F.length(cell) <= 38, cell).otherwise(F.lit(""))  # all digits, or no number at all
+    too_long = csvfiles.unfit(cell, "decimal(38,0)")
+    fitting = F.when(~too_long, cell)
     as_null = csvfiles.typed(fitting, "decimal(38,0)")
     as_zero = csvfiles.typed(fitting, "decimal(38,0)", 0)
     flag = csvfiles.typed(cell, csvfiles.BooleanType())
     return lines.groupBy("lang").agg(
         F.count(as_null).alias("Numbers"),
-        F.count(as_zero).alias("Numbers_Or_Zero"),
+        F.count_if(too_long).alias("Unfit"),
+        F.count_if(as_zero.isNotNull() & ~too_long).alias("Numbers_Or_Zero"),
         F.sum(F.pmod(as_zero, F.lit(1000003)).cast("long")).alias("Total"),
         F.count_if(flag).alias("Flags"),
     )
@@ -940,3 +953,80 @@ def tapio_elasticity(w: StandIn) -> DataFrame:
 @query
 def pm25_daily_limit(w: StandIn) -> DataFrame:
     return variants.daily_limit(w.readings)
+
+
+# --- written tables -----------------------------------------------------------------
+
+
+@writing_query
+def hourly_stream_upsert(w: StandIn) -> DataFrame:
+    """The hourly fact from a stream that delivers every reading twice; half of them are older than the watermark."""
+    path = scratch(w.spark, "stream")
+    # a pattern, as a stream takes a single file by pattern only
+    events = w.spark.readStream.schema(standin.TABLES["events"]).parquet(f"{w.sf_dir}/event[s].parquet")
+    readings = w.readings_of(events).withColumn("Arrived_At", F.lit("2024-02-01").cast("timestamp"))
+
+    def to_fact(batch: DataFrame) -> DataFrame:
+        keep = ("Month", "Day", "Arrived_At")
+        return facts.hourly_fact(batch, w.dates, w.hours, w.provinces, w.stations, row_id=F.col("event_id"), keep=keep)
+
+    feed = hourly_feed.load_fact(
+        readings.unionByName(readings), to_fact, f"{path}/fact", f"{path}/checkpoint", now=F.lit("2024-01-31").cast("timestamp"), delay="15 days"
+    )
+    feed.awaitTermination()
+    return snapshots.read(w.spark, f"{path}/fact").select(*w.hourly_fact.columns)
+
+
+@writing_query
+def snapshot_reload(w: StandIn) -> DataFrame:
+    """Orders by year as a fact in snapshots, then the years replaced as staged (odd ones lose all rows), each load in one step."""
+    path = scratch(w.spark, "fact")
+    loaded = w.table("orders").select(F.year("o_orderdate").alias("Date_Key"), F.lit("loaded").alias("origin"))
+    staged = shipped_since(w, 1996).select(F.year("l_shipdate").alias("Date_Key"), F.lit("staged").alias("origin"))
+    for rows, years in ((loaded, loaded), (staged.where(F.col("Date_Key") % 2 == 0), staged)):
+        snapshots.replace(rows, path, ["Date_Key"], snapshots.staged_slices(years, ["Date_Key"]))
+    versions = [snapshots.read(w.spark, path, v).withColumn("Version", F.lit(v)) for v in (1, 2)]
+    return quality.union_all(versions).groupBy("Version", "Date_Key", "origin").agg(F.count(F.lit(1)).alias("Fact_Rows"))
+
+
+@writing_query
+def clustered_station_days(w: StandIn) -> DataFrame:
+    """Days of a few stations out of the hourly fact, clustered by station and day with Bloom filters."""
+    path = scratch(w.spark, "fact")
+    last = w.stations.agg(F.max("Station_Key").alias("last")).first()["last"] or 1
+    layout = snapshots.Layout((("Station_Key", 1, last), ("Day", 1, 31)), bloom=("Station_Key",), bloom_values=last, row_group=1 << 20)
+    months = snapshots.staged_slices(w.readings, hourly_feed.MONTHS)
+    snapshots.replace(w.hourly_fact, path, hourly_feed.MONTHS, months, key="Monitoring_ID", layout=layout)
+    found = snapshots.read(w.spark, path).where("Station_Key IN (3, 7, 11) AND Month = 1 AND Day BETWEEN 5 AND 9")
+    return found.groupBy("Station_Key", "Day").agg(F.count(F.lit(1)).alias("Readings"), F.sum("PM25_ug_m3").alias("PM25"))
+
+
+LINE_SPEC = profiles.Spec(
+    "lineitem",
+    ("l_orderkey", "l_returnflag", "l_quantity", "l_extendedprice"),
+    ("l_quantity", "l_extendedprice"),
+    (positive("l_quantity"), non_negative("l_discount")),
+    ("Date_Key", "l_orderkey", "l_linenumber"),
+)
+
+
+@writing_query
+def incremental_profile(w: StandIn) -> DataFrame:
+    """Line items by shipping year, profiled; the year 1996 reloaded without its returned lines, and only that year profiled again."""
+    path = scratch(w.spark, "lines")
+    lines = w.table("lineitem").withColumn("Date_Key", F.year("l_shipdate"))
+    refreshed = []
+    for rows in (lines, lines.where("Date_Key = 1996 AND l_returnflag <> 'R'")):
+        snapshots.replace(rows, f"{path}/fact", ["Date_Key"], snapshots.staged_slices(rows, ["Date_Key"]))
+        refreshed.append(len(profiles.refresh(w.spark, f"{path}/fact", f"{path}/profiles", LINE_SPEC)))
+    found = profiles.merged(w.spark, f"{path}/fact", f"{path}/profiles", LINE_SPEC)
+    exact = ("column", "rows", "nulls", "min", "max")
+    return found.select(*exact, F.round("mean", 6).alias("mean"), F.lit(refreshed[1]).alias("slices_profiled_again"))
+
+
+@query
+def measures_air_grains(w: StandIn) -> DataFrame:
+    """Air measures at three grains out of one scan."""
+    grains = (("Province_Code", "Station_Type"), ("Region", "Time_Bucket"), ("Region", "Is_Rush_Hour"))
+    rows = cuboids.star_rows(w.hourly_fact, w.dates, w.hours, w.provinces, w.stations)
+    return cuboids.measures_of(cuboids.sums_at(rows, grains))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -29,3 +31,13 @@ def local_session(name: str = "carbonloom", cpus: str | int | None = None) -> Sp
 def work_dir(spark: SparkSession, default: str) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``; ``default`` only where unset."""
     return spark.conf.get("spark.checkpoint.dir", None) or default
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder name that the driver and all executors see; in local mode a temporary one where nothing is named."""
+    shared = work_dir(spark, "")
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        shared = tempfile.mkdtemp(prefix="carbonloom-")
+    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"

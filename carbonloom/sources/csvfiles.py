@@ -22,6 +22,12 @@ def typed(cell: Column, dtype, blank=None) -> Column:
     return value if blank is None else F.coalesce(value, F.lit(blank).cast(dtype))
 
 
+def unfit(cell: Column, dtype: str) -> Column:
+    """Whether a cell that is not blank does not fit its type, as a number of too many digits: such cells are reported, not taken as
+    blank."""
+    return (F.trim(cell) != "") & F.trim(cell).try_cast(dtype).isNull()
+
+
 def apply_schema(df: DataFrame, ddl: str, blanks: dict[str, object] | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     schema = StructType.fromDDL(ddl)
     blanks = blanks or {}

@@ -181,3 +181,31 @@ def test_unknown_gas_and_doubled_reading_fail_the_load(warehouse, spark, tmp_pat
     w.stage_hourly(str(tmp_path / "twice.csv"))
     with pytest.raises(ValueError, match="Monitoring_ID occur more than once"):
         w.load_hourly_fact()
+
+
+def reads_the_star(df):
+    return "Station_Key" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_stored_sums_and_profiles_follow_the_fact(warehouse, tmp_path):
+    w = warehouse
+    w.seed_dimensions()
+    w.load_yearly()
+    w.load_stations()
+    w.load_hourly(str(tmp_path / "hourly.csv"))
+    by = ["Region", "Is_Rush_Hour"]
+    plain = as_dicts(w.air_measures(by), *by)
+    w.store_air_sums([("Region", "Station_Type", "Is_Rush_Hour")])
+    stored = w.air_measures(by)
+    assert reads_the_star(w.view("vw_fact_hourly")) and not reads_the_star(stored) and as_dicts(stored, *by) == plain
+    gate = {r.column: r.passed for r in w.fact_findings("fact_hourly").where("check = 'uniqueness'").collect()}
+    assert gate == {"Date_Key, Month, Monitoring_ID": True}
+    january = "\n".join(line for line in HOURLY.split("\n") if not line.startswith("2024,2024,2,"))
+    (tmp_path / "january.csv").write_text(january, encoding="utf-8")
+    w.load_hourly(str(tmp_path / "january.csv"))
+    # the sums are of another version now: the star answers
+    assert reads_the_star(w.air_measures(by))
+    assert sum(r["Exceeding_QCVN_Hours"] for r in as_dicts(w.air_measures(by))) == 2
+    assert all(r.passed for r in w.fact_findings("fact_hourly").collect()) and all(r.passed for r in w.fact_findings("fact_national").collect())
+    w.expire(keep=1)
+    assert w.read("fact_hourly").count() == 4

@@ -239,3 +239,9 @@ def test_staging_lineage_and_truncate(spark, rows, tmp_path):
     assert read.count() == 2 and read.first().Source_File == "b.csv" and read.first().Loaded_At is not None
     tables.truncate(spark, path)
     assert spark.read.parquet(path).count() == 0
+
+
+def test_cells_that_do_not_fit_are_told_from_blank_ones(rows):
+    cells = ("", " ", "7", "007", "9" * 38, "1" + "0" * 38, "0" * 50 + "5", "x", None)
+    df = rows("i int, c string", *enumerate(cells)).select("i", csvfiles.unfit(F.col("c"), "decimal(38,0)").alias("unfit"))
+    assert [r.unfit for r in df.orderBy("i").collect()] == [False, False, False, False, False, True, False, True, None]
