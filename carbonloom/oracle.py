@@ -956,3 +956,22 @@ SELECT 'Is_Rush_Hour+Region' AS grain, r.* EXCLUDE (Rush_Hour_Exceeding_Hours),
 FROM (SELECT Region, Is_Rush_Hour, {_AIR} FROM hourly_view GROUP BY 1, 2) r
 JOIN (SELECT Region, CAST(SUM(CASE WHEN Is_Rush_Hour THEN CAST(Is_Exceeding_QCVN AS INTEGER) END) AS BIGINT) AS h
       FROM hourly_view GROUP BY 1) w ON w.Region = r.Region""")
+
+ORACLES["plan_phase_by_bands"] = ORACLES["plan_phase_band"]
+
+sql("stitched_features", ("decoded", "provinces"), """
+, ends AS (SELECT vec_id, MAX(pos) AS last, arg_min(running_dx, pos) AS ax, arg_min(running_dy, pos) AS ay FROM decoded GROUP BY vec_id HAVING MAX(pos) > 0),
+walk AS (
+  SELECT d.vec_id, d.pos AS place, d.running_dx AS x, d.running_dy AS y FROM decoded d JOIN ends e ON e.vec_id = d.vec_id
+  UNION ALL SELECT vec_id, last + 1, ax + 7, ay - 3 FROM ends
+  UNION ALL SELECT vec_id, last + 2, ax, ay FROM ends
+), places AS (
+  SELECT p.Province_Code, p.Province_Name, p.Region, e.vec_id
+  FROM embeddings e JOIN provinces p ON p.Province_Name = 'NATION_' || (e.label * 2) JOIN ends ON ends.vec_id = e.vec_id
+)
+SELECT Province_Code, Province_Name, Region, COUNT(DISTINCT p.vec_id) AS pieces, COUNT(DISTINCT p.vec_id) AS polygons,
+  COUNT(DISTINCT p.vec_id) AS rings, COUNT(DISTINCT p.vec_id) AS closed_rings, COUNT(*) AS points,
+  CASE WHEN COUNT(DISTINCT p.vec_id) = 1 THEN 'Polygon' ELSE 'MultiPolygon' END AS type,
+  CAST(SUM(place * x) AS BIGINT) AS walk_x, CAST(SUM(place * y) AS BIGINT) AS walk_y
+FROM places p JOIN walk ON walk.vec_id = p.vec_id GROUP BY 1, 2, 3""")
+ORACLES["stitched_features"] = ORACLES["stitched_features"].replace(")\n, ends AS", "),\nends AS", 1)

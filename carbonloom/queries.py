@@ -14,14 +14,14 @@ from pyspark.sql.types import DecimalType, IntegralType, LongType
 from . import constants as k
 from .functions import bands, calendar as cal, labels, ratios
 from .functions.text import name_key
-from .operators import allocation, audit, geography, lookup, merge, profiles, quality, series
+from .operators import allocation, audit, geography, lookup, merge, profiles, quality, rings, series
 from .operators.constraints import Rule, non_negative, percentage, positive, required, violations
 from .operators.keys import dense_keys
 from .operators.ranking import share_within
 from .plans import cuboids, facts, kpis, measures, standin, variants, views
 from .plans.standin import StandIn, amount, hundredths, money, stand_in
 from .session import scratch
-from .sources import csvfiles, payloads, snapshots
+from .sources import csvfiles, payloads, snapshots, topology
 from .streaming import hourly_feed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -955,6 +955,61 @@ def pm25_daily_limit(w: StandIn) -> DataFrame:
     return variants.daily_limit(w.readings)
 
 
+def ring_map(w: StandIn) -> DataFrame:
+    """A map in text for every label: each vector is a ring of two arcs that share both ends, the second walked backwards."""
+    vectors = vector_arcs(w).where(F.size("deltas") > 1)
+    ends = F.aggregate("deltas", F.array(F.lit(0).cast("long"), F.lit(0).cast("long")), lambda at, d: F.array(at[0] + d[0], at[1] + d[1]))
+    vectors = vectors.withColumn("a", F.col("deltas")[0]).withColumn("z", ends)
+    x, y = (F.col("z")[i] - F.col("a")[i] - s for i, s in ((0, 7), (1, -3)))
+    other = F.array("a", F.array(F.lit(7).cast("long"), F.lit(-3).cast("long")), F.array(x, y))
+    one = F.struct("vec_id", "deltas", other.alias("other"))
+    maps = vectors.groupBy("label").agg(F.sort_array(F.collect_list(one)).alias("v"))
+    shape = F.transform(
+        "v",
+        lambda v, i: F.struct(
+            F.lit("Polygon").alias("type"),
+            v.vec_id.cast("string").alias("id"),
+            F.array(F.array(i * 2, -(i * 2) - 2)).alias("arcs"),
+            F.create_map(F.lit("name"), F.concat(F.lit("Ñation–"), (F.col("label") * 2).cast("string"), F.lit("\t"))).alias("properties"),
+        ),
+    )
+    whole = F.struct(
+        F.lit("Topology").alias("type"),
+        F.create_map(F.lit("raw"), F.struct(F.lit("GeometryCollection").alias("type"), shape.alias("geometries"))).alias("objects"),
+        F.flatten(F.transform("v", lambda v: F.array(v.deltas, v.other))).alias("arcs"),
+    )
+    return maps.select(F.concat(F.lit("map-"), F.col("label").cast("string")).alias("file"), F.to_json(whole).alias("value"))
+
+
+@query
+def stitched_features(w: StandIn) -> DataFrame:
+    """From topology text to grouped, enriched features with closed rings: arcs decoded, rings stitched, names matched."""
+    maps = ring_map(w).select("file", F.from_json("value", topology.TOPOLOGY).alias("topology"))
+    shapes, arcs = topology.geometries(maps), topology.arcs(maps)
+    points = rings.ring_points(shapes, arcs)
+    matched = geography.match_names(shapes.withColumn("name", F.col("properties")["name"]), "name", w.provinces, "Province_Name")
+    matched = geography.require_match(matched, "name", "Province_Code")
+    places = rings.place_summary(rings.ring_summary(points), matched, "Province_Code")
+    walked = points.join(matched.select(*rings.FEATURE, "Province_Code"), list(rings.FEATURE)).groupBy("Province_Code").agg(
+        F.sum(F.col("place") * F.col("x")).alias("walk_x"), F.sum(F.col("place") * F.col("y")).alias("walk_y")
+    )
+    return places.join(walked, "Province_Code").join(w.provinces.select("Province_Code", "Province_Name", "Region"), "Province_Code")
+
+
+@query
+def plan_phase_by_bands(w: StandIn) -> DataFrame:
+    """Plan phases from a table of bands, without a join by range."""
+    ends = [upper for upper, _ in k.PLAN_PHASES]
+    rows = zip([None, *(e + 1 for e in ends)], [*ends, None], [*(text for _, text in k.PLAN_PHASES), k.PLAN_PHASE_AFTER])
+    table = F.array(*(F.struct(F.lit(a).cast("int").alias("lower"), F.lit(b).cast("int").alias("upper"), F.lit(c).alias("label")) for a, b, c in rows))
+    phases = w.spark.range(1).select(F.inline(table))
+    orders = w.table("orders").select(F.year("o_orderdate").alias("Year"), money("o_totalprice").alias("price"))
+    found = bands.by_band_table(orders, F.col("Year"), phases, "Five_Year_Plan_Phase")
+    return found.groupBy("Five_Year_Plan_Phase", cal.policy_period(F.col("Year")).alias("Policy_Period")).agg(
+        F.count(F.lit(1)).alias("Orders"), F.sum("price").alias("Total")
+    )
+
+
 # --- written tables -----------------------------------------------------------------
 
 

@@ -141,3 +141,32 @@ def test_name_keys(apply):
         "danang", "hanoi", "bariavungtau", "bariavungtau", "hochiminh", "thuathienhue", "plain", "nandua", "abc", "tokyo2", "", None
     ]
     assert apply(code_key, [" eng ", "ENG"], "string") == ["ENG", "ENG"]
+
+
+def test_band_table_equals_the_chain(spark, rows):
+    ends = [upper for upper, _ in k.PLAN_PHASES]
+    table = [(a, b, c) for a, b, c in zip([None, *(e + 1 for e in ends)], [*ends, None], [*(t for _, t in k.PLAN_PHASES), k.PLAN_PHASE_AFTER])]
+    years = spark.range(1900, 2100).select(F.col("id").cast("int").alias("y"))
+    found = bands.by_band_table(years, F.col("y"), rows("lower int, upper int, label string", *table[::-1]), "phase")
+    assert found.columns == ["y", "phase"]
+    assert not found.withColumn("chain", cal.plan_phase(F.col("y"))).where("NOT phase <=> chain").count()
+    assert "NestedLoop" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_band_table_gaps_ends_and_faults(spark, rows):
+    ddl, values = "lower double, upper double, label string", rows("v double", (0.5,), (1.0,), (2.0,), (2.5,), (3.0,), (9.0,), (None,))
+
+    def labels(*table, after=None):
+        found = bands.by_band_table(values, F.col("v"), rows(ddl, *table), "l", after)
+        return [r.l for r in found.orderBy(F.col("v").asc_nulls_last()).collect()]
+
+    assert labels((1.0, 2.0, "a"), (3.0, 3.0, "b")) == [None, "a", "a", None, "b", None, None]
+    assert labels((1.0, 2.0, "a"), after=F.lit("-")) == ["-", "a", "a", "-", "-", "-", "-"]
+    assert labels() == [None] * 7
+    for bad in (((1.0, 2.0, "a"), (2.0, 3.0, "b")), ((2.0, 1.0, "a"),), ((None, None, "a"), (5.0, 6.0, "b"))):
+        with pytest.raises(Exception, match="bands overlap"):
+            labels(*bad)
+    many = spark.range(4097).select((F.col("id") * 2).alias("lower"), (F.col("id") * 2).alias("upper"), F.lit("x").alias("label"))
+    with pytest.raises(Exception, match="too many bands"):
+        bands.by_band_table(values, F.col("v"), many, "l").collect()
+    assert bands.by_band_table(values, F.col("v"), many.limit(4096), "l").where("l = 'x'").count() == 1
