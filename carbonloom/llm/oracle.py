@@ -72,7 +72,7 @@ WITH w AS (
 ), b AS (
   SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m
 )
-SELECT *, NOT (base_failed
+SELECT * EXCLUDE (n_lines, n_distinct_words), NOT (base_failed
   OR n_symbols > n_words
   OR 2 * n_dup_lines > n_lines
   OR (n_words >= 30 AND 10 * n_symbols > 4 * n_words)

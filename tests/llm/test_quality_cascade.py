@@ -43,13 +43,36 @@ def test_measures_and_verdicts(spark, docs, texts):
     got = {r.doc_id: r.asDict() for r in qc.verdicts(df).collect()}
     for key, text in every.items():
         want = measured(text)
-        assert {c: got[key][c] for c in want} == want, key
+        assert {c: got[key][c] for c in RETURNED} == {c: want[c] for c in RETURNED}, key
         assert got[key]["kept"] == kept(want)
         assert got[key]["base_failed"] == (want["n_words"] < 20 or 100 * want["n_repeat_words"] > 30 * want["n_words"])
     stay = qc.keep(df)
     assert {r.doc_id for r in stay.collect()} == {k for k, t in every.items() if kept(measured(t))}
 
 
+RETURNED = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+
+
+def test_repeated_rows_and_clashing_names(spark):
+    ddl = "doc_id long, text string, n_words string, kept int, _text string, _words long, _lines int, base_failed string, _n int, _1 int, _at int"
+    text = " ".join(f"word{i}" for i in range(30))
+    rows = [(1, text, *[None] * 9), (1, text, *[None] * 9), (1, None, *[None] * 9), (None, "short", *[None] * 9)]
+    df = spark.createDataFrame(rows, ddl)
+    found = qc.verdicts(df)
+    assert found.columns == ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    assert sorted((r.n_words, r.kept) for r in found.collect()) == [(0, False), (1, False), (30, True), (30, True)]
+    stay = qc.keep(df)
+    assert stay.columns == df.columns and [r.text for r in stay.collect()] == [text, text]
+
+
+def test_later_measures_are_not_computed_for_failed_rows(spark):
+    """The verdict is one CASE: a branch behind the first that holds is not evaluated."""
+    plan = qc.verdicts(spark.createDataFrame([(1, "a")], "doc_id long, text string"))._jdf.queryExecution().optimizedPlan().toString()
+    line = next(x for x in plan.split("\n") if "AS kept" in x)
+    case = line[: line.index("AS kept")]
+    assert "array_distinct" in case[case.rindex("CASE WHEN") :] and line.count("array_distinct") == plan.count("array_distinct(_words") 
+
+
 def test_columns_stay(docs, nothing):
     assert qc.keep(docs).columns == docs.columns
     assert qc.keep(nothing).count() == 0 and qc.verdicts(nothing).count() == 0
