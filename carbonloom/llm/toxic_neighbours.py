@@ -307,7 +307,9 @@ def _examples(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, la
         .orderBy("_h", "_n")
         .limit(rows)
     )
-    chosen = first.join(texts, "_id").where(F.xxhash64("_text") == F.col("_h"))
+    # a row stored several times, or several texts of one id: one example per text all the same
+    chosen = first.join(texts, "_id").where((F.xxhash64("_text") == F.col("_h")) & (F.octet_length("_text") == F.col("_n")))
+    chosen = chosen.dropDuplicates(["_h", "_n"])
     return chosen.select("_h", "_n", F.col("_id").alias("id"), F.col("_text").alias("text"), "label")
 
 

@@ -91,3 +91,14 @@ def test_small_tables_use_every_term(spark):
         assert [e.cosine for e in got[i].evidence] == pytest.approx(want)
         assert want
     assert not got[50].evidence and not got[51].evidence
+
+
+def test_a_text_stored_several_times_is_one_example(spark):
+    rng = random.Random(8)
+    texts = {i: " ".join(rng.choice("abcdefgh") * rng.randrange(1, 4) for _ in range(12)) for i in range(20)}
+    docs = spark.createDataFrame([(i, t) for i, t in texts.items()] * 5 + [(3, "another text of the same id")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in texts], "doc_id long, toxic int")
+    model = tn.fit(docs, labels, max_examples=20)
+    assert model.index.n <= 20 and len(set(model.example_ids)) >= 19
+    every = tn.fit(docs, labels, max_examples=100)
+    assert every.index.n == 21
