@@ -10,15 +10,13 @@ text). Null texts fail the quality rules; an empty table stays empty through all
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carbonloom.llm import leak_scan, line_dedup, ngram_join, quality_cascade, sentence_pieces
+from carbonloom.llm import leak_scan, line_dedup, ngram_join, quality_cascade, sentence_pieces, shared
 from carbonloom.llm.queries import PIECES, table
-from carbonloom.session import work_dir
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,8 +61,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = work_dir(spark, "") or tempfile.mkdtemp(prefix="carbonloom-")
-    folder = f"{folder}/pipeline-{uuid.uuid4().hex}"
+    folder = f"{shared.folder(spark)}/pipeline-{uuid.uuid4().hex}"
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
