@@ -921,6 +921,7 @@ FROM readings GROUP BY 1, 2, 3, 4""")
 # --- written tables ---------------------------------------------------------------------
 
 ORACLES["hourly_stream_upsert"] = ORACLES["hourly_fact"]
+ORACLES["bucketed_merge"] = ORACLES["scd1_merge"]
 
 sql("snapshot_reload", (), """
 SELECT CAST(1 AS BIGINT) AS Version, year(o_orderdate) AS Date_Key, 'loaded' AS origin, COUNT(*) AS Fact_Rows FROM orders GROUP BY 2

@@ -14,7 +14,7 @@ from pyspark.sql.types import DecimalType, IntegralType, LongType
 from . import constants as k
 from .functions import bands, calendar as cal, labels, ratios
 from .functions.text import name_key
-from .operators import allocation, audit, geography, lookup, merge, profiles, quality, rings, series
+from .operators import allocation, audit, bucketed, geography, lookup, merge, profiles, quality, rings, series
 from .operators.constraints import Rule, non_negative, percentage, positive, required, violations
 from .operators.keys import dense_keys
 from .operators.ranking import share_within
@@ -367,9 +367,8 @@ def year_consistency(w: StandIn) -> DataFrame:
 # --- loads -------------------------------------------------------------------------
 
 
-@query
-def scd1_merge(w: StandIn) -> DataFrame:
-    """Suppliers updated and extended by customers; a negative balance counts as unknown."""
+def merge_sides(w: StandIn) -> tuple[DataFrame, DataFrame]:
+    """Suppliers, and customers that update and extend them; a negative balance counts as unknown."""
     target = w.table("supplier").select(
         (F.col("s_suppkey") + 1).alias("Member_Key"),
         F.col("s_suppkey").alias("Member_Code"),
@@ -384,15 +383,17 @@ def scd1_merge(w: StandIn) -> DataFrame:
         F.col("c_nationkey").alias("Nation"),
         F.when(F.col("c_acctbal") >= 0, F.col("c_acctbal")).alias("Balance"),
     )
-    return merge.scd1_merge(
-        target,
-        source,
-        "Member_Code",
-        ["Member_Name", "Nation", "Balance"],
-        "Member_Key",
-        keep_if_null=["Balance"],
-        insert_default={"Balance": 0.0},
-    )
+    return target, source
+
+
+MERGED = ["Member_Name", "Nation", "Balance"]
+MERGE_OPTIONS = {"keep_if_null": ["Balance"], "insert_default": {"Balance": 0.0}}
+
+
+@query
+def scd1_merge(w: StandIn) -> DataFrame:
+    target, source = merge_sides(w)
+    return merge.scd1_merge(target, source, "Member_Code", MERGED, "Member_Key", **MERGE_OPTIONS)
 
 
 @query
@@ -1085,3 +1086,13 @@ def measures_air_grains(w: StandIn) -> DataFrame:
     grains = (("Province_Code", "Station_Type"), ("Region", "Time_Bucket"), ("Region", "Is_Rush_Hour"))
     rows = cuboids.star_rows(w.hourly_fact, w.dates, w.hours, w.provinces, w.stations)
     return cuboids.measures_of(cuboids.sums_at(rows, grains))
+
+
+@writing_query
+def bucketed_merge(w: StandIn) -> DataFrame:
+    """The same merge on a target in buckets, which is neither shuffled nor broadcast."""
+    path = scratch(w.spark, "members")
+    target, source = merge_sides(w)
+    buckets = int(w.spark.conf.get("spark.sql.shuffle.partitions"))
+    lying = bucketed.create(target, "members_" + path.rsplit("-", 1)[-1], path, "Member_Code", buckets)
+    return bucketed.merged(lying, source, "Member_Code", MERGED, "Member_Key", **MERGE_OPTIONS)
