@@ -976,3 +976,7 @@ SELECT Province_Code, Province_Name, Region, COUNT(DISTINCT p.vec_id) AS pieces,
   CAST(SUM(place * x) AS BIGINT) AS walk_x, CAST(SUM(place * y) AS BIGINT) AS walk_y
 FROM places p JOIN walk ON walk.vec_id = p.vec_id GROUP BY 1, 2, 3""")
 ORACLES["stitched_features"] = ORACLES["stitched_features"].replace(")\n, ends AS", "),\nends AS", 1)
+
+sql("landed_payload_fields", (), """
+SELECT year(o_orderdate) AS Year, CASE WHEN o_orderkey % 2 = 1 THEN o_orderpriority END AS Priority, COUNT(*) AS Records,
+  CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS Total FROM orders GROUP BY 1, 2""")

@@ -1096,3 +1096,19 @@ def bucketed_merge(w: StandIn) -> DataFrame:
     buckets = int(w.spark.conf.get("spark.sql.shuffle.partitions"))
     lying = bucketed.create(target, "members_" + path.rsplit("-", 1)[-1], path, "Member_Code", buckets)
     return bucketed.merged(lying, source, "Member_Code", MERGED, "Member_Key", **MERGE_OPTIONS)
+
+
+@writing_query
+def landed_payload_fields(w: StandIn) -> DataFrame:
+    """Orders landed as JSON records in two deliveries: the later one has a field more, and its amount has become text."""
+    path = scratch(w.spark, "landed")
+    orders = w.table("orders")
+    amount_ = F.col("o_totalprice").cast("decimal(18,2)")
+    known = (F.col("o_orderkey").alias("id"), F.struct(F.year("o_orderdate").alias("year")).alias("at"))
+    first = F.struct(*known, amount_.alias("value"))
+    later = F.struct(*known, amount_.cast("string").alias("value"), F.col("o_orderpriority").alias("priority"))
+    for rows, record in ((orders.where("o_orderkey % 2 = 0"), first), (orders.where("o_orderkey % 2 = 1"), later)):
+        payloads.land_records(rows.select(F.to_json(record).alias("record")), path)
+    fields = {"Year": ("$.at.year", "int"), "Value": ("$.value", "decimal(18,2)"), "Priority": ("$.priority", "string")}
+    found = payloads.landed_fields(w.spark, path, fields)
+    return found.groupBy("Year", "Priority").agg(F.count(F.lit(1)).alias("Records"), F.sum("Value").alias("Total"))

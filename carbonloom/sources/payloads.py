@@ -108,3 +108,46 @@ def map_sectors(
         F.coalesce(meta["name_vi"], F.col(raw)).alias("Sector_Name_VI"),
         F.coalesce(meta["category"], F.lit(unmapped[1])).alias("Sector_Category"),
     )
+
+
+#: What makes Spark store the common fields of landed records as columns, and read a path of a record as one.
+SHREDDING = {
+    "spark.sql.variant.writeShredding.enabled": "true",
+    "spark.sql.variant.inferShreddingSchema": "true",
+    "spark.sql.variant.pushVariantIntoScan": "true",
+}
+
+
+def land_records(df: DataFrame, path: str, record: str = "record") -> None:
+    """Appends JSON texts as VARIANT rows: every field survives, also those that no schema knows yet.
+
+    The fields that most records share are stored as typed columns within the record (the session's settings as in
+    :data:`SHREDDING`, set here for the write). A text that is no JSON is kept in ``unparsed``.
+    """
+    spark = df.sparkSession
+    parsed = F.try_parse_json(record)
+    rows = df.select(
+        *(c for c in df.columns if c != record),
+        parsed.alias("record"),
+        F.when(parsed.isNull(), F.col(record)).alias("unparsed"),
+        F.current_timestamp().alias("Loaded_At"),
+    )
+    before = {name: spark.conf.get(name) for name in SHREDDING}
+    try:
+        for name, value in SHREDDING.items():
+            spark.conf.set(name, value)
+        rows.write.mode("append").parquet(path)
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+def landed_fields(spark: SparkSession, path: str, fields: dict[str, tuple[str, str]], keep: tuple[str, ...] = ()) -> DataFrame:
+    """Fields of landed records as columns: name to (path, type). Only the paths that a query uses are read from the files.
+
+    A record without the path, or with a value that does not fit the type, has NULL; a field whose type changed on the
+    way (a number that became text, say) is cast where it can be. Set :data:`SHREDDING` in the session, so that paths are
+    pushed into the scan.
+    """
+    rows = spark.read.parquet(path)
+    return rows.select(*keep, *(F.try_variant_get("record", at, kind).alias(name) for name, (at, kind) in fields.items()))

@@ -245,3 +245,28 @@ def test_cells_that_do_not_fit_are_told_from_blank_ones(rows):
     cells = ("", " ", "7", "007", "9" * 38, "1" + "0" * 38, "0" * 50 + "5", "x", None)
     df = rows("i int, c string", *enumerate(cells)).select("i", csvfiles.unfit(F.col("c"), "decimal(38,0)").alias("unfit"))
     assert [r.unfit for r in df.orderBy("i").collect()] == [False, False, False, False, False, True, False, True, None]
+
+
+def test_landed_records_keep_late_fields_and_read_known_ones_as_columns(spark, rows, tmp_path):
+    path = str(tmp_path / "landed")
+    first = [('{"year": 2020, "value": 1.5, "place": {"code": "01"}}',)] * 20 + [("not JSON",), (None,), ("[1, 2]",)]
+    later = [('{"year": "2021", "value": "2.25", "place": {"code": 7}, "late": [1, {"a": 2}]}',), ('{"value": {"odd": 1}}',)]
+    for batch in (first, later):
+        payloads.land_records(rows("record string", *batch), path)
+    before = {name: spark.conf.get(name) for name in payloads.SHREDDING}
+    try:
+        for name, value in payloads.SHREDDING.items():
+            spark.conf.set(name, value)
+        fields = {"Year": ("$.year", "int"), "Value": ("$.value", "decimal(9,2)"), "Code": ("$.place.code", "string"), "Late": ("$.late[1].a", "int")}
+        found = payloads.landed_fields(spark, path, fields, ("unparsed",))
+        known = [(r.Year, r.Value and float(r.Value), r.Code, r.Late) for r in found.collect()]
+        assert sorted(known, key=str) == sorted([(2020, 1.5, "01", None)] * 20 + [(None,) * 4] * 4 + [(2021, 2.25, "7", 2)], key=str)
+        assert [r.unparsed for r in found.where("unparsed IS NOT NULL").collect()] == ["not JSON"]
+        plan = found.select("Year")._jdf.queryExecution().executedPlan().toString()
+        assert "ReadSchema: struct<record:struct<0:int>>" in plan
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    # whatever came can be had again
+    whole = spark.read.parquet(path).select(F.to_json("record").alias("j")).where("j LIKE '%late%'").first().j
+    assert json.loads(whole) == {"year": "2021", "value": "2.25", "place": {"code": 7}, "late": [1, {"a": 2}]}
