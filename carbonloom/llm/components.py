@@ -81,7 +81,7 @@ def components(links: DataFrame) -> DataFrame:
 
 
 #: Hub rounds at most, pairs per posting from which one more is worth it, and hubs of a key in the last round.
-ROUNDS, WORTH, HUBS = 3, 4, 12
+ROUNDS, WORTH, HUBS = 2, 4, 12
 #: Nodes of a key that are compared with all its nodes in one group of the last join.
 SPLIT = 512
 #: 64-bit words of a set's bitmap.
@@ -121,7 +121,8 @@ def linked_groups(
     """(node, component) over all verified links between nodes that share a key; nodes without a link are absent.
 
     ``postings`` has (key, node) and what ``near`` reads: a condition on two postings of a key, given as functions
-    from column name to column, that holds for at least one shared key of every pair that links. ``verify`` takes
+    from column name to column, that holds for at least one shared key of every pair that links, and still does where a column
+    is less. ``verify`` takes
     distinct pairs (a, b) and returns those that link. ``sketches``: see :func:`sketch`.
 
     A key's nodes are not paired with each other. In a round every key has a hub (by hash, another one each round), and
@@ -137,8 +138,14 @@ def linked_groups(
     for turn in range(ROUNDS + 1):
         if turn:
             named = postings.join(comps, "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component")
-            keys = named.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("_group"))
-            now = saved(named.join(keys.where("x <> y").select("key", "_group"), "key"))
+            # keys of the same nodes are one key: with its least values, ``near`` lets no less through
+            same = (F.bit_xor(F.xxhash64("node", F.lit(seed))) for seed in (1, 2))
+            keys = named.groupBy("key").agg(
+                F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("_group"), F.xxhash64(*same, F.count("*")).alias("_set")
+            )
+            now = named.join(keys.where("x <> y").select("key", "_group", "_set"), "key")
+            now = now.groupBy(F.col("_set").alias("key"), "node", "comp", "_group").agg(*(F.min(c).alias(c) for c in more))
+            now = saved(now)
             total = now.agg(F.count("*").alias("n"), F.sum("_group").alias("pairs")).first()
             if not total.n:
                 break
