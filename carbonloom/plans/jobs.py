@@ -25,6 +25,7 @@ from ..sources.tables import (
     publish_dimension,
     published,
     remember_schema,
+    remove,
     remembered_schema,
     stage_overwrite,
     truncate,
@@ -134,7 +135,34 @@ class Warehouse:
         return run or event
 
     def audit(self) -> DataFrame:
-        return audit_state(self.read("audit_events"))
+        return audit_state(self._events())
+
+    def _events(self) -> DataFrame:
+        """All events: the archived ones and those since; one that a stopped compaction left in both counts once."""
+        names = [part.split()[0] for part in AUDIT.split(", ")]
+        archive = self.path("audit_archive")
+        if snapshots.snapshot(self.spark, archive) is None:
+            return self.read("audit_events").select(*names)
+        events = snapshots.read(self.spark, archive).select(*names)
+        if self.has("audit_events"):
+            events = events.unionByName(self.spark.read.schema(AUDIT).parquet(self.path("audit_events")).select(*names))
+        return events.dropDuplicates(["event_id"])
+
+    def compact_audit(self) -> int:
+        """Moves the events, a small file each, into an archive by month; the number of files it has taken.
+
+        The archive is published before a file goes, and an event has an id, so a run that is stopped loses and doubles none;
+        files that come meanwhile are left.
+        """
+        if not self.has("audit_events"):
+            return 0
+        files = self.spark.read.schema(AUDIT).parquet(self.path("audit_events")).inputFiles()
+        if not files:
+            return 0
+        events = self.spark.read.schema(AUDIT).parquet(*files).withColumn("Month", F.date_format("at", "yyyy-MM"))
+        snapshots.upsert(events, self.path("audit_archive"), ["Month"], "event_id", F.col("at"))
+        remove(self.spark, files)
+        return len(files)
 
     # --- staging ---------------------------------------------------------------
     def truncate_staging(self) -> None:

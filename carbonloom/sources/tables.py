@@ -34,6 +34,13 @@ def exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def remove(spark: SparkSession, files: Sequence[str]) -> None:
+    """Deletes single files."""
+    for name in files:
+        fs, target = _file_system(spark, name)
+        fs.delete(target, False)
+
+
 def _file_system(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()), target

@@ -209,3 +209,25 @@ def test_stored_sums_and_profiles_follow_the_fact(warehouse, tmp_path):
     assert all(r.passed for r in w.fact_findings("fact_hourly").collect()) and all(r.passed for r in w.fact_findings("fact_national").collect())
     w.expire(keep=1)
     assert w.read("fact_hourly").count() == 4
+
+
+def test_audit_files_are_compacted(spark, tmp_path, monkeypatch):
+    w = Warehouse(spark, str(tmp_path / "dwh"))
+    assert w.compact_audit() == 0
+    for i in range(4):
+        run = w.log("p", "RUNNING", f"t{i}")
+        w.log("p", "SUCCESS" if i % 2 else "FAILED", f"t{i}", run, i, None if i % 2 else "no")
+    before = as_dicts(w.audit(), "log_id")
+    assert len(before) == 4 and w.compact_audit() >= 8 and w.compact_audit() == 0
+    assert as_dicts(w.audit(), "log_id") == before
+    open_run = w.log("p", "RUNNING", "t9")
+    assert len(as_dicts(w.audit())) == 5
+    # stopped between the archive and the files: every event counts once
+    monkeypatch.setattr("carbonloom.plans.jobs.remove", lambda *_: None)
+    w.compact_audit()
+    w.log("p", "SUCCESS", "t9", open_run, 7)
+    monkeypatch.undo()
+    found = as_dicts(w.audit(), "log_id")
+    assert len(found) == 5 and [r["rows_processed"] for r in found if r["task"] == "t9"] == [7]
+    w.compact_audit()
+    assert as_dicts(w.audit(), "log_id") == found
