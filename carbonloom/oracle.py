@@ -980,3 +980,33 @@ ORACLES["stitched_features"] = ORACLES["stitched_features"].replace(")\n, ends A
 sql("landed_payload_fields", (), """
 SELECT year(o_orderdate) AS Year, CASE WHEN o_orderkey % 2 = 1 THEN o_orderpriority END AS Priority, COUNT(*) AS Records,
   CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS Total FROM orders GROUP BY 1, 2""")
+
+sql("csv_round_trip", (), """
+SELECT 'C' || c_nationkey AS Nation_Code, c_custkey AS Row, '"' || c_name || '", ' || c_custkey AS Name,
+  CASE WHEN c_acctbal >= 0 THEN CAST(round_even(c_acctbal * 100, 0) AS BIGINT) ELSE 0 END AS Cents FROM customer""")
+
+sql("payload_round_trip", (), """
+SELECT year(o_orderdate) AS Year, COUNT(*) AS Points, COUNT(DISTINCT o_custkey) AS Customers, CAST(SUM(o_orderkey) AS BIGINT) AS Total
+FROM orders GROUP BY 1""")
+
+sql("staged_reload", (), """
+SELECT 'third.csv' AS Source_File, COUNT(*) FILTER (WHERE o_orderkey % 3 = 0) AS Staged,
+  COUNT(*) FILTER (WHERE o_orderkey % 2 = 0) AS Second, CAST(0 AS BIGINT) AS Truncated FROM orders""")
+
+sql("enriched_features", ("provinces",), """
+SELECT Province_Code, CASE WHEN COUNT(*) = 1 THEN 'Polygon' ELSE 'MultiPolygon' END AS type,
+  md5(string_agg(CAST(vec_id AS VARCHAR), ',' ORDER BY vec_id)) AS rings_md5, Province_Code AS id, Province_Name, Region, Economic_Zone
+FROM embeddings e JOIN provinces ON Province_Name = 'NATION_' || (e.label * 2)
+GROUP BY Province_Code, Province_Name, Region, Economic_Zone""")
+
+sql("catalog_columns", ("provinces",), """
+SELECT Province_Code, Province_Name, Province_Name_Ascii, Region, Economic_Zone, CAST(Area_Km2 AS DOUBLE) AS Area_Km2, Is_Industrial_Hub FROM provinces""")
+
+_STAGED_SECTORS = {"1-URGENT": "ENG", "2-HIGH": "TRA", "3-MEDIUM": "IPU", "4-NOT SPECIFIED": "WST", "5-LOW": "ZZZ"}
+_SCOPES = {code: scope for code, *_, scope in k.SECTOR_SEED}
+sql("seeded_sectors", (), """
+SELECT Sector_Code, MIN(p) AS Sector_Name_EN, CAST(COUNT(*) AS VARCHAR) AS Sector_Name_VI, 'Staged' AS Sector_Category, MIN(Scope_Type) AS Scope_Type
+FROM (SELECT o_orderpriority AS p, Sector_Code, Scope_Type FROM orders JOIN (VALUES """ + ", ".join(
+    f"('{p}', '{code}', {quoted(_SCOPES[code]) if code in _SCOPES else 'CAST(NULL AS VARCHAR)'})" for p, code in _STAGED_SECTORS.items()
+) + """) m(p, Sector_Code, Scope_Type) ON m.p = o_orderpriority)
+GROUP BY Sector_Code""")

@@ -14,14 +14,14 @@ from pyspark.sql.types import DecimalType, IntegralType, LongType
 from . import constants as k
 from .functions import bands, calendar as cal, labels, ratios
 from .functions.text import name_key
-from .operators import allocation, audit, bucketed, geography, lookup, merge, profiles, quality, rings, series
+from .operators import allocation, audit, bucketed, generators, geography, lookup, merge, profiles, quality, rings, series
 from .operators.constraints import Rule, non_negative, percentage, positive, required, violations
 from .operators.keys import dense_keys
 from .operators.ranking import share_within
 from .plans import cuboids, facts, kpis, measures, standin, variants, views
 from .plans.standin import StandIn, amount, hundredths, money, stand_in
 from .session import scratch
-from .sources import csvfiles, payloads, snapshots, topology
+from .sources import csvfiles, payloads, snapshots, tables, topology
 from .streaming import hourly_feed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,6 +49,7 @@ def query(build: Callable[[StandIn], DataFrame]) -> Callable[[StandIn], DataFram
     return build
 
 
+SECTOR_COLUMNS = ["Sector_Name_EN", "Sector_Name_VI", "Sector_Category"]
 #: Queries that write tables (in a scratch folder) and read them again; the others only build a plan.
 WRITING: set[str] = set()
 
@@ -1112,3 +1113,75 @@ def landed_payload_fields(w: StandIn) -> DataFrame:
     fields = {"Year": ("$.at.year", "int"), "Value": ("$.value", "decimal(18,2)"), "Priority": ("$.priority", "string")}
     found = payloads.landed_fields(w.spark, path, fields)
     return found.groupBy("Year", "Priority").agg(F.count(F.lit(1)).alias("Records"), F.sum("Value").alias("Total"))
+
+
+@writing_query
+def csv_round_trip(w: StandIn) -> DataFrame:
+    """Customers written as CSV, with names that need quoting, and read back by header name."""
+    path = scratch(w.spark, "csv")
+    name = F.concat(F.lit('"'), F.col("c_name"), F.lit('", '), F.col("c_custkey").cast("string"))
+    rows = w.table("customer").select(F.col("c_custkey").alias("Row"), name.alias("Name"), F.when(F.col("c_acctbal") >= 0, F.rint(F.col("c_acctbal") * 100).cast("long")).alias("Cents"), F.concat(F.lit(" c"), F.col("c_nationkey").cast("string")).alias("Nation_Code"))
+    csvfiles.write_csv(rows, path)
+    return csvfiles.read_csv(w.spark, path, "Nation_Code string, Row bigint, Name string, Cents bigint", {"Cents": 0})
+
+
+@writing_query
+def payload_round_trip(w: StandIn) -> DataFrame:
+    """Raw payloads of every order priority landed as text and parsed from there."""
+    path = scratch(w.spark, "payloads")
+    point = F.struct(F.year("o_orderdate").cast("string").alias("date"), F.col("o_orderkey").alias("value"))
+    lists = w.table("orders").groupBy("o_custkey").agg(F.sort_array(F.collect_list(point)).alias("points"))
+    payloads.land_payload(lists.select(F.to_json(F.struct(F.col("o_custkey").alias("customer"), "points")).alias("payload")), path)
+    landed = w.spark.read.text(path).select(F.from_json("value", "struct<customer: bigint, points: array<struct<date: string, value: bigint>>>").alias("p"))
+    rows = landed.select("p.customer", F.inline("p.points"))
+    return rows.groupBy(F.col("date").cast("int").alias("Year")).agg(F.count(F.lit(1)).alias("Points"), F.countDistinct("customer").alias("Customers"), F.sum("value").alias("Total"))
+
+
+@writing_query
+def staged_reload(w: StandIn) -> DataFrame:
+    """A staging table overwritten by a second file, truncated, and staged again: the last rows and their lineage stay."""
+    path = scratch(w.spark, "staging")
+    rows = w.table("orders").select("o_orderkey", "o_orderpriority")
+    tables.stage_overwrite(rows, path, "first.csv")
+    tables.stage_overwrite(rows.where("o_orderkey % 2 = 0"), path, "second.csv")
+    kept = w.spark.read.parquet(path).count()
+    tables.truncate(w.spark, path)
+    emptied = w.spark.read.parquet(path).count()
+    tables.stage_overwrite(rows.where("o_orderkey % 3 = 0"), path, "third.csv")
+    found = w.spark.read.parquet(path).where("Loaded_At IS NOT NULL").groupBy("Source_File").agg(F.count(F.lit(1)).alias("Staged"))
+    return found.select("Source_File", "Staged", F.lit(kept).alias("Second"), F.lit(emptied).alias("Truncated"))
+
+
+@query
+def enriched_features(w: StandIn) -> DataFrame:
+    """Embeddings as pieces of places: grouped in their order, typed, and enriched with the province's attributes."""
+    label = F.col("label")
+    pieces = w.table("embeddings").select(
+        "vec_id", F.concat(F.lit("Ñation–"), (label * 2).cast("string")).alias("shape_name"), F.array(F.array("vec_id")).alias("ring_sets")
+    )
+    matched = geography.require_match(geography.match_names(pieces, "shape_name", w.provinces, "Province_Name"), "shape_name", "Province_Code")
+    grouped = geography.group_features(matched, "Province_Code", "ring_sets", "vec_id")
+    found = geography.enrich_features(grouped, w.provinces, "Province_Code", ["Province_Name", "Region", "Economic_Zone"])
+    rings_ = F.array_join(F.transform(F.flatten("ring_sets"), lambda arc: arc.cast("string")), ",")
+    return found.select("Province_Code", "type", F.md5(rings_).alias("rings_md5"), "properties.id", "properties.Province_Name", "properties.Region", "properties.Economic_Zone")
+
+
+@query
+def catalog_columns(w: StandIn) -> DataFrame:
+    """The dimension part of an allocation catalog under its own names."""
+    names = {v: n for n, v in allocation.CATALOG_NAMES.items()}
+    catalog = w.provinces.select(*(F.col(c).alias(names[c]) for c in names), F.lit(0.5).alias("grdp_share"))
+    return allocation.catalog_dimension(catalog)
+
+
+@query
+def seeded_sectors(w: StandIn) -> DataFrame:
+    """The seeded sectors merged with what staging brings: codes by order priority, two of them known; a NULL name keeps nothing."""
+    codes = {"1-URGENT": "ENG", "2-HIGH": "TRA", "3-MEDIUM": "IPU", "4-NOT SPECIFIED": "WST", "5-LOW": "ZZZ"}
+    code = F.create_map(*(F.lit(x) for pair in codes.items() for x in pair))[F.col("o_orderpriority")]
+    names = w.table("orders").groupBy(code.alias("Sector_Code")).agg(F.min("o_orderpriority").alias("Sector_Name_EN"), F.count(F.lit(1)).cast("string").alias("Sector_Name_VI"))
+    source = names.where(F.col("Sector_Code").isNotNull()).withColumn("Sector_Category", F.lit("Staged"))
+    empty = w.spark.range(0).select(F.lit(0).cast("long").alias("Sector_Key"), *(F.lit("").alias(c) for c in (*SECTOR_COLUMNS, "Sector_Code", "Scope_Type")))
+    seeded = merge.scd1_merge(empty, generators.sector_seed(w.spark), "Sector_Code", [*SECTOR_COLUMNS, "Scope_Type"], "Sector_Key")
+    merged = merge.scd1_merge(seeded, source, "Sector_Code", SECTOR_COLUMNS, "Sector_Key")
+    return merged.where("Sector_Category = 'Staged'").drop("Sector_Key")
