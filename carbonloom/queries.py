@@ -1181,7 +1181,6 @@ def seeded_sectors(w: StandIn) -> DataFrame:
     code = F.create_map(*(F.lit(x) for pair in codes.items() for x in pair))[F.col("o_orderpriority")]
     names = w.table("orders").groupBy(code.alias("Sector_Code")).agg(F.min("o_orderpriority").alias("Sector_Name_EN"), F.count(F.lit(1)).cast("string").alias("Sector_Name_VI"))
     source = names.where(F.col("Sector_Code").isNotNull()).withColumn("Sector_Category", F.lit("Staged"))
-    empty = w.spark.range(0).select(F.lit(0).cast("long").alias("Sector_Key"), *(F.lit("").alias(c) for c in (*SECTOR_COLUMNS, "Sector_Code", "Scope_Type")))
-    seeded = merge.scd1_merge(empty, generators.sector_seed(w.spark), "Sector_Code", [*SECTOR_COLUMNS, "Scope_Type"], "Sector_Key")
+    seeded = dense_keys(generators.sector_seed(w.spark), "Sector_Code", "Sector_Key")
     merged = merge.scd1_merge(seeded, source, "Sector_Code", SECTOR_COLUMNS, "Sector_Key")
     return merged.where("Sector_Category = 'Staged'").drop("Sector_Key")
