@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -17,7 +18,11 @@ def saved(df: DataFrame) -> DataFrame:
     context = df.sparkSession.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
         context.setCheckpointDir(folder(df.sparkSession))
-    return df.checkpoint(eager=True)
+    out = df.checkpoint(eager=True)
+    # shuffle files go when the driver has dropped the plans that wrote them: rounds would else outrun its collector
+    gc.collect()
+    context._jvm.System.gc()
+    return out
 
 
 def _forests(links: DataFrame) -> DataFrame:
