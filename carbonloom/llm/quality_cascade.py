@@ -89,16 +89,29 @@ def with_repeats(df: DataFrame, words: str, out: str) -> DataFrame:
     return df.withColumn(out, F.coalesce(F.when(F.size("_p") > 0, covered), F.lit(0).cast("long"))).select(*kept, out)
 
 
-def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and the measures that are returned for every row, all as long; also _words and _lines for the rest."""
+#: Measures that the method's rules alone ask for, out of the words and lines of a row.
+_LATER = {
+    "n_lines": lambda: F.size("_lines").cast("long"),
+    "n_distinct_words": lambda: F.size(F.array_distinct("_words")).cast("long"),
+}
+
+
+def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", every: bool = False) -> DataFrame:
+    """doc_id and the measures that are returned for every row, all as long; also _words and _lines for the rest.
+
+    ``every``: those that only the method's rules read are returned, too.
+    """
     df = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text"))
     df = df.withColumn("_words", word_array(F.col("_text"))).withColumn("_lines", line_array(F.col("_text")))
+    later = {n: [make().alias(n)] if every else [] for n, make in _LATER.items()}
     df = df.select(
         "doc_id",
         F.size("_words").cast("long").alias("n_words"),
         F.length(F.array_join("_words", "")).cast("long").alias("word_chars"),
         symbol_count(F.col("_text")).alias("n_symbols"),
+        *later["n_lines"],
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
+        *later["n_distinct_words"],
         "_words",
         "_lines",
     )
@@ -207,21 +220,14 @@ def keep(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "text
     return df.select(*(F.col(new).alias(old) for old, new in names.items()))
 
 
-#: Measures that the method's rules alone ask for, out of the words and lines of a row.
-_LATER = {
-    "n_lines": lambda: F.size("_lines").cast("long"),
-    "n_distinct_words": lambda: F.size(F.array_distinct("_words")).cast("long"),
-}
-
-
-def verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: int = SAMPLE_ROWS) -> DataFrame:
+def verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: int = SAMPLE_ROWS, every: bool = False) -> DataFrame:
     """One row per document: the measures of the contract, ``base_failed`` and ``kept``.
 
-    The measures that are returned are computed for every row. Those that only the method's rules read are branches of the
-    verdict: the rules stand in the cascade's order in one CASE, whose branches after the first that holds are not
-    evaluated, and none is for a row that has failed the base rules.
+    The measures that are returned are computed for every row; with ``every`` these are all that any rule reads. Else those
+    that only the method's rules read are branches of the verdict: the rules stand in the cascade's order in one CASE, whose
+    branches after the first that holds are not evaluated, and none is for a row that has failed the base rules.
     """
-    df = measures(docs, id_col, text_col)
+    df = measures(docs, id_col, text_col, every)
     has = {c: F.col(c) for c in df.columns if not c.startswith("_") and c != "doc_id"}
     df = df.withColumn("base_failed", BASE_RULES[0].fails(has) | BASE_RULES[1].fails(has))
     verdict = F.when(F.col("base_failed"), F.lit(False))

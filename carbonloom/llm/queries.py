@@ -88,7 +88,7 @@ def op9_leak_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_cascade.verdicts(table(spark, sf_dir, "documents"))
+    return quality_cascade.verdicts(table(spark, sf_dir, "documents"), every=True)
 
 
 def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:

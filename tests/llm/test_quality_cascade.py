@@ -3,6 +3,7 @@ import re
 
 import brute
 from carbonloom.llm import quality_cascade as qc
+from carbonloom.llm import queries
 
 
 def measured(text):
@@ -53,6 +54,17 @@ def test_measures_and_verdicts(spark, docs, texts):
 RETURNED = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
+def test_every_measure_of_every_row(spark, docs, texts, tmp_path):
+    docs.select("doc_id", "text").write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r.doc_id: r.asDict() for r in queries.op10_quality_cascade(spark, str(tmp_path)).collect()}
+    for key, text in texts.items():
+        want = measured(text)
+        assert {c: found[key].get(c) for c in want} == want, key
+        assert found[key]["kept"] == kept(want)
+    failed = [found[k] for k in texts if found[k]["base_failed"]]
+    assert any(r["n_lines"] > 1 and r["n_distinct_words"] > 1 for r in failed)
+
+
 def test_repeated_rows_and_clashing_names(spark):
     ddl = "doc_id long, text string, n_words string, kept int, _text string, _words long, _lines int, base_failed string, _n int, _1 int, _at int"
     text = " ".join(f"word{i}" for i in range(30))
