@@ -19,9 +19,11 @@ import time
 import uuid
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field, replace as changed
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from ..operators.constraints import Rule, enforce_unique, fail_on_broken
 from .tables import _file_system, _read_text
@@ -69,6 +71,8 @@ class Layout:
 
 #: Cells of the curve that are dealt to partitions; rows of a cell are sorted together.
 CELL_BITS = 6
+#: Unpacked bytes of the rows that a task writes, about, and what a row takes beside its columns where it is sorted.
+TASK_BYTES, ROW_BYTES = 128 << 20, 40
 _SPREAD = ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F), (2, 0x3333333333333333), (1, 0x5555555555555555))
 
 
@@ -163,6 +167,37 @@ def read(spark: SparkSession, path: str, version: int | None = None) -> DataFram
     return read_slices(spark, path, of)
 
 
+def _dealt(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """The rows in tasks of some ``TASK_BYTES`` unpacked: small slices share one, a large one is split among several.
+
+    A writing task sorts its rows by slice. Shuffled bytes say little of what it holds then: rows that are alike are packed to
+    almost nothing, so that years of them would be dealt to one task. So slices are measured first, by their rows and the bytes
+    of their strings. A row's task follows from its values and the task it comes from, and is the same if that is run again.
+    """
+    strings = [F.coalesce(F.octet_length(f"`{c}`"), F.lit(0)) for c, kind in df.dtypes if kind in ("string", "binary")]
+    row = sum(strings, F.lit(8 * len(df.columns) + ROW_BYTES).cast("long"))
+    sizes = df.groupBy(*partition_by).agg(F.sum(row).alias("_bytes")).collect()
+    if not sizes:
+        return df
+    placed, task, filled = [], 0, 0
+    for *values, size in sorted(sizes, key=lambda r: [(v is not None, v) for v in r[:-1]]):
+        if filled and filled + size > TASK_BYTES:
+            task, filled = task + 1, 0
+        parts = max(1, -(-size // TASK_BYTES))
+        placed.append((*values, task, parts))
+        task, filled = (task, filled + size) if parts == 1 else (task + parts, 0)
+    names = [f"_slice{i}" for i in range(len(partition_by))]
+    kinds = [StructField(n, df.schema[c].dataType) for n, c in zip(names, partition_by)]
+    places = df.sparkSession.createDataFrame(placed, StructType([*kinds, StructField("_first", IntegerType()), StructField("_parts", IntegerType())]))
+    same = reduce(and_, (df[c].eqNullSafe(places[n]) for n, c in zip(names, partition_by)))
+    hashed = F.xxhash64(F.lit(0), *(df[c] for c, kind in df.dtypes if not kind.startswith(("array", "map", "struct", "variant"))))
+    # a row of a slice that was not there when they were measured still has a task
+    first, parts = F.coalesce("_first", F.lit(0)), F.coalesce("_parts", F.lit(1))
+    at = (first + F.pmod(hashed % parts + F.spark_partition_id(), parts)).cast("int")
+    rows = df.join(F.broadcast(places), same, "left").select(*(df[c] for c in df.columns), at.alias("_task"))
+    return rows.repartitionById(max(first + parts for *_, first, parts in placed), F.col("_task")).drop("_task")
+
+
 def _write(df: DataFrame, path: str, partition_by: Sequence[str], layout: Layout) -> tuple[str, list[str]]:
     """Writes the rows as a new load, one folder per slice; its id and its slices."""
     spark, load = df.sparkSession, uuid.uuid4().hex
@@ -173,7 +208,7 @@ def _write(df: DataFrame, path: str, partition_by: Sequence[str], layout: Layout
         placed = df.withColumn("_at", at).withColumn("_cell", F.shiftright("_at", 32 - CELL_BITS))
         rows = placed.hint("rebalance", *partition_by, "_cell").sortWithinPartitions(*partition_by, "_at").drop("_at", "_cell")
     else:
-        rows = df.hint("rebalance", *partition_by)
+        rows = _dealt(df, partition_by)
     writer = rows.write.partitionBy(*partition_by).option("parquet.block.size", layout.row_group)
     for column in layout.bloom:
         writer = writer.option(f"parquet.bloom.filter.enabled#{column}", True).option(f"parquet.bloom.filter.expected.ndv#{column}", layout.bloom_values)

@@ -198,3 +198,17 @@ def test_curve_is_the_interleaved_bits(spark):
         assert r["at"] == want
     outside = spark.createDataFrame([(-5, 99), (None, 7)], "a int, b int").select(at.alias("at")).collect()
     assert [r["at"] for r in outside] == [sum(1 << (2 * i) for i in range(4)) << 24, sum((7 >> i & 1) << (2 * i) for i in range(4)) << 24]
+
+
+def test_rows_that_are_alike_are_dealt_by_what_they_take_unpacked(spark, tmp_path, monkeypatch):
+    """They pack to almost nothing, but the task that writes them sorts them all."""
+    monkeypatch.setattr(snapshots, "TASK_BYTES", 10_000 * (2 * 8 + 40 + 4), raising=False)
+    year = F.when(F.col("id") < 40_000, 2024).when(F.col("id") < 40_010, 2023).when(F.col("id") < 40_020, 2022)
+    alike = spark.range(0, 40_030, 1, 8).select(year.cast("int").alias("Date_Key"), F.lit("same").alias("v"))
+    for df in (alike, alike.where("Date_Key < 0")):
+        path = str(tmp_path / f"fact{df.isEmpty()}")
+        snapshots.replace(df, path, ["Date_Key"], ["Date_Key=2022", "Date_Key=2023", "Date_Key=2024", "Date_Key=__HIVE_DEFAULT_PARTITION__"])
+        assert snapshots.read(spark, path).groupBy("Date_Key").count().exceptAll(df.groupBy("Date_Key").count()).isEmpty()
+    of_year = {y: [pq.read_metadata(f).num_rows for f in glob.glob(f"{tmp_path}/factFalse/data/*/Date_Key={y}/*.parquet")] for y in (2022, 2023, 2024)}
+    assert sum(of_year[2024]) == 40_000 and max(of_year[2024]) <= 15_000
+    assert of_year[2022] == of_year[2023] == [10]
