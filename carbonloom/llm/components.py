@@ -192,11 +192,21 @@ def _with_sketches(now: DataFrame, sketches: DataFrame) -> tuple[DataFrame, list
 
 
 def _hub_pairs(now: DataFrame, sketches: DataFrame, percent: int, near, turn: int) -> DataFrame:
-    """Pairs of every node with the hubs of its keys."""
+    """Pairs of every node with the hubs of its keys. A node meets a hub once, however many keys they share: a posting takes its
+    key's hubs along in one row, and bitmaps are compared for the distinct hubs of a node."""
     first = F.row_number().over(Window.partitionBy("key").orderBy(F.xxhash64("node", F.lit(turn)), "node"))
-    hubs = now.withColumn("_place", first).where(F.col("_place") <= HUBS).drop("_place")
-    (rows, _), (hubs, kept) = _with_sketches(now, sketches), _with_sketches(hubs, sketches)
-    pairs = rows.join(hubs.select("key", *(F.col(c).alias(f"{c}_b") for c in kept)), "key").where(_room(percent, near))
+    hub = F.struct(*(c for c in now.columns if c not in ("key", "_group")))
+    hubs = now.withColumn("_place", first).where(F.col("_place") <= HUBS).groupBy("key").agg(F.collect_list(hub).alias("hubs"))
+
+    def open_(x: Column) -> Column:
+        apart = F.col("comp") != x["comp"]
+        return apart if near is None else apart & near(F.col, lambda c: x[c])
+
+    met = now.join(hubs, "key").select("node", F.transform(F.filter("hubs", open_), lambda x: x["node"]).alias("hubs"))
+    met = met.where(F.size("hubs") > 0).groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("hubs"))).alias("hubs"))
+    rows = met.join(sketches, "node").withColumn("node_b", F.explode("hubs")).drop("hubs")
+    other = sketches.toDF(*(f"{c}_b" for c in sketches.columns))
+    pairs = rows.join(other, "node_b").where(may_share(percent, F.col, lambda c: F.col(f"{c}_b")))
     return pairs.select(F.least("node", "node_b").alias("a"), F.greatest("node", "node_b").alias("b")).distinct()
 
 

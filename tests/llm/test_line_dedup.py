@@ -85,3 +85,28 @@ def test_bitmaps_bound_what_sets_share(spark):
             alike += i != j and 100 * len(s & t) >= 75 * len(s | t)
             assert (i, j) in kept or 100 * len(s & t) < 75 * len(s | t)
     assert alike > 20 and len(kept) < 0.9 * 4 * len(lines)
+
+
+def _join_rows(plan):
+    """Rows out of every join of a plan that has run without adaptive execution."""
+    own = [plan.metrics().apply("numOutputRows").value()] if "Join" in plan.nodeName() else []
+    children = plan.children()
+    return own + [n for i in range(children.size()) for n in _join_rows(children.apply(i))]
+
+
+def test_a_hub_is_met_once_however_many_keys_are_shared(spark):
+    nodes, keys = 40, 30
+    postings = spark.range(keys).withColumnRenamed("id", "key").crossJoin(spark.range(nodes).withColumnRenamed("id", "node"))
+    now = postings.select("key", "node", F.col("node").alias("comp"), F.lit(nodes).alias("_group"), F.lit(50).alias("size"))
+    words = F.array(*[F.lit(7).cast("long")] * components.WORDS)
+    sketches = spark.range(nodes).select(F.col("id").alias("node"), F.lit(60).alias("size"), F.lit(0).alias("spare"), words.alias("words"))
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        pairs = components._hub_pairs(now, components.sketch(sketches, "size", "spare", "words"), 75, lambda x, y: x("size") == y("size"), 1)
+        found = {(r.a, r.b) for r in pairs.collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    hubs = {x for x in range(nodes) if sum(x in p for p in found) == nodes - 1}
+    assert len(hubs) == components.HUBS and found == {(a, b) for b in range(nodes) for a in range(b) if {a, b} & hubs}
+    assert max(_join_rows(pairs._jdf.queryExecution().executedPlan())) <= nodes * keys
