@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -10,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from carbonloom.llm.shared import folder
+from carbonloom.llm.shared import folder, let_go
 
 
 def saved(df: DataFrame) -> DataFrame:
@@ -19,9 +18,7 @@ def saved(df: DataFrame) -> DataFrame:
     if context._jsc.sc().getCheckpointDir().isEmpty():
         context.setCheckpointDir(folder(df.sparkSession))
     out = df.checkpoint(eager=True)
-    # shuffle files go when the driver has dropped the plans that wrote them: rounds would else outrun its collector
-    gc.collect()
-    context._jvm.System.gc()
+    let_go(df.sparkSession)  # rounds would else outrun the driver's collector
     return out
 
 

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from carbonloom.llm import chunks as ch
 from carbonloom.llm import hashing as hs
-from carbonloom.llm.components import saved
+from carbonloom.llm.shared import let_go, stored
 
 CUTOFF = 5
 START, END = (hs.mix(np.array([x], np.uint64))[0] for x in (0x53544152, 0x454E44))
@@ -173,7 +173,7 @@ def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
         t = Tokens(texts)
         return _asked(WORDS, buckets, t.words, t.word_counts) + _asked(PAIRS, buckets, t.pairs, t.pair_counts)
 
-    counts = saved(ch.answer(ch.ask(packed, count_question, _ASK), _count, _REPLY))
+    counts = stored(ch.answer(ch.ask(packed, count_question, _ASK), _count, _REPLY), "counts")
     totals = {
         r.kind: [r[f"s{i}"] for i in range(CUTOFF + 3)]
         for r in counts.where("stats IS NOT NULL")
@@ -181,6 +181,8 @@ def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
         .agg(*(F.sum(F.col("stats")[i]).alias(f"s{i}") for i in range(CUTOFF + 3)))
         .collect()
     }
+    # the plan that wrote the counts is gone by now; one of ``checkpoint`` would live on with its table
+    let_go(docs.sparkSession)
     none = [0] * (CUTOFF + 3)
     model = Model(totals.get(WORDS, none), totals.get(PAIRS, none))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -20,6 +21,12 @@ def folder(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="carbonloom-")
 
 
+def let_go(spark: SparkSession) -> None:
+    """Shuffle files go when the driver has dropped the plans that wrote them; its collector is asked, as it may not run for long."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet and read again: what follows starts from the files, also when executors are lost."""
     path = f"{folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"

@@ -1,6 +1,7 @@
 import collections
 import math
 import re
+import time
 import zlib
 
 import brute
@@ -74,3 +75,18 @@ def test_better_than_the_base_on_held_out_texts(spark):
     held = katz.score(docs, train()).join(docs.where(~train()).select("doc_id"), "doc_id")
     r = held.agg(F.sum("score").alias("s"), F.sum("base_score").alias("b")).first()
     assert r.s > 0.9 * r.b  # both are negative
+
+
+def test_the_first_pass_leaves_no_shuffle_files(spark, docs):
+    shuffles = spark.sparkContext._jsc.sc().env().mapOutputTracker().shuffleStatuses()
+
+    def known():
+        return set(re.findall(r"(\d+) ->", shuffles.keySet().mkString("", " -> ", " -> ")))
+
+    before = known()
+    found = katz.score(docs, train())  # the counts are kept in files: of the texts' and questions' shuffles nothing is read again
+    until = time.time() + 10
+    while len(known() - before) > 1 and time.time() < until:
+        time.sleep(0.2)
+    assert len(known() - before) <= 1  # the one of the totals
+    assert found.count() == docs.count()
