@@ -21,7 +21,6 @@ are never read as inputs of a score.
 from __future__ import annotations
 
 import math
-from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
@@ -33,14 +32,16 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from carbonloom.llm import hashing as hs
+
 MAX_EXAMPLES = 6_000
 HALF_CHI2 = 30.0
 PREFIXES = (4, 6)
 REST = 0.02
 BLOCK = 64
 K = 15
-#: Texts that are worked on together.
-BATCH = 256
+#: Texts that are worked on together, and those whose postings are.
+BATCH, FEW = 256, 32
 
 _TABLE = bytes(
     b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else b + 32 if 0x41 <= b <= 0x5A else 0x20 for b in range(256)
@@ -61,62 +62,87 @@ def _ranges(begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     return np.arange(int(size.sum())) + np.repeat(begin - (np.cumsum(size) - size), size)
 
 
-class _Words(dict):
-    """Numbers of the words met, and the places of each one's terms one after the other."""
-
-    def __init__(self, terms: dict[bytes, int]):
-        super().__init__()
-        self.terms, self.flat, self.begin = terms, array("q"), array("q", [0])
-
-    def __missing__(self, word: bytes) -> int:
-        self.flat.extend(self.terms[t] for t in terms_of(word) if t in self.terms)
-        self.begin.append(len(self.flat))
-        self[word] = number = len(self)
-        return number
+#: Bytes of words.
+_INSIDE = np.frombuffer(_TABLE, np.uint8) != 0x20
 
 
 class Vocabulary:
-    """Places of the indexed terms; remembers the places of the words it has met, about ``SEEN`` at most."""
-
-    SEEN = 500_000
+    """Places of the indexed terms; the texts' words are told apart by 64-bit hashes of their bytes."""
 
     def __init__(self, terms: pa.Array):
         self.list = terms
+        data, offsets = hs.buffers(terms)
+        prefix = np.zeros(len(terms), bool)
+        some = np.flatnonzero(np.diff(offsets))
+        prefix[some] = data[offsets[some]] == ord("^")
+        self.hashes = np.zeros(len(terms), np.uint64)
+        for a, b in hs.pieces(offsets):
+            begin, end = offsets[a:b] + prefix[a:b] - offsets[a], offsets[a + 1 : b + 1] - offsets[a]
+            own = hs.Running(data[offsets[a] : offsets[b]]).of(begin, end)
+            self.hashes[a:b] = np.where(prefix[a:b], _of_prefix(own), own)
 
-    def __reduce__(self):
-        return (Vocabulary, (self.list,))
+    def __getstate__(self) -> dict:
+        """Where texts are read, only hashes are asked."""
+        return {"list": None, "hashes": self.hashes}
 
     def __len__(self) -> int:
-        return len(self.list)
+        return len(self.hashes)
 
     @cached_property
     def terms(self) -> dict[bytes, int]:
-        """Made where texts are read only."""
         return {t: i for i, t in enumerate(self.list.to_pylist())}
 
     @cached_property
-    def seen(self) -> _Words:
-        return _Words(self.terms)
-
-    def counts(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def _sorted(self) -> tuple[np.uint64, np.ndarray, np.ndarray, np.ndarray]:
+        """How far a hash is shifted for its slot, where each slot's hashes begin, all hashes in order, and their places."""
+        bits = max(len(self) * 4, 2).bit_length()
+        shift, order = np.uint64(64 - bits), np.argsort(self.hashes)
+        hashes = self.hashes[order]
+        return shift, np.searchsorted(hashes >> shift, np.arange((1 << bits) + 1, dtype=np.uint64)).astype(np.int32), hashes, order
+
+    def _find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the hashes are of terms, and the terms' places."""
+        shift, begin, known, place = self._sorted
+        slot = (hashes >> shift).astype(np.int64)
+        at, end = begin[slot], begin[slot + 1]
+        left, which, found = np.flatnonzero(at < end), [], []
+        while len(left):  # few hashes share a slot
+            hit = known[at[left]] == hashes[left]
+            which.append(left[hit])
+            found.append(place[at[left[hit]]])
+            left = left[~hit]
+            at[left] += 1
+            left = left[at[left] < end[left]]
+        none = [np.zeros(0, np.int64)]
+        return np.concatenate(which or none), np.concatenate(found or none)
+
+    def counts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Number of the text, place and occurrences of every term of every text, in this order."""
-        if len(self.seen) >= self.SEEN:
-            self.seen = _Words(self.terms)
-        number = self.seen.__getitem__
-        own = [list(map(number, tokens(t))) for t in texts]
-        text = np.repeat(np.arange(len(own)), [len(x) for x in own])
-        word = np.concatenate([np.array(x, np.int64) for x in own]) if own else np.zeros(0, np.int64)
-        key, n = np.unique(text << 32 | word, return_counts=True)
-        text, word = key >> 32, key & 0xFFFFFFFF
-        begin = np.frombuffer(self.seen.begin, np.int64)
-        flat = np.frombuffer(self.seen.flat, np.int64) if self.seen.flat else np.zeros(0, np.int64)
-        size = begin[word + 1] - begin[word]
-        place = flat[_ranges(begin[word], begin[word + 1])]
-        key, at = np.unique(np.repeat(text, size) << 32 | place, return_inverse=True)
-        return key >> 32, key & 0xFFFFFFFF, np.bincount(at, np.repeat(n, size), len(key)).astype(np.int64)
-
-
-def vectors_of(texts: list[str | None], terms: Vocabulary, weight: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        data, offsets = hs.buffers(texts)
+        keys, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for a, b in hs.pieces(offsets):
+            part, own = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
+            start, end, first = hs.stretches(_INSIDE[part], own)
+            text = np.repeat(np.arange(a, b) << 32, np.diff(first))
+            running, met = hs.Running(part, fold=True), []
+            for n in (None, *PREFIXES):
+                some = slice(None) if n is None else np.flatnonzero(end - start > n)
+                hashes = running.of(start[some], end[some]) if n is None else _of_prefix(running.of(start[some], start[some] + n))
+                which, place = self._find(hashes)
+                met.append(text[some][which] | place)
+            key, n = np.unique(np.concatenate(met), return_counts=True)
+            keys.append(key)
+            counts.append(n)
+        key = np.concatenate(keys)
+        return key >> 32, key & 0xFFFFFFFF, np.concatenate(counts)
+
+
+def _of_prefix(hashes: np.ndarray) -> np.ndarray:
+    """Of a prefix' bytes to the term's: the word of the same bytes has another."""
+    return hs.mix(hashes ^ np.uint64(0x707265666978))
+
+
+def vectors_of(texts: pa.Array, terms: Vocabulary, weight: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
     """Places of each text and their weights (count times the term's), of length 1; nothing for a text without an indexed term."""
     text, place, n = terms.counts(texts)
     weights = n * weight[place]
@@ -130,7 +156,7 @@ class BlockMaxIndex:
     """Postings of each term in order of example, and each term's greatest weight per block.
 
     The terms of most examples are kept as rows of a matrix, so that a batch of texts meets a block in one product.
-    Products are of 32 bits: what comes within ``SLACK`` of the k-th is computed again from the postings' 64 bits.
+    Products are of 32 bits: what comes within ``SLACK`` of the k-th is computed again in 64 bits.
     """
 
     #: Terms in the matrix at most, and the part of the examples that such a term has at least.
@@ -168,6 +194,9 @@ class BlockMaxIndex:
         self.hot = np.zeros((len(hot), self.blocks * self.block), np.float32)
         self.hot[row[some], example[some]] = weight[some]
         self.greatest = self.hot.reshape(len(hot), self.blocks, self.block).max(2)
+        # the examples' part of the matrix again, in 64 bits
+        self.hot_row, self.hot_weight = row[some].astype(np.int16), weight[some]
+        self.hot_begin = np.concatenate(([0], np.cumsum(np.bincount(example[some], minlength=self.n))))
         term, example, weight = term[~some], example[~some], weight[~some]
         order = np.argsort(term, kind="stable")
         self.example, self.weight = example[order], weight[order]
@@ -190,14 +219,23 @@ class BlockMaxIndex:
         weight = np.concatenate([w for _, w in texts])
         row = self.row[place]
         some = row >= 0
-        asked = np.zeros((m, len(self.hot)), np.float32)
-        asked[text[some], row[some]] = weight[some]
+        exact = np.zeros((m, len(self.hot)))
+        exact[text[some], row[some]] = weight[some]
+        asked = exact.astype(np.float32)
         # the rarer terms' part of every cosine
         text, place, weight = text[~some], place[~some], weight[~some]
-        begin, end = self.begin[place], self.begin[place + 1]
-        at, size = _ranges(begin, end), end - begin
-        cosine = np.bincount(np.repeat(text * width, size) + self.example[at], np.repeat(weight, size) * self.weight[at], m * width)
-        cosine = cosine.astype(np.float32).reshape(m, width)
+        rare = np.empty((m, width))
+        for first in range(0, m, FEW):
+            part = slice(*np.searchsorted(text, (first, first + FEW)))
+            begin, end = self.begin[place[part]], self.begin[place[part] + 1]
+            at, size = _ranges(begin, end), end - begin
+            own = rare[first : first + FEW]
+            to = np.repeat((text[part] - first) * width, size)
+            to += self.example[at]
+            value = np.repeat(weight[part], size)
+            value *= self.weight[at]
+            own[:] = np.bincount(to, value, own.size).reshape(own.shape)
+        cosine = rare.astype(np.float32)
         bound = asked @ self.greatest + cosine.reshape(m, self.blocks, self.block).max(2)
         done = np.zeros((m, self.blocks), bool)
         left_out = [(i, x) for i, x in enumerate(but or []) if 0 <= x < self.n]
@@ -223,17 +261,14 @@ class BlockMaxIndex:
         found = meet(first & (bound > 0))
         found = meet(~done & (bound > 0) & (bound >= kth(found)[:, None] - self.SLACK))
         near = (found > 0) & (found >= kth(found)[:, None] - self.SLACK)
-        out, full = [], np.zeros(self.n_terms)
-        for i, (places, weights) in enumerate(texts):
+        out = []
+        for i in range(m):
             best = np.flatnonzero(near[i])
-            if not len(best):
-                out.append((best, np.zeros(0)))
-                continue
-            full[places] = weights
-            begin, end = self.own_begin[best], self.own_begin[best + 1]
-            at, size = _ranges(begin, end), end - begin
-            cosines = np.add.reduceat(full[self.own_term[at]] * self.own_weight[at], np.cumsum(size) - size)
-            full[places] = 0
+            begin, size = self.hot_begin[best], self.hot_begin[best + 1] - self.hot_begin[best]
+            at = _ranges(begin, begin + size)
+            value = exact[i].take(self.hot_row[at])
+            value *= self.hot_weight[at]
+            cosines = rare[i, best] + np.bincount(np.repeat(np.arange(len(best)), size), value, len(best))
             order = np.lexsort((best, -cosines))[:k]
             out.append((best[order], cosines[order]))
         return out
@@ -257,10 +292,10 @@ class Model:
         weights = 1 / (np.maximum(1 - cosines, 0) + 0.1)
         return float((weights @ self.labels[near] + self.rate) / (weights.sum() + 1))
 
-    def scores(self, texts: list[str | None]) -> list[tuple[float, np.ndarray, np.ndarray]]:
+    def scores(self, texts: pa.Array) -> list[tuple[float, np.ndarray, np.ndarray]]:
         out = []
         for a in range(0, len(texts), BATCH):
-            for near, cosines in self.index.nearest_of(vectors_of(texts[a : a + BATCH], self.terms, self.weight), self.k):
+            for near, cosines in self.index.nearest_of(vectors_of(texts.slice(a, BATCH), self.terms, self.weight), self.k):
                 p = _logistic(self.slope * _logit(self.votes(near, cosines)) + self.shift) if len(near) else self.none_rate
                 out.append((p, near, cosines))
         return out
@@ -353,19 +388,18 @@ def fit(
         terms, chi2 = Vocabulary(found["word"].take(order).combine_chunks()), chi2[order.to_numpy()]
         del found, a, b, c, d, below, order
 
-        def frequencies(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             counts = np.zeros(len(terms) + 1, np.int64)
-            for frame in frames:
-                texts = frame["text"].tolist()
-                for at in range(0, len(texts), BATCH):
-                    counts[:-1] += np.bincount(terms.counts(texts[at : at + BATCH])[1], minlength=len(terms))
-                counts[-1] += len(frame)
+            for batch in batches:
+                for at in range(0, len(batch), BATCH):
+                    counts[:-1] += np.bincount(terms.counts(batch.column(0).slice(at, BATCH))[1], minlength=len(terms))
+                counts[-1] += len(batch)
             some = np.flatnonzero(counts)
-            yield pd.DataFrame({"term": some, "n": counts[some]})
+            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(counts[some])], names=["term", "n"])
 
         known = np.zeros(len(terms) + 1, np.int64)
         if len(terms):
-            total = corpus.select(F.col(text_col).alias("text")).mapInPandas(frequencies, "term long, n long")
+            total = corpus.select(F.col(text_col).alias("text")).mapInArrow(frequencies, "term long, n long")
             total = total.groupBy("term").agg(F.sum("n").alias("n")).toArrow()
             known[total["term"].to_numpy()] = total["n"].to_numpy()
         idf = np.log((1 + known[-1]) / (1 + known[:-1])) + 1
@@ -373,7 +407,7 @@ def fit(
 
         def counted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for frame in frames:
-                found = vectors_of(frame["text"].tolist(), terms, weight)
+                found = vectors_of(pa.array(frame["text"], pa.string()), terms, weight)
                 yield pd.DataFrame(
                     {"h": frame["_h"], "n": frame["_n"], "id": frame["id"], "label": frame["label"], "places": [p.astype(np.int32).tobytes() for p, _ in found], "weights": [w.tobytes() for _, w in found]}
                 )
@@ -425,7 +459,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in batches:
-            found = m.scores(batch.column(1).to_pylist())
+            found = m.scores(batch.column(1))
             near = [
                 [{"example": str(m.example_ids[i]), "cosine": float(c), "label": int(m.labels[i])} for i, c in zip(a[:evidence], b[:evidence])]
                 for _, a, b in found

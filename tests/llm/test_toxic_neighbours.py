@@ -1,6 +1,9 @@
+import collections
+import pickle
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from carbonloom.llm import toxic_neighbours as tn
 
@@ -102,3 +105,35 @@ def test_a_text_stored_several_times_is_one_example(spark):
     assert model.index.n <= 20 and len(set(model.example_ids)) >= 19
     every = tn.fit(docs, labels, max_examples=100)
     assert every.index.n == 21
+
+
+def test_terms_are_found_by_hash_in_the_tasks(texts, monkeypatch):
+    monkeypatch.setattr(tn.hs, "PIECE", 2000)  # several pieces, and texts longer than one
+    monkeypatch.setattr(tn.hs.pieces, "__defaults__", (2000,))
+    some = [*texts.values(), "abcd abcde abcdefg", "ABCD ^abcd", "a" * 4 + " " + "a" * 6 + " " + "a" * 7, None]
+    every = [[t for w in tn.tokens(text) for t in tn.terms_of(w)] for text in some]
+    terms = sorted({t for own in every for t in own})[::2]  # every other term is not in the index
+    sent = pickle.loads(pickle.dumps(tn.Vocabulary(pa.array(terms, pa.binary()))))
+    assert sent.list is None and len(sent) == len(terms)  # hashes alone are sent
+    text, place, n = sent.counts(pa.chunked_array([["left out"], some]).combine_chunks().slice(1))
+    got = collections.defaultdict(dict)
+    for a, b, c in zip(text.tolist(), place.tolist(), n.tolist()):
+        got[a][terms[b]] = c
+    known = set(terms)
+    assert [got[i] for i in range(len(some))] == [collections.Counter(t for t in own if t in known) for own in every]
+    assert list(zip(text, place)) == sorted(zip(text, place))
+    assert len(tn.Vocabulary(pa.array([], pa.binary())).counts(pa.array(some))[0]) == 0
+
+
+def test_frequent_and_rare_terms_together():
+    rng = np.random.default_rng(5)
+    chance = np.minimum(5 / np.arange(1, 3001), 0.6)  # a few terms in most examples, most in one or two
+    dense = rng.random((900, 3000)) * (rng.random((900, 3000)) < chance)
+    dense /= np.maximum(np.linalg.norm(dense, axis=1, keepdims=True), 1e-12)
+    vectors = [(np.flatnonzero(v), v[v > 0]) for v in dense]
+    index = tn.BlockMaxIndex(vectors, 3000)
+    for (near, cosines), q in zip(index.nearest_of(vectors[:100], 15), dense):
+        every = dense @ q
+        assert cosines == pytest.approx(np.sort(every)[::-1][:15], abs=1e-12)
+        assert cosines == pytest.approx(every[near], abs=1e-12)
+    assert 0 < len(index.hot) < 3000
