@@ -139,14 +139,18 @@ def linked_groups(
     now, comps, links = postings.withColumn("comp", F.col("node")), None, None
     for turn in range(ROUNDS + 1):
         if turn:
-            named = postings.join(comps, "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component")
-            # keys of the same nodes are one key: with its least values, ``near`` lets no less through
-            same = (F.bit_xor(F.xxhash64("node", F.lit(seed))) for seed in (1, 2))
-            keys = named.groupBy("key").agg(
-                F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("_group"), F.xxhash64(*same, F.count("*")).alias("_set")
-            )
-            now = named.join(keys.where("x <> y").select("key", "_group", "_set"), "key")
-            now = now.groupBy(F.col("_set").alias("key"), "node", "comp", "_group").agg(*(F.min(c).alias(c) for c in more))
+            # a key that is done stays done, and after the first time those of the same nodes are one
+            rows = postings if turn == 1 else now.drop("comp")
+            named = rows.join(comps, "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component")
+            ends = [F.min("comp").alias("x"), F.max("comp").alias("y")]
+            if turn == 1:
+                # keys of the same nodes are one key: with its least values, ``near`` lets no less through
+                same = (F.bit_xor(F.xxhash64("node", F.lit(seed))) for seed in (1, 2))
+                keys = named.groupBy("key").agg(*ends, F.count("*").alias("_group"), F.xxhash64(*same, F.count("*")).alias("_set"))
+                now = named.join(keys.where("x <> y").select("key", "_group", "_set"), "key")
+                now = now.groupBy(F.col("_set").alias("key"), "node", "comp", "_group").agg(*(F.min(c).alias(c) for c in more))
+            else:
+                now = named.join(named.groupBy("key").agg(*ends).where("x <> y").select("key"), "key")
             now = saved(now)
             total = now.agg(F.count("*").alias("n"), F.sum("_group").alias("pairs")).first()
             if not total.n:

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from carbonloom.llm import chunks as ch
 from carbonloom.llm import hashing as hs
-from carbonloom.llm.components import bitmaps, linked_groups, sketch
+from carbonloom.llm.components import WORDS, bitmaps, linked_groups, sketch
 from carbonloom.llm.shared import stored
 
 SHINGLE = 5
@@ -114,24 +114,33 @@ def _least(hashes: np.ndarray, owner: np.ndarray, begin: np.ndarray, bins: int)
     seeds = hs.mix(np.arange(1, bins + 1, dtype=np.uint64))
     if some.any():
         own, first = hashes[some], ch.runs(owner[some])
+        anew = np.empty_like(own)
         for k in range(bins):
             # one multiplication by an odd number and the high half: enough to order the same hashes anew
-            out[few, k] = np.minimum.reduceat(((own ^ seeds[k]) * (seeds[k] | np.uint64(1))) >> _BITS, first)
+            np.bitwise_xor(own, seeds[k], out=anew)
+            np.multiply(anew, seeds[k] | np.uint64(1), out=anew)
+            out[few, k] = np.minimum.reduceat(anew, first) >> _BITS
     if not few.all():
-        own, of = hashes[~some], (np.cumsum(~few) - 1)[owner[~some]]
+        own, of = (hashes[~some], owner[~some]) if few.any() else (hashes, owner)
         least = np.full(int((~few).sum()) * bins, _LOW, np.uint32)
-        np.minimum.at(least, of * bins + (((own >> _BITS) * np.uint64(bins)) >> _BITS).astype(np.int64), own.astype(np.uint32))
-        least = least.reshape(-1, bins)
+        to = own >> _BITS
+        to *= np.uint64(bins)
+        to >>= _BITS
+        to += (((np.cumsum(~few) - 1) * bins).astype(np.uint64))[of]
+        np.minimum.at(least, to.view(np.int64), own.astype(np.uint32))
         # an empty bin takes the value of the first filled one of a sequence that is random, and its own
-        row, column = np.nonzero(least == _LOW)
-        filled, source = least != _LOW, least.copy()
+        empty, source = np.flatnonzero(least == _LOW), least.copy()
+        column = empty % bins
+        begin = empty - column
         for turn in range(8 * bins):
-            if not len(row):
+            if not len(empty):
                 break
             pick = (hs.mix(np.arange(bins, dtype=np.uint64) + np.uint64(1000 * (turn + 1))) % np.uint64(bins)).astype(np.int64)
-            take = filled[row, pick[column]]
-            least[row[take], column[take]] = source[row[take], pick[column[take]]]
-            row, column = row[~take], column[~take]
+            value = source.take(begin + pick.take(column))
+            left = value == _LOW
+            least[empty] = value  # what is empty still is met again
+            empty, column, begin = empty[left], column[left], begin[left]
+        least = least.reshape(-1, bins)
         out[~few] = least
     return out
 
@@ -160,20 +169,19 @@ def shingle_set(line: bytes) -> frozenset[str]:
 
 def _sketches(lines: list[bytes]) -> tuple[list[int], list[int], list[list[int]]]:
     """Number of distinct shingles, of those hidden in the bitmap, and the bitmap of each line."""
-    sizes: list[int] = []
-    spare: list[int] = []
-    words: list[list[int]] = []
+    sizes, spare = np.zeros(len(lines), np.int32), np.zeros(len(lines), np.int32)
+    words = np.zeros((len(lines), WORDS), np.int64)
     for a, b in _pieces(lines):
         hashes, owner, _ = _hashes(lines[a:b])
-        order = np.lexsort((hashes, owner))
-        hashes, owner = hashes[order], owner[order]
-        new = np.ones(len(owner), bool)
-        new[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
-        sizes += np.bincount(owner[new], minlength=b - a).tolist()
-        bits, hidden = bitmaps(hashes[new], owner[new], b - a)
-        words += bits.tolist()
-        spare += hidden.tolist()
-    return sizes, spare, words
+        # a shingle is the line's number before the first bits of its hash: one sort finds a line's distinct ones
+        low = np.uint64((b - a).bit_length())
+        keys = owner.astype(np.uint64) << (np.uint64(64) - low) | hashes >> low
+        keys.sort()
+        keys = keys[ch.runs(keys)]
+        owner = (keys >> (np.uint64(64) - low)).astype(np.int64)
+        sizes[a:b] = np.bincount(owner, minlength=b - a)
+        words[a:b], spare[a:b] = bitmaps(keys << low, owner, b - a)
+    return sizes.tolist(), spare.tolist(), words.tolist()
 
 
 def _shared_bands(blocks: list[dict]) -> list[tuple]:
@@ -212,8 +220,13 @@ def _question(buckets: int):
         bands = signatures([t.bare[i] for i in some])
         keys = (bands >> cut).reshape(-1)
         tags = (hs.mix(t.node[some].view(np.uint64)[:, None] + bands) >> np.uint64(48)).astype(np.uint16).reshape(-1)
-        order = np.argsort(keys, kind="stable")
-        keys = keys[order]
+        places = np.uint64(len(keys).bit_length())
+        if places <= cut:  # a key and its place are one number: sorting it is faster than sorting places
+            both = np.sort(keys << places | np.arange(len(keys), dtype=np.uint64))
+            order, keys = (both & ((np.uint64(1) << places) - np.uint64(1))).astype(np.int64), both >> places
+        else:
+            order = np.argsort(keys, kind="stable")
+            keys = keys[order]
         cuts = ch.bucket_cuts(keys << cut, buckets)
         return [
             (i, ch.put_keys(keys[a:b]), ch.put((order[a:b] // BANDS).astype(np.int32)), ch.put(tags[order[a:b]]))
@@ -249,15 +262,16 @@ def dedup(
         t = Lines(texts)
         names, first, number = np.unique(t.node, return_index=True, return_counts=True)
         some = np.sort(first)
-        of_line: dict[int, list[int]] = {}
-        for r in replies.to_pylist():
-            for key, line in zip(r["keys"], r["numbers"]):
-                of_line.setdefault(line, []).append(key)
-        lines = [t.bare[some[i]] for i in of_line]
-        none = [None] * 5
-        rows = [(int(t.node[some[i]]), x, keys, *of, *none) for (i, keys), x, *of in zip(of_line.items(), lines, *_sketches(lines))]
-        rows.append((*[None] * 6, ch.chunk_of(texts), names.tolist(), t.doc[first].tolist(), t.at[first].tolist(), number.tolist()))
-        return ch.table(rows, form)
+        keys, lines = (np.concatenate([x.flatten().to_numpy(), zero]) for x, zero in ((c.combine_chunks(), np.zeros(0, np.int64)) for c in (replies["keys"], replies["numbers"])))
+        order = np.argsort(lines, kind="stable")
+        begin = ch.runs(lines[order])
+        asked = lines[order[begin]].astype(np.int64)
+        bare = [t.bare[some[i]] for i in asked]
+        of_line = pa.ListArray.from_arrays(pa.array(np.append(begin, len(order)), pa.int32()), pa.array(keys[order]))
+        found = [pa.array(x, f.type) for x, f in zip((t.node[some[asked]], bare, of_line, *_sketches(bare)), form)]
+        own = [[None] * 6 + [ch.chunk_of(texts), names.tolist(), t.doc[first].tolist(), t.at[first].tolist(), number.tolist()]]
+        none = [pa.nulls(len(asked), kind) for kind in form.types[len(found) :]]
+        return pa.concat_tables([pa.Table.from_arrays(found + none, schema=form), ch.table(own, form)])
 
     form = ch.kinds(_LINE)
     both = stored(ch.meet(packed, shared, lines_of, _LINE), "lines")

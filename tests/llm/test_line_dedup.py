@@ -110,3 +110,23 @@ def test_a_hub_is_met_once_however_many_keys_are_shared(spark):
     hubs = {x for x in range(nodes) if sum(x in p for p in found) == nodes - 1}
     assert len(hubs) == components.HUBS and found == {(a, b) for b in range(nodes) for a in range(b) if {a, b} & hubs}
     assert max(_join_rows(pairs._jdf.queryExecution().executedPlan())) <= nodes * keys
+
+
+def test_rounds_after_the_first_two_read_open_keys_only(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(len(batch))
+            yield batch
+
+    # nodes of a key are alike, but for a few keys of ten kinds each
+    rows = [(key, 10 * key + i) for key in range(300) for i in range(4)] + [(1000 + key, 10 * i + 5) for key in range(5) for i in range(10)]
+    postings = spark.createDataFrame([(k, n, 10) for k, n in rows], "key long, node long, size int").mapInArrow(counted, "key long, node long, size int")
+    nodes = spark.createDataFrame([(n,) for n in {n for _, n in rows}], "node long")
+    full = F.array_repeat(F.lit(-1).cast("long"), components.WORDS)
+    sketches = components.sketch(nodes.select("node", F.lit(10).alias("size"), F.lit(10).alias("spare"), full.alias("words")), "size", "spare", "words")
+    found = components.linked_groups(postings, lambda pairs: pairs.select("a", "b").where("a div 10 = b div 10"), sketches, 75)
+    got = {r.node: r.component for r in found.collect()}
+    assert got == {n: n // 10 * 10 for _, n in rows if n < 3000 and n % 10 != 5}
+    assert read.value <= 4 * len(rows)  # twice to find the first hubs, and twice to find which keys are open
