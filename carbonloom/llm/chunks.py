@@ -23,6 +23,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from carbonloom.llm import hashing as hs
+
 CHUNK_BYTES, GROWTH = 8 << 20, 100
 _CODEC = "zstd"
 
@@ -53,22 +55,26 @@ def pack(docs: DataFrame, id_col: str, text_col: str, chunks: int, flag: Column
         chunk_of_id(id_col, chunks).alias("chunk"),
     )
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def blocks(batch: pa.RecordBatch) -> pa.RecordBatch:
         options = pa.ipc.IpcWriteOptions(compression=_CODEC)
+        chunk = np.asarray(batch.column("chunk"))
+        order = np.argsort(chunk, kind="stable")
+        table = pa.Table.from_batches([batch.select(names)]).take(pa.array(order))
+        cuts = np.flatnonzero(np.diff(chunk[order], prepend=-1))
+        numbers, parts = [], []
+        for a, b in zip(cuts, [*cuts[1:], len(order)]):
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, table.schema, options=options) as writer:
+                writer.write_table(table.slice(a, b - a).combine_chunks())
+            numbers.append(int(chunk[order[a]]))
+            parts.append(sink.getvalue().to_pybytes())
+        return pa.RecordBatch.from_arrays([pa.array(numbers, pa.int32()), pa.array(parts, pa.binary())], names=["chunk", "part"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            chunk = np.asarray(batch.column("chunk"))
-            order = np.argsort(chunk, kind="stable")
-            table = pa.Table.from_batches([batch.select(names)]).take(pa.array(order))
-            cuts = np.flatnonzero(np.diff(chunk[order], prepend=-1))
-            numbers, parts = [], []
-            for a, b in zip(cuts, [*cuts[1:], len(order)]):
-                sink = pa.BufferOutputStream()
-                with pa.ipc.new_stream(sink, table.schema, options=options) as writer:
-                    writer.write_table(table.slice(a, b - a).combine_chunks())
-                numbers.append(int(chunk[order[a]]))
-                parts.append(sink.getvalue().to_pybytes())
-            if numbers:
-                yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int32()), pa.array(parts, pa.binary())], names=["chunk", "part"])
+            if batch.num_rows:
+                yield blocks(batch)
+                hs.give_back()
 
     return df.mapInArrow(run, "chunk int, part binary")
 
@@ -91,6 +97,7 @@ def ask(packed: DataFrame, question: Callable[[pa.Table], list[tuple]], columns:
     def run(blocks: pa.Table) -> pa.Table:
         chunk = blocks["chunk"][0].as_py()
         rows = question(_numbered(unpack(blocks["part"]), chunk))
+        hs.give_back()
         return table([(chunk, *row) for row in rows], form)
 
     form = kinds(schema)
@@ -105,7 +112,9 @@ def answer(asked: DataFrame, reply: Callable[[list[dict]], list[tuple]], columns
     def run(blocks: pa.Table) -> pa.Table:
         rows = sorted(blocks.to_pylist(), key=lambda r: r["chunk"])
         bucket = rows[0]["bucket"]
-        return table([(chunk, bucket, *rest) for chunk, *rest in reply(rows)], form)
+        found = reply(rows)
+        hs.give_back()
+        return table([(chunk, bucket, *rest) for chunk, *rest in found], form)
 
     return asked.groupBy("bucket").applyInArrow(run, schema)
 
@@ -116,7 +125,9 @@ def meet(packed: DataFrame, answers: DataFrame, use: Callable[[pa.Table, pa.Tabl
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
             return table([], form)
-        return use(_numbered(unpack(left["part"]), left["chunk"][0].as_py()), right)
+        found = use(_numbered(unpack(left["part"]), left["chunk"][0].as_py()), right)
+        hs.give_back()
+        return found
 
     form = kinds(schema)
     return packed.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(run, schema)

@@ -6,16 +6,26 @@ is a difference of running sums; a finaliser spreads them over all bits.
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 
 # Arrow's own pools keep memory that is freed; the workers of an executor share its limit.
 pa.set_memory_pool(pa.system_memory_pool())
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def give_back() -> None:
+    """Freed memory back to the system, where the C library can: a worker that has done a chunk else keeps the most it ever took."""
+    if _trim is not None:
+        _trim(0)
+
 
 _RATIO = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_RATIO, -1, 1 << 64)
 #: Bytes of text that are worked on together, so that the arrays of a step stay small.
-PIECE = 2 << 20
+PIECE = 512 << 10
 
 
 def mix(x: np.ndarray) -> np.ndarray:

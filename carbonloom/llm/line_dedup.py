@@ -149,17 +149,20 @@ def _pieces(lines: list[bytes]) -> Iterator[tuple[int, int]]:
     yield from hs.pieces(np.concatenate(([0], np.cumsum([len(x) for x in lines], dtype=np.int64))), _PIECE)
 
 
-def signatures(lines: list[bytes], bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
-    """(lines x bands) band hashes; worked on in pieces of bytes."""
-    out = np.zeros((len(lines), bands), np.uint64)
+def _banded(lines: list[bytes], bands: int = BANDS, rows: int = ROWS) -> Iterator[tuple[int, int, np.ndarray]]:
+    """Pieces of the lines, as from and to, with their (lines x bands) band hashes."""
     for a, b in _pieces(lines):
         least = _least(*_hashes(lines[a:b]), bands * rows)
         total = np.zeros((b - a, bands), np.uint64)
         for r in range(rows):  # the values of a band stand far apart
             total = (total + least[:, r * bands : (r + 1) * bands]) * _STEP
             total ^= total >> np.uint64(29)
-        out[a:b] = hs.mix(total + np.arange(bands, dtype=np.uint64))
-    return out
+        yield a, b, hs.mix(total + np.arange(bands, dtype=np.uint64))
+
+
+def signatures(lines: list[bytes], bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
+    """(lines x bands) band hashes; worked on in pieces of bytes."""
+    return np.concatenate([np.zeros((0, bands), np.uint64), *(x for _, _, x in _banded(lines, bands, rows))])
 
 
 def shingle_set(line: bytes) -> frozenset[str]:
@@ -217,13 +220,18 @@ def _question(buckets: int):
     def run(texts: pa.Table) -> list[tuple]:
         t = Lines(texts)
         some = t.distinct()
-        bands = signatures([t.bare[i] for i in some])
-        keys = (bands >> cut).reshape(-1)
-        tags = (hs.mix(t.node[some].view(np.uint64)[:, None] + bands) >> np.uint64(48)).astype(np.uint16).reshape(-1)
+        keys, tags, node = np.empty(len(some) * BANDS, np.uint64), np.empty(len(some) * BANDS, np.uint16), t.node[some].view(np.uint64)
+        for a, b, bands in _banded([t.bare[i] for i in some]):
+            own = slice(a * BANDS, b * BANDS)
+            keys[own] = (bands >> cut).reshape(-1)
+            tags[own] = (hs.mix(node[a:b, None] + bands) >> np.uint64(48)).astype(np.uint16).reshape(-1)
         places = np.uint64(len(keys).bit_length())
         if places <= cut:  # a key and its place are one number: sorting it is faster than sorting places
-            both = np.sort(keys << places | np.arange(len(keys), dtype=np.uint64))
-            order, keys = (both & ((np.uint64(1) << places) - np.uint64(1))).astype(np.int64), both >> places
+            keys <<= places
+            keys |= np.arange(len(keys), dtype=np.uint64)
+            keys.sort()
+            order = (keys & ((np.uint64(1) << places) - np.uint64(1))).astype(np.int64)
+            keys >>= places
         else:
             order = np.argsort(keys, kind="stable")
             keys = keys[order]
@@ -254,7 +262,13 @@ def dedup(
 
     asked = ch.ask(packed, _question(buckets), "bucket int, keys binary, numbers binary, tags binary")
     reply = ch.kinds("chunk int, keys array<long>, numbers array<int>")
-    shared = asked.groupBy("bucket").applyInArrow(lambda blocks: ch.table(_shared_bands(blocks.to_pylist()), reply), "chunk int, keys array<long>, numbers array<int>")
+
+    def answer(blocks: pa.Table) -> pa.Table:
+        rows = _shared_bands(blocks.to_pylist())
+        hs.give_back()
+        return ch.table(rows, reply)
+
+    shared = asked.groupBy("bucket").applyInArrow(answer, "chunk int, keys array<long>, numbers array<int>")
 
     # in one pass over the chunks: the texts of the lines that share a band, and the first place and the number of
     # every distinct line

@@ -30,17 +30,24 @@ from carbonloom.llm.components import WORDS, bitmaps, linked_groups, saved, sket
 
 SHINGLE = 5
 PERCENT = 75
-
-
-def _sets(texts: pa.ChunkedArray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct shingles by text: hashes in order of text and hash, their texts, and the sets' sizes."""
-    hashes, of = hs.grams(*hs.words(texts), n)
-    order = np.lexsort((hashes, of))
-    hashes, of = hashes[order], of[order]
-    if len(of):
-        first = np.concatenate(([True], (hashes[1:] != hashes[:-1]) | (of[1:] != of[:-1])))
-        hashes, of = hashes[first], of[first]
-    return hashes, of, np.bincount(of, minlength=len(texts)).astype(np.int64)
+#: Tokens of whole sets that are ordered together, so that the arrays of a step stay small.
+_TOKENS = 128 << 10
+
+
+def _sets(texts: pa.ChunkedArray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct shingles by text: hashes in order of text and hash, and the sets' sizes. A piece of the texts at a
+    time, so that words and repeated shingles of few texts are in memory."""
+    found, sizes = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for a, b in hs.pieces(hs.buffers(texts)[1]):
+        hashes, of = hs.grams(*hs.words(texts.slice(a, b - a)), n)
+        order = np.lexsort((hashes, of))
+        hashes, of = hashes[order], of[order]
+        if len(of):
+            first = np.concatenate(([True], (hashes[1:] != hashes[:-1]) | (of[1:] != of[:-1])))
+            hashes, of = hashes[first], of[first]
+        found.append(hashes)
+        sizes.append(np.bincount(of, minlength=b - a).astype(np.int64))
+    return np.concatenate(found), np.concatenate(sizes)
 
 
 def _frequencies(blocks: list[dict]) -> list[tuple]:
@@ -82,8 +89,11 @@ def signatures(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, id_col
     cut = np.uint64(max(0, 64 - 12 - (buckets << 22).bit_length()))
 
     def question(texts: pa.Table) -> list[tuple]:
-        hashes, _, _ = _sets(texts["text"], n)
-        keys, counts = np.unique(hashes >> cut, return_counts=True)
+        keys, _ = _sets(texts["text"], n)
+        keys >>= cut
+        keys.sort()
+        begin = ch.runs(keys)
+        keys, counts = keys[begin], np.diff(np.append(begin, len(keys)))
         cuts = ch.bucket_cuts(keys << cut, buckets)
         return [
             (i, ch.put_keys(keys[a:b]), ch.put(counts[a:b].astype(np.uint32)))
@@ -92,41 +102,62 @@ def signatures(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, id_col
         ]
 
     def use(texts: pa.Table, replies: pa.Table) -> pa.Table:
-        hashes, of, sizes = _sets(texts["text"], n)
-        _, place = np.unique(hashes >> cut, return_inverse=True)
+        hashes, sizes = _sets(texts["text"], n)
         rows = sorted(replies.to_pylist(), key=lambda r: r["bucket"])
-        known = np.concatenate([ch.get(r["df"], np.uint8) for r in rows]) if rows else np.zeros(0, np.uint8)
-        df = known[place].astype(np.int64)
+        df = frequency_of(hashes >> cut, np.concatenate([np.zeros(0, np.uint8), *(ch.get(r["df"], np.uint8) for r in rows)]))
         begin = np.concatenate(([0], np.cumsum(sizes)))
-        sums = [np.zeros(len(sizes), np.uint64), np.zeros(len(sizes), np.uint64)]
-        for k, total in enumerate(sums):
-            running = np.concatenate((np.zeros(1, np.uint64), np.cumsum(hs.mix(hashes + np.uint64(k + 1)), dtype=np.uint64)))
-            total[:] = running[begin[1:]] - running[begin[:-1]]
+        runs = hs.pieces(begin, _TOKENS)
+        sums = np.zeros((2, len(sizes)), np.uint64)
+        for a, b in runs:
+            own, at = hashes[begin[a] : begin[b]], begin[a : b + 1] - begin[a]
+            for k in range(len(sums)):
+                running = np.concatenate((np.zeros(1, np.uint64), np.cumsum(hs.mix(own + np.uint64(k + 1)), dtype=np.uint64)))
+                sums[k, a:b] = running[at[1:]] - running[at[:-1]]
+        # one row of each class is enough: the one of smallest id, as the table is in order of id behind null ids
+        by_id = np.roll(np.arange(len(sizes)), -texts["id"].null_count)
+        _, first = np.unique(np.stack([sizes.astype(np.uint64), *sums], 1)[by_id], axis=0, return_index=True)
+        once = np.zeros(len(sizes), bool)
+        once[by_id[first]] = True
+        batches = []
+        for a, b in runs:
+            own = slice(begin[a], begin[b])
+            head = [texts[c].slice(a, b - a).combine_chunks() for c in ("id", "e0")]
+            head += [pa.array(sizes[a:b]), *(pa.array(x[a:b].view(np.int64)) for x in sums)]
+            batches.append(pa.RecordBatch.from_arrays(head + ordered(hashes[own], df[own].astype(np.int64), sizes[a:b], once[a:b]), names=form.names))
+        return pa.Table.from_batches(batches)
+
+    def frequency_of(keys: np.ndarray, known: np.ndarray) -> np.ndarray:
+        """The frequency of every key; ``known`` has them in order of the distinct keys."""
+        order = np.argsort(keys)
+        new = np.zeros(len(keys), bool)
+        new[ch.runs(keys[order])] = True
+        df = np.empty(len(keys), np.uint8)
+        df[order] = known[np.cumsum(new) - 1]
+        return df
+
+    def ordered(hashes: np.ndarray, df: np.ndarray, sizes: np.ndarray, once: np.ndarray) -> list[pa.Array]:
+        """The columns behind the sums, for some sets: what the first prefix shows to be shared, for those that are ``once``."""
+        of = np.repeat(np.arange(len(sizes)), sizes)
         length = sizes - -(-percent * sizes // 100) + 1
 
-        def prefix(hashes: np.ndarray, of: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        def prefix(of: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             """Places of the tokens in their set's order, and which of them are in its prefix."""
             place, first = np.empty(len(of), np.int64), np.searchsorted(of, of)
             place[order] = np.arange(len(of)) - first
             return place, place < length[of]
 
         # the hashes of a set are sorted: a stable sort by frequency leaves them so
-        at, inside = prefix(hashes, of, np.argsort(of * 256 + df, kind="stable"))
+        at, inside = prefix(of, np.argsort(of * 256 + df, kind="stable"))
         open_ = np.zeros(len(sizes), bool)
         open_[of[inside & (df > 1)]] = True
-        # one row of each class is enough: the one of smallest id, as the table is in order of id behind null ids
-        by_id = np.roll(np.arange(len(sizes)), -texts["id"].null_count)
-        _, first = np.unique(np.stack([sizes.astype(np.uint64), *sums], 1)[by_id], axis=0, return_index=True)
-        once = np.zeros(len(sizes), bool)
-        once[by_id[first]] = True
         open_ &= once
-        columns = [texts["id"].combine_chunks(), texts["e0"].combine_chunks(), pa.array(sizes), *(pa.array(x.view(np.int64)) for x in sums)]
+        columns = []
         # the other orders, for the sets that need them
         some = open_[of]
         hashes, of, df, at, inside = hashes[some], of[some], df[some], at[some], inside[some]
         rare = np.log2(np.maximum(df, 1)).astype(np.int64)
-        _, second = prefix(hashes, of, np.lexsort((hs.mix(hashes + np.uint64(11)), rare, of)))
-        _, third = prefix(hashes, of, np.lexsort((hs.mix(hashes + np.uint64(12)), of)))
+        _, second = prefix(of, np.lexsort((hs.mix(hashes + np.uint64(11)), rare, of)))
+        _, third = prefix(of, np.lexsort((hs.mix(hashes + np.uint64(12)), of)))
         known = df > 1
         for mask, values in ((known, hashes), (known & inside, hashes), (known & inside, at), (known & second, hashes), (known & third, hashes)):
             offsets = np.concatenate(([0], np.cumsum(np.bincount(of[mask], minlength=len(sizes)))))
@@ -141,8 +172,7 @@ def signatures(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, id_col
         columns.append(pc.if_else(pa.array(open_), lists, pa.scalar(None, lists.type)))
         spare = np.zeros(len(sizes), np.int64)
         spare[numbers] = hidden
-        columns.append(pa.array(spare))
-        return pa.Table.from_arrays(columns, names=form.names)
+        return [*columns, pa.array(spare)]
 
     form = ch.kinds(_SCHEMA)
     asked = ch.ask(packed, question, "bucket int, keys binary, counts binary")

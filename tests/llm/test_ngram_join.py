@@ -1,3 +1,5 @@
+import tracemalloc
+
 import brute
 import pyarrow as pa
 from carbonloom.llm import hashing, ngram_join
@@ -74,3 +76,33 @@ def test_rows_of_one_id_with_different_texts(spark):
     assert got == sorted(want, key=str)
     kept = sorted(((r.doc_id, r.text) for r in ngram_join.keep_one(df).collect()), key=str)
     assert kept == sorted([(3, b), (7, a), (5, None), (5, "one")], key=str)
+
+
+def test_sets_take_a_piece_of_the_texts_at_a_time(monkeypatch, texts):
+    column = pa.chunked_array([list(texts.values())], pa.string())
+    hashes, sizes = ngram_join._sets(column, 5)
+    assert sizes.tolist() == [len(brute.shingles(t)) for t in texts.values()]
+    monkeypatch.setattr(hashing.pieces, "__defaults__", (300,))
+    again, of_each = ngram_join._sets(column, 5)
+    assert hashes.tolist() == again.tolist() and sizes.tolist() == of_each.tolist()
+
+
+def test_sets_of_a_chunk_take_little_memory():
+    """Words and repeated shingles of all texts at once took over 50 bytes for each shingle."""
+    text = " ".join(f"{i * 7919 % 100_003:x}" for i in range(400))
+    column = pa.chunked_array([[f"{i} {text}" for i in range(2000)]], pa.string())
+    ngram_join._sets(column.slice(0, 1), 5)  # tables of powers
+    tracemalloc.start()
+    try:
+        hashes, _ = ngram_join._sets(column, 5)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 35 * len(hashes)
+
+
+def test_components_of_sets_ordered_in_many_runs(docs, texts, monkeypatch):
+    monkeypatch.setattr(ngram_join, "_TOKENS", 60)
+    monkeypatch.setattr(ngram_join.ch, "chunk_count", lambda docs: 2)
+    got = {r.doc_id: r.component_id for r in ngram_join.join(docs).collect()}
+    assert got == brute.linked({k: brute.shingles(t) for k, t in texts.items()})
