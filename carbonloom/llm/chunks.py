@@ -161,23 +161,23 @@ def bucket_cuts(keys: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def put_keys(keys: np.ndarray) -> bytes:
-    """Sorted 64-bit keys as differences of the fewest bytes that hold them all."""
+    """Sorted 64-bit keys as differences of the fewest bytes that hold them all; their high bytes, mostly alike, stand together."""
     if not len(keys):
         return b""
     steps = np.diff(keys, prepend=np.uint64(0))
     width = max(1, math.ceil(int(steps[1:].max()).bit_length() / 8)) if len(keys) > 1 else 1
     raw = steps.astype("<u8").view(np.uint8).reshape(-1, 8)
-    return bytes([width]) + raw[0].tobytes() + raw[1:, :width].tobytes()
+    return bytes([width]) + raw[0].tobytes() + put(raw[1:, :width].T)
 
 
 def get_keys(data: bytes) -> np.ndarray:
     if not data:
         return np.zeros(0, np.uint64)
     width = data[0]
-    rest = np.frombuffer(data, np.uint8, offset=9).reshape(-1, width)
-    raw = np.zeros((len(rest) + 1, 8), np.uint8)
+    rest = get(data[9:], np.uint8).reshape(width, -1)
+    raw = np.zeros((rest.shape[1] + 1, 8), np.uint8)
     raw[0] = np.frombuffer(data, np.uint8, 8, 1)
-    raw[1:, :width] = rest
+    raw[1:, :width] = rest.T
     return np.cumsum(raw.reshape(-1).view("<u8"), dtype=np.uint64)
 
 
@@ -193,6 +193,15 @@ def get(data: bytes, kind) -> np.ndarray:
     return np.frombuffer(raw, kind)
 
 
+def put_planes(values: np.ndarray) -> bytes:
+    """As :func:`put`, with first bytes, second bytes, … together: for numbers whose high bytes are mostly alike."""
+    return put(values.view(np.uint8).reshape(len(values), -1).T) if len(values) else put(values)
+
+
+def get_planes(data: bytes, kind) -> np.ndarray:
+    return np.ascontiguousarray(get(data, np.uint8).reshape(np.dtype(kind).itemsize, -1).T).reshape(-1).view(kind)
+
+
 def runs(sorted_keys: np.ndarray) -> np.ndarray:
     """Where each run of equal keys begins."""
     if not len(sorted_keys):

@@ -9,7 +9,8 @@ removed with their line ends. Other lines stay as they are.
 Candidates come from MinHash signatures of ``BANDS`` x ``ROWS`` values: one permutation, whose hashes fall into
 that many bins; a bin without a shingle takes the value of another. Short lines take a permutation per value. A pair of 75 % shares
 a band with probability 0.9990 (measured at 75 to 76 %: 0.999), one of 80 % with 0.99999, one of 20 % with 0.0006: many lines
-have a fifth in common. Lines that share a band meet through hubs (``components.linked_groups``) and are verified on their texts.
+have a fifth in common. Lines that share a band meet through hubs (``components.linked_groups``) and are verified on their shingles, told apart
+within a pair by the first bits of their hashes, 40 or more.
 
 A chunk sends each of its distinct lines' bands once, as the first bits of their hashes with the line's number in the chunk and
 16 bits that tell lines apart; the answer names the lines that share a band with another one, and only those lines' texts
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 from carbonloom.llm import chunks as ch
 from carbonloom.llm import hashing as hs
 from carbonloom.llm.components import WORDS, bitmaps, linked_groups, sketch
-from carbonloom.llm.shared import stored
+from carbonloom.llm.shared import let_go, stored
 
 SHINGLE = 5
 PERCENT = 75
@@ -74,6 +75,8 @@ class Lines:
 FEW = 64
 #: Bytes of lines whose arrays are worked on together.
 _PIECE = 512 << 10
+#: Turns of filling empty bins that look at all bins.
+_DENSE = 3
 _BITS = np.uint64(32)
 _LOW = np.uint32(0xFFFFFFFF)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -98,7 +101,10 @@ def _hashes(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     counts = np.maximum(sizes - SHINGLE + 1, 1)
     begin = np.concatenate(([0], np.cumsum(counts)))
     owner = np.repeat(np.arange(len(lines)), counts)
-    out = hs.mix(total[np.arange(begin[-1]) + np.repeat(ends - sizes - begin[:-1], counts)])
+    whole = np.ones(len(codes), bool)
+    for j in range(1, SHINGLE):  # the last places of a line begin no shingle, but its first one always does
+        whole[(ends - j)[sizes > j]] = False
+    out = hs.mix(total[whole])
     short = np.flatnonzero(sizes < SHINGLE)
     if len(short):  # their one place has read into the next line
         out[begin[short]] = [xxhash.xxh3_64_intdigest(lines[i]) for i in short]
@@ -129,19 +135,24 @@ def _least(hashes: np.ndarray, owner: np.ndarray, begin: np.ndarray, bins: int)
         to += (((np.cumsum(~few) - 1) * bins).astype(np.uint64))[of]
         np.minimum.at(least, to.view(np.int64), own.astype(np.uint32))
         # an empty bin takes the value of the first filled one of a sequence that is random, and its own
-        empty, source = np.flatnonzero(least == _LOW), least.copy()
+        def pick(turn: int) -> np.ndarray:
+            return (hs.mix(np.arange(bins, dtype=np.uint64) + np.uint64(1000 * (turn + 1))) % np.uint64(bins)).astype(np.int64)
+
+        source, rows = least.copy(), least.reshape(-1, bins)
+        for turn in range(_DENSE):  # as long as many bins are empty, all are looked at
+            rows = np.where(rows == _LOW, source.reshape(-1, bins).take(pick(turn), axis=1), rows)
+        least = rows.reshape(-1)
+        empty = np.flatnonzero(least == _LOW)
         column = empty % bins
         begin = empty - column
-        for turn in range(8 * bins):
+        for turn in range(_DENSE, 8 * bins):
             if not len(empty):
                 break
-            pick = (hs.mix(np.arange(bins, dtype=np.uint64) + np.uint64(1000 * (turn + 1))) % np.uint64(bins)).astype(np.int64)
-            value = source.take(begin + pick.take(column))
+            value = source.take(begin + pick(turn).take(column))
             left = value == _LOW
             least[empty] = value  # what is empty still is met again
             empty, column, begin = empty[left], column[left], begin[left]
-        least = least.reshape(-1, bins)
-        out[~few] = least
+        out[~few] = rows
     return out
 
 
@@ -170,17 +181,35 @@ def shingle_set(line: bytes) -> frozenset[str]:
     return frozenset(text[i : i + SHINGLE] for i in range(max(len(text) - SHINGLE + 1, 1)))
 
 
+def _distinct(lines: list[bytes]) -> tuple[np.ndarray, np.uint64]:
+    """The lines' distinct shingles in order, as the line's number before the first bits of the shingle's hash: one sort finds them.
+    Also the bits of the number."""
+    low = np.uint64(len(lines).bit_length())
+    hashes, owner, _ = _hashes(lines)
+    keys = owner.astype(np.uint64) << (np.uint64(64) - low) | hashes >> low
+    keys.sort()
+    return keys[ch.runs(keys)], low
+
+
+def alike(x: list[bytes], y: list[bytes], percent: int = PERCENT) -> np.ndarray:
+    """Whether the shingles of each line of ``x`` and the line of ``y`` beside it are ``percent`` alike."""
+    keep = np.zeros(len(x), bool)
+    for a, b in _pieces([p + q for p, q in zip(x, y)]):
+        (one, low), (other, _) = _distinct(x[a:b]), _distinct(y[a:b])
+        both = np.sort(np.concatenate((one, other)))
+        common, *sizes = (
+            np.bincount((keys >> (np.uint64(64) - low)).astype(np.int64), minlength=b - a) for keys in (both[1:][both[1:] == both[:-1]], one, other)
+        )
+        keep[a:b] = 100 * common >= percent * (sum(sizes) - common)
+    return keep
+
+
 def _sketches(lines: list[bytes]) -> tuple[list[int], list[int], list[list[int]]]:
     """Number of distinct shingles, of those hidden in the bitmap, and the bitmap of each line."""
     sizes, spare = np.zeros(len(lines), np.int32), np.zeros(len(lines), np.int32)
     words = np.zeros((len(lines), WORDS), np.int64)
     for a, b in _pieces(lines):
-        hashes, owner, _ = _hashes(lines[a:b])
-        # a shingle is the line's number before the first bits of its hash: one sort finds a line's distinct ones
-        low = np.uint64((b - a).bit_length())
-        keys = owner.astype(np.uint64) << (np.uint64(64) - low) | hashes >> low
-        keys.sort()
-        keys = keys[ch.runs(keys)]
+        keys, low = _distinct(lines[a:b])
         owner = (keys >> (np.uint64(64) - low)).astype(np.int64)
         sizes[a:b] = np.bincount(owner, minlength=b - a)
         words[a:b], spare[a:b] = bitmaps(keys << low, owner, b - a)
@@ -189,11 +218,18 @@ def _sketches(lines: list[bytes]) -> tuple[list[int], list[int], list[list[int]]
 
 def _shared_bands(blocks: list[dict]) -> list[tuple]:
     """For the blocks of a bucket: the bands that different lines share, as (chunk, keys, numbers of the lines in the chunk);
-    of equal lines in several chunks the one of the smallest chunk."""
+    of equal lines in several chunks the one of the smallest chunk. Also, by chunk, the lines (hashes) of several chunks."""
     blocks = sorted(blocks, key=lambda b: b["chunk"])
+    lines = [ch.get_keys(b["lines"]) for b in blocks]
+    every = np.sort(np.concatenate(lines))
+    every = every[1:][every[1:] == every[:-1]]  # a chunk names a line once
+    again = [(b["chunk"], [], [], own[np.isin(own, every)].view(np.int64).tolist()) for b, own in zip(blocks, lines)] if len(every) else []
+    blocks = [b for b in blocks if b["keys"]]
+    if not blocks:
+        return again
     keys = np.concatenate([ch.get_keys(b["keys"]) for b in blocks])
     tags = np.concatenate([ch.get(b["tags"], np.uint16) for b in blocks])
-    numbers = np.concatenate([ch.get(b["numbers"], np.int32) for b in blocks])
+    numbers = np.concatenate([ch.get_planes(b["numbers"], np.int32) for b in blocks])
     chunk = np.repeat(np.array([b["chunk"] for b in blocks], np.int32), [len(ch.get(b["tags"], np.uint16)) for b in blocks])
     order = np.argsort(keys, kind="stable")  # in order of chunk within a key
     same = keys[order][1:] == keys[order][:-1]
@@ -209,11 +245,13 @@ def _shared_bands(blocks: list[dict]) -> list[tuple]:
     keys, numbers, chunk = keys[some].view(np.int64), numbers[some], chunk[some]
     order = np.argsort(chunk, kind="stable")
     cuts = ch.runs(chunk[order])
-    return [(int(chunk[order[a]]), keys[order[a:b]].tolist(), numbers[order[a:b]].tolist()) for a, b in zip(cuts, [*cuts[1:], len(order)])]
+    found = [(int(chunk[order[a]]), keys[order[a:b]].tolist(), numbers[order[a:b]].tolist(), []) for a, b in zip(cuts, [*cuts[1:], len(order)])]
+    return found + again
 
 
 def _question(buckets: int):
-    """A chunk's bands by bucket: keys, and per key the line's number in the chunk and 16 bits of the line."""
+    """A chunk's bands by bucket: keys, and per key the line's number in the chunk and 16 bits of the line; and its lines' hashes by
+    bucket."""
     # the first bits of a hash: a few false candidates are cheaper than long keys
     cut = np.uint64(max(0, 64 - 8 - (buckets << 22).bit_length()))
 
@@ -236,10 +274,12 @@ def _question(buckets: int):
             order = np.argsort(keys, kind="stable")
             keys = keys[order]
         cuts = ch.bucket_cuts(keys << cut, buckets)
+        node.sort()
+        at = ch.bucket_cuts(node, buckets)
         return [
-            (i, ch.put_keys(keys[a:b]), ch.put((order[a:b] // BANDS).astype(np.int32)), ch.put(tags[order[a:b]]))
-            for i, (a, b) in enumerate(zip(cuts, cuts[1:]))
-            if b > a
+            (i, ch.put_keys(keys[a:b]), ch.put_planes((order[a:b] // BANDS).astype(np.int32)), ch.put(tags[order[a:b]]), ch.put_keys(node[x:y]))
+            for i, (a, b, x, y) in enumerate(zip(cuts, cuts[1:], at, at[1:]))
+            if b > a or y > x
         ]
 
     return run
@@ -260,18 +300,19 @@ def dedup(
     extra = () if counts else tuple(c for c in docs.columns if c not in (id_col, text_col))
     packed = ch.pack(docs, id_col, text_col, buckets, F.col(text_col).isNull(), extra)
 
-    asked = ch.ask(packed, _question(buckets), "bucket int, keys binary, numbers binary, tags binary")
-    reply = ch.kinds("chunk int, keys array<long>, numbers array<int>")
+    asked = ch.ask(packed, _question(buckets), "bucket int, keys binary, numbers binary, tags binary, lines binary")
+    told = "chunk int, keys array<long>, numbers array<int>, again array<long>"
+    reply = ch.kinds(told)
 
     def answer(blocks: pa.Table) -> pa.Table:
         rows = _shared_bands(blocks.to_pylist())
         hs.give_back()
         return ch.table(rows, reply)
 
-    shared = asked.groupBy("bucket").applyInArrow(answer, "chunk int, keys array<long>, numbers array<int>")
+    shared = asked.groupBy("bucket").applyInArrow(answer, told)
 
     # in one pass over the chunks: the texts of the lines that share a band, and the first place and the number of
-    # every distinct line
+    # every distinct line that shares one or occurs again; the others stay, whatever becomes of the rest
     def lines_of(texts: pa.Table, replies: pa.Table) -> pa.Table:
         t = Lines(texts)
         names, first, number = np.unique(t.node, return_index=True, return_counts=True)
@@ -283,12 +324,16 @@ def dedup(
         bare = [t.bare[some[i]] for i in asked]
         of_line = pa.ListArray.from_arrays(pa.array(np.append(begin, len(order)), pa.int32()), pa.array(keys[order]))
         found = [pa.array(x, f.type) for x, f in zip((t.node[some[asked]], bare, of_line, *_sketches(bare)), form)]
+        again = replies["again"].combine_chunks().flatten().to_numpy()
+        open_ = (number > 1) | np.isin(names, again) | np.isin(names, t.node[some[asked]])
+        names, first, number = names[open_], first[open_], number[open_]
         own = [[None] * 6 + [ch.chunk_of(texts), names.tolist(), t.doc[first].tolist(), t.at[first].tolist(), number.tolist()]]
         none = [pa.nulls(len(asked), kind) for kind in form.types[len(found) :]]
         return pa.concat_tables([pa.Table.from_arrays(found + none, schema=form), ch.table(own, form)])
 
     form = ch.kinds(_LINE)
     both = stored(ch.meet(packed, shared, lines_of, _LINE), "lines")
+    let_go(docs.sparkSession)  # the bands' shuffles: they would else lie beside those of the groups
     found = both.where("line IS NOT NULL")
     texts = found.select("node", "line")
     postings = found.select(F.explode("keys").alias("key"), "node", "size")
@@ -297,17 +342,8 @@ def dedup(
 
     def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep, known = [], {}
-            for a, b, to in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), batch.column("b").to_pylist()):
-                s = shingle_set(a)
-                if to not in known:  # hubs come again
-                    if len(known) > 200:
-                        known.clear()
-                    known[to] = shingle_set(b)
-                t = known[to]
-                common = len(s & t)
-                keep.append(100 * common >= percent * (len(s) + len(t) - common))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            keep = alike(batch.column("x").to_pylist(), batch.column("y").to_pylist(), percent)
+            yield batch.select(["a", "b"]).filter(pa.array(keep))
 
     def verify(pairs: DataFrame) -> DataFrame:
         x, y = texts.toDF("a", "x"), texts.toDF("b", "y")

@@ -1,6 +1,10 @@
 import random
 
 import brute
+import numpy as np
+import pyarrow as pa
+import xxhash
+from carbonloom.llm import chunks as ch
 from carbonloom.llm import components, line_dedup
 from pyspark.sql import functions as F
 
@@ -130,3 +134,68 @@ def test_rounds_after_the_first_two_read_open_keys_only(spark):
     got = {r.node: r.component for r in found.collect()}
     assert got == {n: n // 10 * 10 for _, n in rows if n < 3000 and n % 10 != 5}
     assert read.value <= 4 * len(rows)  # twice to find the first hubs, and twice to find which keys are open
+
+
+def test_packed_keys_come_back():
+    rng = np.random.default_rng(3)
+    for keys in (np.zeros(0, np.uint64), np.array([7], np.uint64), np.array([0, 0, 1 << 63], np.uint64), np.sort(rng.integers(0, 1 << 40, 5000).astype(np.uint64))):
+        assert ch.get_keys(ch.put_keys(keys)).tolist() == keys.tolist()
+        assert ch.get_planes(ch.put_planes(keys), np.uint64).tolist() == keys.tolist()
+
+
+def _asked(texts, buckets=3):
+    """The question of each chunk, given its texts, by bucket."""
+    blocks = {}
+    for chunk, own in enumerate(texts):
+        rows = line_dedup._question(buckets)(pa.table({"id": pa.array(range(len(own)), pa.int64()), "text": pa.array(own, pa.string())}))
+        for bucket, *rest in rows:
+            blocks.setdefault(bucket, []).append({"chunk": chunk} | dict(zip(("keys", "numbers", "tags", "lines"), rest)))
+    return blocks
+
+
+def test_a_band_takes_few_bytes():
+    """Its key, its line's number and tag took 7.4 bytes; the hashes of the lines come on top now."""
+    rng = np.random.default_rng(4)
+    texts = ["\n".join("".join(map(chr, rng.integers(97, 123, 90))) for _ in range(10)) for _ in range(400)]
+    blocks = [b for own in _asked([texts]).values() for b in own]
+    assert sum(len(b[k]) for b in blocks for k in ("keys", "numbers", "tags", "lines")) < 6.8 * 4000 * line_dedup.BANDS
+
+
+def test_lines_of_several_chunks_are_named_to_all_of_them():
+    texts = [["one line of its own\nthis line is in two chunks"], ["this line is in two chunks\nthis line is in two chunks"], ["something else altogether"]]
+    told = [row for blocks in _asked(texts).values() for row in line_dedup._shared_bands(blocks)]
+    shared = np.array([xxhash.xxh3_64_intdigest(b"this line is in two chunks")], np.uint64).view(np.int64)[0]
+    assert sorted((chunk, node) for chunk, _, _, again in told for node in again) == [(0, shared), (1, shared)]
+    assert not any(keys for _, keys, _, _ in told)
+
+
+def test_lines_that_occur_once_and_share_no_band_are_not_looked_up(spark, monkeypatch):
+    """Each distinct line of each chunk was a row of three exchanges."""
+    written = []
+    stored = line_dedup.stored
+    monkeypatch.setattr(line_dedup, "stored", lambda df, name: written.append(stored(df, name)) or written[-1])
+    rows = [(i, f"{chr(97 + i) * 40}\nthe same line in every text") for i in range(20)]
+    got = line_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.text) for r in got) == [(i, t if i == 0 else t.split("\n")[0]) for i, t in rows]
+    own = written[0].where("nodes IS NOT NULL").collect()
+    assert len({n for r in own for n in r.nodes}) == 1
+
+
+def test_alike_counts_shingles_as_sets_do():
+    rng = random.Random(6)
+    base = ["short", "ab", "é", "aaaaaaaaaaaa", "x" * 40 + "日本語のテキスト" * 3, "the quick brown fox jumps over the lazy dog " * 4]
+    pairs = [(a, b) for a in base for b in base]
+    for _ in range(300):
+        a = "".join(rng.choice("abcdé日 ") for _ in range(rng.randrange(1, 90)))
+        b = list(a)
+        for _ in range(rng.randrange(4)):
+            b[rng.randrange(len(b))] = rng.choice("xyz")
+        pairs.append((a, "".join(b)))
+    x, y = ([p[i].encode() for p in pairs] for i in (0, 1))
+    for percent in (60, 75, 100):
+        want = []
+        for a, b in zip(x, y):
+            s, t = line_dedup.shingle_set(a), line_dedup.shingle_set(b)
+            want.append(100 * len(s & t) >= percent * len(s | t))
+        assert line_dedup.alike(x, y, percent).tolist() == want
+    assert 20 < sum(want) < len(want) and line_dedup.alike([], []).tolist() == []
