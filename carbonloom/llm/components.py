@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from carbonloom.llm import chunks as ch
 from carbonloom.llm.shared import folder, let_go
 
 
@@ -22,30 +23,33 @@ def saved(df: DataFrame) -> DataFrame:
     return out
 
 
-def _forests(links: DataFrame) -> DataFrame:
-    """A union-find over each batch of links, in its task: links of every node to its batch's smallest."""
+#: Links that a task takes at most into its union-find.
+LINKS = 1 << 17
+
+
+def _forests(links: DataFrame, roots: bool = False) -> DataFrame:
+    """A union-find over each task's links: links of every node to the smallest of its tree; with ``roots``, also of those to themselves."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            parent: dict[int, int] = {}
+        parent: dict[int, int] = {}
 
-            def root(x: int) -> int:
-                top = x
-                while parent.setdefault(top, top) != top:
-                    top = parent[top]
-                while parent[x] != top:
-                    parent[x], x = top, parent[x]
-                return top
+        def root(x: int) -> int:
+            top = x
+            while parent.setdefault(top, top) != top:
+                top = parent[top]
+            while parent[x] != top:
+                parent[x], x = top, parent[x]
+            return top
 
+        for batch in batches:
             for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()):
                 a, b = root(a), root(b)
                 if a != b:
                     parent[max(a, b)] = min(a, b)
-            found = [(x, root(x)) for x in parent]
-            a = np.array([x for x, _ in found], np.int64)
-            b = np.array([y for _, y in found], np.int64)
-            keep = a != b
-            yield pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep])], names=["a", "b"])
+        a = np.array(list(parent), np.int64)
+        b = np.array([root(x) for x in a.tolist()], np.int64)
+        keep = (a != b) | roots
+        yield pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep])], names=["a", "b"])
 
     return links.mapInArrow(run, "a long, b long")
 
@@ -62,13 +66,16 @@ def _stars(links: DataFrame) -> bool:
 def components(links: DataFrame) -> DataFrame:
     """(node, component) of every node of the links (a, b): the smallest node it is connected with.
 
-    Union-find in the tasks first; then the forests' links are pulled to smaller nodes by alternating steps
-    (every node passes its smallest neighbour to the larger ones, then to the smaller ones) until each
+    Union-find in tasks of up to ``LINKS`` links first, which is all if one takes them; else the forests' links are pulled to smaller
+    nodes by alternating steps (every node passes its smallest neighbour to the larger ones, then to the smaller ones) until each
     component is a star. The minimum of a node's neighbours combines before the shuffle, so a hub costs no
     task more.
     """
-    links = _forests(links.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).where("a <> b"))
-    links = saved(links.distinct())
+    links = links.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).where("a <> b")
+    tasks = -(-links.count() // LINKS)
+    if tasks <= 1:
+        return _forests(links.coalesce(1), roots=True).toDF("node", "component")
+    links = saved(_forests(links.repartition(tasks)).distinct())
     while not _stars(links):
         both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
@@ -177,6 +184,88 @@ def linked_groups(
     return comps
 
 
+#: Nodes of a key up to which all are compared with each other as arrays.
+SMALL = 128
+#: Pairs whose bitmaps are compared together.
+_PAIRS = 1 << 14
+
+
+def linked_sets(
+    postings: DataFrame,
+    first: DataFrame,
+    verify: Callable[[DataFrame], DataFrame],
+    sketches: DataFrame,
+    percent: int,
+    near: Callable[[Callable[[str], Column], Callable[[str], Column]], Column],
+    groups: int,
+) -> DataFrame:
+    """As :func:`linked_groups`, where a key stands for a set of nodes already, ``first`` has the pairs of the first round, and pairs of
+    keys that are left out of ``postings`` are all among them.
+
+    Nodes of an open key of up to ``SMALL`` nodes are compared with each other as arrays, in ``groups`` groups of keys, and
+    those that are not connected and whose sizes and bitmaps leave room for ``percent`` are verified: that settles the key. Larger
+    keys take the rounds of :func:`linked_groups`, the last two."""
+
+    def opened(rows: DataFrame) -> DataFrame:
+        named = rows.join(comps, "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component")
+        keys = named.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("_group"))
+        return named.join(keys.where("x <> y").select("key", "_group"), "key")
+
+    links = saved(verify(first))
+    comps = saved(components(links))
+    now = saved(opened(postings))
+    large = now.where(F.col("_group") > SMALL)
+    pairs = _close_pairs(now.where(F.col("_group") <= SMALL), sketches, percent, groups)
+    more = not large.isEmpty()
+    if more:
+        pairs = pairs.union(_hub_pairs(large, sketches, percent, near, ROUNDS - 1))
+    found = saved(verify(pairs.distinct()))
+    if not found.isEmpty():
+        links = links.union(found)
+        comps = saved(components(links))
+    if more:
+        found = saved(verify(_open_pairs(opened(large.drop("comp", "_group")), sketches, percent, near)))
+        if not found.isEmpty():
+            comps = saved(components(links.union(found)))
+    return comps
+
+
+def _close_pairs(now: DataFrame, sketches: DataFrame, percent: int, groups: int) -> DataFrame:
+    """Pairs (a, b) of nodes that share a key, are not connected and may be ``percent`` alike, distinct in each of ``groups`` groups of keys."""
+    rows, _ = _with_sketches(now, sketches)
+    words = F.array(*(f"w{i}" for i in range(WORDS))).alias("words")
+    rows = rows.select(F.pmod(F.xxhash64("key"), F.lit(groups)).cast("int").alias("group"), "key", "node", "comp", "size", "spare", words)
+
+    def run(table: pa.Table) -> pa.Table:
+        key, node, comp, size, spare = (table[c].to_numpy() for c in ("key", "node", "comp", "size", "spare"))
+        bits = table["words"].combine_chunks().flatten().to_numpy().view(np.uint64).reshape(-1, WORDS)  # of signed numbers, the sign would not be counted
+        nodes, place, of = np.unique(node, return_index=True, return_inverse=True)
+        order = np.argsort(key, kind="stable")
+        own = of[order]
+        begin = ch.runs(key[order])
+        count = np.diff(np.append(begin, len(key)))
+        left = np.repeat(begin + count, count) - np.arange(len(key))  # postings of the key from here on
+        comp, size, spare, bits = comp[place], size[place], spare[place], bits[place]
+        met, ahead = [np.zeros(0, np.int64)], 1
+        i = np.flatnonzero(left > ahead)
+        while len(i):  # each with the one so many places further in its key
+            x, y = own[i], own[i + ahead]
+            keep = (comp[x] != comp[y]) & (100 * np.minimum(size[x], size[y]) >= percent * np.maximum(size[x], size[y]))
+            x, y = x[keep], y[keep]
+            met.append(np.unique(np.minimum(x, y) * len(nodes) + np.maximum(x, y)))
+            ahead += 1
+            i = i[left[i] > ahead]
+        x, y = np.divmod(np.unique(np.concatenate(met)), len(nodes))
+        room = np.zeros(len(x), bool)
+        for a in range(0, len(x), _PAIRS):
+            p, q = x[a : a + _PAIRS], y[a : a + _PAIRS]
+            common = np.bitwise_count(bits[p] & bits[q]).sum(1, dtype=np.int64) + np.minimum(spare[p], spare[q])
+            room[a : a + _PAIRS] = (100 + percent) * common >= percent * (size[p] + size[q])
+        return pa.table({"a": nodes[x[room]], "b": nodes[y[room]]})
+
+    return rows.groupBy("group").applyInArrow(run, "a long, b long")
+
+
 def _room(percent: int, near) -> Column:
     """Whether a posting and one with columns named …_b may link and are not connected."""
 

@@ -30,11 +30,13 @@ PIECE = 512 << 10
 
 def mix(x: np.ndarray) -> np.ndarray:
     """The splitmix64 finaliser."""
-    x = x ^ (x >> np.uint64(30))
-    x = x * np.uint64(0xBF58476D1CE4E5B9)
-    x = x ^ (x >> np.uint64(27))
-    x = x * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    out = x >> np.uint64(30)
+    out ^= x
+    out *= np.uint64(0xBF58476D1CE4E5B9)
+    out ^= out >> np.uint64(27)
+    out *= np.uint64(0x94D049BB133111EB)
+    out ^= out >> np.uint64(31)
+    return out
 
 
 def _values(fold: bool) -> np.ndarray:

@@ -199,3 +199,64 @@ def test_alike_counts_shingles_as_sets_do():
             want.append(100 * len(s & t) >= percent * len(s | t))
         assert line_dedup.alike(x, y, percent).tolist() == want
     assert 20 < sum(want) < len(want) and line_dedup.alike([], []).tolist() == []
+
+
+def test_bands_of_the_same_lines_are_one_key_and_a_pair_meets_through_its_hub(spark, monkeypatch):
+    """Every shared band of a line was a posting of its own: some 20 for a pair of near copies."""
+    written = []
+    stored = line_dedup.stored
+    monkeypatch.setattr(line_dedup, "stored", lambda df, name: written.append(stored(df, name)) or written[-1])
+    line = "one line of some length that is found in two texts, with a small change at its end only: "
+    docs = spark.createDataFrame([(1, line + "a"), (2, line + "b"), (3, "nothing like it " * 5)], "doc_id long, text string")
+    assert {r.doc_id: r.n_removed for r in line_dedup.dedup(docs, counts=True).collect()} == {1: 0, 2: 1, 3: 0}
+    rows = written[0].where("line IS NOT NULL").collect()
+    assert len(rows) == 2 and sum(len(r.keys) for r in rows) <= 1
+    assert [r.hub for r in rows if r.hub is not None] == [r.id for r in rows if r.hub is None]
+
+
+def test_small_keys_are_compared_whole(spark):
+    """All pairs of a key that are not connected and whose bitmaps leave room, also where a word's first bit is set."""
+    rng = random.Random(11)
+    sets = [rng.sample(range(60), 40) for _ in range(40)]
+    sets += [s[:-2] + [60 + i, 80 + i] for i, s in enumerate(sets[:20])]
+    hashes = np.array([(j * 34 + 56) << 32 for s in sets for j in s], np.uint64)
+    words, spare = components.bitmaps(hashes, np.repeat(np.arange(60), 40), 60)
+    assert (words < 0).any() and not spare.any()
+    sketches = spark.createDataFrame([(i, 40, 0, w) for i, w in enumerate(words.tolist())], "node long, size int, spare int, words array<long>")
+    rows = [(key, node, node // 2, 40) for key, n in enumerate((60, 5, 2)) for node in range(n)]
+    now = spark.createDataFrame(rows, "key long, node long, comp long, size int")
+    got = [(r.a, r.b) for r in components._close_pairs(now, components.sketch(sketches, "size", "spare", "words"), 75, 1).collect()]
+    want = {(a, b) for b in range(60) for a in range(b) if a // 2 != b // 2 and 175 * len({*sets[a]} & {*sets[b]}) >= 75 * 80}
+    assert len(got) == len(set(got)) and set(got) == want and 20 <= len(want) < 800
+
+
+def _kept(spark, monkeypatch, small, lines):
+    monkeypatch.setattr(components, "SMALL", small)
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string").repartition(3)
+    return {r.doc_id for r in line_dedup.dedup(docs, counts=True).where("n_removed = 0").collect()}
+
+
+def test_small_and_large_keys_give_the_same_groups(spark, monkeypatch):
+    rng = random.Random(12)
+    lines = []
+    for _ in range(6):
+        base = [rng.choice("abcdefgh ") for _ in range(120)]
+        for _ in range(8):
+            line = list(base)
+            for _ in range(rng.randrange(1, 9)):
+                line[rng.randrange(10, 110)] = rng.choice("xyz")
+            lines.append("".join(line).strip())
+    assert 6 < len(_kept(spark, monkeypatch, 1, lines)) < 48 and _kept(spark, monkeypatch, 1, lines) == _kept(spark, monkeypatch, 128, lines)
+
+
+def test_components_need_one_task_up_to_a_bound(spark, monkeypatch):
+    """A few links took several rounds of shuffles: the tasks' forests were of 10,000 links at most."""
+    rng = random.Random(13)
+    pairs = [(rng.randrange(400), rng.randrange(400)) for _ in range(260)]
+    links = spark.createDataFrame(pairs, "a long, b long").repartition(5).cache()
+    one = {tuple(r) for r in components.components(links).collect()}
+    assert "Exchange" not in components.components(links)._jdf.queryExecution().optimizedPlan().toString()
+    monkeypatch.setattr(components, "LINKS", 100)
+    assert {tuple(r) for r in components.components(links).collect()} == one
+    assert {n for n, _ in one} == {x for a, b in pairs if a != b for x in (a, b)} and all((c, c) in one for _, c in one)
+    links.unpersist()
