@@ -262,12 +262,16 @@ def _shared_bands(blocks: list[dict]) -> list[tuple]:
     order, ranked = _sorted(keys, 64 - int(keys.max()).bit_length())  # in order of chunk within a key
     same = ranked[1:] == ranked[:-1]
     alone = ~(np.append(same, False) | np.insert(same, 0, False))
-    order = order[~alone]  # most bands are of one line only: the rest is sorted further
-    order = order[np.lexsort((chunk[order], tags[order], keys[order]))]
-    keys, tags, numbers, chunk = keys[order], tags[order], numbers[order], chunk[order]
+    order, ranked = order[~alone], ranked[~alone]  # most bands are of one line only: the rest is sorted further
+    if not len(order):
+        return again
+    # by key, then tag, in one number; equal ones stay in order of chunk
+    keys = np.cumsum(np.insert(ranked[1:] != ranked[:-1], 0, False)).astype(np.uint64) << np.uint64(16) | tags[order]
+    place, keys = _sorted(keys, 64 - int(keys.max()).bit_length())
     new = np.ones(len(keys), bool)
-    new[1:] = (keys[1:] != keys[:-1]) | (tags[1:] != tags[:-1])
-    keys, numbers, chunk = keys[new], numbers[new], chunk[new]
+    new[1:] = keys[1:] != keys[:-1]
+    order, keys = order[place[new]], keys[new] >> np.uint64(16)
+    numbers, chunk = numbers[order], chunk[order]
     size = np.diff(np.append(ch.runs(keys), len(keys)))
     some = np.repeat(size > 1, size)
     size, numbers, chunk = size[size > 1], numbers[some], chunk[some]

@@ -255,7 +255,7 @@ def test_components_need_one_task_up_to_a_bound(spark, monkeypatch):
     pairs = [(rng.randrange(400), rng.randrange(400)) for _ in range(260)]
     links = spark.createDataFrame(pairs, "a long, b long").repartition(5).cache()
     one = {tuple(r) for r in components.components(links).collect()}
-    assert "Exchange" not in components.components(links)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in components.components(links)._jdf.queryExecution().optimizedPlan().toString()
     monkeypatch.setattr(components, "LINKS", 100)
     assert {tuple(r) for r in components.components(links).collect()} == one
     assert {n for n, _ in one} == {x for a, b in pairs if a != b for x in (a, b)} and all((c, c) in one for _, c in one)
